@@ -160,34 +160,25 @@ def hilbert_zxy(tile_id: Column, max_zoom: int = 15) -> Column:
     return F.struct(z.cast("int").alias("z"), done["x"].alias("x"), done["y"].alias("y"))
 
 
-def polyline6_points(shape: Column) -> Column:
-    """Encoded route shape (1e-6 degrees) → array of struct(lat, lon).
+def polyline6_steps(shape: Column) -> Column:
+    """Encoded route shape (1e-6 degrees) → array of struct(dlat, dlon) in whole units.
 
     Characters end a number when their value is below 32, so the text is cut into numbers with one
-    regular expression; each number is a sum of 5-bit digits, and points are running sums.
+    regular expression; each number is a sum of 5-bit digits, lowest first.
     """
     numbers = F.regexp_extract_all(shape, F.lit("([_-~]*[?-^])"), F.lit(1))
 
     def value(text: Column) -> Column:
-        digits = F.transform(F.split(text, ""), lambda c: (F.ascii(c) - 63).bitwiseAND(F.lit(31)))
-        raw = F.aggregate(
-            F.zip_with(digits, F.sequence(F.lit(0), F.size(digits) - 1),
-                       lambda d, i: F.call_function("shiftleft", d.cast("bigint"), i * 5)),
-            F.lit(0).cast("bigint"), lambda s, v: s + v)
+        digits = F.transform(F.split(text, ""), lambda c, i: F.call_function(
+            "shiftleft", (F.ascii(c) - 63).bitwiseAND(F.lit(31)).cast("bigint"), i * 5))
+        raw = F.aggregate(digits, F.lit(0).cast("bigint"), lambda s, v: s + v)
         half = F.call_function("shiftright", raw, F.lit(1))
         return F.when(raw.bitwiseAND(F.lit(1).cast("bigint")) == 1, -half - 1).otherwise(half)
 
     deltas = F.transform(numbers, value)
-    pairs = F.when(F.size(deltas) >= 2, F.sequence(F.lit(0), F.size(deltas) - 2, F.lit(2))).otherwise(
-        F.array().cast("array<int>"))
-    point = "struct<lat:bigint,lon:bigint>"
-    walk = F.aggregate(
-        pairs, F.array().cast(f"array<{point}>"),
-        lambda acc, i: F.concat(acc, F.array(F.struct(
-            (F.coalesce(F.try_element_at(acc, F.lit(-1))["lat"], F.lit(0)) + deltas[i]).alias("lat"),
-            (F.coalesce(F.try_element_at(acc, F.lit(-1))["lon"], F.lit(0)) + deltas[i + 1]).alias("lon")))))
-    return F.transform(walk, lambda p: F.struct((p["lat"] / F.lit(1e6)).alias("lat"),
-                                                (p["lon"] / F.lit(1e6)).alias("lon")))
+    evens = F.filter(deltas, lambda v, i: i % 2 == 0)
+    odds = F.filter(deltas, lambda v, i: i % 2 == 1)
+    return F.zip_with(evens, odds, lambda a, b: F.struct(a.alias("dlat"), b.alias("dlon")))
 
 
 def segment_meets_box(x0: Column, y0: Column, x1: Column, y1: Column,
@@ -238,10 +229,3 @@ def path_length(points: Column, distance) -> Column:
     steps = F.transform(consecutive_pairs(points), lambda p: F.coalesce(
         distance(p["a"]["lat"], p["a"]["lon"], p["b"]["lat"], p["b"]["lon"]), F.lit(0.0)))
     return F.aggregate(steps, F.lit(0.0), lambda s, v: s + v)
-
-
-def largest_gap_km(points: Column) -> Column:
-    """Longest step between consecutive points, km; 0 for fewer than two, NULL for no shape."""
-    steps = F.transform(consecutive_pairs(points), lambda p: haversine(
-        p["a"]["lat"], p["a"]["lon"], p["b"]["lat"], p["b"]["lon"], EARTH_KM))
-    return F.when(F.size(points) > 0, F.coalesce(F.array_max(steps), F.lit(0.0)))

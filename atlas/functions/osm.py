@@ -53,11 +53,11 @@ def maxspeed_kmh(value: Column) -> Column:
 def parse_direction(value: Column) -> Column:
     """struct(src, degrees): src in fwd, bwd, both, deg, card or NULL when nothing usable is said."""
     v = F.trim(value)
-    parts = F.transform(F.split(v, ";"), F.trim)
+    parts = F.transform(F.split(v, ";"), lambda p: F.trim(p))
     table = F.create_map(*[x for i, d in enumerate(CARDINALS) for x in (F.lit(d), F.lit(i * 22.5))])
     degrees = F.transform(parts, lambda p: F.when(
         p.rlike(r"^-?\d+(\.\d+)?$"), F.pmod(p.try_cast("double"), F.lit(360.0))).otherwise(
-        table.getItem(F.upper(p))))
+        table[F.upper(p)]))
     stated = F.exists(parts, lambda p: p.rlike(r"^-?\d+(\.\d+)?$"))
     usable = ~F.exists(degrees, lambda d: d.isNull())
     src = (F.when(v == "forward", "fwd").when(v.isin("backward", "reverse"), "bwd")
@@ -71,8 +71,8 @@ def lane_count(value: Column) -> Column:
 
 def bus_lane_side(tags: Column) -> Column:
     """right / left / both, or NULL when no present lane is stated."""
-    lane = lambda k: F.coalesce(tags.getItem(k) == "lane", F.lit(False))
-    some = lambda ks: F.greatest(*[F.coalesce(lane_count(tags.getItem(k)), F.lit(0)) for k in ks]) >= 1
+    lane = lambda k: F.coalesce(tags[k] == "lane", F.lit(False))
+    some = lambda ks: F.greatest(*[F.coalesce(lane_count(tags[k]), F.lit(0)) for k in ks]) >= 1
     right = lane("busway") | lane("busway:right") | some(BUS_LANES_RIGHT)
     left = lane("busway:left") | some(BUS_LANES_LEFT)
     return (F.when(lane("busway:both") | (left & right), "both")
@@ -81,35 +81,35 @@ def bus_lane_side(tags: Column) -> Column:
 
 def oneway_of(tags: Column) -> Column:
     """1 forward only, -1 backward only, 0 both ways."""
-    value = F.coalesce(tags.getItem("oneway"), F.lit(""))
+    value = F.coalesce(tags["oneway"], F.lit(""))
     return (F.when(value.isin("yes", "true", "1"), 1).when(value.isin("-1", "reverse"), -1)
-            .when((tags.getItem("junction") == "roundabout") & ~value.isin("no", "false", "0"), 1)
+            .when((tags["junction"] == "roundabout") & ~value.isin("no", "false", "0"), 1)
             .otherwise(0))
 
 
 def access_ok(tags: Column) -> Column:
     """The most specific access key present decides; none present allows."""
-    deciding = F.coalesce(*[F.nullif(tags.getItem(k), F.lit("")) for k in ACCESS_KEYS])
+    deciding = F.coalesce(*[F.nullif(tags[k], F.lit("")) for k in ACCESS_KEYS])
     return F.coalesce(~deciding.isin("no", "private"), F.lit(True))
 
 
 def is_car_ferry(tags: Column) -> Column:
-    said = F.coalesce(F.nullif(tags.getItem("motor_vehicle"), F.lit("")), tags.getItem("motorcar"))
-    return (tags.getItem("route") == "ferry") & ~said.eqNullSafe("no")
+    said = F.coalesce(F.nullif(tags["motor_vehicle"], F.lit("")), tags["motorcar"])
+    return (tags["route"] == "ferry") & ~said.eqNullSafe("no")
 
 
 def promote_tags(tags: Column) -> Column:
     """Lift a connector way to the promoted class; park the service values that imply private use."""
     kept = F.map_filter(tags, lambda k, v: ~((k == "highway") | ((k == "service") & v.isin(*INFERRED_SERVICE))))
     lifted = F.map_concat(kept, F.create_map(F.lit("highway"), F.lit(PROMOTED_CLASS)))
-    service = tags.getItem("service")
+    service = tags["service"]
     return F.when(service.isin(*INFERRED_SERVICE),
                   F.map_concat(lifted, F.create_map(F.lit(PARKED_SERVICE_KEY), service))).otherwise(lifted)
 
 
 def undo_promote(tags: Column) -> Column:
     """Put a parked service value back."""
-    parked = tags.getItem(PARKED_SERVICE_KEY)
+    parked = tags[PARKED_SERVICE_KEY]
     rest = F.map_filter(tags, lambda k, v: ~k.isin(PARKED_SERVICE_KEY, "service"))
     return F.when(parked.isNull(), tags).otherwise(
         F.map_concat(rest, F.create_map(F.lit("service"), parked)))
@@ -117,7 +117,7 @@ def undo_promote(tags: Column) -> Column:
 
 def is_foreign_parked(tags: Column) -> Column:
     """A parked value the promotion never writes."""
-    parked = tags.getItem(PARKED_SERVICE_KEY)
+    parked = tags[PARKED_SERVICE_KEY]
     return parked.isNotNull() & ~parked.isin(*INFERRED_SERVICE)
 
 

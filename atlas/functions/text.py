@@ -57,6 +57,11 @@ def base_letter_map() -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
+def strip(text: Column) -> Column:
+    """Without leading and trailing white space."""
+    return F.btrim(text, F.lit(" \t\n\r\f\x0b"))
+
+
 def fold(text: Column) -> Column:
     """Lower case without diacritics (also й→и, ё→е)."""
     source, target = base_letter_map()
@@ -91,7 +96,7 @@ def house_keys(raw: Column) -> Column:
 
 def house_display(raw: Column, key: Column) -> Column:
     """The first part of ``raw`` that stands for ``key`` alone, else the key itself."""
-    match = F.filter(F.transform(_list_parts(raw), F.trim),
+    match = F.filter(F.transform(_list_parts(raw), strip),
                      lambda p: (_one_house_key(p) == key) & _is_house_key(key))
     return F.coalesce(F.try_element_at(match, F.lit(1)), key)
 
@@ -109,17 +114,17 @@ def yo_variants(names: Column) -> Column:
 def locality_aliases(tags: Column, name: Column) -> Column:
     """Other names of a place: 11 keys, ``;`` lists, different key than the name, plus е spellings."""
     values = F.flatten(F.array(*[
-        F.split(F.coalesce(tags.getItem(k), F.lit("")), ";") for k in LOCALITY_ALIAS_KEYS]))
+        F.split(F.coalesce(tags[k], F.lit("")), ";") for k in LOCALITY_ALIAS_KEYS]))
     own = name_key(name)
     kept = F.array_distinct(F.filter(
-        F.transform(values, F.trim),
+        F.transform(values, strip),
         lambda v: (v != "") & (name_key(v) != own) & (F.length(v) <= MAX_ALIAS_CHARS)))
     return F.concat(kept, yo_variants(F.concat(F.array(name), kept)))
 
 
 def search_aliases(tags: Column, name: Column) -> Column:
     """English and Russian names that differ from the name itself."""
-    values = F.array(*[tags.getItem(k) for k in SEARCH_ALIAS_KEYS])
+    values = F.array(*[tags[k] for k in SEARCH_ALIAS_KEYS])
     return F.array_distinct(F.filter(
         values, lambda v: v.isNotNull() & (v != "") & (v != F.coalesce(name, F.lit("")))
         & (F.length(v) <= MAX_ALIAS_CHARS)))
@@ -127,7 +132,7 @@ def search_aliases(tags: Column, name: Column) -> Column:
 
 def city_keys(raw: Column) -> Column:
     """Key of a city as written, then without an administrative prefix."""
-    bare = name_key(F.regexp_replace(F.trim(raw), ADMIN_PREFIX_PATTERN, ""))
+    bare = name_key(F.regexp_replace(strip(raw), ADMIN_PREFIX_PATTERN, ""))
     return F.array_distinct(F.filter(F.array(name_key(raw), bare), lambda k: k != ""))
 
 
@@ -137,10 +142,10 @@ def population(raw: Column) -> Column:
 
 
 def commune_display(tags: Column) -> Column:
-    name = tags.getItem("name")
-    official = F.nullif(F.trim(F.coalesce(tags.getItem("official_name"), F.lit(""))), F.lit(""))
-    prefixed = F.when(tags.getItem("name:prefix") != "",
-                      F.concat_ws(" ", F.trim(tags.getItem("name:prefix")), name))
+    name = tags["name"]
+    official = F.nullif(strip(F.coalesce(tags["official_name"], F.lit(""))), F.lit(""))
+    prefixed = F.when(tags["name:prefix"] != "",
+                      F.concat_ws(" ", strip(tags["name:prefix"]), name))
     full = F.coalesce(official, prefixed, name)
     return F.concat(F.upper(F.substring(full, 1, 1)), F.substring(full, 2, 1 << 20))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from atlas.functions import geo, osm
 from atlas.operators.grid import Grid
+from atlas.session import cut_lineage
 
 NEAR_M = 5.0
 
@@ -49,12 +50,12 @@ def _near(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     close = geo.haversine_e7(F.col("l.lat_e7"), F.col("l.lon_e7"), F.col("r.lat_e7"), F.col("r.lon_e7")) <= NEAR_M
     met = left.join(right, (F.col("l.pair") == F.col("r.pair")) & (F.col("l.level") == F.col("r.level"))
                     & (F.col("l.cell") == F.col("r.cell")) & close)
-    met = met.select("l.pair", "l.level", F.col("l.one").alias("a"), F.col("l.weight").alias("wa"),
-                     F.col("r.one").alias("b"), F.col("r.weight").alias("wb"))
+    met = cut_lineage(met.select("l.pair", "l.level", F.col("l.one").alias("a"), F.col("l.weight").alias("wa"),
+                                 F.col("r.one").alias("b"), F.col("r.weight").alias("wb")))
     per_a = met.groupBy("pair", "level", "a").agg(F.first("wa").alias("wa"), F.sum("wb").alias("cand_b"),
                                                   F.min("b").alias("b"))
     per_b = met.groupBy("pair", "level", "b").agg(F.sum("wa").alias("cand_a"))
-    judged = per_a.join(per_b, ["pair", "level", "b"])
+    judged = cut_lineage(per_a.join(per_b, ["pair", "level", "b"]))
     single = (F.col("cand_b") == 1) & (F.col("cand_a") == 1)
     return judged.filter(single), judged.filter(~single).select("pair", F.col("wa").alias("ambiguous"))
 
@@ -66,12 +67,14 @@ def match_frontiers(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     exact position of what is left; mutually only candidate within 5 m of what is then left.
     Returns the pairs and one row of counts per pair.
     """
-    by_id = _equi_phase(a.filter("osm is not null"), b.filter("osm is not null"), ["osm", "level"])
+    a, b = cut_lineage(a), cut_lineage(b)
+    by_id = cut_lineage(_equi_phase(a.filter("osm is not null"), b.filter("osm is not null"), ["osm", "level"]))
     sole = (F.col("n_a") == 1) & (F.col("n_b") == 1)
     osm_pairs = _pairs(by_id.filter(sole), "osm")
     ambiguous_id = by_id.filter(~sole).select("pair", F.col("n_a").alias("ambiguous"))
     a2, b2 = _free(a, osm_pairs, "a_row"), _free(b, osm_pairs, "b_row")
-    coord_pairs = _pairs(_equi_phase(a2, b2, ["level", "lat_e7", "lon_e7"]).filter(sole), "coord")
+    at_spot = cut_lineage(_equi_phase(a2, b2, ["level", "lat_e7", "lon_e7"]).filter(sole))
+    coord_pairs = _pairs(at_spot, "coord")
     a3, b3 = _free(a2, coord_pairs, "a_row"), _free(b2, coord_pairs, "b_row")
     near, ambiguous_near = _near(a3, b3)
     near_pairs = _pairs(near, "near")
@@ -148,7 +151,8 @@ def portal_table(pairs: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def both_directions(portals: DataFrame) -> DataFrame:
-    swapped = portals.withColumnsRenamed({"from_id": "to_id", "to_id": "from_id"})
+    rest = [c for c in portals.columns if c not in ("from_id", "to_id")]
+    swapped = portals.select(F.col("to_id").alias("from_id"), F.col("from_id").alias("to_id"), *rest)
     return portals.unionByName(swapped)
 
 

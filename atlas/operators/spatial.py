@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlas.functions import geo
+from atlas.session import cut_lineage
 
 BAND = 0.002
 SPLIT = 8
@@ -108,9 +109,10 @@ def point_in_polygon(points: DataFrame, areas: DataFrame, cell: float = 1.0,
     placed = (points.select(key, F.col("lon").alias("x"), F.col("lat").alias("y"),
                             F.explode(F.array(slot(0, cell), slot(1, fine))).alias("_c"))
               .select(key, "x", "y", "_c.*"))
-    touched = placed.join(cell_index(areas, cell), ["level", "cx", "cy"])
-    sure = touched.filter("full").select(key, "pid")
-    unsure = touched.filter("not full").select(key, "pid", "x", "y")
+    index = cut_lineage(cell_index(areas, cell))
+    at = ["level", "cx", "cy"]
+    sure = placed.join(index.filter("full"), at).select(key, "pid")
+    unsure = placed.join(index.filter("not full"), at).select(key, "pid", "x", "y")
     return sure.unionByName(parity_inside(unsure, band_segments(segments(areas)), [key]))
 
 
