@@ -42,7 +42,8 @@ def haversine(a_lat: Column, a_lon: Column, b_lat: Column, b_lon: Column,
     la1, lo1, la2, lo2 = (F.radians(c) for c in (a_lat, a_lon, b_lat, b_lon))
     h = (F.pow(F.sin((la2 - la1) / 2), F.lit(2.0))
          + F.cos(la1) * F.cos(la2) * F.pow(F.sin((lo2 - lo1) / 2), F.lit(2.0)))
-    return F.lit(2.0 * radius) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    root = F.sqrt(h)
+    return F.lit(2.0 * radius) * F.asin(F.when(root > 1.0, F.lit(1.0)).otherwise(root))
 
 
 def bearing(a_lat: Column, a_lon: Column, b_lat: Column, b_lon: Column) -> Column:

@@ -9,6 +9,7 @@ from atlas.functions import geo, text
 from atlas.operators import spatial
 from atlas.operators.grid import Grid
 from atlas.operators.groups import greedy_thin
+from atlas.session import cut_lineage
 
 MERGE_KM = 5.0
 DUPLICATE_KM = 2.0
@@ -42,16 +43,16 @@ def area_owner(points: DataFrame, areas: DataFrame) -> DataFrame:
             .join(a, "area").join(p, "point"))
     rule = (F.when(text.name_key(F.col("point_name")) == text.name_key(F.col("area_name")), 1)
             .when(F.arrays_overlap("area_names", "point_names"), 2).otherwise(3))
-    inside = (hits.withColumn("rule", rule).groupBy("area")
+    inside = cut_lineage(hits.withColumn("rule", rule).groupBy("area")
               .agg(F.min(F.struct("rule", "point")).alias("best"), F.count(F.lit(1)).alias("n"))
               .filter((F.col("best.rule") < 3) | (F.col("n") == 1))
               .select("area", F.col("best.point").alias("owner"), F.col("best.rule").alias("rule")))
 
-    centre = _centres(areas.join(inside.select(F.col("area").alias("pid")), "pid", "left_anti"))
+    centre = cut_lineage(_centres(areas.join(inside.select(F.col("area").alias("pid")), "pid", "left_anti")))
     keyed = points.select("pid", text.name_key(F.col("name")).alias("key"), "lat", "lon")
-    close = _first_close(centre, keyed).withColumn("rule", F.lit(4))
+    close = cut_lineage(_first_close(centre, keyed).withColumn("rule", F.lit(4)))
     bare = centre.join(close.select(F.col("area").alias("pid")), "pid", "left_anti")
-    founders = greedy_thin(bare, ["key"], ["pid"], MERGE_KM * 1000, within_merge)
+    founders = cut_lineage(greedy_thin(bare, ["key"], ["pid"], MERGE_KM * 1000, within_merge))
     joined = _first_close(bare.join(founders.select("pid"), "pid", "left_anti"), founders, earlier=True).withColumn("rule", F.lit(5))
     own = founders.select(F.col("pid").alias("area"), F.col("pid").alias("owner"), F.lit(6).alias("rule"))
     return inside.unionByName(close).unionByName(joined).unionByName(own)

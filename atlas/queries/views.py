@@ -89,16 +89,16 @@ view("rel_member", """SELECT o_custkey AS rel_id, CAST(o_orderkey % 3 AS INT) AS
        'Second Street ' || CAST(o_custkey % 5 AS STRING) AS name FROM orders WHERE o_orderkey % 13 = 1""")
 
 # road network: an order is a way through the parts of its lines; a part is a node
-view("node", """SELECT p_partkey AS id, CAST(470000000 + (p_partkey * 7919 % 3000) * 40 AS INT) AS lat_e7,
-       CAST(280000000 + (p_partkey * 104729 % 3000) * 60 AS INT) AS lon_e7, p_name, p_size,
-       (470000000 + (p_partkey * 7919 % 3000) * 40) / 1e7 AS lat, (280000000 + (p_partkey * 104729 % 3000) * 60) / 1e7 AS lon
+view("node", """SELECT p_partkey AS id, CAST(470000000 + (p_partkey * 7919 % 3000) * 150 AS INT) AS lat_e7,
+       CAST(280000000 + (p_partkey * 104729 % 3000) * 220 AS INT) AS lon_e7, p_name, p_size,
+       (470000000 + (p_partkey * 7919 % 3000) * 150) / 1e7 AS lat, (280000000 + (p_partkey * 104729 % 3000) * 220) / 1e7 AS lon
      FROM part""")
 
 view("way_node", """SELECT l_orderkey AS way_id, l_linenumber AS seq, l_partkey AS node_id FROM li""")
 
 view("way_tag", """SELECT o_orderkey AS id,
        CASE o_orderkey % 9 WHEN 0 THEN 'primary' WHEN 1 THEN 'residential' WHEN 2 THEN 'service' WHEN 3 THEN 'footway'
-            WHEN 4 THEN 'unclassified' WHEN 5 THEN 'secondary_link' WHEN 6 THEN 'track' WHEN 7 THEN NULL ELSE 'tertiary' END AS highway,
+            WHEN 4 THEN 'unclassified' WHEN 5 THEN CASE WHEN o_orderkey % 117 = 5 THEN 'secondary_link' ELSE 'living_street' END WHEN 6 THEN 'track' WHEN 7 THEN NULL ELSE 'tertiary' END AS highway,
        CASE o_orderkey % 5 WHEN 0 THEN 'yes' WHEN 1 THEN '-1' WHEN 2 THEN 'no' END AS oneway,
        CASE WHEN o_orderkey % 4 = 0 THEN 'Strada Șt' || CAST(o_custkey % 41 AS STRING) WHEN o_orderkey % 4 = 1 THEN 'Улица Семёнов' || CAST(o_custkey % 41 AS STRING) END AS name,
        CASE WHEN o_orderkey % 7 = 0 THEN 'ferry' END AS route,
@@ -146,3 +146,69 @@ def way_refs(t: Tables) -> DataFrame:
 
 
 view("way_refs", "SELECT way_id AS id, list(node_id ORDER BY seq) AS refs FROM way_node GROUP BY way_id", way_refs)
+
+# relations: a customer's relation holds its orders as ways and, for every third, a part as node
+view("rel_item", """SELECT o_custkey AS id, 'w' AS type, o_orderkey AS ref, o_orderstatus AS role, o_orderkey AS pos FROM orders
+     UNION ALL SELECT o_custkey, 'n', o_orderkey % 1500, 'label', o_orderkey FROM orders WHERE o_orderkey % 3 = 0""")
+view("rel_tag", """SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'boundary' WHEN 1 THEN 'multipolygon' WHEN 2 THEN 'restriction' END AS type,
+       CASE WHEN c_custkey % 3 <> 2 THEN 'administrative' END AS boundary, CAST(c_nationkey % 9 AS STRING) AS admin_level,
+       CASE WHEN c_custkey % 5 > 0 THEN c_name END AS name FROM customer""")
+
+
+def relation(t: Tables) -> DataFrame:
+    member = F.array_sort(F.collect_list(F.struct("pos", "type", "ref", "role")))
+    members = t.rel_item.groupBy("id").agg(F.transform(member, lambda m: F.struct(m["type"].alias("type"), m["ref"].alias("ref"), m["role"].alias("role"))).alias("members"))
+    tagged = t.rel_tag.select("id", tags_of({"type": "type", "boundary": "boundary", "admin_level": "admin_level", "name": "name"}))
+    return tagged.join(members, "id", "left").withColumn("members", F.coalesce("members", F.array().cast("array<struct<type:string,ref:bigint,role:string>>")))
+
+
+view("relation", "SELECT id FROM rel_tag", relation)
+view("full_way", "SELECT id FROM way_tag", lambda t: t.way.join(t.way_refs, "id"))
+
+# decoded tile features
+view("tf", """SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN 'places' WHEN 1 THEN 'roads' ELSE 'pois' END AS layer,
+       CASE WHEN o_orderkey % 8 < 6 THEN 'Name ' || CAST(o_custkey % 60 AS STRING) END AS name,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'Naïve ' || CAST(o_custkey % 60 AS STRING) END AS name_en,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'Имя ' || CAST(o_custkey % 60 AS STRING) END AS name_ru,
+       CASE o_orderkey % 3 WHEN 0 THEN CASE o_custkey % 4 WHEN 0 THEN 'locality' WHEN 1 THEN 'region' WHEN 2 THEN 'island' ELSE 'borough' END
+         WHEN 1 THEN CASE o_custkey % 4 WHEN 0 THEN 'major_road' WHEN 1 THEN 'path' WHEN 2 THEN 'highway' ELSE 'minor_road' END
+         ELSE CASE o_custkey % 6 WHEN 0 THEN 'charging_station' WHEN 1 THEN 'cafe' WHEN 2 THEN 'bench' WHEN 3 THEN 'pharmacy' WHEN 4 THEN 'atm' END END AS kind,
+       CASE WHEN o_orderkey % 4 = 0 THEN CAST(floor(o_totalprice) AS BIGINT) END AS population,
+       (470000000 + (o_custkey * 7919 % 300) * 1000 + o_orderkey % 7 * 100) / 1e7 AS lat, (280000000 + (o_custkey * 104729 % 300) * 1000 + o_orderkey % 5 * 100) / 1e7 AS lon
+     FROM orders""")
+
+
+def tile_feature(t: Tables) -> DataFrame:
+    keys = {"name": "name", "name_en": "name:en", "name_ru": "name:ru", "kind": "kind"}
+    return t.tf.select("id", "layer", tags_of(keys).alias("attrs"), "population", "lat", "lon")
+
+
+view("tile_feature", "SELECT id FROM tf", tile_feature)
+
+# tagged nodes and enforcement relations
+view("node_tag", """SELECT p_partkey AS id, CASE p_partkey % 12 WHEN 0 THEN 'speed_camera' WHEN 1 THEN 'traffic_signals' WHEN 2 THEN 'traffic_signals' END AS highway,
+       CASE p_partkey % 12 WHEN 3 THEN 'level_crossing' WHEN 4 THEN 'tram_level_crossing' WHEN 5 THEN 'crossing' END AS railway,
+       CASE p_size % 7 WHEN 0 THEN 'forward' WHEN 1 THEN 'backward' WHEN 2 THEN '90;270' WHEN 3 THEN 'NE' WHEN 4 THEN 'both' WHEN 5 THEN '0-90' END AS direction,
+       CASE p_size % 5 WHEN 0 THEN 'forward' WHEN 1 THEN '45' END AS sig_direction, CASE WHEN p_size % 3 = 0 THEN 'signal;ü' END AS signals,
+       CASE p_size % 4 WHEN 0 THEN '50' WHEN 1 THEN '30 mph' WHEN 2 THEN 'none' END AS maxspeed FROM part""")
+view("enf_item", """SELECT l_orderkey AS id, l_linenumber AS pos, CASE WHEN l_linenumber = 4 THEN 'w' ELSE 'n' END AS type, CASE WHEN l_linenumber = 4 THEN l_orderkey % 500 ELSE l_partkey * 2 END AS ref,
+       CASE l_linenumber WHEN 1 THEN 'from' WHEN 2 THEN 'device' WHEN 3 THEN 'to' WHEN 4 THEN 'section' WHEN 5 THEN 'from' ELSE 'device' END AS role FROM li""")
+view("enf_tag", """SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'maxspeed' WHEN 1 THEN 'traffic_signals' WHEN 2 THEN 'average_speed' ELSE 'mindistance' END AS kind,
+       CASE o_custkey % 3 WHEN 0 THEN '60' WHEN 1 THEN '40 mph' END AS maxspeed FROM orders""")
+
+
+def feature_node(t: Tables) -> DataFrame:
+    keys = {"highway": "highway", "railway": "railway", "direction": "direction", "sig_direction": "traffic_signals:direction",
+            "signals": "traffic_signals", "maxspeed": "maxspeed"}
+    return t.node.select("id", "lat", "lon").join(t.node_tag.select("id", tags_of(keys)), "id")
+
+
+def enforcement(t: Tables) -> DataFrame:
+    member = F.array_sort(F.collect_list(F.struct("pos", "type", "ref", "role")))
+    members = t.enf_item.groupBy("id").agg(F.transform(member, lambda m: F.struct(m["type"].alias("type"), m["ref"].alias("ref"), m["role"].alias("role"))).alias("members"))
+    tags = t.enf_tag.select("id", F.lit("enforcement").alias("type"), "kind", "maxspeed").select("id", tags_of({"type": "type", "kind": "enforcement", "maxspeed": "maxspeed"}))
+    return tags.join(members, "id")
+
+
+view("feature_node", "SELECT id FROM node_tag", feature_node)
+view("enforcement", "SELECT id FROM enf_tag", enforcement)
