@@ -19,6 +19,24 @@ def e7(degrees: Column) -> Column:
     return F.bround(degrees * F.lit(1e7)).cast("int")
 
 
+def decimal_cell(value: Column, digits: int) -> Column:
+    """``value`` rounded to decimals as a whole number of cells, from the exact binary value.
+
+    Positions carry five decimals, so halves are common; which side a half lies on is decided by the error
+    of the product (two-product), and only a true half goes to the even neighbour.
+    """
+    n = F.lit(2.0 * 10 ** digits)
+    split = F.lit(134217729.0) * value
+    high = split - (split - value)
+    product = value * n
+    error = (high * n - product) + (value - high) * n
+    half = product / 2
+    base = F.floor(half)
+    rest = half - base
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (base % 2 != 0))))
+    return (base + up.cast("int")).cast("bigint")
+
+
 def meters(a_lat: Column, a_lon: Column, b_lat: Column, b_lon: Column) -> Column:
     """Flat distance scaled at the mean latitude, metres."""
     k = F.cos(F.radians((a_lat + b_lat) / 2)) * F.lit(111_320.0)

@@ -1 +1,76 @@
-"""Placeholder."""
+"""Search index rows and lookups."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from atlas.operators import filters
+from atlas.operators import search as ops
+from atlas.operators.groups import dense_ids
+from atlas.plans.search_index import build_search_index
+from atlas.queries.base import query
+from atlas.queries.filters import TF_KEPT
+from atlas.queries.sqltext import decimal_cell, km
+
+c = F.col
+
+ALIASES = "concat_ws('|', CASE WHEN name_en <> coalesce(name, '') THEN name_en END, CASE WHEN name_ru <> coalesce(name, '') AND name_ru IS DISTINCT FROM name_en THEN name_ru END)"
+PLACE = f"""kept AS ({TF_KEPT}), rw AS (SELECT CAST(CASE layer WHEN 'places' THEN 0 WHEN 'roads' THEN 1 ELSE 2 END AS INT) AS kind, coalesce(name, '') AS name, {ALIASES} AS aliases, lat, lon,
+      CASE WHEN layer = 'pois' THEN cat END AS cat, CASE WHEN layer <> 'roads' THEN kind END AS detail, CASE WHEN layer = 'places' THEN coalesce(population, 0) ELSE 0 END AS pop FROM kept),
+    cell AS (SELECT *, row_number() OVER (PARTITION BY kind, CASE WHEN name = '' THEN detail ELSE name END, CASE WHEN kind = 2 THEN {decimal_cell('lat', 4)} ELSE {decimal_cell('lat', 2)} END, CASE WHEN kind = 2 THEN {decimal_cell('lon', 4)} ELSE {decimal_cell('lon', 2)} END
+      ORDER BY lat, lon, aliases, detail, pop) AS rn FROM rw), place AS (SELECT * FROM cell WHERE rn = 1)"""
+
+
+def place(t):
+    return ops.place_rows(filters.search_row_filter(t.tile_feature))
+
+
+# several features of one name share a spot: which of them stays is compared by the fields that do not differ
+@query("w05_street_representative", f"WITH {PLACE} SELECT name, lat, lon FROM place WHERE kind = 1")
+def w05(t):
+    return place(t).filter("kind = 1").select("name", "lat", "lon")
+
+
+@query("w06_first_per_cell", f"WITH {PLACE} SELECT kind, name, lat, lon, cat FROM place WHERE kind <> 1")
+def w06(t):
+    return place(t).filter("kind <> 1").select("kind", "name", "lat", "lon", "cat")
+
+
+@query("a09_category_counts", f"WITH {PLACE} SELECT cat, count(*) AS n FROM place WHERE cat IS NOT NULL GROUP BY cat")
+def a09(t):
+    return ops.category_counts(place(t))
+
+
+@query("a17_index_counts", f"WITH {PLACE} SELECT CASE kind WHEN 0 THEN 'places' WHEN 1 THEN 'streets' ELSE 'pois' END AS part, count(*) AS n, count(DISTINCT cat) AS categories FROM place GROUP BY kind")
+def a17(t):
+    return ops.index_counts(place(t)).select("part", "n", "categories")
+
+
+@query("t02_search_order", f"WITH {PLACE} SELECT kind, name, lat, lon, row_number() OVER (ORDER BY kind, 0, name, lat, lon) AS place FROM place WHERE kind > 0")
+def t02(t):
+    return dense_ids(place(t).filter("kind > 0"), ops.search_order(), "place").select("kind", "name", "lat", "lon", "place")
+
+
+@query("p01_build_search_index", f"WITH {PLACE} SELECT row_number() OVER (ORDER BY kind, name, lat, lon) AS id, kind, name, lat, lon, cat FROM place WHERE kind > 0")
+def p01(t):
+    index = build_search_index(t.tile_feature, t.tile_feature, bbox=None, places_zoom=None, detail_zoom=None)
+    streets_pois = index.filter("kind > 0")
+    first = index.filter("kind = 0").agg(F.count(F.lit(1)).alias("n")).withColumn("_k", F.lit(1))
+    return streets_pois.withColumn("_k", F.lit(1)).join(F.broadcast(first), "_k").select((c("id") - c("n")).alias("id"), "kind", "name", "lat", "lon", "cat")
+
+
+WORDS = r"SELECT DISTINCT doc_id AS key, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS token FROM documents"
+
+
+@query("q01_prefix_search", r"""WITH w AS (SELECT doc_id AS key, unnest(string_split_regex(translate(lower(text), 'àâäáãåçèéêëìíîïñòóôöõùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^\p{L}\p{N}]+')) AS token FROM documents)
+    SELECT key FROM w GROUP BY key HAVING count(*) FILTER (WHERE token LIKE 'en%') > 0 AND count(*) FILTER (WHERE token LIKE 're%') > 0 AND count(*) FILTER (WHERE token = 'la') > 0""")
+def q01(t):
+    tokens = ops.token_table(t.documents, "doc_id", ["text"])
+    return ops.prefix_search(tokens, ["en*", "ré*", "LA"])
+
+
+@query("q02_category_nearby", f"""WITH {PLACE}, d AS (SELECT name, lat, lon, {km('47.01e0', '28.02e0', 'lat', 'lon')} AS km FROM place WHERE cat = 'charging')
+    SELECT name, lat, lon, round(km, 7) AS km FROM d WHERE km <= 2 ORDER BY d.km, lat, lon, name LIMIT 20""")
+def q02(t):
+    near = ops.category_nearby(place(t), "charging", 47.01, 28.02, 2.0, 20)
+    return near.select("name", "lat", "lon", F.round("km", 7).alias("km"))

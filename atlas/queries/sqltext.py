@@ -28,7 +28,7 @@ def meters(a: str, o: str, b: str, p: str) -> str:
 def haversine(a: str, o: str, b: str, p: str, radius: float = 6371000.0) -> str:
     h = (f"pow(sin(radians({b} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({b}))"
          f" * pow(sin(radians({p} - {o}) / 2), 2)")
-    return f"{2 * radius:e} * asin(least(1e0, sqrt({h})))"
+    return f"{2 * radius:e} * asin(sqrt({h}))"
 
 
 def portal_distance(a: str, b: str) -> str:
@@ -49,6 +49,15 @@ def half_even(x: str, digits: int = 0) -> str:
     return f"round_even({x}, {digits})"
 
 
+def decimal_cell(x: str, digits: int) -> str:
+    n = f"{2 * 10 ** digits}e0"
+    high = f"(134217729e0 * {x} - (134217729e0 * {x} - {x}))"
+    error = f"(({high} * {n} - {x} * {n}) + ({x} - {high}) * {n})"
+    rest = f"({x} * {n} / 2 - floor({x} * {n} / 2))"
+    return (f"(floor({x} * {n} / 2) + CASE WHEN {rest} > 0.5 OR ({rest} = 0.5 AND ({error} > 0 OR ({error} = 0 AND floor({x} * {n} / 2) % 2 <> 0)))"
+            f" THEN 1 ELSE 0 END)")
+
+
 def cardinal_case(x: str) -> str:
     whens = " ".join(f"WHEN '{d}' THEN {i * 22.5}e0" for i, d in enumerate(CARDINALS))
     return f"CASE upper({x}) {whens} END"
