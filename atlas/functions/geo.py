@@ -230,7 +230,7 @@ def ring_area(rings: Column) -> Column:
 
 def ring_centroid(rings: Column) -> Column:
     """Mean of the vertices of the first ring, the closing vertex included: struct(x, y)."""
-    first = rings[0]
+    first = F.get(rings, F.lit(0))
     mean = lambda f: F.aggregate(F.transform(first, lambda p: p[f]), F.lit(0.0),
                                  lambda s, v: s + v) / F.size(first)
     return F.struct(mean("x").alias("x"), mean("y").alias("y"))

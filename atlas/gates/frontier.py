@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlas.functions import osm
+from atlas.operators.matching import pair_ends
 from atlas.sources.lines import previous_line
 
 LOCAL_MASK = (1 << osm.REGION_SHIFT) - 1
@@ -47,7 +48,7 @@ def portal_gate(stats: DataFrame, borders: DataFrame, present: DataFrame) -> Dat
 
     ``stats`` as from the matching of all pairs; ``borders(a, b, required)`` with a < b.
     """
-    busy = stats.select(F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), "ambiguous")
+    busy = pair_ends(stats).select("a", "b", "ambiguous")
     unclear = busy.filter("ambiguous > 0").select("a", "b", F.lit("FAIL").alias("severity"), F.lit("ambiguous entries").alias("rule"))
     here = lambda end: present.select(F.col("country").alias(end))
     bare = borders.join(here("a"), "a", "left_semi").join(here("b"), "b", "left_semi").join(busy.select("a", "b"), ["a", "b"], "left_anti")

@@ -61,7 +61,7 @@ def area_owner(points: DataFrame, areas: DataFrame) -> DataFrame:
 def _centres(areas: DataFrame) -> DataFrame:
     """Centroid of each area, or its first vertex when the centroid lies outside: pid, key, lat, lon."""
     mid = areas.select("pid", text.name_key(F.col("name")).alias("key"), geo.ring_centroid(F.col("rings")).alias("m"),
-                       F.col("rings")[0][0].alias("first"))
+                       F.get(F.get("rings", F.lit(0)), F.lit(0)).alias("first"))
     tested = mid.select(F.col("pid").alias("point"), F.col("m.y").alias("lat"), F.col("m.x").alias("lon"))
     held = spatial.point_in_polygon(tested, areas, 0.1).filter(F.col("point") == F.col("pid")).select("pid", F.lit(True).alias("ok"))
     pick = lambda f: F.when(F.col("ok"), F.col(f"m.{f}")).otherwise(F.col(f"first.{f}"))

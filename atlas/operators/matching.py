@@ -101,37 +101,43 @@ def pair_stats(a: DataFrame, b: DataFrame, pairs: DataFrame, ambiguous: DataFram
 
 
 def neighbour_sides(frontier: DataFrame, borders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides of every country pair in ``borders(a, b)``; rows are named by (country, local_id)."""
-    row = F.struct("country", "local_id").alias("row")
+    """Both sides of every country pair in ``borders(a, b)``. Pairs of countries are few (region ids stop at
+    255), so they are broadcast; a row is named by its local id, unique per side."""
     cols = ["level", "lat_e7", "lon_e7", "local_id", "osm"]
-    pair = F.struct("a", "b").alias("pair")
-    named = frontier.select("country", row, *cols)
-    side = lambda end: (named.join(F.broadcast(borders), F.col("country") == F.col(end))
-                        .select(pair, "row", *cols))
+    pair = F.concat_ws("-", "a", "b").alias("pair")
+    side = lambda end: (frontier.join(F.broadcast(borders), F.col("country") == F.col(end))
+                        .select(pair, F.col("local_id").alias("row"), *cols))
     return side("a"), side("b")
 
 
 def meeting_pairs(frontier: DataFrame) -> DataFrame:
     """Country pairs a < b that can match or be ambiguous at all: they share an (osm, level), or have
-    rows of one level within reach. Found per key and per cell from distinct countries, so the number
-    of rows on a key does not matter."""
+    rows of one level within reach. Distinct countries meet per key and per cell, so the number of rows
+    on a key does not matter."""
     grid = Grid(NEAR_M)
     lat, lon = geo.from_e7(F.col("lat_e7")), geo.from_e7(F.col("lon_e7"))
-    ids = frontier.filter("osm is not null").select(
-        "country", F.struct(F.lit("id").alias("what"), "level", F.col("osm").alias("k1"), F.lit(0).cast("bigint").alias("k2")).alias("key"))
-    own = F.struct(F.lit("at").alias("what"), "level", F.col("c.row").alias("k1"), F.col("c.col").alias("k2"))
-    at = frontier.withColumn("c", grid.cell(lat, lon)).select("country", own.alias("key"))
-    near = frontier.withColumn("c", F.explode(grid.around(lat, lon))).select("country", own.alias("key"))
-    left, right = ids.unionByName(at).distinct(), ids.unionByName(near).distinct()
-    l, r = left.alias("l"), right.alias("r")
-    met = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.country") != F.col("r.country")))
-    return met.select(F.least("l.country", "r.country").alias("a"),
-                      F.greatest("l.country", "r.country").alias("b")).distinct()
+    ids = frontier.filter("osm is not null").select("country", "level", F.col("osm").alias("key")).distinct()
+    at = frontier.select("country", "level", "lat_e7", "lon_e7").distinct()
+    here = at.select("country", "level", grid.cell(lat, lon).alias("key")).distinct()
+    near = at.select("country", "level", F.explode(grid.around(lat, lon)).alias("key")).distinct()
+
+    def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        l, r = left.alias("l"), right.alias("r")
+        j = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.level") == F.col("r.level")) & (F.col("l.country") != F.col("r.country")))
+        return j.select(F.least("l.country", "r.country").alias("a"), F.greatest("l.country", "r.country").alias("b")).distinct()
+
+    return met(ids, ids).unionByName(met(here, near)).distinct()
+
+
+def pair_ends(df: DataFrame) -> DataFrame:
+    """``pair`` → a, b."""
+    return df.withColumn("a", F.split("pair", "-")[0]).withColumn("b", F.split("pair", "-")[1])
 
 
 def all_pairs(frontier: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every pair of countries through the matching rule; pairs with nothing in common are absent."""
-    borders = meeting_pairs(frontier)
+    frontier = cut_lineage(frontier)
+    borders = cut_lineage(meeting_pairs(frontier))
     a, b = neighbour_sides(frontier, borders)
     pairs, stats = match_frontiers(a, b)
     busy = stats.filter("osm + coord + near + ambiguous > 0")
@@ -141,7 +147,7 @@ def all_pairs(frontier: DataFrame) -> tuple[DataFrame, DataFrame]:
 def portal_table(pairs: DataFrame, regions: DataFrame) -> DataFrame:
     """Both directions of every matched pair as graph ids with their distance."""
     r = F.broadcast(regions.select("country", "region_id"))
-    out = (pairs.withColumn("ca", F.col("pair.a")).withColumn("cb", F.col("pair.b"))
+    out = (pair_ends(pairs).withColumnsRenamed({"a": "ca", "b": "cb"})
            .join(r.withColumnsRenamed({"country": "ca", "region_id": "ra"}), "ca")
            .join(r.withColumnsRenamed({"country": "cb", "region_id": "rb"}), "cb")
            .withColumn("ga", osm.graph_id(F.col("ra"), F.col("a_local")))

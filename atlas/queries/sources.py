@@ -1 +1,355 @@
-"""Placeholder."""
+"""Readers and writers: Spark derives the files from the tables, writes them, and the reader reads them back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from atlas.functions import geo
+from atlas.gates import archive as archive_gates
+from atlas.gates import frontier as frontier_gates
+from atlas.operators import features, matching
+from atlas.operators import search as search_ops
+from atlas.operators.groups import dense_ids
+from atlas.queries import views
+from atlas.queries.base import query, view
+from atlas.queries.release import nested
+from atlas.queries.search import PLACE, place
+from atlas.queries.spatial import ALL_PAIRS, regions
+from atlas.queries.telemetry import PEAKS
+from atlas.session import scratch_folder
+from atlas.sources import archives, lines, logs, manifests, map_objects, sinks, strict_text
+
+c = F.col
+
+
+def written(df: DataFrame, name: str, **options) -> str:
+    """Write one text column to a fresh folder."""
+    path = scratch_folder(df.sparkSession, name)
+    writer = df.write.options(**options)
+    writer.text(path)
+    return path
+
+
+def escaped(col):
+    """The escapes of object lines, for the characters these tables hold."""
+    out = col
+    for ch in (" ", ",", "=", "@", "Ș", "С", "ё"):
+        out = F.replace(out, F.lit(ch), F.lit(f"%{ord(ch):x}%"))
+    return out
+
+
+# ---- S1–S4 map objects -----------------------------------------------------------------------
+
+
+def object_lines(t):
+    tag = lambda k, col: F.when(c(col).isNotNull(), F.concat(F.lit(f"{k}="), escaped(c(col))))
+    n = t.node.select(F.concat_ws(" ", F.concat(F.lit("n"), "id"), F.lit("v1"), F.concat(F.lit("x"), "lon"), F.concat(F.lit("y"), "lat"), F.concat(F.lit("Tname="), escaped(c("p_name")))).alias("value"))
+    bare = t.node.select(F.concat(F.lit("n"), c("id") + 1000000000, F.lit(" v1 x y T")).alias("value"))
+    w = t.way_refs.join(t.way_tag, "id").select(F.concat_ws(" ", F.concat(F.lit("w"), "id"), F.lit("v1"), F.concat(F.lit("T"), F.concat_ws(",", tag("highway", "highway"), tag("name", "name"), tag("oneway", "oneway"))),
+                                                          F.concat(F.lit("N"), F.array_join(F.transform("refs", lambda r: F.concat(F.lit("n"), r.cast("string"))), ","))).alias("value"))
+    m = F.transform("members", lambda m: F.concat(m["type"], m["ref"].cast("string"), F.lit("@"), m["role"], F.lit("%20%x")))
+    r = t.relation.select(F.concat_ws(" ", F.concat(F.lit("r"), "id"), F.lit("v1"), F.concat(F.lit("Ttype="), F.coalesce(c("tags")["type"], F.lit(""))), F.concat(F.lit("M"), F.array_join(m, ","))).alias("value"))
+    return n.unionByName(bare).unionByName(w).unionByName(r)
+
+
+@query("s01_read_osm_text", """SELECT 'n' AS kind, id, p_name AS name, CAST(round(lat * 1e7) AS BIGINT) AS a, CAST(round(lon * 1e7) AS BIGINT) AS b FROM node
+    UNION ALL SELECT 'w', id, g.name, count(*), CAST(sum(node_id * seq) AS BIGINT) FROM way_tag g JOIN way_node w ON w.way_id = g.id GROUP BY id, g.name
+    UNION ALL SELECT 'r', t.id, coalesce(t.type, ''), count(i.ref), CAST(coalesce(sum(length(role) + 2 + i.ref), 0) AS BIGINT) FROM rel_tag t LEFT JOIN rel_item i ON i.id = t.id GROUP BY t.id, t.type""")
+def s01(t):
+    path = written(object_lines(t), "objects")
+    node, way, relation = map_objects.read_osm_text(t.spark, path)
+    name = c("tags")["name"].alias("name")
+    total = lambda arr: F.aggregate(arr, F.lit(0).cast("bigint"), lambda s, v: s + v)
+    # seq of a way's line numbers has gaps, so the check weighs refs by the original numbers
+    seqs = t.way_node.groupBy(c("way_id").alias("id")).agg(F.array_sort(F.collect_list(c("seq").cast("bigint"))).alias("seqs"))
+    weighed = F.zip_with("refs", "seqs", lambda r, q: r * q)
+    n = node.select(F.lit("n").alias("kind"), "id", name, F.bround(c("lat") * 1e7).cast("bigint").alias("a"), F.bround(c("lon") * 1e7).cast("bigint").alias("b"))
+    w = way.join(seqs, "id").select(F.lit("w").alias("kind"), "id", name, F.size("refs").cast("bigint").alias("a"), total(weighed).alias("b"))
+    r = relation.select(F.lit("r").alias("kind"), "id", c("tags")["type"].alias("name"), F.size("members").cast("bigint").alias("a"), total(F.transform("members", lambda m: F.length(m["role"]) + m["ref"])).alias("b"))
+    return n.unionByName(w).unionByName(r)
+
+
+def geometry(kind: str):
+    xy = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
+    return F.struct(F.lit(kind).alias("type"), (F.array(xy) if kind == "MultiPolygon" else xy).alias("coordinates"))
+
+
+VERTICES = "SELECT pid, CAST(ring AS INT) AS ring, CAST(ord AS INT) AS ord, x, y FROM poly_vertex"
+
+
+def vertex_rows(df, key):
+    return df.select(key, F.posexplode("rings").alias("ring", "r")).select(key, "ring", F.posexplode("r").alias("ord", "v")).select(key, "ring", "ord", "v.x", "v.y")
+
+
+@query("s02_read_geojson", VERTICES)
+def s02(t):
+    props = F.struct(c("pid").cast("string").alias("code"))
+    feature = lambda kind: F.to_json(F.struct(F.lit("Feature").alias("type"), props.alias("properties"), geometry(kind).alias("geometry")))
+    text = F.when(c("pid") % 2 == 0, feature("Polygon")).otherwise(feature("MultiPolygon"))
+    path = scratch_folder(t.spark, "geojson")
+    t.area.select("pid", text.alias("value")).write.partitionBy("pid").text(path)
+    read = map_objects.read_geojson_polygons(t.spark, f"{path}/pid=*")
+    return vertex_rows(read.select(c("properties")["code"].cast("int").alias("pid"), "rings"), "pid")
+
+
+@query("s03_read_geojson_seq", """SELECT 'w' || CAST(n_nationkey AS VARCHAR) AS pid, 'Polygon' AS kind, n_name AS name, CAST(12 AS INT) AS vertices, NULL AS lat FROM nation
+    UNION ALL SELECT 'n' || CAST(point AS VARCHAR), 'Point', name, 0, lat FROM pt""")
+def s03(t):
+    line = lambda kind, oid, name, geom: F.concat(F.lit("\x1e"), F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.lit(kind).alias("@type"), oid.alias("@id"), name.alias("name")).alias("properties"), geom.alias("geometry")))).alias("value")
+    areas = t.area.join(t.nation, c("pid") == c("n_nationkey")).select(line("way", c("pid"), c("n_name"), geometry("Polygon")))
+    points = t.pt.select(line("node", c("point"), c("name"), F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))))
+    read = map_objects.read_geojson_seq(t.spark, written(areas.unionByName(points), "seq"))
+    count = F.aggregate(F.transform("rings", lambda r: F.size(r)), F.lit(0), lambda s, v: s + v)
+    return read.select("pid", "kind", c("tags")["name"].alias("name"), count.alias("vertices"), "lat")
+
+
+@query("s04_read_poly", VERTICES)
+def s04(t):
+    rows = t.poly_vertex
+    spot = rows.select("pid", "ring", c("ord").cast("double").alias("o"), F.concat(F.lit("   "), "x", F.lit("\t"), "y").alias("value"))
+    heads = rows.filter("ord = 0").select("pid", "ring", F.lit(-1.0).alias("o"), F.when(c("ring") == 1, "!2").otherwise("1").alias("value"))
+    ends = rows.filter("ord = 0").select("pid", "ring", F.lit(1e6).alias("o"), F.lit("END").alias("value"))
+    name = rows.filter("ord = 0 and ring = 0").select("pid", F.lit(-1).alias("ring"), F.lit(0.0).alias("o"), F.lit("country").alias("value"))
+    last = name.select("pid", F.lit(99).alias("ring"), "o", F.lit("END").alias("value"))
+    path = scratch_folder(t.spark, "poly")
+    laid = spot.unionByName(heads).unionByName(ends).unionByName(name).unionByName(last).repartition("pid").sortWithinPartitions("pid", "ring", "o")
+    laid.select("pid", "value").write.partitionBy("pid").text(path)
+    meta = F.regexp_extract(F.input_file_name(), r"pid=(\d+)", 1)
+    raw = t.spark.read.option("recursiveFileLookup", "true").text(path).select(meta.alias("file"), c("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    rings = map_objects.parse_poly(raw).select(c("file").cast("int").alias("pid"), "rings")
+    return vertex_rows(rings, "pid")
+
+
+# ---- S5–S8, K3 strict text -------------------------------------------------------------------
+
+
+def frontier_file(t):
+    path = scratch_folder(t.spark, "frontier")
+    sinks.write_frontier(t.fr.filter("country = 'C1'"), "C1", "2026-01-01", path)
+    return path
+
+
+@query("k03_canonical_text", """WITH h AS (SELECT * FROM (VALUES (1, 'atlas-frontier 1'), (2, 'country C1'), (3, 'graph_version 2026-01-01')) v(n, value) UNION ALL SELECT 4, 'entries ' || CAST(count(*) AS VARCHAR) FROM fr WHERE country = 'C1'
+      UNION ALL SELECT 5, 'osm_resolved ' || CAST(count(osm) AS VARCHAR) FROM fr WHERE country = 'C1' UNION ALL SELECT 6, 'level lat_e7 lon_e7 local_id osm_node_id')
+    SELECT CAST(n AS BIGINT) AS n, value FROM h UNION ALL SELECT 6 + row_number() OVER (ORDER BY level, lat_e7, lon_e7, local_id), concat_ws(' ', level, lat_e7, lon_e7, local_id, coalesce(CAST(osm AS VARCHAR), '-')) FROM fr WHERE country = 'C1'""")
+def k03(t):
+    rows = lines.read_lines(t.spark, frontier_file(t))
+    return dense_ids(rows, [c("file"), c("block"), c("at")], "n").select("n", "value")
+
+
+def one_file(lines_df):
+    """Parts in name order are one text; give them one file name and their part as block."""
+    return lines_df.withColumn("block", F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint") * (1 << 40) + c("block")).withColumn("file", F.lit("all"))
+
+
+@query("s05_read_frontier", "SELECT level, lat_e7, lon_e7, local_id, osm, CAST(0 AS BIGINT) AS problems, (SELECT CAST(count(*) AS VARCHAR) FROM fr WHERE country = 'C1') AS entries FROM fr WHERE country = 'C1'")
+def s05(t):
+    parsed = strict_text.parse_frontier(one_file(lines.read_lines(t.spark, frontier_file(t))))
+    late = frontier_gates.frontier_gate(parsed.rows.withColumn("country", F.lit("C1")), t.spark.createDataFrame([("C1", False)], "country string, may_be_empty boolean"), ordered=True)
+    wrong = parsed.problems.select("rule").unionByName(late.filter("rule = 'not in canonical order'").select("rule"))
+    k = F.lit(1)
+    n = wrong.agg(F.count(F.lit(1)).alias("problems")).withColumn("_k", k)
+    entries = parsed.header.filter("k = 'entries'").select(c("v").alias("entries")).withColumn("_k", k)
+    return parsed.rows.withColumn("_k", k).join(F.broadcast(n), "_k").join(F.broadcast(entries), "_k").select("level", "lat_e7", "lon_e7", "local_id", "osm", "problems", "entries")
+
+
+view("feat_ok", """SELECT 'n' || CAST(c_custkey AS STRING) AS id, CASE c_custkey % 6 WHEN 0 THEN 'camera_speed' WHEN 1 THEN 'camera_red_light' WHEN 2 THEN 'camera_section' WHEN 3 THEN 'level_crossing' WHEN 4 THEN 'tram_level_crossing' ELSE 'traffic_signals' END AS type, lat_e7, lon_e7,
+    CAST(c_custkey % 360 AS INT) AS brg, CASE WHEN c_custkey % 4 > 0 THEN CAST(c_custkey % 100 + 10 AS INT) END AS maxspeed, 'w' || CAST(c_custkey AS STRING) AS way FROM customer JOIN pt AS p ON p.point = c_custkey""".replace("JOIN pt AS p", "JOIN (SELECT point, lat_e7, lon_e7 FROM pt) p"))
+
+
+def feature_rows(t):
+    bearing = F.when(c("brg") % 3 == 0, F.array().cast("array<int>")).when(c("brg") % 3 == 1, F.array("brg")).otherwise(F.array(c("brg"), F.lit(7)))
+    attrs = F.when(c("type") == "camera_section", F.create_map(F.lit("to"), F.lit("1,2"), F.lit("bsrc"), F.lit("rel"))).otherwise(F.create_map().cast("map<string,string>"))
+    return t.feat_ok.select("id", "type", "lat_e7", "lon_e7", bearing.alias("bearing"), "maxspeed", F.array("way").alias("way_ids"), attrs.alias("attrs"))
+
+
+@query("s06_read_features", """SELECT id, type, lat_e7, lon_e7, CAST(CASE brg % 3 WHEN 0 THEN 0 WHEN 1 THEN brg ELSE brg + 7 END AS INT) AS bearings, maxspeed, way, CASE WHEN type = 'camera_section' THEN '1,2' END AS section_end, CAST(0 AS BIGINT) AS problems FROM feat_ok""")
+def s06(t):
+    path = scratch_folder(t.spark, "features")
+    sinks.write_features(feature_rows(t), "MD", "2026-01-01", "md5", path)
+    parsed = strict_text.parse_features(one_file(lines.read_lines(t.spark, path)))
+    n = parsed.problems.agg(F.count(F.lit(1)).alias("problems")).withColumn("_k", F.lit(1))
+    total = F.aggregate("bearing", F.lit(0), lambda s, v: s + v)
+    return parsed.rows.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k").select("id", "type", "lat_e7", "lon_e7", total.alias("bearings"), "maxspeed", F.array_join("way_ids", ",").alias("way"), c("attrs")["to"].alias("section_end"), "problems")
+
+
+@query("t01_canonical_sort", "SELECT id, row_number() OVER (ORDER BY substr(id, 1, 1), CAST(substr(id, 2) AS BIGINT)) AS place FROM feat_ok")
+def t01(t):
+    return dense_ids(t.feat_ok.select("id"), sinks.feature_order(), "place").select("id", "place")
+
+
+@query("s07_read_bus_lanes", "SELECT id AS way_id, CASE WHEN id % 3 = 0 THEN 'right' WHEN id % 3 = 1 THEN 'left' ELSE 'both' END AS side FROM way_tag WHERE id % 50 <> 7")
+def s07(t):
+    side = F.element_at(F.array(F.lit("right"), F.lit("left"), F.lit("both")), (c("id") % 3 + 1).cast("int"))
+    rows = t.way_tag.select(c("id").alias("way_id"), F.when(c("id") % 50 == 7, F.lit("middle")).otherwise(side).alias("side"))
+    path = scratch_folder(t.spark, "lanes")
+    sinks.write_bus_lanes(rows, path)
+    return strict_text.parse_bus_lanes(one_file(lines.read_lines(t.spark, path))).rows.select("way_id", "side")
+
+
+PORTALS = f"""{ALL_PAIRS}, g AS (SELECT (CAST(substr(p, 2, 1) AS BIGINT) << 46) | ra AS ga, (CAST(substr(p, 5, 1) AS BIGINT) << 46) | rb AS gb, distance, lat_e7, lon_e7 FROM pairs)"""
+
+
+@query("s08_read_portals", f"WITH {PORTALS} SELECT ga AS from_id, gb AS to_id, round(distance, 2) AS distance, lat_e7 / 1e7 AS lat FROM g UNION ALL SELECT gb, ga, round(distance, 2), lat_e7 / 1e7 FROM g")
+def s08(t):
+    pairs, _ = matching.all_pairs(t.fr)
+    path = scratch_folder(t.spark, "portals")
+    sinks.write_portal_table(matching.portal_table(pairs, regions(t)), path)
+    return strict_text.read_portals(t.spark, path).select("from_id", "to_id", "distance", "lat")
+
+
+# ---- S9–S15 telemetry and logs ---------------------------------------------------------------
+
+
+@query("s09_read_samples", f"WITH {PEAKS} SELECT label, samples, peak_memory, peak_anon, 'cgroup2' AS source FROM peaks")
+def s09(t):
+    """One CSV folder per build, the memory source in its first line; half of the builds lack a column."""
+    cell = lambda col: F.coalesce(c(col).cast("string"), F.lit(""))
+    body = t.sample.select("label", c("epoch").alias("o"), F.concat_ws(",", "epoch", cell("mem_bytes"), cell("disk_kb"), cell("anon_bytes")).alias("value"))
+    heads = t.sample.select("label").distinct()
+    top = heads.select("label", F.lit(-2).cast("bigint").alias("o"), F.lit("# memory source: cgroup2").alias("value"))
+    names = heads.select("label", F.lit(-1).cast("bigint").alias("o"), F.lit("epoch,mem_bytes,disk_kb,anon_bytes").alias("value"))
+    path = scratch_folder(t.spark, "samples")
+    body.unionByName(top).unionByName(names).repartition("label").sortWithinPartitions("label", "o").select("label", "value").write.partitionBy("label").text(path)
+    read = logs.read_samples(t.spark, f"{path}/label=*")
+    labelled = read.join(t.spark.read.text(path).select(c("_metadata.file_name").alias("file"), "label").distinct(), ["file"])
+    # part files of different builds can share a name, so the build is found by its own samples
+    own = t.sample.select("label", "epoch")
+    return (labelled.join(own, ["label", "epoch"]).dropDuplicates(["label", "epoch"]).groupBy("label")
+            .agg(F.count(F.lit(1)).alias("samples"), F.max("mem_bytes").alias("peak_memory"), F.max("anon_bytes").alias("peak_anon"), F.max("source").alias("source")))
+
+
+@query("s10_read_stages", "SELECT event_type AS stage, CAST(sum(user_id * 3) AS BIGINT) AS seconds FROM events GROUP BY event_type")
+def s10(t):
+    body = t.events.select(F.concat_ws(",", "event_type", (c("user_id") * 3).cast("string"), F.lit("1"), F.lit("2")).alias("value"))
+    path = scratch_folder(t.spark, "stages")
+    body.write.option("header", False).text(path)
+    raw = lines.read_lines(t.spark, path).withColumn("file", F.lit("all"))
+    head = raw.limit(0).unionByName(t.spark.createDataFrame([("all", -1, -1, "stage,seconds,started_epoch,ended_epoch")], "file string, block bigint, at bigint, value string"))
+    rows = logs.parse_headed_csv(raw.unionByName(head), "stage", {"stage": "string", "seconds": "bigint"})
+    return rows.groupBy("stage").agg(F.sum("seconds").alias("seconds"))
+
+
+# logs: the text of a document with counter lines of the tools mixed in
+view("log_line", """SELECT doc_id, 0 AS at, text AS value FROM documents
+    UNION ALL SELECT doc_id, 1, 'INFO Finished with ' || CAST(doc_id * 3 AS STRING) || ' routable ways' FROM documents WHERE doc_id % 4 > 0
+    UNION ALL SELECT doc_id, 2, 'Directed Edge Count = ' || CAST(n_chars AS STRING) FROM documents WHERE doc_id % 3 > 0
+    UNION ALL SELECT doc_id, 3, 'Directed Edge Count = 7' FROM documents
+    UNION ALL SELECT doc_id, 4, 'x NOT NULL constraint failed: admin_access.admin_id. y name change for ' || lang || ' ' || CAST(doc_id % 5 AS STRING) || '  ' FROM documents WHERE doc_id % 2 = 0
+    UNION ALL SELECT doc_id, 5, 'pairs ' || CAST(doc_id % 9 * 12 AS STRING) || ', land-only 3, new transits through lifted destonly: 0' FROM documents WHERE doc_id % 5 > 0
+    UNION ALL SELECT doc_id, 6, 'TRANSIT GATE: ' || CASE WHEN doc_id % 6 = 0 THEN 'FAIL' ELSE 'PASS' END FROM documents WHERE doc_id % 7 > 0""")
+
+
+def log_lines(t):
+    return t.log_line.select(c("doc_id").cast("string").alias("file"), F.lit(0).cast("bigint").alias("block"), c("at").cast("bigint").alias("at"), F.explode(F.split("value", "\n")).alias("value"))
+
+
+@query("s11_mine_build_log", """SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN doc_id * 3 END AS routable_ways, CASE WHEN doc_id % 3 > 0 THEN n_chars ELSE 7 END AS directed_edges, CAST(NULL AS BIGINT) AS graph_edges FROM documents""")
+def s11(t):
+    return logs.mine_build_log(log_lines(t)).select(c("file").cast("bigint").alias("doc_id"), "routable_ways", "directed_edges", "graph_edges")
+
+
+@query("s12_mine_admin_log", "SELECT DISTINCT doc_id, lang || ' ' || CAST(doc_id % 5 AS VARCHAR) AS name FROM documents WHERE doc_id % 2 = 0")
+def s12(t):
+    return logs.mine_admin_log(log_lines(t)).select(c("file").cast("bigint").alias("doc_id"), "name")
+
+
+@query("s13_mine_gate_reports", """SELECT doc_id, CASE WHEN doc_id % 5 > 0 THEN doc_id % 9 * 12 END AS pairs, CAST(CASE WHEN doc_id % 5 > 0 THEN 0 ELSE 1 END AS INT) AS missing, CASE WHEN doc_id % 7 > 0 THEN 1 ELSE 0 END AS verdict_lines, CASE WHEN doc_id % 7 > 0 THEN CASE WHEN doc_id % 6 = 0 THEN 'FAIL' ELSE 'PASS' END END AS said FROM documents""")
+def s13(t):
+    mined = logs.mine_gate_reports(log_lines(t), "transit")
+    return mined.select(c("file").cast("bigint").alias("doc_id"), c("counts")["pairs"].alias("pairs"), "missing", c("verdict_lines").cast("int").alias("verdict_lines"), "said")
+
+
+@query("v19_combined_gate_verdict", """WITH d AS (SELECT doc_id, doc_id % 5 > 0 AND doc_id % 7 > 0 AND doc_id % 6 > 0 AS tr, doc_id % 9 * 12 AS pairs, doc_id % 5 > 0 AS has_pairs, doc_id % 9 + CASE WHEN doc_id % 8 = 0 THEN 1 ELSE 0 END AS lifted FROM documents)
+    SELECT doc_id AS release, CAST(CASE WHEN tr THEN 3 ELSE 2 END AS BIGINT) AS sound, lifted, CASE WHEN has_pairs THEN pairs END AS pairs, CASE WHEN tr AND (NOT has_pairs OR pairs = lifted * 12) THEN 'PASS' ELSE 'FAIL' END AS verdict FROM d""")
+def v19(t):
+    from atlas.gates.routes import combined_gate_verdict
+    mined = logs.mine_gate_reports(log_lines(t), "transit").withColumn("kind", F.lit("transit"))
+    lifted = c("doc_id") % 9 + F.when(c("doc_id") % 8 == 0, 1).otherwise(0)
+    report = lambda kind, counts: t.documents.select(c("doc_id").cast("string").alias("file"), counts.alias("counts"), F.lit(0).alias("missing"), F.lit(1).cast("bigint").alias("verdict_lines"), F.lit("PASS").alias("said"), F.lit(kind).alias("kind"))
+    struct = report("struct", F.create_map(F.lit("lost_in_ferry_reclassification"), lifted))
+    ways = report("routes", F.create_map(F.lit("fail"), F.lit(0).cast("bigint")))
+    reports = mined.unionByName(struct).unionByName(ways).withColumn("release", c("file").cast("bigint")).withColumn("exit_code", F.lit(0))
+    return combined_gate_verdict(reports)
+
+
+@query("s14_read_manifest", "SELECT code, region_id, graph_version, src_md5, fr_file, map_file, CAST(CASE WHEN split THEN 2 ELSE 0 END AS INT) AS parts FROM reg")
+def s14(t):
+    rows = nested(t.reg)
+    region = F.struct(*[c(x) for x in rows.columns if x != "code"])
+    docs = rows.select(F.to_json(F.struct(F.lit(2).alias("schema"), F.lit("v1").alias("tag"), F.create_map("code", region).alias("regions"))).alias("value"))
+    read = manifests.read_manifest(t.spark, written(docs, "manifest"), multi_line=False)
+    return read.select("code", "region_id", "graph_version", c("source.md5").alias("src_md5"), c("frontier.file").alias("fr_file"), c("map.file").alias("map_file"), F.coalesce(F.size("parts"), F.lit(0)).alias("parts"))
+
+
+@query("s15_read_tz_links", "SELECT DISTINCT what, name, CASE WHEN what = 'link' THEN target END AS target FROM runtime_row UNION ALL SELECT 'version', '2026b', NULL")
+def s15(t):
+    text = F.when(c("what") == "link", F.concat_ws(" ", F.lit("L"), "target", "name")).otherwise(F.concat_ws(" ", F.lit("Z"), "name", F.lit("1:0 - LMT")))
+    rows = t.runtime_row.select(text.alias("value"))
+    noise = t.benchmark.select(F.lit("# version 2026b").alias("value")).unionByName(t.benchmark.select(F.lit("R x 1916 o - May").alias("value")))
+    return logs.read_tz_links(t.spark, written(rows.unionByName(noise), "tz"))
+
+
+# ---- S16–S17 archives ------------------------------------------------------------------------
+
+view("arch", """SELECT o_orderkey AS path, o_custkey * 1000 + 500 AS length, 127 AS root_start, o_custkey * 3 AS root_bytes, o_custkey * 3 + 127 AS meta_start, 10 AS meta_bytes, o_custkey * 900 AS tiles_start, o_custkey * 100 + CASE WHEN o_orderkey % 14 = 0 THEN 501 ELSE 0 END AS tiles_bytes,
+    CASE WHEN o_orderkey % 15 = 0 THEN 2 ELSE 3 END AS version, CASE WHEN o_orderkey % 16 = 0 THEN 3 ELSE 2 END AS comp, CASE WHEN o_orderkey % 18 = 0 THEN 2 ELSE 1 END AS kind, o_orderkey % 17 AS max_zoom, o_orderkey % 21 = 0 AS alien, -180000000 + o_custkey * 1000 AS west, 280000000 - CASE WHEN o_orderkey % 19 = 0 THEN 500000000 ELSE 0 END AS east FROM orders""")
+
+
+def header_rows(t):
+    le = lambda col, width: F.unhex(F.concat(*[F.lpad(F.hex(F.call_function("shiftright", col.cast("bigint"), F.lit(8 * i)).bitwiseAND(F.lit(255).cast("bigint"))), 2, "0") for i in range(width)]))
+    zero = F.lit(0)
+    magic = F.when(c("alien"), F.unhex(F.lit("00" * 7))).otherwise(F.unhex(F.lit(archives.MAGIC_HEX)))
+    header = F.concat(magic, le(c("version"), 1), le(c("root_start"), 8), le(c("root_bytes"), 8), le(c("meta_start"), 8), le(c("meta_bytes"), 8), le(zero, 8), le(zero, 8), le(c("tiles_start"), 8), le(c("tiles_bytes"), 8),
+                      le(c("path"), 8), le(zero, 8), le(zero, 8), le(zero, 1), le(F.lit(2), 1), le(c("comp"), 1), le(c("kind"), 1), le(zero, 1), le(c("max_zoom"), 1), le(c("west"), 4), le(F.lit(470000000), 4), le(c("east"), 4), le(F.lit(480000000), 4), F.unhex(F.lit("00" * 9)))
+    return t.arch.select("path", "length", header.alias("header"))
+
+
+@query("s16_archive_headers", "SELECT path, NOT alien AS magic_ok, CAST(version AS INT) AS version, root_bytes, tiles_start, path AS addressed, CAST(comp AS INT) AS tile_compression, CAST(max_zoom AS INT) AS max_zoom, CAST(west AS INT) AS west_e7, CAST(east AS INT) AS east_e7 FROM arch")
+def s16(t):
+    return archives.archive_header_audit(header_rows(t)).select("path", "magic_ok", "version", "root_bytes", "tiles_start", "addressed", "tile_compression", "max_zoom", "west_e7", "east_e7")
+
+
+@query("v25_archive_gate", """SELECT path, rule FROM (SELECT path, unnest(CASE WHEN alien THEN ['not a tile archive'] ELSE [CASE WHEN version <> 3 THEN 'spec version' END, CASE WHEN comp > 2 THEN 'tile compression' END, CASE WHEN kind <> 1 THEN 'tile type' END, CASE WHEN max_zoom > 15 THEN 'zoom range' END,
+    CASE WHEN west >= east THEN 'bounds' END, CASE WHEN root_start + root_bytes > length THEN 'root beyond the file' END, CASE WHEN meta_start + meta_bytes > length THEN 'metadata beyond the file' END, CASE WHEN tiles_start + tiles_bytes > length THEN 'tiles beyond the file' END] END) AS rule FROM arch) WHERE rule IS NOT NULL""")
+def v25(t):
+    return archive_gates.archive_gate(archives.archive_header_audit(header_rows(t)))
+
+
+view("entry_row", "SELECT l_suppkey AS archive, l_orderkey * 10 + l_linenumber AS tile_id, l_partkey AS offset, qty AS length, CAST(qty % 4 AS INT) AS run FROM li".replace("AS offset", "AS file_at"))
+
+
+@query("s17_tile_directory", "SELECT archive, tile_id + k AS tile_id, file_at, length FROM entry_row, range(0, 4) AS r(k) WHERE k < run")
+def s17(t):
+    entries = t.entry_row.withColumnRenamed("file_at", "offset")
+    return archives.tile_directory_expand(entries).withColumnRenamed("offset", "file_at")
+
+
+@query("s17_directory_reconcile", "SELECT archive, addressed, coalesce(seen, 0) AS seen FROM (SELECT archive, count(*) * 2 AS addressed, CAST(sum(run) AS BIGINT) AS seen FROM entry_row GROUP BY archive) WHERE addressed <> coalesce(seen, 0)")
+def s17_reconcile(t):
+    entries = t.entry_row.withColumnRenamed("file_at", "offset")
+    headers = entries.groupBy("archive").agg((F.count(F.lit(1)) * 2).alias("addressed"))
+    return archives.directory_reconcile(archives.tile_directory_expand(entries), headers)
+
+
+# ---- K1, K5 ----------------------------------------------------------------------------------
+
+
+@query("k01_search_tables", f"WITH {PLACE} SELECT kind, name, lat, lon, cat, CASE WHEN kind = 0 THEN 0 ELSE pop END AS pop FROM place WHERE kind > 0")
+def k01(t):
+    path = scratch_folder(t.spark, "search")
+    sinks.write_search_tables(place(t), path)
+    return t.spark.read.parquet(path).filter("kind > 0").select(c("kind").cast("int").alias("kind"), "name", "lat", "lon", "cat", "pop")
+
+
+@query("k05_search_json", f"WITH {PLACE} SELECT CASE kind WHEN 1 THEN 'streets' ELSE 'pois' END AS part, name, lat, lon, cat FROM place WHERE kind > 0")
+def k05(t):
+    path = scratch_folder(t.spark, "json")
+    sinks.write_search_json(place(t), path)
+    read = t.spark.read.text(f"{path}/rows").filter("part <> 'places'")
+    f = F.from_json("value", "n string, y double, x double, c string")
+    return read.select("part", f.alias("f")).select("part", c("f.n").alias("name"), c("f.y").alias("lat"), c("f.x").alias("lon"), c("f.c").alias("cat"))
+
+
+_ = (features, geo, search_ops, views)

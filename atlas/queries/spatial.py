@@ -123,7 +123,7 @@ def a16(t):
 @query("j13_all_pairs", f"WITH {ALL_PAIRS} SELECT p, osm, coord, near, ambiguous, unmatched_a, unmatched_b FROM stats WHERE osm + coord + near + ambiguous > 0")
 def j13(t):
     _, busy = matching.all_pairs(t.fr)
-    return busy.select(F.concat_ws("-", "pair.a", "pair.b").alias("p"), *[x for x in busy.columns if x != "pair"])
+    return busy.withColumnRenamed("pair", "p")
 
 
 def regions(t):

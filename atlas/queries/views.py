@@ -61,7 +61,7 @@ view("fr", """SELECT country, CAST(level AS INT) AS level, CAST(lat_e7 AS INT) A
             470000000 + (l_orderkey * 7919 % 200000) * 100
               + CASE WHEN l_linenumber % 2 = 0 THEN CASE l_orderkey % 7 WHEN 0 THEN 180 WHEN 1 THEN 440 WHEN 2 THEN 462 ELSE 0 END ELSE 0 END AS lat_e7,
             280000000 + (l_orderkey * 104729 % 50) * 100 AS lon_e7,
-            CASE WHEN (l_orderkey + l_linenumber) % 5 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN l_orderkey - l_orderkey % 2 ELSE l_orderkey END AS osm
+            CASE WHEN (l_orderkey + l_linenumber) % 5 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN l_orderkey - l_orderkey % 2 * 3 ELSE l_orderkey END AS osm
      FROM li)""")
 
 # addressed objects: an order is a house near its customer's position

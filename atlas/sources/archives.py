@@ -48,7 +48,8 @@ def tile_directory_expand(entries: DataFrame) -> DataFrame:
     """Directory entries ``(archive, tile_id, offset, length, run)`` → one row per addressed tile; entries
     with run 0 point to leaves and address nothing."""
     tiles = entries.filter("run > 0")
-    return tiles.select("archive", (F.explode(F.sequence(F.lit(0), F.col("run") - 1)) + F.col("tile_id")).alias("tile_id"), "offset", "length")
+    last = F.col("tile_id") + F.col("run") - 1
+    return tiles.select("archive", F.explode(F.sequence(F.col("tile_id"), last)).alias("tile_id"), "offset", "length")
 
 
 def directory_reconcile(expanded: DataFrame, headers: DataFrame) -> DataFrame:

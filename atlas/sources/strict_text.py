@@ -69,10 +69,10 @@ def _headed(lines: DataFrame, kind: str, columns: str, required: tuple[str, ...]
 
 def parse_frontier(lines: DataFrame) -> Parsed:
     header, data, problems = _headed(lines, "frontier", FRONTIER_COLUMNS, ("country", "graph_version", "entries"), 5)
-    f = F.col("f")
-    rows = data.select("file", "block", "at", f[0].try_cast("int").alias("level"), f[1].try_cast("int").alias("lat_e7"),
-                       f[2].try_cast("int").alias("lon_e7"), f[3].try_cast("bigint").alias("local_id"),
-                       _optional(f[4]).try_cast("bigint").alias("osm"), (f[4] == "-").alias("unnamed"))
+    f = lambda i: F.get("f", F.lit(i))
+    rows = data.select("file", "block", "at", f(0).try_cast("int").alias("level"), f(1).try_cast("int").alias("lat_e7"),
+                       f(2).try_cast("int").alias("lon_e7"), f(3).try_cast("bigint").alias("local_id"),
+                       _optional(f(4)).try_cast("bigint").alias("osm"), (f(4) == "-").alias("unnamed"))
     broken = F.col("level").isNull() | F.col("lat_e7").isNull() | F.col("lon_e7").isNull() | F.col("local_id").isNull() | (F.col("osm").isNull() & ~F.col("unnamed"))
     problems = problems.unionByName(rows.filter(broken).select("file", F.lit("not numeric").alias("rule")))
     return Parsed(header, rows.filter(~broken).drop("unnamed"), problems)
@@ -80,14 +80,14 @@ def parse_frontier(lines: DataFrame) -> Parsed:
 
 def parse_features(lines: DataFrame) -> Parsed:
     header, data, problems = _headed(lines, "features", FEATURE_COLUMNS, ("country", "graph_version", "source", "entries", "counts"), 8)
-    f = F.col("f")
+    f = lambda i: F.get("f", F.lit(i))
     empty = lambda kind: F.array().cast(f"array<{kind}>")
     parts = lambda x, sep: F.when(x == "-", empty("string")).otherwise(F.split(x, sep))
     rows = data.select(
-        "file", "block", "at", f[0].alias("id"), f[1].alias("type"), f[2].try_cast("int").alias("lat_e7"), f[3].try_cast("int").alias("lon_e7"),
-        F.transform(parts(f[4], ";"), lambda b: b.try_cast("int")).alias("bearing"), _optional(f[5]).try_cast("int").alias("maxspeed"),
-        ((f[5] != "-") & f[5].try_cast("int").isNull()).alias("bad_speed"), parts(f[6], ",").alias("way_ids"),
-        F.when(f[7] == "-", F.create_map().cast("map<string,string>")).otherwise(F.str_to_map(f[7], F.lit(";"), F.lit("="))).alias("attrs"))
+        "file", "block", "at", f(0).alias("id"), f(1).alias("type"), f(2).try_cast("int").alias("lat_e7"), f(3).try_cast("int").alias("lon_e7"),
+        F.transform(parts(f(4), ";"), lambda b: b.try_cast("int")).alias("bearing"), _optional(f(5)).try_cast("int").alias("maxspeed"),
+        ((f(5) != "-") & f(5).try_cast("int").isNull()).alias("bad_speed"), parts(f(6), ",").alias("way_ids"),
+        F.when(f(7) == "-", F.create_map().cast("map<string,string>")).otherwise(F.str_to_map(f(7), F.lit(";"), F.lit("="))).alias("attrs"))
     broken = F.col("lat_e7").isNull() | F.col("lon_e7").isNull() | F.col("bad_speed") | F.exists("bearing", lambda b: b.isNull())
     problems = problems.unionByName(rows.filter(broken).select("file", F.lit("not numeric").alias("rule")))
     return Parsed(header, rows.filter(~broken).drop("bad_speed"), problems)
