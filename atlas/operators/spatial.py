@@ -116,30 +116,34 @@ def point_in_polygon(points: DataFrame, areas: DataFrame, cell: float = 1.0,
     return sure.unionByName(parity_inside(unsure, band_segments(segments(areas)), [key]))
 
 
+def _hits(points: DataFrame, areas: DataFrame, cell: float, key: str) -> DataFrame:
+    """(_key, pid) pairs; the point key may itself be called pid."""
+    placed = points.select(F.col(key).alias("_key"), "lat", "lon")
+    return point_in_polygon(placed, areas, cell, "_key")
+
+
 def country_cut(points: DataFrame, country: DataFrame, cell: float = 0.05, key: str = "point") -> DataFrame:
     """Points inside the country's own area."""
-    inside = point_in_polygon(points, country, cell, key).select(key).distinct()
+    inside = _hits(points, country, cell, key).select(F.col("_key").alias(key)).distinct()
     return points.join(inside, key, "left_semi")
 
 
 def assign_admin(points: DataFrame, areas: DataFrame, key: str = "point") -> DataFrame:
     """Each point with the lowest ``pid`` that contains it, or NULL."""
-    hits = point_in_polygon(points, areas, 1.0, key)
-    return points.join(hits.groupBy(key).agg(F.min("pid").alias("admin")), key, "left")
+    lowest = _hits(points, areas, 1.0, key).groupBy(F.col("_key").alias(key)).agg(F.min("pid").alias("admin"))
+    return points.join(lowest, key, "left")
 
 
-def smallest_area(points: DataFrame, areas: DataFrame, cell: float, tie: str = "pid",
-                  key: str = "point") -> DataFrame:
-    """Each contained point with its smallest area (ties by ``tie``, then pid): key, pid."""
-    sized = areas.withColumn("area", geo.ring_area(F.col("rings"))).drop("rings")
-    hits = point_in_polygon(points, areas, cell, key).join(sized, "pid")
-    order = F.struct("area", *([tie] if tie != "pid" else []), "pid")
-    return hits.groupBy(key).agg(F.min_by("pid", order).alias("pid"))
+def smallest_area(points: DataFrame, areas: DataFrame, cell: float, key: str = "point") -> DataFrame:
+    """Each contained point with its smallest area, ties by the lowest id: key, area."""
+    sized = areas.select("pid", geo.ring_area(F.col("rings")).alias("size"))
+    hits = _hits(points, areas, cell, key).join(sized, "pid")
+    return hits.groupBy(F.col("_key").alias(key)).agg(F.min_by("pid", F.struct("size", "pid")).alias("area"))
 
 
 def landmass_of(points: DataFrame, rings: DataFrame, key: str = "point") -> DataFrame:
     """Smallest closed coastline ring around each point: key, landmass (NULL: unknown)."""
-    best = smallest_area(points, rings, 0.05, key=key).withColumnRenamed("pid", "landmass")
+    best = smallest_area(points, rings, 0.05, key).withColumnRenamed("area", "landmass")
     return points.join(best, key, "left")
 
 

@@ -33,11 +33,9 @@ def j08(t):
 
 
 @query("j05_by_area", f"""WITH {INSIDE}, {AREA_SIZE} SELECT point, pid FROM (
-    SELECT point, pid, row_number() OVER (PARTITION BY point ORDER BY round(area, 9), pid) AS rn FROM inside JOIN sized USING (pid)) WHERE rn = 1""")
+    SELECT point, pid, row_number() OVER (PARTITION BY point ORDER BY area, pid) AS rn FROM inside JOIN sized USING (pid)) WHERE rn = 1""")
 def j05(t):
-    sized = t.area.withColumn("area", F.round(geo.ring_area(c("rings")), 9))
-    hits = spatial.point_in_polygon(t.pt, t.area, 0.25).join(sized.select("pid", "area"), "pid")
-    return hits.groupBy("point").agg(F.min_by("pid", F.struct("area", "pid")).alias("pid"))
+    return spatial.smallest_area(t.pt, t.area, 0.25).withColumnRenamed("area", "pid")
 
 
 # a landmass is the L-shaped area read as a ring: three of four points of a 2-degree square are inside some
