@@ -39,7 +39,7 @@ def area_owner(points: DataFrame, areas: DataFrame) -> DataFrame:
     a = areas.select(F.col("pid").alias("area"), F.col("name").alias("area_name"), _names("name", "aliases").alias("area_names"))
     p = points.select(F.col("pid").alias("point"), F.col("name").alias("point_name"), _names("name", "aliases").alias("point_names"))
     at = points.select(F.col("pid").alias("point"), "lat", "lon")
-    hits = (spatial.point_in_polygon(at, areas, 0.1).withColumnRenamed("pid", "area")
+    hits = (spatial.point_in_boxed_polygon(at, areas, 0.1).withColumnRenamed("pid", "area")
             .join(a, "area").join(p, "point"))
     rule = (F.when(text.name_key(F.col("point_name")) == text.name_key(F.col("area_name")), 1)
             .when(F.arrays_overlap("area_names", "point_names"), 2).otherwise(3))
@@ -62,8 +62,8 @@ def _centres(areas: DataFrame) -> DataFrame:
     """Centroid of each area, or its first vertex when the centroid lies outside: pid, key, lat, lon."""
     mid = areas.select("pid", text.name_key(F.col("name")).alias("key"), geo.ring_centroid(F.col("rings")).alias("m"),
                        F.get(F.get("rings", F.lit(0)), F.lit(0)).alias("first"))
-    tested = mid.select(F.col("pid").alias("point"), F.col("m.y").alias("lat"), F.col("m.x").alias("lon"))
-    held = spatial.point_in_polygon(tested, areas, 0.1).filter(F.col("point") == F.col("pid")).select("pid", F.lit(True).alias("ok"))
+    own = mid.select("pid", F.col("m.x").alias("x"), F.col("m.y").alias("y"))
+    held = spatial.parity_inside(own, spatial.band_segments(spatial.segments(areas)), []).withColumn("ok", F.lit(True))
     pick = lambda f: F.when(F.col("ok"), F.col(f"m.{f}")).otherwise(F.col(f"first.{f}"))
     return mid.join(held, "pid", "left").select("pid", "key", pick("y").alias("lat"), pick("x").alias("lon"))
 

@@ -99,6 +99,23 @@ def cell_index(areas: DataFrame, cell: float) -> DataFrame:
     return full.unionByName(fine_edge.withColumn("level", F.lit(1)).withColumn("full", F.lit(False)))
 
 
+def box_index(areas: DataFrame, cell: float) -> DataFrame:
+    """(pid, cx, cy): the cells of each bounding box. Cheap to build, every candidate is tested."""
+    box = bbox_union(segments(areas), ["pid"], "xi", "yi")
+    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / F.lit(cell)), F.floor(F.col(b) / F.lit(cell))))
+    return box.withColumn("cx", span("west", "east")).withColumn("cy", span("south", "north"))
+
+
+def point_in_boxed_polygon(points: DataFrame, areas: DataFrame, cell: float = 1.0, key: str = "point") -> DataFrame:
+    """As ``point_in_polygon``, for few points (one per place, not per house): bounding boxes, then the exact
+    test for every candidate."""
+    placed = points.select(key, F.col("lon").alias("x"), F.col("lat").alias("y"),
+                           F.floor(F.col("lon") / F.lit(cell)).alias("cx"), F.floor(F.col("lat") / F.lit(cell)).alias("cy"))
+    near = placed.join(box_index(areas, cell), ["cx", "cy"]).filter(
+        F.col("x").between(F.col("west"), F.col("east")) & F.col("y").between(F.col("south"), F.col("north")))
+    return parity_inside(near.select(key, "pid", "x", "y"), band_segments(segments(areas)), [key])
+
+
 def point_in_polygon(points: DataFrame, areas: DataFrame, cell: float = 1.0,
                      key: str = "point") -> DataFrame:
     """All (point, pid) pairs with the point inside the area. ``points`` has ``key``, ``lat``, ``lon``."""
@@ -116,10 +133,10 @@ def point_in_polygon(points: DataFrame, areas: DataFrame, cell: float = 1.0,
     return sure.unionByName(parity_inside(unsure, band_segments(segments(areas)), [key]))
 
 
-def _hits(points: DataFrame, areas: DataFrame, cell: float, key: str) -> DataFrame:
+def _hits(points: DataFrame, areas: DataFrame, cell: float, key: str, boxed: bool = False) -> DataFrame:
     """(_key, pid) pairs; the point key may itself be called pid."""
     placed = points.select(F.col(key).alias("_key"), "lat", "lon")
-    return point_in_polygon(placed, areas, cell, "_key")
+    return (point_in_boxed_polygon if boxed else point_in_polygon)(placed, areas, cell, "_key")
 
 
 def country_cut(points: DataFrame, country: DataFrame, cell: float = 0.05, key: str = "point") -> DataFrame:
@@ -130,7 +147,7 @@ def country_cut(points: DataFrame, country: DataFrame, cell: float = 0.05, key:
 
 def assign_admin(points: DataFrame, areas: DataFrame, key: str = "point") -> DataFrame:
     """Each point with the lowest ``pid`` that contains it, or NULL."""
-    lowest = _hits(points, areas, 1.0, key).groupBy(F.col("_key").alias(key)).agg(F.min("pid").alias("admin"))
+    lowest = _hits(points, areas, 1.0, key, boxed=True).groupBy(F.col("_key").alias(key)).agg(F.min("pid").alias("admin"))
     return points.join(lowest, key, "left")
 
 
@@ -163,7 +180,7 @@ def polygon_overlap(areas: DataFrame, cell: float = 1.0) -> DataFrame:
                 .select("owner", F.explode("ring").alias("v"))
                 .select("owner", F.col("v.x").alias("lon"), F.col("v.y").alias("lat")).distinct()
                 .withColumn("point", F.struct("owner", "lon", "lat")))
-    hits = point_in_polygon(vertices, areas, cell).filter(F.col("pid") != F.col("point.owner"))
+    hits = point_in_boxed_polygon(vertices, areas, cell).filter(F.col("pid") != F.col("point.owner"))
     pair = hits.select(F.least("pid", "point.owner").alias("a"), F.greatest("pid", "point.owner").alias("b"),
                        F.col("point.lon").alias("x"), F.col("point.lat").alias("y"))
     return bbox_union(pair, ["a", "b"])
