@@ -259,10 +259,11 @@ def retention(assets: DataFrame, live: DataFrame, keep: int) -> DataFrame:
     dated = dated_assets(assets)
     builds = dated.groupBy("package", "date").agg(F.count(F.lit(1)).alias("halves"))
     rank = F.row_number().over(Window.partitionBy("package").orderBy(F.desc("date")))
-    ranked = builds.withColumn("rank", rank)
+    newest = builds.withColumn("rank", rank).filter(F.col("rank") <= keep)      # a rank limit: no package is sorted whole
+    oldest_kept = newest.groupBy("package").agg(F.min("date").alias("oldest_kept"))
     used = live.select("name", F.lit(True).alias("used"))
-    joined = dated.join(ranked, ["package", "date"]).join(used, "name", "left")
-    verdict = (F.when(F.col("rank") <= keep, "kept").when(F.col("used").isNotNull(), "live")
+    joined = dated.join(builds, ["package", "date"]).join(oldest_kept, "package").join(used, "name", "left")
+    verdict = (F.when(F.col("date") >= F.col("oldest_kept"), "kept").when(F.col("used").isNotNull(), "live")
                .when(F.col("halves") < 2, "missing half").otherwise("delete"))
     return joined.select("name", "package", "date", verdict.alias("verdict"))
 

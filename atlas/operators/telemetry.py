@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from atlas.operators.groups import dense_ids
+
 TAIL = 6
 
 
@@ -42,9 +44,15 @@ def trend_at_end(samples: DataFrame, label: str = "label") -> DataFrame:
 
 
 def stage_durations(marks: DataFrame, label: str = "label") -> DataFrame:
-    """Successive stage marks ``(label, stage, epoch)`` → seconds until the next mark; the last has none."""
-    nxt = F.lead("epoch").over(Window.partitionBy(label).orderBy("epoch", "stage"))
-    return marks.select(label, "stage", F.col("epoch").alias("started_epoch"), nxt.alias("ended_epoch"), (nxt - F.col("epoch")).alias("seconds"))
+    """Successive stage marks ``(label, stage, epoch)`` → seconds until the next mark; the last has none.
+
+    Marks are numbered in one total order and each meets its successor by number, so a label with many
+    marks is not sorted in one task.
+    """
+    numbered = dense_ids(marks.select(label, "stage", "epoch"), [F.col(label), F.col("epoch"), F.col("stage")], "n")
+    following = numbered.select(label, (F.col("n") - 1).alias("n"), F.col("epoch").alias("ended_epoch"))
+    joined = numbered.join(following, [label, "n"], "left")
+    return joined.select(label, "stage", F.col("epoch").alias("started_epoch"), "ended_epoch", (F.col("ended_epoch") - F.col("epoch")).alias("seconds"))
 
 
 def build_report(builds: DataFrame, peak: DataFrame, stages: DataFrame, counters: DataFrame, label: str = "label") -> DataFrame:

@@ -4,17 +4,18 @@ import sys
 import traceback
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from atlas.queries import load  # noqa: E402
-from atlas.session import get_spark  # noqa: E402
 from tests.compare import compare, connect  # noqa: E402
 
 
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = tuple(sys.argv[2:])
-    spark = get_spark("oracles", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = SparkSession.builder.master("local[8]").config("spark.driver.memory", "8g").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0
