@@ -34,19 +34,14 @@ def area_owner(points: DataFrame, areas: DataFrame) -> DataFrame:
     ``points(pid, name, aliases, lat, lon)``; ``areas(pid, name, aliases, rings)``. Rules in order: a
     point inside with the same name; a point inside sharing any name; the only point inside; a
     same-named point within 5 km of the centroid; an earlier same-named bare area within 5 km; the area
-    itself (a locality of its own). Names are those the objects carry.
+    itself (a locality of its own). A point's names include those it gained from areas with a lower pid.
     """
     a = areas.select(F.col("pid").alias("area"), F.col("name").alias("area_name"), _names("name", "aliases").alias("area_names"))
     p = points.select(F.col("pid").alias("point"), F.col("name").alias("point_name"), _names("name", "aliases").alias("point_names"))
     at = points.select(F.col("pid").alias("point"), "lat", "lon")
-    hits = (spatial.point_in_boxed_polygon(at, areas, 0.1).withColumnRenamed("pid", "area")
-            .join(a, "area").join(p, "point"))
-    rule = (F.when(text.name_key(F.col("point_name")) == text.name_key(F.col("area_name")), 1)
-            .when(F.arrays_overlap("area_names", "point_names"), 2).otherwise(3))
-    inside = cut_lineage(hits.withColumn("rule", rule).groupBy("area")
-              .agg(F.min(F.struct("rule", "point")).alias("best"), F.count(F.lit(1)).alias("n"))
-              .filter((F.col("best.rule") < 3) | (F.col("n") == 1))
-              .select("area", F.col("best.point").alias("owner"), F.col("best.rule").alias("rule")))
+    hits = cut_lineage(spatial.point_in_boxed_polygon(at, areas, 0.1).withColumnRenamed("pid", "area")
+                       .join(a, "area").join(p, "point"))
+    inside = _inside_owners(hits)
 
     centre = cut_lineage(_centres(areas.join(inside.select(F.col("area").alias("pid")), "pid", "left_anti")))
     keyed = points.select("pid", text.name_key(F.col("name")).alias("key"), "lat", "lon")
@@ -58,6 +53,33 @@ def area_owner(points: DataFrame, areas: DataFrame) -> DataFrame:
     return inside.unionByName(close).unionByName(joined).unionByName(own)
 
 
+def _inside_owners(hits: DataFrame) -> DataFrame:
+    """Owners found inside the areas: area, owner, rule.
+
+    Areas count in pid order, and a point takes on the names of each area it owns. An area's choice depends
+    on areas with a lower pid alone, so repeating the choice with the names gained so far until nothing
+    changes gives the ordered result.
+    """
+    same = text.name_key(F.col("point_name")) == text.name_key(F.col("area_name"))
+    shared = F.arrays_overlap("area_names", "point_names")
+    asked = hits.select("area", "point", F.explode("area_names").alias("key"))
+    gained, owners = None, None
+    while True:
+        known = hits.withColumn("gained", F.lit(False)) if gained is None else hits.join(gained, ["area", "point"], "left")
+        rule = F.when(same, 1).when(shared | F.coalesce("gained", F.lit(False)), 2).otherwise(3)
+        found = cut_lineage(known.withColumn("rule", rule).groupBy("area")
+                            .agg(F.min(F.struct("rule", "point")).alias("best"), F.count(F.lit(1)).alias("n"))
+                            .filter((F.col("best.rule") < 3) | (F.col("n") == 1))
+                            .select("area", F.col("best.point").alias("owner"), F.col("best.rule").alias("rule")))
+        if owners is not None and found.exceptAll(owners).isEmpty() and owners.exceptAll(found).isEmpty():
+            return found
+        owners = found
+        names = (asked.join(found.select("area", F.col("owner").alias("point")), ["area", "point"])
+                 .groupBy("point", "key").agg(F.min("area").alias("since")))
+        gained = (asked.join(names, ["point", "key"]).filter(F.col("since") < F.col("area"))
+                  .select("area", "point").distinct().withColumn("gained", F.lit(True)))
+
+
 def _centres(areas: DataFrame) -> DataFrame:
     """Centroid of each area, or its first vertex when the centroid lies outside: pid, key, lat, lon."""
     mid = areas.select("pid", text.name_key(F.col("name")).alias("key"), geo.ring_centroid(F.col("rings")).alias("m"),
