@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -30,8 +30,7 @@ def get_spark(app: str = "atlas", master: str | None = None, **conf: str) -> Spa
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point checkpoints at the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master (tests) may fall back to a temporary folder: on a cluster that folder would
-    exist on one machine only.
+    Where it is unset, a folder in the warehouse is used, which all executors share as well.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,9 +39,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         if not current or not current.startswith(named.rstrip("/")):
             sc.setCheckpointDir(named)
     elif not current:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="atlas-checkpoint-"))
+        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
