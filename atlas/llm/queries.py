@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from atlas.llm import decontamination
+from atlas.llm import decontamination, substring_dedup
 from atlas.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,12 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op10_decontamination")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
