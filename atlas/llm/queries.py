@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlas.llm import decontamination, substring_dedup
+from atlas.llm import decontamination, language_id, substring_dedup
 from atlas.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op1_language_id")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = language_id.identify(documents.select("doc_id", "text"), language_id.train(documents))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query("op4_substring_dedup")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
