@@ -46,3 +46,13 @@ def join_back(rows: DataFrame, found: DataFrame, how: str = "left") -> DataFrame
     other = found.withColumnRenamed("k_id", "o_id").withColumnRenamed("k_hash", "o_hash")
     joined = rows.join(other, rows["k_id"].eqNullSafe(other["o_id"]) & (rows["k_hash"] == other["o_hash"]), how)
     return joined if how in ("left_semi", "left_anti") else joined.drop("o_id", "o_hash")
+
+
+def tokenizer_path(spark: SparkSession, name: str) -> str:
+    """A vocabulary file of the installed public tokenizers, or of the folder in ``spark.atlas.tokenizers``."""
+    folder = spark.conf.get("spark.atlas.tokenizers", None)
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

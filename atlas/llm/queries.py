@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlas.llm import decontamination, language_id, substring_dedup
-from atlas.llm.common import table
+from atlas.llm import decontamination, language_id, packing, substring_dedup
+from atlas.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_packing")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), tokenizer_path(spark, "word_bpe_49k.json"))
+
+
 @query("op4_substring_dedup")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
