@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlas.llm import decontamination, language_id, packing, substring_dedup
+from atlas.llm import decontamination, jaccard_join, language_id, packing, substring_dedup
 from atlas.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op8_ngram_jaccard_join")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op10_decontamination")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
