@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlas.llm import decontamination, jaccard_join, language_id, packing, substring_dedup, topk_search
+from atlas.llm import decontamination, jaccard_join, language_id, packing, secret_scan, substring_dedup, topk_search
 from atlas.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,16 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op6_secret_scan")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    base = [r.kind for r in secret_scan.BASE_RULES]
+    own = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select(
+        "doc_id", *[F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base],  # noqa: B023
+        F.sha2(secret_scan.joined(own), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"))
+
+
 @query("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
