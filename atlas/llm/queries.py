@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlas.llm import decontamination, jaccard_join, language_id, packing, secret_scan, substring_dedup, topk_search
+from atlas.llm import decontamination, jaccard_join, language_id, packing, pii, secret_scan, substring_dedup, topk_search
 from atlas.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,13 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query("op9_pii")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    key = spark.conf.get("spark.atlas.pii.key", "demonstration key")   # a real run names its own
+    found = pii.pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), key)
+    return found.select("doc_id", "text", *[F.col("pii_counts")[k].alias(f"n_{k}") for k in pii.KINDS])
+
+
 @query("op10_decontamination")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
