@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlas.llm import decontamination, jaccard_join, language_id, packing, pii, secret_scan, substring_dedup, topk_search
+from atlas.llm import (
+    decontamination,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    packing,
+    pii,
+    secret_scan,
+    sharding,
+    substring_dedup,
+    topk_search,
+)
 from atlas.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +69,12 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op5_line_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.drop_recurring_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query("op6_secret_scan")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan(table(spark, folder, "documents"))
@@ -68,6 +85,21 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secret_scan.joined(own), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"))
 
 
+SHARDS = {f"shard-{i:03d}": 1 + (i < 8) for i in range(64)}   # the first eight take double shares
+SHARD_TABLE = sharding.lookup_table(SHARDS)
+SHARD_NAMES = sorted(SHARDS)
+SHARD_ORACLE = f"""
+WITH slots AS (SELECT string_split('{",".join(str(SHARD_NAMES.index(n)) for n in SHARD_TABLE)}', ',') AS numbers),
+placed AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {sharding.SIZE} AS slot FROM documents)
+SELECT doc_id, slot, 'shard-' || lpad(numbers[slot + 1], 3, '0') AS shard FROM placed, slots
+"""
+
+
+@query("op7_sharding", SHARD_ORACLE)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents").select("doc_id"), F.col("doc_id"), SHARDS).select("doc_id", "slot", "shard")
+
+
 @query("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
