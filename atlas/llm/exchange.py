@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4_000_000
@@ -113,8 +113,13 @@ class Chunk:
         return self.doc[:n] == self.doc[width - 1:] if n > 0 else np.zeros(0, bool)
 
 
+def key_hash() -> Column:
+    """With the id, null as 0, equal for repeated rows only."""
+    return F.xxhash64("text", F.col("doc_id").isNull())
+
+
 def pack(documents: DataFrame) -> DataFrame:
-    """(chunk, ids, sizes, blob): the texts, null as empty, joined by line feeds and compressed; a text is never split."""
+    """(chunk, ids, keys, sizes, blob): the texts, null as empty, joined by line feeds and compressed; a text is never split."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -129,12 +134,13 @@ def pack(documents: DataFrame) -> DataFrame:
                     size += len(parts[-1]) + 1
                     end += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), pa.array([ids[at:end]], pa.list_(pa.int64())), pa.array([[len(p) for p in parts]], pa.list_(pa.int32())),
-                     pa.array([squeeze.compress(b"\n".join([*parts, b""]))], pa.binary())], names=["chunk", "ids", "sizes", "blob"])
+                    [pa.array([number]), pa.array([ids[at:end]], pa.list_(pa.int64())),
+                     pa.array([batch.column(2)[at:end].to_pylist()], pa.list_(pa.int64())), pa.array([[len(p) for p in parts]], pa.list_(pa.int32())),
+                     pa.array([squeeze.compress(b"\n".join([*parts, b""]))], pa.binary())], names=["chunk", "ids", "keys", "sizes", "blob"])
                 number, at = number + 1, end
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "chunk long, ids array<long>, sizes array<int>, blob binary")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), key_hash())
+    return rows.mapInArrow(run, "chunk long, ids array<long>, keys array<long>, sizes array<int>, blob binary")
 
 
 def encode(values: np.ndarray, low: int) -> bytes:

@@ -39,6 +39,7 @@ from atlas.llm.exchange import (
     decode,
     encode,
     in_order,
+    key_hash,
     mix,
     pack,
     rolling,
@@ -85,8 +86,8 @@ def _describe(shingle: int):
         a, b = sets.digests()
         n = len(sets.sizes)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([row["chunk"].as_py()] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array(sets.chunk.ids, pa.int64()),
-             pa.array(sets.sizes, pa.int64()), pa.array(a), pa.array(b)], names=["chunk", "at", "doc_id", "n", "a", "b"])
+            [pa.array([row["chunk"].as_py()] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array(sets.chunk.ids, pa.int64()), row["keys"].values,
+             pa.array(sets.sizes, pa.int64()), pa.array(a), pa.array(b)], names=["chunk", "at", "doc_id", "key", "n", "a", "b"])
 
     return run
 
@@ -251,11 +252,11 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def components(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id of the component) and the row's place (chunk, at)."""
+    """doc_id, n_shingles, component_id (smallest doc_id of the component) and key (see ``key_hash``), for every row."""
     if shingle < 1 or not 1 <= percent <= 100:
         raise ValueError("shingle must be positive and percent between 1 and 100")
     chunks = staged(pack(documents), "chunks")
-    rows = staged(chunk_map(chunks, _describe(shingle), "chunk long, at int, doc_id long, n long, a long, b long"), "sets")
+    rows = staged(chunk_map(chunks, _describe(shingle), "chunk long, at int, doc_id long, key long, n long, a long, b long"), "sets")
     equal = staged(rows.where("n > 0").groupBy("n", "a", "b").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("chunk", "at")).alias("rep")).select("n", "a", "b", "least_id", "rep.chunk", "rep.at"), "equal")
     chosen = equal.groupBy("chunk").agg(F.collect_list("at").alias("chosen"))
@@ -269,4 +270,17 @@ def components(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     least = grouped.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     ids = grouped.join(least, "comp").select("n", "a", "b", "component_id")
     return rows.join(ids, ["n", "a", "b"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "chunk", "at")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "key")
+
+
+def representatives(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, of its least doc_id, and all rows without words; all columns stay."""
+    found = components(documents, shingle, percent)
+    # a component without any id is told apart by its sets' sizes only, so each of its different rows stays
+    group = [F.coalesce("component_id", "key"), F.col("component_id").isNull()]
+    best = (found.where("n_shingles > 0").groupBy(*group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("b"))
+            .select(F.coalesce("b.doc_id", F.lit(0)).alias("k_id"), F.col("b.key").alias("k_key")))
+    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k_id"), key_hash().alias("k_key"), F.struct("*").alias("row"))
+    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
+    kept = rows.join(best, ["k_id", "k_key"]).dropDuplicates(["k_id", "k_key"]).select("row.*")
+    return kept.unionByName(documents.where(wordless))
