@@ -252,7 +252,10 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def components(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id of the component) and key (see ``key_hash``), for every row."""
+    """doc_id, n_shingles, component_id (smallest doc_id of the component), key (see ``key_hash``) and comp, for every row.
+
+    ``comp`` tells components apart even where repeated ids give two the same component_id; it is null for empty sets.
+    """
     if shingle < 1 or not 1 <= percent <= 100:
         raise ValueError("shingle must be positive and percent between 1 and 100")
     chunks = staged(pack(documents), "chunks")
@@ -268,17 +271,15 @@ def components(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sid = F.shiftleft("chunk", 16).bitwiseOR(F.col("at").cast("long"))
     grouped = equal.withColumn("node", sid).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = grouped.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-    ids = grouped.join(least, "comp").select("n", "a", "b", "component_id")
+    ids = grouped.join(least, "comp").select("n", "a", "b", "component_id", "comp")
     return rows.join(ids, ["n", "a", "b"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "key")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "key", "comp")
 
 
 def representatives(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of each component, of its least doc_id, and all rows without words; all columns stay."""
     found = components(documents, shingle, percent)
-    # a component without any id is told apart by its sets' sizes only, so each of its different rows stays
-    group = [F.coalesce("component_id", "key"), F.col("component_id").isNull()]
-    best = (found.where("n_shingles > 0").groupBy(*group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("b"))
+    best = (found.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("b"))
             .select(F.coalesce("b.doc_id", F.lit(0)).alias("k_id"), F.col("b.key").alias("k_key")))
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k_id"), key_hash().alias("k_key"), F.struct("*").alias("row"))
     wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
