@@ -147,17 +147,17 @@ def tile_pixel_to_lonlat(z: Column, x: Column, y: Column, px: Column, py: Column
     return F.struct(F.bround(lat, 5).alias("lat"), F.bround(lon, 5).alias("lon"))
 
 
-def hilbert_zxy(tile_id: Column, max_zoom: int = 15) -> Column:
-    """Archive tile id (Hilbert order, zooms one after another) → struct(z, x, y).
+LAST_ZOOM = 32   # the zoom in which the ids of 64 bits end
+
+
+def hilbert_zxy(tile_id: Column) -> Column:
+    """Archive tile id (Hilbert order, zooms one after another) → struct(z, x, y), for every id of 64 bits.
 
     The quadrant of each two bits, lowest first, is undone by a fold over the bit pairs.
     """
-    first = [(4 ** z - 1) // 3 for z in range(max_zoom + 2)]
-    z = F.lit(max_zoom)
-    start = F.lit(first[max_zoom]).cast("bigint")
-    for level in range(max_zoom - 1, -1, -1):
-        z = F.when(tile_id < first[level + 1], F.lit(level)).otherwise(z)
-        start = F.when(tile_id < first[level + 1], F.lit(first[level]).cast("bigint")).otherwise(start)
+    first = F.array(*[F.lit((4 ** z - 1) // 3).cast("bigint") for z in range(LAST_ZOOM + 1)])
+    z = F.greatest(F.size(F.filter(first, lambda v: v <= tile_id)) - 1, F.lit(0))
+    start = F.element_at(first, z + 1)
     zero = F.lit(0).cast("bigint")
 
     def undo(acc: Column, k: Column) -> Column:

@@ -51,14 +51,17 @@ def maxspeed_kmh(value: Column) -> Column:
 
 
 def parse_direction(value: Column) -> Column:
-    """struct(src, degrees): src in fwd, bwd, both, deg, card or NULL when nothing usable is said."""
+    """struct(src, degrees): src in fwd, bwd, both, deg, card or NULL when nothing usable is said.
+
+    The first part of a list decides between deg and card.
+    """
     v = F.trim(value)
     parts = F.transform(F.split(v, ";"), lambda p: F.trim(p))
     table = F.create_map(*[x for i, d in enumerate(CARDINALS) for x in (F.lit(d), F.lit(i * 22.5))])
     degrees = F.transform(parts, lambda p: F.when(
         p.rlike(r"^-?\d+(\.\d+)?$"), F.pmod(p.try_cast("double"), F.lit(360.0))).otherwise(
         table[F.upper(p)]))
-    stated = F.exists(parts, lambda p: p.rlike(r"^-?\d+(\.\d+)?$"))
+    stated = parts[0].rlike(r"^-?\d+(\.\d+)?$")
     usable = ~F.exists(degrees, lambda d: d.isNull())
     src = (F.when(v == "forward", "fwd").when(v.isin("backward", "reverse"), "bwd")
            .when(v == "both", "both").when(usable, F.when(stated, "deg").otherwise("card")))

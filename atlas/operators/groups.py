@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from atlas.operators.grid import Grid
 from atlas.session import cut_lineage
 
-FOLD_LIMIT = 256
 BUCKET_BITS = 16
 
 
@@ -67,67 +66,45 @@ def dense_ids(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 
 
 def greedy_thin(df: DataFrame, keys: Sequence[str], order: Sequence[str], radius_m: float,
-                near: Callable[[Column, Column, Column, Column], Column],
-                fold_limit: int = FOLD_LIMIT) -> DataFrame:
-    """Walk each group in ``order`` and keep a row unless an already kept one is ``near``.
-
-    ``near(lat, lon, lat, lon)`` must imply a distance of at most ``radius_m``. Small groups are folded as an
-    array. Larger ones are decided in rounds over cells: a row that is first among all undecided
-    rows around it is kept, rows near a kept one are dropped, and the rest goes on. Both give the
-    answer of the ordered walk.
+                near: Callable[[Column, Column, Column, Column], Column]) -> DataFrame:
+    """Walk each group in ``order`` (then position) and keep a row unless an already kept one is ``near``.
+
+    ``near(lat, lon, lat, lon)`` must imply a distance of at most ``radius_m``. Rows equal in keys, order and position
+    are one row. The walk is decided in rounds over cells: a row that comes first among all undecided rows
+    around it is kept, every row near a kept one is dropped, and the rest goes on. A row is only dropped by one
+    before it, as in the walk, so the answer is the walk's for groups of any size.
     """
     keys, order = list(keys), list(order)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > fold_limit).select(*keys)
-    if large.isEmpty():
-        return _fold_thin(df, keys, order, near)
-    large = cut_lineage(large)
-    small_rows = df.join(large, keys, "left_anti")
-    large_rows = df.join(large, keys, "left_semi")
-    return _fold_thin(small_rows, keys, order, near).unionByName(
-        _round_thin(large_rows, keys, order, radius_m, near).select(*df.columns))
-
-
-def _fold_thin(df, keys, order, near):
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    row = F.struct(*order, *rest)
-    walked = df.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-
-    def step(kept: Column, r: Column) -> Column:
-        clash = F.exists(kept, lambda k: near(r["lat"], r["lon"], k["lat"], k["lon"]))
-        return F.when(clash, kept).otherwise(F.concat(kept, F.array(r)))
-
-    kept = F.aggregate("_rows", F.slice("_rows", 1, 0), step)
-    return walked.select(*keys, F.explode(kept).alias("_r")).select(
-        *[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
-
-
-def _round_thin(df, keys, order, radius_m, near):
+    place = [*order, "lat", "lon"]
+    rest = [c for c in df.columns if c not in keys and c not in place]
     grid = Grid(radius_m)
     cell = [*keys, "_cell"]
-    undecided = cut_lineage(df.withColumn("_cell", grid.cell(F.col("lat"), F.col("lon"))))
+    row = F.struct(*[F.col(c) for c in (*place, *rest)]).alias("_row")
+    undecided = df.withColumn("_cell", grid.cell(F.col("lat"), F.col("lon"))).groupBy(*cell, *place).agg(F.min(row).alias("_row"))
+    undecided = cut_lineage(undecided.select(*cell, "_row"))
     kept = None
-    while not undecided.isEmpty():
-        first = undecided.groupBy(*cell).agg(F.min(F.struct(*order, "lat", "lon")).alias("_first"))
-        asked = first.select(*keys, "_first", F.explode(grid.around(
-            F.col("_first.lat"), F.col("_first.lon"))).alias("_cell"))
+    while kept is None or not undecided.isEmpty():
+        first = undecided.groupBy(*cell).agg(F.min("_row").alias("_first"))
+        lat, lon = F.col("_first.lat"), F.col("_first.lon")
+        asked = first.select(*keys, "_first", F.explode(grid.around(lat, lon)).alias("_cell"))
         rival = first.withColumnRenamed("_first", "_rival")
-        winners = (asked.join(rival, cell).groupBy(*keys, "_first").agg(F.min("_rival").alias("_rival"))
-                   .filter(F.col("_first") <= F.col("_rival")).select(*keys, "_first"))
-        winners = cut_lineage(winners)
-        picked = cut_lineage(undecided.withColumn("_first", F.struct(*order, "lat", "lon"))
-                             .join(winners, [*keys, "_first"], "left_semi").drop("_first"))
-        kept = picked if kept is None else kept.unionByName(picked)
-        zone = winners.select(*keys, F.explode(grid.around(F.col("_first.lat"), F.col("_first.lon"))).alias("_cell"),
-                              F.col("_first.lat").alias("_wlat"), F.col("_first.lon").alias("_wlon"))
-        u, z = undecided.alias("u"), zone.alias("z")
-        same = [F.col(f"u.{c}").eqNullSafe(F.col(f"z.{c}")) for c in cell]
-        covered = near(F.col("u.lat"), F.col("u.lon"), F.col("z._wlat"), F.col("z._wlon"))
-        condition = covered
-        for s in same:
-            condition = s & condition
-        undecided = cut_lineage(u.join(z, condition, "left_anti"))
-    return kept if kept is not None else df
+        winners = cut_lineage(_same(asked, rival, cell, "inner", None).select(*[F.col(f"u.{k}") for k in keys], "_first", "_rival")
+                              .groupBy(*keys, "_first").agg(F.min("_rival").alias("_rival"))
+                              .filter(F.col("_first") <= F.col("_rival")).select(*keys, "_first"))
+        kept = winners if kept is None else kept.unionByName(winners)
+        zone = winners.select(*keys, F.explode(grid.around(lat, lon)).alias("_cell"), "_first")
+        u, z = F.col("u._row"), F.col("z._first")
+        covered = near(u["lat"], u["lon"], z["lat"], z["lon"]) | (u == z)
+        undecided = cut_lineage(_same(undecided, zone, cell, "left_anti", covered))
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
+
+
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str, condition: Column | None) -> DataFrame:
+    """Join ``left`` as u with ``right`` as z where ``cols`` are equal, nulls included."""
+    for c in cols:
+        equal = F.col(f"u.{c}").eqNullSafe(F.col(f"z.{c}"))
+        condition = equal if condition is None else equal & condition
+    return left.alias("u").join(right.alias("z"), condition, how)
 
 
 def nearest_within(points: DataFrame, sites: DataFrame, keys: Sequence[str], rings_km: Sequence[float],

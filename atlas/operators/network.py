@@ -28,7 +28,7 @@ def ferry_ends(ways: DataFrame) -> DataFrame:
     return car.select(F.col("id").alias("ferry"), F.explode(F.array(F.element_at("refs", 1), F.element_at("refs", -1))).alias("source")).distinct()
 
 
-def directed_search(sources: DataFrame, steps: DataFrame, max_levels: int | None = None) -> DataFrame:
+def directed_search(sources: DataFrame, steps: DataFrame) -> DataFrame:
     """Breadth-first search from every source at once, outward (``out``: along allowed direction) and inward
     (``in``: against it), until the first arterial way.
 
@@ -51,7 +51,7 @@ def directed_search(sources: DataFrame, steps: DataFrame, max_levels: int | None
         rows = marked.select(*state, "level", "way", "idx", "p_way", "p_idx", "hit")
         trail = rows if trail is None else trail.unionByName(rows)
         going = marked.filter("best is null")
-        if going.isEmpty() or (max_levels is not None and level >= max_levels):
+        if going.isEmpty():
             return trail
         entered = going.groupBy(*state, "way", "dir").agg(F.min("idx").alias("low"), F.max("idx").alias("high"))
         along = steps.select("way", F.col("idx").alias("to"), "node")

@@ -123,9 +123,20 @@ SEARCH = """st AS (SELECT way_id AS way, row_number() OVER (PARTITION BY way_id
     hit1 AS (SELECT DISTINCT source, heading FROM f1 WHERE arterial)"""
 
 
-@query("g01_directed_search", f"WITH {SEARCH} SELECT source, heading, CAST(0 AS INT) AS level FROM hit0 UNION ALL SELECT source, heading, 1 FROM hit1")
+REACHED = """nh AS (SELECT node, bool_or(arterial) AS hit FROM st GROUP BY node),
+    reached(source, heading, node, level, hit) USING KEY (source, heading, node) AS (
+      SELECT src.source, h.heading, src.source, 0, nh.hit FROM src JOIN nh ON nh.node = src.source, (VALUES ('out'), ('in')) h(heading)
+      UNION
+      SELECT DISTINCT b.source, b.heading, s.node, b.level + 1, nh.hit FROM reached b JOIN st f ON f.node = b.node
+        JOIN st s ON s.way = f.way AND ((s.idx > f.idx AND CASE WHEN b.heading = 'out' THEN f.dir <> -1 ELSE f.dir <> 1 END) OR (s.idx < f.idx AND CASE WHEN b.heading = 'out' THEN f.dir <> 1 ELSE f.dir <> -1 END))
+        JOIN nh ON nh.node = s.node
+      WHERE NOT EXISTS (SELECT 1 FROM reached h WHERE h.source = b.source AND h.heading = b.heading AND h.hit)
+        AND NOT EXISTS (SELECT 1 FROM recurring.reached r WHERE r.source = b.source AND r.heading = b.heading AND r.node = s.node))"""
+
+
+@query("g01_directed_search", f"WITH RECURSIVE {SEARCH}, {REACHED} SELECT DISTINCT source, heading, CAST(level AS INT) AS level FROM reached WHERE hit")
 def g01(t):
-    trail = network.directed_search(network.ferry_ends(road(t)), network.way_nodes(road(t)), max_levels=1)
+    trail = network.directed_search(network.ferry_ends(road(t)), network.way_nodes(road(t)))
     return trail.filter("hit").select("source", "heading", "level")
 
 

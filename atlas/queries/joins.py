@@ -147,10 +147,9 @@ DEDUP = f"""{HOUSES}, {STREETS}, o AS (SELECT skey, key, st.oid, kind, lat, lon,
     kept AS (SELECT skey, key, unnest(acc).oid AS oid FROM (SELECT skey, key, arg_max(acc, rn) AS acc FROM walk GROUP BY skey, key))"""
 
 
-def thinned(t, limit=None):
+def thinned(t):
     rows = streets(t).withColumn("key", F.explode(text.house_keys(c("num")))).select("skey", "key", "kind", "oid", "lat", "lon")
-    args = {"fold_limit": limit} if limit else {}
-    return greedy_thin(rows, ["skey", "key"], ["kind", "oid"], address.DEDUP_M, address.clash_50m, **args)
+    return greedy_thin(rows, ["skey", "key"], ["kind", "oid"], address.DEDUP_M, address.clash_50m)
 
 
 @query("w01_greedy_dedup", f"WITH RECURSIVE {DEDUP} SELECT * FROM kept")

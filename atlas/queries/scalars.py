@@ -121,7 +121,7 @@ def x11(t):
 @query("x12_direction", rf"""WITH parts AS (SELECT id, dir, string_split(dir, ';') AS p FROM speed_text),
     d AS (SELECT id, dir, list_transform(p, lambda x: CASE WHEN regexp_matches(trim(x), '^-?\d+(\.\d+)?$') THEN ((TRY_CAST(trim(x) AS DOUBLE) % 360) + 360) % 360 ELSE {cardinal_case('trim(x)')} END) AS degs FROM parts),
     s AS (SELECT id, degs, CASE WHEN dir = 'forward' THEN 'fwd' WHEN dir IN ('backward', 'reverse') THEN 'bwd' WHEN dir = 'both' THEN 'both'
-       WHEN dir IS NOT NULL AND len(list_filter(degs, lambda x: x IS NULL)) = 0 THEN CASE WHEN regexp_matches(dir, '\d') THEN 'deg' ELSE 'card' END END AS src FROM d)
+       WHEN dir IS NOT NULL AND len(list_filter(degs, lambda x: x IS NULL)) = 0 THEN CASE WHEN regexp_matches(trim(string_split(dir, ';')[1]), '^-?\d+(\.\d+)?$') THEN 'deg' ELSE 'card' END END AS src FROM d)
     SELECT id, src, CASE WHEN src IN ('deg', 'card') THEN CAST(round(list_sum(degs), 6) AS DOUBLE) END AS total, CASE WHEN src IN ('deg', 'card') THEN degs[1] END AS first FROM s""")
 def x12(t):
     d = osm.parse_direction(c("dir"))
@@ -267,9 +267,9 @@ def x27(t):
     return z.select("point", "z", "w.x", "w.y", back.alias("b")).select("point", "z", "x", "y", "b.lat", "b.lon")
 
 
-@query("x28_hilbert", """WITH RECURSIVE ids AS (SELECT o_orderkey * 5 AS id FROM orders),
-    zs AS (SELECT id, max(z) AS z FROM ids, range(0, 16) AS r(z) WHERE (CAST(pow(4, z) AS BIGINT) - 1) // 3 <= id GROUP BY id),
-    st AS (SELECT id, z, id - (CAST(pow(4, z) AS BIGINT) - 1) // 3 AS d, CAST(0 AS BIGINT) AS x, CAST(0 AS BIGINT) AS y, CAST(0 AS BIGINT) AS k FROM zs
+@query("x28_hilbert", """WITH RECURSIVE ids AS (SELECT o_orderkey * 5 AS id FROM orders UNION ALL SELECT o_orderkey % 65536 * 140737488355327 FROM orders),
+    zs AS (SELECT id, max(z) AS z FROM ids, range(0, 33) AS r(z) WHERE (CAST(1 AS HUGEINT) << CAST(2 * z AS INT)) // 3 <= id GROUP BY id),
+    st AS (SELECT id, z, CAST(id - (CAST(1 AS HUGEINT) << CAST(2 * z AS INT)) // 3 AS BIGINT) AS d, CAST(0 AS BIGINT) AS x, CAST(0 AS BIGINT) AS y, CAST(0 AS BIGINT) AS k FROM zs
       UNION ALL
       SELECT id, z, d // 4,
         CASE WHEN ry = 0 THEN CASE WHEN rx = 1 THEN s - 1 - y ELSE y END ELSE x END + s * rx,
@@ -277,7 +277,9 @@ def x27(t):
       FROM (SELECT *, (d // 2) % 2 AS rx, (d + (d // 2) % 2) % 2 AS ry, CAST(pow(2, k) AS BIGINT) AS s FROM st WHERE k < z))
     SELECT id, CAST(z AS INT) AS z, x, y FROM st WHERE k = z""")
 def x28(t):
-    return t.orders.select((c("o_orderkey") * 5).alias("id")).select("id", geo.hilbert_zxy(c("id")).alias("t")).select("id", "t.*")
+    far = c("o_orderkey") % 65536 * 140737488355327   # up to the last zoom of 64 bits
+    ids = t.orders.select((c("o_orderkey") * 5).alias("id")).unionByName(t.orders.select(far.alias("id"))).distinct()
+    return ids.select("id", geo.hilbert_zxy(c("id")).alias("t")).select("id", "t.*")
 
 
 view("leg", """SELECT l_orderkey AS id, l_linenumber AS seq, l_partkey % 1000 - 500 AS dlat, (l_suppkey % 100 - 50) * 7 AS dlon,

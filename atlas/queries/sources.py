@@ -115,9 +115,8 @@ def s04(t):
     path = scratch_folder(t.spark, "poly")
     laid = spot.unionByName(heads).unionByName(ends).unionByName(name).unionByName(last).repartition("pid").sortWithinPartitions("pid", "ring", "o")
     laid.select("pid", "value").write.partitionBy("pid").text(path)
-    meta = F.regexp_extract(F.input_file_name(), r"pid=(\d+)", 1)
-    raw = t.spark.read.option("recursiveFileLookup", "true").text(path).select(meta.alias("file"), c("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
-    rings = map_objects.parse_poly(raw).select(c("file").cast("int").alias("pid"), "rings")
+    read = map_objects.read_poly(t.spark, f"{path}/pid=*")
+    rings = read.select(F.regexp_extract("file", r"pid=(\d+)", 1).cast("int").alias("pid"), "rings")
     return vertex_rows(rings, "pid")
 
 
@@ -204,7 +203,7 @@ def s08(t):
 
 @query("s09_read_samples", f"WITH {PEAKS} SELECT label, samples, peak_memory, peak_anon, 'cgroup2' AS source FROM peaks")
 def s09(t):
-    """One CSV folder per build, the memory source in its first line; half of the builds lack a column."""
+    """One CSV folder per build, the memory source in its first line; each build's file has its own folder."""
     cell = lambda col: F.coalesce(c(col).cast("string"), F.lit(""))
     body = t.sample.select("label", c("epoch").alias("o"), F.concat_ws(",", "epoch", cell("mem_bytes"), cell("disk_kb"), cell("anon_bytes")).alias("value"))
     heads = t.sample.select("label").distinct()
@@ -213,10 +212,8 @@ def s09(t):
     path = scratch_folder(t.spark, "samples")
     body.unionByName(top).unionByName(names).repartition("label").sortWithinPartitions("label", "o").select("label", "value").write.partitionBy("label").text(path)
     read = logs.read_samples(t.spark, f"{path}/label=*")
-    labelled = read.join(t.spark.read.text(path).select(c("_metadata.file_name").alias("file"), "label").distinct(), ["file"])
-    # part files of different builds can share a name, so the build is found by its own samples
-    own = t.sample.select("label", "epoch")
-    return (labelled.join(own, ["label", "epoch"]).dropDuplicates(["label", "epoch"]).groupBy("label")
+    label = F.regexp_extract("file", r"label=([^/]+)", 1)
+    return (read.groupBy(label.alias("label"))
             .agg(F.count(F.lit(1)).alias("samples"), F.max("mem_bytes").alias("peak_memory"), F.max("anon_bytes").alias("peak_anon"), F.max("source").alias("source")))
 
 

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, block, at, value: (block, at) is the order of the lines inside a file."""
+    """file (its full path), block, at, value: (block, at) is the order of the lines inside a file."""
     meta = F.col("_metadata")
     return spark.read.text(path).select(
-        meta["file_name"].alias("file"), meta["file_block_start"].alias("block"),
+        meta["file_path"].alias("file"), meta["file_block_start"].alias("block"),
         F.monotonically_increasing_id().alias("at"), "value")
 
 

@@ -90,7 +90,7 @@ def mine_gate_reports(lines: DataFrame, kind: str) -> DataFrame:
     counts = found.groupBy("file").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", F.col("found").cast("bigint").alias("found"))))).alias("counts"))
     label = kind.upper() + " GATE:"
     verdict = trimmed.filter(F.col("value").startswith(label)).groupBy("file").agg(
-        F.count(F.lit(1)).alias("verdict_lines"), F.min(F.trim(F.substring("value", len(label) + 1, 1000))).alias("said"))
+        F.count(F.lit(1)).alias("verdict_lines"), F.min(F.trim(F.substring("value", len(label) + 1, 1 << 30))).alias("said"))
     files = lines.select("file").distinct()
     lead = [ns[0] for ns in REPORT_LINES[kind].values()]
     absent = F.filter(F.array(*[F.lit(n) for n in lead]), lambda n: F.col("counts").isNull() | ~F.array_contains(F.map_keys("counts"), n))

@@ -88,7 +88,7 @@ def parse_geojson(texts: DataFrame, column: str = "value") -> DataFrame:
 
 def read_geojson_polygons(spark: SparkSession, path: str) -> DataFrame:
     """One polygon file per row: file, properties, rings."""
-    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return parse_geojson(texts).select("file", "properties", "rings")
 
 

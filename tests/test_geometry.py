@@ -100,21 +100,24 @@ def test_grid_covers_its_radius(spark):
     assert missed.count() == 0
 
 
-def test_greedy_rounds_equal_the_fold(spark):
+def test_greedy_rounds_equal_the_walk(spark):
+    """Random groups of 1 to 2 000 rows, with repeated rows, repeated orders and one spot that holds a third of a group."""
     r = random.Random(2)
-    rows = [(1 if i % 3 else 2, r.randrange(3), i, 47 + r.uniform(0, 0.004), 28 + r.uniform(0, 0.004)) for i in range(900)]
-    rows += [(1, 0, 10_000 + i, 47.001, 28.001) for i in range(300)]          # one spot holds a third of the group
+    rows = []
+    for g, n in enumerate((1, 2, 7, 60, 300, 2000)):
+        rows += [(g, r.randrange(3), r.randrange(max(1, n // 2)), 47 + r.uniform(0, 0.003), 28 + r.uniform(0, 0.003)) for _ in range(n)]
+        rows += r.sample(rows[-n:], n // 4)
+    rows += [(4, 0, 10_000 + i, 47.001, 28.001) for i in range(150)] + [(9, 0, 1, 47.0, 28.0)] * 3
     df = spark.createDataFrame(rows, "g int, kind int, oid int, lat double, lon double")
-    walk = lambda limit: {x.oid for x in groups.greedy_thin(df, ["g"], ["kind", "oid"], 50.0, address.clash_50m, fold_limit=limit).collect()}
-    want = set()
-    for g in (1, 2):
+    got = sorted(tuple(x) for x in groups.greedy_thin(df, ["g"], ["kind", "oid"], 50.0, address.clash_50m).collect())
+    want = []
+    for g in {x[0] for x in rows}:
         kept = []
-        for _, k, oid, la, lo in sorted((x for x in rows if x[0] == g), key=lambda x: (x[1], x[2])):
-            if all(flat_km((la, lo), p) * 1000 >= 50 for p in kept):
-                kept.append((la, lo))
-                want.add(oid)
-    assert walk(10_000) == want
-    assert walk(5) == want
+        for x in sorted(x for x in rows if x[0] == g):
+            if all(flat_km(x[3:], p[3:]) * 1000 >= 50 for p in kept):
+                kept.append(x)
+        want += kept
+    assert got == sorted(want)
 
 
 def test_upper_median_of_skewed_groups(spark):
