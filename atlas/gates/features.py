@@ -42,7 +42,7 @@ def feature_gate(rows: DataFrame, previous: DataFrame, boxes: DataFrame) -> Data
     """country, type, severity, rule: far outside the country, a type that vanished (HARD), a change above 25 %
     (WARN). ``previous(country, type, before)``; ``boxes(country, bbox)``, one per country (at most 255)."""
     lat, lon = geo.from_e7(F.col("lat_e7")), geo.from_e7(F.col("lon_e7"))
-    far = rows.join(F.broadcast(boxes), "country").filter(filters.outside_bbox(lat, lon, F.col("bbox")))
+    far = rows.join(boxes, "country").filter(filters.outside_bbox(lat, lon, F.col("bbox")))
     outside = far.select("country", F.lit("*").alias("type"), F.lit("HARD").alias("severity"), F.lit("outside the country").alias("rule")).distinct()
     now = rows.groupBy("country", "type").agg(F.count(F.lit(1)).alias("now"))
     j = previous.filter("before > 0").join(now, ["country", "type"], "left").withColumn("now", F.coalesce("now", F.lit(0)))

@@ -69,7 +69,7 @@ def zone_audit(zones: DataFrame, runtime: DataFrame, deprecated: DataFrame) -> D
     links = runtime.filter("what = 'link'").select(F.col("name").alias("zone")).distinct()
     canon = runtime.filter("what = 'zone'").select(F.col("name").alias("zone")).distinct()
     tag = lambda df, rule: df.select("zone", F.lit(rule).alias("rule"))
-    return (tag(z.join(F.broadcast(deprecated), "zone", "left_semi"), "deprecated")
+    return (tag(z.join(deprecated, "zone", "left_semi"), "deprecated")
             .unionByName(tag(z.join(links, "zone", "left_semi"), "a link for this runtime"))
             .unionByName(tag(z.join(links, "zone", "left_anti").join(canon, "zone", "left_anti"), "unknown to this runtime")))
 

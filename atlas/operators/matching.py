@@ -101,11 +101,10 @@ def pair_stats(a: DataFrame, b: DataFrame, pairs: DataFrame, ambiguous: DataFram
 
 
 def neighbour_sides(frontier: DataFrame, borders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides of every country pair in ``borders(a, b)``. Pairs of countries are few (region ids stop at
-    255), so they are broadcast; a row is named by its local id, unique per side."""
+    """Both sides of every country pair in ``borders(a, b)``; a row is named by its local id, unique per side."""
     cols = ["level", "lat_e7", "lon_e7", "local_id", "osm"]
     pair = F.concat_ws("-", "a", "b").alias("pair")
-    side = lambda end: (frontier.join(F.broadcast(borders), F.col("country") == F.col(end))
+    side = lambda end: (frontier.join(borders, F.col("country") == F.col(end))
                         .select(pair, F.col("local_id").alias("row"), *cols))
     return side("a"), side("b")
 
@@ -146,7 +145,7 @@ def all_pairs(frontier: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def portal_table(pairs: DataFrame, regions: DataFrame) -> DataFrame:
     """Both directions of every matched pair as graph ids with their distance."""
-    r = F.broadcast(regions.select("country", "region_id"))
+    r = regions.select("country", "region_id")
     out = (pair_ends(pairs).withColumnsRenamed({"a": "ca", "b": "cb"})
            .join(r.withColumnsRenamed({"country": "ca", "region_id": "ra"}), "ca")
            .join(r.withColumnsRenamed({"country": "cb", "region_id": "rb"}), "cb")
@@ -197,25 +196,27 @@ def frontier_osm_id(frontier: DataFrame, road_nodes: DataFrame) -> DataFrame:
 
 
 def frontier_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Counts of what changed between two frontiers of one country, plus the farthest move.
+    """Counts of what changed between two frontiers of each country, plus the farthest move.
 
-    Rows carry ``row`` (unique), level, lat_e7, lon_e7, osm; (osm, level) and positions are unique
-    per side, as the frontier gate demands.
+    Rows carry country, ``row`` (unique in the country), level, lat_e7, lon_e7, osm; (osm, level) and positions
+    are unique per side and country, as the frontier gate demands.
     """
-    o = old.select(*[F.col(c).alias(f"o_{c}") for c in ("row", "level", "lat_e7", "lon_e7", "osm")])
-    by_id = new.join(o, (F.col("osm") == F.col("o_osm")) & (F.col("level") == F.col("o_level")))
+    o = old.select(*[F.col(c).alias(f"o_{c}") for c in ("country", "row", "level", "lat_e7", "lon_e7", "osm")])
+    here = F.col("country") == F.col("o_country")
+    by_id = new.join(o, here & (F.col("osm") == F.col("o_osm")) & (F.col("level") == F.col("o_level")))
     same = (F.col("lat_e7") == F.col("o_lat_e7")) & (F.col("lon_e7") == F.col("o_lon_e7"))
-    kept = by_id.select("row", "o_row", F.when(same, "retained").otherwise("moved_same_osm_id").alias("what"),
+    kept = by_id.select("country", "row", "o_row", F.when(same, "retained").otherwise("moved_same_osm_id").alias("what"),
                         F.when(~same, F.round(geo.haversine_e7(F.col("o_lat_e7"), F.col("o_lon_e7"), F.col("lat_e7"), F.col("lon_e7")), 2)).alias("moved_m"))
-    rest_n = new.join(kept.select("row"), "row", "left_anti")
-    rest_o = o.join(kept.select("o_row"), "o_row", "left_anti")
-    placed = rest_n.join(rest_o, (F.col("level") == F.col("o_level")) & (F.col("lat_e7") == F.col("o_lat_e7"))
+    old_rows = lambda df: df.select(F.col("country").alias("o_country"), "o_row")
+    rest_n = new.join(kept.select("country", "row"), ["country", "row"], "left_anti")
+    rest_o = o.join(old_rows(kept), ["o_country", "o_row"], "left_anti")
+    placed = rest_n.join(rest_o, here & (F.col("level") == F.col("o_level")) & (F.col("lat_e7") == F.col("o_lat_e7"))
                          & (F.col("lon_e7") == F.col("o_lon_e7")))
-    placed = placed.select("row", "o_row", F.lit("retained_by_coordinate").alias("what"), F.lit(None).cast("double").alias("moved_m"))
+    placed = placed.select("country", "row", "o_row", F.lit("retained_by_coordinate").alias("what"), F.lit(None).cast("double").alias("moved_m"))
     seen = kept.unionByName(placed)
     none = F.lit(None).cast("double").alias("moved_m")
-    added = rest_n.join(placed.select("row"), "row", "left_anti").select(F.lit("added").alias("what"), none)
-    removed = rest_o.join(placed.select("o_row"), "o_row", "left_anti").select(F.lit("removed").alias("what"), none)
-    rows = seen.select("what", "moved_m").unionByName(added).unionByName(removed)
-    return rows.groupBy("what").agg(F.count(F.lit(1)).alias("n"), F.max("moved_m").alias("farthest_m"))
+    added = rest_n.join(placed.select("country", "row"), ["country", "row"], "left_anti").select("country", F.lit("added").alias("what"), none)
+    removed = rest_o.join(old_rows(placed), ["o_country", "o_row"], "left_anti").select(F.col("o_country").alias("country"), F.lit("removed").alias("what"), none)
+    rows = seen.select("country", "what", "moved_m").unionByName(added).unionByName(removed)
+    return rows.groupBy("country", "what").agg(F.count(F.lit(1)).alias("n"), F.max("moved_m").alias("farthest_m"))
 

@@ -15,11 +15,11 @@ KIND_PLACE, KIND_STREET, KIND_POI = 0, 1, 2
 
 def first_per_cell(rows: DataFrame, name: Column, digits: int) -> DataFrame:
     """One row per name and rounded position: the southernmost, then westernmost (a scan has no order of
-    its own here, so the lowest position stands for the first seen)."""
+    its own here, so the lowest position stands for the first seen), on one spot the most populous."""
     cell = [name.alias("_name"), geo.decimal_cell(F.col("lat"), digits).alias("_lat"), geo.decimal_cell(F.col("lon"), digits).alias("_lon")]
-    kept = rows.withColumn("_rest", F.to_json(F.struct(*[F.col(c) for c in rows.columns])))
-    best = F.min_by(F.struct(*rows.columns), F.struct("lat", "lon", "_rest")).alias("_row")
-    return kept.groupBy(*cell).agg(best).select("_row.*")
+    order = F.struct("lat", "lon", (-F.col("pop")).alias("by_pop"), "aliases", "detail", "cat")
+    best = F.min_by(F.struct(*rows.columns), order).alias("_row")
+    return rows.groupBy(*cell).agg(best).select("_row.*")
 
 
 def place_rows(features: DataFrame) -> DataFrame:

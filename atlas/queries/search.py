@@ -18,7 +18,7 @@ ALIASES = "concat_ws('|', CASE WHEN name_en <> coalesce(name, '') THEN name_en E
 PLACE = f"""kept AS ({TF_KEPT}), rw AS (SELECT CAST(CASE layer WHEN 'places' THEN 0 WHEN 'roads' THEN 1 ELSE 2 END AS INT) AS kind, coalesce(name, '') AS name, {ALIASES} AS aliases, lat, lon,
       CASE WHEN layer = 'pois' THEN cat END AS cat, CASE WHEN layer <> 'roads' THEN kind END AS detail, CASE WHEN layer = 'places' THEN coalesce(population, 0) ELSE 0 END AS pop FROM kept),
     cell AS (SELECT *, row_number() OVER (PARTITION BY kind, CASE WHEN name = '' THEN detail ELSE name END, CASE WHEN kind = 2 THEN {decimal_cell('lat', 4)} ELSE {decimal_cell('lat', 2)} END, CASE WHEN kind = 2 THEN {decimal_cell('lon', 4)} ELSE {decimal_cell('lon', 2)} END
-      ORDER BY lat, lon, aliases, detail, pop) AS rn FROM rw), place AS (SELECT * FROM cell WHERE rn = 1)"""
+      ORDER BY lat, lon, -pop, aliases, detail) AS rn FROM rw), place AS (SELECT * FROM cell WHERE rn = 1)"""
 
 
 def place(t):
@@ -46,17 +46,15 @@ def a17(t):
     return ops.index_counts(place(t)).select("part", "n", "categories")
 
 
-@query("t02_search_order", f"WITH {PLACE} SELECT kind, name, lat, lon, row_number() OVER (ORDER BY kind, 0, name, lat, lon) AS place FROM place WHERE kind > 0")
+@query("t02_search_order", f"WITH {PLACE} SELECT kind, name, lat, lon, row_number() OVER (ORDER BY kind, CASE WHEN kind = 0 THEN -pop ELSE 0 END, name, lat, lon) AS place FROM place")
 def t02(t):
-    return dense_ids(place(t).filter("kind > 0"), ops.search_order(), "place").select("kind", "name", "lat", "lon", "place")
+    return dense_ids(place(t), ops.search_order(), "place").select("kind", "name", "lat", "lon", "place")
 
 
-@query("p01_build_search_index", f"WITH {PLACE} SELECT row_number() OVER (ORDER BY kind, name, lat, lon) AS id, kind, name, lat, lon, cat FROM place WHERE kind > 0")
+@query("p01_build_search_index", f"WITH {PLACE} SELECT row_number() OVER (ORDER BY kind, CASE WHEN kind = 0 THEN -pop ELSE 0 END, name, lat, lon) AS id, kind, name, lat, lon, cat FROM place")
 def p01(t):
     index = build_search_index(t.tile_feature, t.tile_feature, bbox=None, places_zoom=None, detail_zoom=None)
-    streets_pois = index.filter("kind > 0")
-    first = index.filter("kind = 0").agg(F.count(F.lit(1)).alias("n")).withColumn("_k", F.lit(1))
-    return streets_pois.withColumn("_k", F.lit(1)).join(F.broadcast(first), "_k").select((c("id") - c("n")).alias("id"), "kind", "name", "lat", "lon", "cat")
+    return index.select("id", "kind", "name", "lat", "lon", "cat")
 
 
 WORDS = r"SELECT DISTINCT doc_id AS key, unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS token FROM documents"

@@ -123,34 +123,50 @@ def s04(t):
 # ---- S5–S8, K3 strict text -------------------------------------------------------------------
 
 
-def frontier_file(t):
+COUNTRIES = tuple(f"C{i}" for i in range(1, 8))   # all of the view ``fr``
+
+
+def frontier_files(t):
+    """One folder per country."""
     path = scratch_folder(t.spark, "frontier")
-    sinks.write_frontier(t.fr.filter("country = 'C1'"), "C1", "2026-01-01", path)
-    return path
+    for country in COUNTRIES:
+        sinks.write_frontier(t.fr.filter(c("country") == country), country, "2026-01-01", f"{path}/country={country}")
+    return lines.read_lines(t.spark, f"{path}/country=*")
 
 
-@query("k03_canonical_text", """WITH h AS (SELECT * FROM (VALUES (1, 'atlas-frontier 1'), (2, 'country C1'), (3, 'graph_version 2026-01-01')) v(n, value) UNION ALL SELECT 4, 'entries ' || CAST(count(*) AS VARCHAR) FROM fr WHERE country = 'C1'
-      UNION ALL SELECT 5, 'osm_resolved ' || CAST(count(osm) AS VARCHAR) FROM fr WHERE country = 'C1' UNION ALL SELECT 6, 'level lat_e7 lon_e7 local_id osm_node_id')
-    SELECT CAST(n AS BIGINT) AS n, value FROM h UNION ALL SELECT 6 + row_number() OVER (ORDER BY level, lat_e7, lon_e7, local_id), concat_ws(' ', level, lat_e7, lon_e7, local_id, coalesce(CAST(osm AS VARCHAR), '-')) FROM fr WHERE country = 'C1'""")
-def k03(t):
-    rows = lines.read_lines(t.spark, frontier_file(t))
-    return dense_ids(rows, [c("file"), c("block"), c("at")], "n").select("n", "value")
+def one_text(lines_df, name):
+    """Parts in name order are one text; give them one file name and their part as block."""
+    return lines_df.withColumn("block", F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint") * (1 << 40) + c("block")).withColumn("file", name)
 
 
 def one_file(lines_df):
-    """Parts in name order are one text; give them one file name and their part as block."""
-    return lines_df.withColumn("block", F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint") * (1 << 40) + c("block")).withColumn("file", F.lit("all"))
+    return one_text(lines_df, F.lit("all"))
+
+
+def by_country(lines_df):
+    return one_text(lines_df, F.regexp_extract("file", r"country=(\w+)", 1))
+
+
+@query("k03_canonical_text", """WITH k AS (SELECT country, count(*) AS entries, count(osm) AS named FROM fr GROUP BY country), h AS (SELECT country, unnest([1, 2, 3, 4, 5, 6]) AS n, unnest(['atlas-frontier 1', 'country ' || country, 'graph_version 2026-01-01',
+      'entries ' || CAST(entries AS VARCHAR), 'osm_resolved ' || CAST(named AS VARCHAR), 'level lat_e7 lon_e7 local_id osm_node_id']) AS value FROM k)
+    SELECT country, CAST(n AS BIGINT) AS n, value FROM h UNION ALL SELECT country, 6 + row_number() OVER (PARTITION BY country ORDER BY level, lat_e7, lon_e7, local_id), concat_ws(' ', level, lat_e7, lon_e7, local_id, coalesce(CAST(osm AS VARCHAR), '-')) FROM fr""")
+def k03(t):
+    rows = dense_ids(by_country(frontier_files(t)), [c("file"), c("block"), c("at")], "n")
+    first = rows.groupBy("file").agg(F.min("n").alias("first"))
+    return rows.join(first, "file").select(c("file").alias("country"), (c("n") - c("first") + 1).alias("n"), "value")
 
 
-@query("s05_read_frontier", "SELECT level, lat_e7, lon_e7, local_id, osm, CAST(0 AS BIGINT) AS problems, (SELECT CAST(count(*) AS VARCHAR) FROM fr WHERE country = 'C1') AS entries FROM fr WHERE country = 'C1'")
+@query("s05_read_frontier", "SELECT country, level, lat_e7, lon_e7, local_id, osm, CAST(0 AS BIGINT) AS problems, CAST(count(*) OVER (PARTITION BY country) AS VARCHAR) AS entries FROM fr")
 def s05(t):
-    parsed = strict_text.parse_frontier(one_file(lines.read_lines(t.spark, frontier_file(t))))
-    late = frontier_gates.frontier_gate(parsed.rows.withColumn("country", F.lit("C1")), t.spark.createDataFrame([("C1", False)], "country string, may_be_empty boolean"), ordered=True)
-    wrong = parsed.problems.select("rule").unionByName(late.filter("rule = 'not in canonical order'").select("rule"))
-    k = F.lit(1)
-    n = wrong.agg(F.count(F.lit(1)).alias("problems")).withColumn("_k", k)
-    entries = parsed.header.filter("k = 'entries'").select(c("v").alias("entries")).withColumn("_k", k)
-    return parsed.rows.withColumn("_k", k).join(F.broadcast(n), "_k").join(F.broadcast(entries), "_k").select("level", "lat_e7", "lon_e7", "local_id", "osm", "problems", "entries")
+    parsed = strict_text.parse_frontier(by_country(frontier_files(t)))
+    rows = parsed.rows.withColumn("country", c("file"))
+    allowed = rows.select("country", F.lit(False).alias("may_be_empty")).distinct()
+    late = frontier_gates.frontier_gate(rows, allowed, ordered=True).filter("rule = 'not in canonical order'")
+    wrong = parsed.problems.select(c("file").alias("country")).unionByName(late.select("country"))
+    n = wrong.groupBy("country").agg(F.count(F.lit(1)).alias("problems"))
+    entries = parsed.header.filter("k = 'entries'").select(c("file").alias("country"), c("v").alias("entries"))
+    return (rows.join(entries, "country").join(n, "country", "left")
+            .select("country", "level", "lat_e7", "lon_e7", "local_id", "osm", F.coalesce("problems", F.lit(0).cast("bigint")).alias("problems"), "entries"))
 
 
 view("feat_ok", """SELECT 'n' || CAST(c_custkey AS STRING) AS id, CASE c_custkey % 6 WHEN 0 THEN 'camera_speed' WHEN 1 THEN 'camera_red_light' WHEN 2 THEN 'camera_section' WHEN 3 THEN 'level_crossing' WHEN 4 THEN 'tram_level_crossing' ELSE 'traffic_signals' END AS type, lat_e7, lon_e7,
@@ -235,7 +251,13 @@ view("log_line", """SELECT doc_id, 0 AS at, text AS value FROM documents
     UNION ALL SELECT doc_id, 3, 'Directed Edge Count = 7' FROM documents
     UNION ALL SELECT doc_id, 4, 'x NOT NULL constraint failed: admin_access.admin_id. y name change for ' || lang || ' ' || CAST(doc_id % 5 AS STRING) || '  ' FROM documents WHERE doc_id % 2 = 0
     UNION ALL SELECT doc_id, 5, 'pairs ' || CAST(doc_id % 9 * 12 AS STRING) || ', land-only 3, new transits through lifted destonly: 0' FROM documents WHERE doc_id % 5 > 0
-    UNION ALL SELECT doc_id, 6, 'TRANSIT GATE: ' || CASE WHEN doc_id % 6 = 0 THEN 'FAIL' ELSE 'PASS' END FROM documents WHERE doc_id % 7 > 0""")
+    UNION ALL SELECT doc_id, 6, 'TRANSIT GATE: ' || CASE WHEN doc_id % 6 = 0 THEN 'FAIL' ELSE 'PASS' END FROM documents WHERE doc_id % 7 > 0
+    UNION ALL SELECT doc_id, 7, 'connector ways 9, found in baseline 8, in new 9' FROM documents
+    UNION ALL SELECT doc_id, 8, 'destonly True->False: inferred service 1; explicit access in ferry reclassification ' || CAST(doc_id % 9 AS STRING) || '; explicit access OUTSIDE it ' || CAST(CASE WHEN doc_id % 8 = 0 THEN 1 ELSE 0 END AS STRING) || '; other 0; False->True 2' FROM documents
+    UNION ALL SELECT doc_id, 9, 'explicit access outside ferry reclassification kept destonly: 4 of 5' FROM documents WHERE doc_id % 11 > 0
+    UNION ALL SELECT doc_id, 10, 'STRUCT GATE: PASS' FROM documents
+    UNION ALL SELECT doc_id, 11, 'TOTAL PASS 38, KNOWN 5, ACCEPTED 3, FAIL 0' FROM documents
+    UNION ALL SELECT doc_id, 12, 'ROUTES GATE: ' || CASE WHEN doc_id % 10 = 0 THEN 'FAIL' ELSE 'PASS' END FROM documents""")
 
 
 def log_lines(t):
@@ -258,17 +280,13 @@ def s13(t):
     return mined.select(c("file").cast("bigint").alias("doc_id"), c("counts")["pairs"].alias("pairs"), "missing", c("verdict_lines").cast("int").alias("verdict_lines"), "said")
 
 
-@query("v19_combined_gate_verdict", """WITH d AS (SELECT doc_id, doc_id % 5 > 0 AND doc_id % 7 > 0 AND doc_id % 6 > 0 AS tr, doc_id % 9 * 12 AS pairs, doc_id % 5 > 0 AS has_pairs, doc_id % 9 + CASE WHEN doc_id % 8 = 0 THEN 1 ELSE 0 END AS lifted FROM documents)
-    SELECT doc_id AS release, CAST(CASE WHEN tr THEN 3 ELSE 2 END AS BIGINT) AS sound, lifted, CASE WHEN has_pairs THEN pairs END AS pairs, CASE WHEN tr AND (NOT has_pairs OR pairs = lifted * 12) THEN 'PASS' ELSE 'FAIL' END AS verdict FROM d""")
+@query("v19_combined_gate_verdict", """WITH d AS (SELECT doc_id, doc_id % 5 > 0 AND doc_id % 7 > 0 AND doc_id % 6 > 0 AS tr, doc_id % 11 > 0 AS st, doc_id % 10 > 0 AS ro, doc_id % 9 * 12 AS pairs, doc_id % 5 > 0 AS has_pairs, doc_id % 9 + CASE WHEN doc_id % 8 = 0 THEN 1 ELSE 0 END AS lifted FROM documents)
+    SELECT doc_id AS release, CAST(CAST(tr AS INT) + CAST(st AS INT) + CAST(ro AS INT) AS BIGINT) AS sound, lifted, CASE WHEN has_pairs THEN pairs END AS pairs, CASE WHEN tr AND st AND ro AND (NOT has_pairs OR pairs = lifted * 12) THEN 'PASS' ELSE 'FAIL' END AS verdict FROM d""")
 def v19(t):
     from atlas.gates.routes import combined_gate_verdict
-    mined = logs.mine_gate_reports(log_lines(t), "transit").withColumn("kind", F.lit("transit"))
-    lifted = c("doc_id") % 9 + F.when(c("doc_id") % 8 == 0, 1).otherwise(0)
-    report = lambda kind, counts: t.documents.select(c("doc_id").cast("string").alias("file"), counts.alias("counts"), F.lit(0).alias("missing"), F.lit(1).cast("bigint").alias("verdict_lines"), F.lit("PASS").alias("said"), F.lit(kind).alias("kind"))
-    struct = report("struct", F.create_map(F.lit("lost_in_ferry_reclassification"), lifted))
-    ways = report("routes", F.create_map(F.lit("fail"), F.lit(0).cast("bigint")))
-    reports = mined.unionByName(struct).unionByName(ways).withColumn("release", c("file").cast("bigint")).withColumn("exit_code", F.lit(0))
-    return combined_gate_verdict(reports)
+    mined = [logs.mine_gate_reports(log_lines(t), kind).withColumn("kind", F.lit(kind)) for kind in ("struct", "transit", "routes")]
+    reports = mined[0].unionByName(mined[1]).unionByName(mined[2])
+    return combined_gate_verdict(reports.withColumn("release", c("file").cast("bigint")).withColumn("exit_code", F.lit(0)))
 
 
 @query("s14_read_manifest", "SELECT code, region_id, graph_version, src_md5, fr_file, map_file, CAST(CASE WHEN split THEN 2 ELSE 0 END AS INT) AS parts FROM reg")
@@ -333,18 +351,18 @@ def s17_reconcile(t):
 # ---- K1, K5 ----------------------------------------------------------------------------------
 
 
-@query("k01_search_tables", f"WITH {PLACE} SELECT kind, name, lat, lon, cat, CASE WHEN kind = 0 THEN 0 ELSE pop END AS pop FROM place WHERE kind > 0")
+@query("k01_search_tables", f"WITH {PLACE} SELECT kind, name, lat, lon, cat, pop FROM place")
 def k01(t):
     path = scratch_folder(t.spark, "search")
     sinks.write_search_tables(place(t), path)
-    return t.spark.read.parquet(path).filter("kind > 0").select(c("kind").cast("int").alias("kind"), "name", "lat", "lon", "cat", "pop")
+    return t.spark.read.parquet(path).select(c("kind").cast("int").alias("kind"), "name", "lat", "lon", "cat", "pop")
 
 
-@query("k05_search_json", f"WITH {PLACE} SELECT CASE kind WHEN 1 THEN 'streets' ELSE 'pois' END AS part, name, lat, lon, cat FROM place WHERE kind > 0")
+@query("k05_search_json", f"WITH {PLACE} SELECT CASE kind WHEN 0 THEN 'places' WHEN 1 THEN 'streets' ELSE 'pois' END AS part, name, lat, lon, cat FROM place")
 def k05(t):
     path = scratch_folder(t.spark, "json")
     sinks.write_search_json(place(t), path)
-    read = t.spark.read.text(f"{path}/rows").filter("part <> 'places'")
+    read = t.spark.read.text(f"{path}/rows")
     f = F.from_json("value", "n string, y double, x double, c string")
     return read.select("part", f.alias("f")).select("part", c("f.n").alias("name"), c("f.y").alias("lat"), c("f.x").alias("lon"), c("f.c").alias("cat"))
 

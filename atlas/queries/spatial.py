@@ -96,26 +96,26 @@ def match_sql(a: str, b: str) -> str:
       UNION ALL SELECT p, 0, 0, 0, 0, 1, 0 FROM A UNION ALL SELECT p, 0, 0, 0, 0, 0, 1 FROM B) GROUP BY p)"""
 
 
-ONE_PAIR = match_sql("SELECT 0 AS p, local_id AS r, * FROM fr WHERE country = 'C1'", "SELECT 0 AS p, local_id AS r, * FROM fr WHERE country = 'C2'")
 ALL_PAIRS = match_sql("SELECT f.country || '-' || o.country AS p, local_id AS r, f.* FROM fr f JOIN (SELECT DISTINCT country FROM fr) o ON f.country < o.country",
                       "SELECT o.country || '-' || f.country AS p, local_id AS r, f.* FROM fr f JOIN (SELECT DISTINCT country FROM fr) o ON o.country < f.country")
 
 
-def sides(t, a="C1", b="C2"):
-    row = t.fr.select("country", F.lit(0).alias("pair"), c("local_id").alias("row"), "level", "lat_e7", "lon_e7", "local_id", "osm")
-    return row.filter(c("country") == a).drop("country"), row.filter(c("country") == b).drop("country")
+def matched(t):
+    """Every pair of countries, those without a common border too."""
+    x, y = (t.fr.select(c("country").alias(k)).distinct() for k in ("a", "b"))
+    return matching.match_frontiers(*matching.neighbour_sides(t.fr, x.join(y, c("a") < c("b"))))
 
 
-@query("j12_match_frontiers", f"WITH {ONE_PAIR} SELECT ra AS a_row, rb AS b_row, method, distance FROM pairs")
+@query("j12_match_frontiers", f"WITH {ALL_PAIRS} SELECT p AS pair, ra AS a_row, rb AS b_row, method, distance FROM pairs")
 def j12(t):
-    pairs, _ = matching.match_frontiers(*sides(t))
-    return pairs.select("a_row", "b_row", "method", "distance")
+    pairs, _ = matched(t)
+    return pairs.select("pair", "a_row", "b_row", "method", "distance")
 
 
-@query("a16_pair_stats", f"WITH {ONE_PAIR} SELECT osm, coord, near, ambiguous, unmatched_a, unmatched_b FROM stats")
+@query("a16_pair_stats", f"WITH {ALL_PAIRS} SELECT p AS pair, osm, coord, near, ambiguous, unmatched_a, unmatched_b FROM stats")
 def a16(t):
-    _, stats = matching.match_frontiers(*sides(t))
-    return stats.drop("pair")
+    _, stats = matched(t)
+    return stats
 
 
 @query("j13_all_pairs", f"WITH {ALL_PAIRS} SELECT p, osm, coord, near, ambiguous, unmatched_a, unmatched_b FROM stats WHERE osm + coord + near + ambiguous > 0")
@@ -174,18 +174,20 @@ def j14(t):
     return matching.frontier_osm_id(t.graph_node, t.road_node).select("id", "country", "level", "lat_e7", "lon_e7", "source", "osm")
 
 
-view("fr_old", "SELECT local_id AS row, level, lat_e7, lon_e7, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_orderkey END AS osm FROM fr WHERE country = 'C1' AND l_orderkey % 13 <> 0 AND lon_e7 % 3 <> 5")
-view("fr_new", "SELECT local_id AS row, level, CAST(lat_e7 + CASE WHEN l_orderkey % 10 = 1 THEN 180 ELSE 0 END AS INT) AS lat_e7, lon_e7, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_orderkey END AS osm FROM fr WHERE country = 'C1' AND l_orderkey % 17 <> 0")
+view("fr_old", "SELECT country, local_id AS row, level, lat_e7, lon_e7, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_orderkey END AS osm FROM fr WHERE l_orderkey % 13 <> 0 AND lon_e7 % 3 <> 5")
+view("fr_new", "SELECT country, local_id AS row, level, CAST(lat_e7 + CASE WHEN l_orderkey % 10 = 1 THEN 180 ELSE 0 END AS INT) AS lat_e7, lon_e7, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_orderkey END AS osm FROM fr WHERE l_orderkey % 17 <> 0")
 
 
-@query("j16_frontier_diff", f"""WITH byid AS (SELECT o.row AS o_row, n.row AS n_row, CASE WHEN o.lat_e7 = n.lat_e7 AND o.lon_e7 = n.lon_e7 THEN 'retained' ELSE 'moved_same_osm_id' END AS what,
+@query("j16_frontier_diff", f"""WITH byid AS (SELECT o.country, o.row AS o_row, n.row AS n_row, CASE WHEN o.lat_e7 = n.lat_e7 AND o.lon_e7 = n.lon_e7 THEN 'retained' ELSE 'moved_same_osm_id' END AS what,
       CASE WHEN o.lat_e7 = n.lat_e7 AND o.lon_e7 = n.lon_e7 THEN NULL ELSE round({haversine('o.lat_e7 / 1e7', 'o.lon_e7 / 1e7', 'n.lat_e7 / 1e7', 'n.lon_e7 / 1e7')}, 2) END AS m
-      FROM fr_old o JOIN fr_new n ON o.osm = n.osm AND o.level = n.level),
-    on2 AS (SELECT * FROM fr_old WHERE row NOT IN (SELECT o_row FROM byid)), nn AS (SELECT * FROM fr_new WHERE row NOT IN (SELECT n_row FROM byid)),
-    byc AS (SELECT on2.row AS o_row, nn.row AS n_row FROM on2 JOIN nn ON on2.level = nn.level AND on2.lat_e7 = nn.lat_e7 AND on2.lon_e7 = nn.lon_e7),
-    seen AS (SELECT what, m FROM byid UNION ALL SELECT 'retained_by_coordinate', NULL FROM byc
-      UNION ALL SELECT 'removed', NULL FROM on2 WHERE row NOT IN (SELECT o_row FROM byc) UNION ALL SELECT 'added', NULL FROM nn WHERE row NOT IN (SELECT n_row FROM byc))
-    SELECT what, count(*) AS n, max(m) AS farthest_m FROM seen GROUP BY what""")
+      FROM fr_old o JOIN fr_new n ON o.country = n.country AND o.osm = n.osm AND o.level = n.level),
+    on2 AS (SELECT * FROM fr_old o WHERE NOT EXISTS (SELECT 1 FROM byid b WHERE b.country = o.country AND b.o_row = o.row)),
+    nn AS (SELECT * FROM fr_new n WHERE NOT EXISTS (SELECT 1 FROM byid b WHERE b.country = n.country AND b.n_row = n.row)),
+    byc AS (SELECT on2.country, on2.row AS o_row, nn.row AS n_row FROM on2 JOIN nn ON on2.country = nn.country AND on2.level = nn.level AND on2.lat_e7 = nn.lat_e7 AND on2.lon_e7 = nn.lon_e7),
+    seen AS (SELECT country, what, m FROM byid UNION ALL SELECT country, 'retained_by_coordinate', NULL FROM byc
+      UNION ALL SELECT country, 'removed', NULL FROM on2 o WHERE NOT EXISTS (SELECT 1 FROM byc b WHERE b.country = o.country AND b.o_row = o.row)
+      UNION ALL SELECT country, 'added', NULL FROM nn n WHERE NOT EXISTS (SELECT 1 FROM byc b WHERE b.country = n.country AND b.n_row = n.row))
+    SELECT country, what, count(*) AS n, max(m) AS farthest_m FROM seen GROUP BY country, what""")
 def j16(t):
     return matching.frontier_diff(t.fr_old, t.fr_new)
 
