@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4_000_000
 CHUNK_DOCS = 1 << 16
-SLICE_BITS = 9
+SLICE_BITS, CHUNKS_A_SLICING = 9, 1024   # 512 slices up to 1024 chunks, then twice as many for each doubling
 BLOCK = 1 << 20
 U64 = np.uint64
 SPACES = np.zeros(256, bool)
@@ -158,11 +158,17 @@ def decode(data: bytes, low: int) -> np.ndarray:
     return np.cumsum(gaps) + U64(low)
 
 
-def cuts(values: np.ndarray, bits: int) -> list[tuple[int, int, int, int]]:
-    """(slice, from, to, lowest value) of sorted values of ``bits`` bits, for each slice that has some."""
-    edges = np.searchsorted(values, np.arange(1 << SLICE_BITS, dtype=U64) << U64(bits - SLICE_BITS))
-    ends = np.append(edges[1:], len(values))
-    return [(int(s), int(edges[s]), int(ends[s]), int(s) << (bits - SLICE_BITS)) for s in np.flatnonzero(ends > edges)]
+def slicing(chunks: DataFrame) -> int:
+    """Bits of the slice number, so that a slice has a few million hashes at most whatever the number of chunks."""
+    return SLICE_BITS + max(0, (chunks.count() // CHUNKS_A_SLICING).bit_length())
+
+
+def cuts(values: np.ndarray, bits: int, slices: int) -> list[tuple[int, int, int, int]]:
+    """(slice, from, to, lowest value) of sorted values of ``bits`` bits, for each of the 2^``slices`` slices that has some."""
+    number = values >> U64(bits - slices)
+    first = np.flatnonzero(np.diff(number, prepend=~number[:1])) if len(values) else np.zeros(0, np.int64)
+    ends = np.append(first[1:], len(values))
+    return [(int(number[a]), int(a), int(b), int(number[a]) << (bits - slices)) for a, b in zip(first, ends, strict=False)]
 
 
 def chunk_map(chunks: DataFrame, fn: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -43,6 +43,7 @@ from atlas.llm.exchange import (
     mix,
     pack,
     rolling,
+    slicing,
 )
 
 SHINGLE, PERCENT = 5, 75
@@ -92,10 +93,10 @@ def _describe(shingle: int):
     return run
 
 
-def _ask_counts(shingle: int):
+def _ask_counts(shingle: int, slices: int):
     def run(row: dict) -> Iterator[pa.RecordBatch]:
         values, counts = np.unique(Sets(row, shingle).values, return_counts=True)
-        parts = cuts(values, 64)
+        parts = cuts(values, 64, slices)
         yield pa.RecordBatch.from_arrays(
             [pa.array([s for s, *_ in parts], pa.int32()), pa.array([row["chunk"].as_py()] * len(parts), pa.int64()),
              pa.array([encode(values[a:b], low) for _, a, b, low in parts], pa.binary()),
@@ -105,17 +106,19 @@ def _ask_counts(shingle: int):
     return run
 
 
-def _answer_counts(group: pa.Table) -> pa.Table:
+def _answer_counts(slices: int):
     """For every hash the binary logarithm of the documents that have it, rounded up: 0 for one document."""
-    low = group.column("slice")[0].as_py() << 55
-    hashes = [decode(h.as_py(), low) for h in group.column("hashes")]
-    counts = np.concatenate([np.frombuffer(c.as_py(), np.uint8) for c in group.column("counts")])
-    _, at = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.bincount(at, counts)
-    rarity = np.ceil(np.log2(total)).astype(np.uint8)[at]
-    ends = np.cumsum([len(h) for h in hashes])
-    return pa.table({"slice": group.column("slice"), "chunk": group.column("chunk"),
-                     "bits": pa.array([rarity[e - len(h):e].tobytes() for e, h in zip(ends, hashes)], pa.binary())})
+    def run(group: pa.Table) -> pa.Table:
+        low = group.column("slice")[0].as_py() << (64 - slices)
+        hashes = [decode(h.as_py(), low) for h in group.column("hashes")]
+        counts = np.concatenate([np.frombuffer(c.as_py(), np.uint8) for c in group.column("counts")])
+        _, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        rarity = np.ceil(np.log2(np.bincount(at, counts))).astype(np.uint8)[at]
+        ends = np.cumsum([len(h) for h in hashes])
+        return pa.table({"slice": group.column("slice"), "chunk": group.column("chunk"),
+                         "bits": pa.array([rarity[e - len(h):e].tobytes() for e, h in zip(ends, hashes, strict=True)], pa.binary())})
+
+    return run
 
 
 def _index(shingle: int, percent: int):
@@ -263,8 +266,9 @@ def components(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     equal = staged(rows.where("n > 0").groupBy("n", "a", "b").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("chunk", "at")).alias("rep")).select("n", "a", "b", "least_id", "rep.chunk", "rep.at"), "equal")
     chosen = equal.groupBy("chunk").agg(F.collect_list("at").alias("chosen"))
-    asked = chunk_map(chunks, _ask_counts(shingle), "slice int, chunk long, hashes binary, counts binary")
-    rarity = staged(asked.groupBy("slice").applyInArrow(_answer_counts, "slice int, chunk long, bits binary"), "rarity")
+    slices = slicing(chunks)
+    asked = chunk_map(chunks, _ask_counts(shingle, slices), "slice int, chunk long, hashes binary, counts binary")
+    rarity = staged(asked.groupBy("slice").applyInArrow(_answer_counts(slices), "slice int, chunk long, bits binary"), "rarity")
     sets = staged(chunk_map(answered(chunks, rarity, "rarity").join(chosen, "chunk"), _index(shingle, percent),
                             "sid long, n long, shared long, tokens array<long>, at array<int>, content array<long>"), "index")
     comps = links(sets, percent)

@@ -32,6 +32,7 @@ from atlas.llm.exchange import (
     flags,
     pack,
     rolling,
+    slicing,
 )
 
 SPAN, BLOCK_WORDS = 20, 10
@@ -60,10 +61,10 @@ def _probes(chunk: Chunk, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return hashes, inside, values[first], state
 
 
-def _ask_anchors(block: int):
+def _ask_anchors(block: int, slices: int):
     def run(row: dict) -> Iterator[pa.RecordBatch]:
         _, _, values, state = _probes(_chunk(row), block)
-        parts = cuts(values, ANCHOR_BITS)
+        parts = cuts(values, ANCHOR_BITS, slices)
         yield pa.RecordBatch.from_arrays(
             [pa.array([s for s, *_ in parts], pa.int32()), pa.array([row["chunk"].as_py()] * len(parts), pa.int64()),
              pa.array([encode(values[a:b], low) for _, a, b, low in parts], pa.binary()),
@@ -73,29 +74,32 @@ def _ask_anchors(block: int):
     return run
 
 
-def _answer_anchors(group: pa.Table) -> pa.Table:
+def _answer_anchors(slices: int):
     """A bit for every probe whose hash is an indexed block and occurs at least twice in the corpus."""
-    low = group.column("slice")[0].as_py() << (ANCHOR_BITS - 9)
-    hashes = [decode(h.as_py(), low) for h in group.column("hashes")]
-    state = [np.packbits(np.pad(np.unpackbits(np.frombuffer(s.as_py(), np.uint8), count=2 * len(h)).reshape(-1, 2), ((0, 0), (6, 0))), axis=1).ravel()
-             for s, h in zip(group.column("state"), hashes)]
-    values, at = np.unique(np.concatenate(hashes), return_inverse=True)
-    every = np.concatenate(state)
-    indexed = np.bincount(at, every & 1, len(values)) > 0
-    twice = np.bincount(at, 1 + (every >> 1), len(values)) > 1
-    good = (indexed & twice)[at]
-    ends = np.cumsum([len(h) for h in hashes])
-    return pa.table({"slice": group.column("slice"), "chunk": group.column("chunk"),
-                     "bits": pa.array([np.packbits(good[e - len(h):e]).tobytes() for e, h in zip(ends, hashes)], pa.binary())})
+    def run(group: pa.Table) -> pa.Table:
+        low = group.column("slice")[0].as_py() << (ANCHOR_BITS - slices)
+        hashes = [decode(h.as_py(), low) for h in group.column("hashes")]
+        state = [np.packbits(np.pad(np.unpackbits(np.frombuffer(s.as_py(), np.uint8), count=2 * len(h)).reshape(-1, 2), ((0, 0), (6, 0))), axis=1).ravel()
+                 for s, h in zip(group.column("state"), hashes, strict=True)]
+        values, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        every = np.concatenate(state)
+        indexed = np.bincount(at, every & 1, len(values)) > 0
+        twice = np.bincount(at, 1 + (every >> 1), len(values)) > 1
+        good = (indexed & twice)[at]
+        ends = np.cumsum([len(h) for h in hashes])
+        return pa.table({"slice": group.column("slice"), "chunk": group.column("chunk"),
+                         "bits": pa.array([np.packbits(good[e - len(h):e]).tobytes() for e, h in zip(ends, hashes, strict=True)], pa.binary())})
+
+    return run
 
 
 class _Candidates:
     """Windows of ``span`` words around anchor hits, ordered by content and then by place."""
 
-    def __init__(self, row: dict, span: int, block: int):
+    def __init__(self, row: dict, span: int, block: int, slices: int):
         self.chunk = chunk = _chunk(row)
         hashes, inside, values, _ = _probes(chunk, block)
-        good = flags(row["anchors"], [b - a for _, a, b, _ in cuts(values, ANCHOR_BITS)])
+        good = flags(row["anchors"], [b - a for _, a, b, _ in cuts(values, ANCHOR_BITS, slices)])
         hit = np.zeros(len(chunk.hashes) + 1, np.int64)
         if len(values):
             hit[1:len(hashes) + 1] = inside & good[np.minimum(np.searchsorted(values, hashes), len(values) - 1)]
@@ -130,10 +134,10 @@ def _wide(low: int, data: bytes) -> np.ndarray:
     return (gaps.astype(U64) + U64(low % (1 << 64))).view(np.int64)
 
 
-def _ask_windows(span: int, block: int):
+def _ask_windows(span: int, block: int, slices: int):
     def run(row: dict) -> Iterator[pa.RecordBatch]:
-        found = _Candidates(row, span, block)
-        parts = cuts(found.a, 64)
+        found = _Candidates(row, span, block, slices)
+        parts = cuts(found.a, 64, slices)
         ids = [_narrow(found.ids[a:b]) for _, a, b, _ in parts]
         yield pa.RecordBatch.from_arrays(
             [pa.array([s for s, *_ in parts], pa.int32()), pa.array([row["chunk"].as_py()] * len(parts), pa.int64()),
@@ -145,26 +149,29 @@ def _ask_windows(span: int, block: int):
     return run
 
 
-def _answer_windows(group: pa.Table) -> pa.Table:
+def _answer_windows(slices: int):
     """A bit for every window whose content also starts in an earlier document of another chunk."""
-    low = group.column("slice")[0].as_py() << 55
-    hashes = [decode(h.as_py(), low) for h in group.column("hashes")]
-    sizes = [len(h) for h in hashes]
-    a, b = np.concatenate(hashes), np.concatenate([np.frombuffer(c.as_py(), U64) for c in group.column("check")])
-    ids = np.concatenate([_wide(n.as_py(), i.as_py()) for n, i in zip(group.column("low"), group.column("ids"))])
-    chunk = np.repeat(np.array(group.column("chunk").to_pylist(), np.int64), sizes)
-    order = np.lexsort((chunk, ids, b, a))
-    later = np.zeros(len(a), bool)
-    later[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]])
-    ends = np.cumsum(sizes)
-    return pa.table({"slice": group.column("slice"), "chunk": group.column("chunk"),
-                     "bits": pa.array([np.packbits(later[e - n:e]).tobytes() for e, n in zip(ends, sizes)], pa.binary())})
-
-
-def _cut(span: int, block: int):
+    def run(group: pa.Table) -> pa.Table:
+        low = group.column("slice")[0].as_py() << (64 - slices)
+        hashes = [decode(h.as_py(), low) for h in group.column("hashes")]
+        sizes = [len(h) for h in hashes]
+        a, b = np.concatenate(hashes), np.concatenate([np.frombuffer(c.as_py(), U64) for c in group.column("check")])
+        ids = np.concatenate([_wide(n.as_py(), i.as_py()) for n, i in zip(group.column("low"), group.column("ids"), strict=True)])
+        chunk = np.repeat(np.array(group.column("chunk").to_pylist(), np.int64), sizes)
+        order = np.lexsort((chunk, ids, b, a))
+        later = np.zeros(len(a), bool)
+        later[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]])
+        ends = np.cumsum(sizes)
+        return pa.table({"slice": group.column("slice"), "chunk": group.column("chunk"),
+                         "bits": pa.array([np.packbits(later[e - n:e]).tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())})
+
+    return run
+
+
+def _cut(span: int, block: int, slices: int):
     def run(row: dict) -> Iterator[pa.RecordBatch]:
-        found = _Candidates(row, span, block)
-        later = flags(row["windows"], [b - a for _, a, b, _ in cuts(found.a, 64)])
+        found = _Candidates(row, span, block, slices)
+        later = flags(row["windows"], [b - a for _, a, b, _ in cuts(found.a, 64, slices)])
         repeat = np.ones(len(found.starts), bool)
         if len(later):
             repeat[found.first] = later
@@ -195,9 +202,10 @@ def remove_repeats(documents: DataFrame, span: int = SPAN, block: int = BLOCK_WO
     if not 1 <= block <= (span + 1) // 2:
         raise ValueError("block must be at most half of span + 1")
     chunks = staged(pack(documents), "chunks")
-    asked = chunk_map(chunks, _ask_anchors(block), "slice int, chunk long, hashes binary, state binary")
-    anchors = staged(asked.groupBy("slice").applyInArrow(_answer_anchors, "slice int, chunk long, bits binary"), "anchors")
+    slices = slicing(chunks)
+    asked = chunk_map(chunks, _ask_anchors(block, slices), "slice int, chunk long, hashes binary, state binary")
+    anchors = staged(asked.groupBy("slice").applyInArrow(_answer_anchors(slices), "slice int, chunk long, bits binary"), "anchors")
     with_anchors = answered(chunks, anchors, "anchors")
-    asked = chunk_map(with_anchors, _ask_windows(span, block), "slice int, chunk long, hashes binary, check binary, low long, ids binary")
-    windows = staged(asked.groupBy("slice").applyInArrow(_answer_windows, "slice int, chunk long, bits binary"), "windows")
-    return chunk_map(answered(with_anchors, windows, "windows"), _cut(span, block), "doc_id long, n_words long, n_removed long, text string")
+    asked = chunk_map(with_anchors, _ask_windows(span, block, slices), "slice int, chunk long, hashes binary, check binary, low long, ids binary")
+    windows = staged(asked.groupBy("slice").applyInArrow(_answer_windows(slices), "slice int, chunk long, bits binary"), "windows")
+    return chunk_map(answered(with_anchors, windows, "windows"), _cut(span, block, slices), "doc_id long, n_words long, n_removed long, text string")

@@ -58,6 +58,7 @@ def groups(texts, percent=75):
 
 def test_repeats_are_cut_as_by_hand(docs, monkeypatch):
     monkeypatch.setattr(exchange, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(exchange, "CHUNKS_A_SLICING", 2)
     rows = [r for r in ROWS if r[0] not in (5, None) and ROWS.count(r) == 1]
     got = {r.doc_id: r for r in substring_dedup.remove_repeats(docs.where(F.col("doc_id").isin([r[0] for r in rows])), span=12, block=6).collect()}
     seen, removed = set(), 0
@@ -81,6 +82,7 @@ def test_repeated_rows_and_null_ids_are_cut_once(docs):
 
 def test_near_copies_share_a_component(docs, monkeypatch):
     monkeypatch.setattr(exchange, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(exchange, "CHUNKS_A_SLICING", 3)
     sets, at = groups([r[1] for r in ROWS])
     least = collections.defaultdict(list)
     for row, comp in zip(ROWS, at):
