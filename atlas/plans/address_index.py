@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atlas.functions import text
+from atlas.functions import geo, osm, text
 from atlas.operators import address, spatial
 from atlas.operators.groups import dense_ids, greedy_thin, most_frequent, upper_median
 from atlas.plans.localities import Localities
@@ -25,6 +25,30 @@ class AddressIndex:
     stats: DataFrame      # what, n
 
 
+def address_objects(features: DataFrame) -> DataFrame:
+    """Features of an extract that carry a house number, as ``objects``: what ``resolve`` takes.
+
+    ``features`` as ``read_geojson_seq`` gives them. A point stands for itself, a line for the mean of its points, an
+    area for the mean of its first outer ring.
+    """
+    tag = lambda k: F.col("tags")[k]
+    mean = geo.ring_centroid(F.coalesce(F.when(F.size("rings") > 0, F.col("rings")), F.array("line")))
+    lat, lon = F.coalesce("lat", mean["y"]), F.coalesce("lon", mean["x"])
+    numbered = features.filter(tag("addr:housenumber") != "").select(
+        osm.kind_code(F.col("object")).alias("kind"), "oid", lat.alias("lat"), lon.alias("lon"), tag("addr:street").alias("street"),
+        tag("addr:place").alias("place"), F.coalesce(tag("addr:city"), F.lit("")).alias("city"), tag("addr:housenumber").alias("num"))
+    e7 = lambda c: F.bround(F.col(c) * 1e7).cast("int").alias(f"{c}_e7")
+    return numbered.filter("lat is not null").select("kind", "oid", e7("lat"), e7("lon"), "lat", "lon", "street", "place", "city", "num")
+
+
+def house_members(relations: DataFrame) -> DataFrame:
+    """Members of the relations that give their houses a street name: rel_id, kind, ref, role, name."""
+    tags = F.col("tags")
+    named = relations.filter((tags["type"] == "associatedStreet") & (tags["name"] != ""))
+    return (named.select(F.col("id").alias("rel_id"), F.explode("members").alias("m"), tags["name"].alias("name"))
+            .select("rel_id", osm.kind_code(F.col("m.type")).alias("kind"), F.col("m.ref").alias("ref"), F.col("m.role").alias("role"), "name"))
+
+
 def resolve(objects: DataFrame, members: DataFrame, places: Localities, place_areas: DataFrame,
             country: DataFrame | None = None, coast: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Objects with their street and locality, and what each decision counted.

@@ -14,6 +14,13 @@ from atlas.operators.groups import dense_ids
 from atlas.session import cut_lineage
 
 
+# --- fixed values: levels whose areas tell localities of one name apart, by country --------------
+DISTRICT_LEVEL = {"MD": "4", "RO": "4", "HU": "6", "AT": "6", "DE": "6", "RU": "6"}
+COMMUNE_LEVEL = {"RO": "8", "AT": "8", "DE": "8", "RU": "8"}
+OTHER_DISTRICT_LEVEL = "6"
+# ------------------------------------------------------------------------------------------------
+
+
 @dataclass(frozen=True)
 class Localities:
     locality: DataFrame   # id, pid, name, aliases, kind, kind_rank, district, commune, lat, lon, pop
@@ -40,15 +47,34 @@ def admin_level_filter(areas: DataFrame, level: str) -> DataFrame:
     return areas.filter((tags["boundary"] == "administrative") & (tags["admin_level"] == level) & (tags["name"] != ""))
 
 
+def admin_areas(areas: DataFrame, code: str) -> tuple[DataFrame, DataFrame | None]:
+    """Districts and, where the country has them, communes among administrative ``areas(pid, tags, rings)``."""
+    districts = admin_level_filter(areas, DISTRICT_LEVEL.get(code, OTHER_DISTRICT_LEVEL))
+    return districts, admin_level_filter(areas, COMMUNE_LEVEL[code]) if code in COMMUNE_LEVEL else None
+
+
+def fallback_items(items: DataFrame, fallback: DataFrame) -> DataFrame:
+    """``items``, or the places of the search index ``fallback(name, lat, lon, pop)`` as towns when there is none."""
+    none = F.lit("")
+    towns = fallback.select(
+        F.concat(F.lit("i"), F.md5(F.concat_ws("|", "name", "lat", "lon"))).alias("pid"), "name", F.array().cast("array<string>").alias("aliases"),
+        F.lit("town").alias("kind"), F.col("pop").cast("bigint").alias("pop"), none.alias("wikidata"), none.alias("is_in"), "lat", "lon", F.lit(False).alias("area_only"))
+    count = items.agg(F.count(F.lit(1))).scalar()
+    return items.unionByName(towns.dropDuplicates(["pid"]).filter(count == 0).select(*items.columns))
+
+
 def build_localities(points: DataFrame, areas: DataFrame, country: DataFrame | None,
-                     districts: DataFrame, communes: DataFrame | None) -> Localities:
+                     districts: DataFrame, communes: DataFrame | None, fallback: DataFrame | None = None) -> Localities:
     """``points(pid, tags, lat, lon)``, ``areas(pid, tags, rings)``; districts and communes are admin areas
-    ``(pid, tags, rings)``; a country without communes passes None and merges no duplicates."""
+    ``(pid, tags, rings)``; a country without communes passes None and merges no duplicates. ``fallback(name, lat, lon,
+    pop)`` are the places of the search index, which stand in for a country that names no locality."""
     fields = ["pid", "name", "aliases", "kind", "pop", "wikidata", "is_in"]
     pts = cut_lineage(read_places(points).select(*fields, "lat", "lon"))
     ars = cut_lineage(read_places(areas).select(*fields, "rings"))
     owners = cut_lineage(places.area_owner(pts, ars))
     items = places.flow_to_owners(pts, ars, owners)
+    if fallback is not None:
+        items = cut_lineage(fallback_items(items, fallback))
     found = items
     if country is not None:
         items = spatial.country_cut(items, country, key="pid")

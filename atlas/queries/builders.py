@@ -15,7 +15,7 @@ from atlas.queries.scalars import BUS_SIDE
 from atlas.queries.spatial import ALL_PAIRS, EXTRACT, NAMED, regions
 from atlas.queries.sqltext import bearing
 from atlas.session import scratch_folder
-from atlas.sources import sinks
+from atlas.sources import map_objects, sinks
 
 c = F.col
 
@@ -275,3 +275,65 @@ def q04(t):
     return search_ops.street_context(t.t_street, locality, commune)
 
 
+
+
+def extract_text(t):
+    """Addressed features as an extract writes them: nodes as points, ways as lines or areas, relations as multipolygons."""
+    pairs = [("addr:housenumber", "num"), ("addr:street", "street"), ("addr:place", "place"), ("addr:city", "city")]
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("node", "way", "relation")]), c("kind") + 1)
+    props = F.map_filter(F.create_map(F.lit("@type"), kind, F.lit("@id"), c("oid").cast("string"), *[x for k, v in pairs for x in (F.lit(k), c(v))]), lambda k, v: v.isNotNull())
+    at = lambda dx, dy: F.array(c("lon") + dx, c("lat") + dy)
+    ring = F.array(at(0.0, 0.0), at(0.0, 0.001), at(0.001, 0.001), at(0.0, 0.0))
+    hole = F.array(at(0.0002, 0.0002), at(0.0002, 0.0003), at(0.0002, 0.0002))
+    shapes = {"Point": at(0.0, 0.0), "LineString": F.array(at(0.0, 0.0), at(0.002, 0.001)), "Polygon": F.array(ring, hole), "MultiPolygon": F.array(F.array(ring, hole), F.array(hole))}
+    shape = (F.when(c("kind") == 0, "Point").when((c("kind") == 1) & (c("oid") % 2 == 0), "LineString").when(c("kind") == 1, "Polygon").otherwise("MultiPolygon"))
+    text = F.coalesce(*[F.when(shape == name, F.to_json(F.struct(F.lit("Feature").alias("type"), props.alias("properties"), F.struct(F.lit(name).alias("type"), xy.alias("coordinates")).alias("geometry")))) for name, xy in shapes.items()])
+    path = scratch_folder(t.spark, "extract")
+    t.addr.select(F.concat(F.lit("\x1e"), text).alias("value")).write.text(path)
+    return path
+
+
+MEAN = {"line": ("lat + 0.001e0 / 2", "lon + 0.002e0 / 2"), "ring": ("lat + 0.002e0 / 4", "lon + 0.001e0 / 4")}
+
+
+@query("p03_address_objects", f"""SELECT kind, oid, round(CASE WHEN kind = 0 THEN lat WHEN kind = 1 AND oid % 2 = 0 THEN {MEAN['line'][0]} ELSE {MEAN['ring'][0]} END, 6) AS lat,
+    round(CASE WHEN kind = 0 THEN lon WHEN kind = 1 AND oid % 2 = 0 THEN {MEAN['line'][1]} ELSE {MEAN['ring'][1]} END, 6) AS lon, street, place, coalesce(city, '') AS city, num FROM addr""")
+def p03_objects(t):
+    read = map_objects.read_geojson_seq(t.spark, extract_text(t))
+    found = address_index.address_objects(read)
+    return found.select("kind", "oid", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "street", "place", "city", "num")
+
+
+@query("p03_house_members", """SELECT rel_id, kind, ref, role, name FROM rel_member WHERE name IS NOT NULL AND rel_id % 5 <> 0""")
+def p03_members(t):
+    """Relations of other types, and those without a name, give no street."""
+    letter = F.element_at(F.array(F.lit("n"), F.lit("w"), F.lit("r")), c("kind") + 1)
+    kind = F.when(c("rel_id") % 5 == 0, "street").otherwise("associatedStreet")
+    tags = F.map_filter(F.create_map(F.lit("type"), kind, F.lit("name"), c("name")), lambda k, v: v.isNotNull())
+    relations = t.rel_member.select(c("rel_id").alias("id"), tags.alias("tags"), F.array(F.struct(letter.alias("type"), c("ref"), c("role"))).alias("members"))
+    return address_index.house_members(relations)
+
+
+@query("p02_admin_areas", """SELECT 'RO' AS code, CAST(n_nationkey AS VARCHAR) AS pid, CASE n_nationkey % 4 WHEN 0 THEN 'district' ELSE 'commune' END AS what FROM nation WHERE n_nationkey % 4 IN (0, 2)
+    UNION ALL SELECT 'MD', CAST(n_nationkey AS VARCHAR), 'district' FROM nation WHERE n_nationkey % 4 = 0 UNION ALL SELECT 'FR', CAST(n_nationkey AS VARCHAR), 'district' FROM nation WHERE n_nationkey % 4 = 1""")
+def p02_admin(t):
+    level = F.element_at(F.array(*[F.lit(x) for x in ("4", "6", "8", "8")]), (c("n_nationkey") % 4 + 1).cast("int"))
+    boundary = F.when(c("n_nationkey") % 4 == 3, "political").otherwise("administrative")
+    areas = t.nation.select(c("n_nationkey").cast("string").alias("pid"), F.create_map(F.lit("boundary"), boundary, F.lit("admin_level"), level, F.lit("name"), c("n_name")).alias("tags"), F.lit(None).alias("rings"))
+    rows = None
+    for code in ("RO", "MD", "FR"):
+        for what, df in zip(("district", "commune"), localities.admin_areas(areas, code), strict=True):
+            if df is not None:
+                part = df.select(F.lit(code).alias("code"), "pid", F.lit(what).alias("what"))
+                rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+@query("p02_fallback_places", "SELECT n_name AS name, 'town' AS kind, CAST(n_nationkey AS BIGINT) AS pop FROM nation")
+def p02_fallback(t):
+    """A country whose extract names no locality takes the places of its search index."""
+    none = t.place_point.limit(0).select("pid", F.create_map().cast("map<string,string>").alias("tags"), "lat", "lon")
+    areas = place_areas(t).limit(0).select("pid", F.create_map().cast("map<string,string>").alias("tags"), "rings")
+    index = t.nation.select(c("n_name").alias("name"), (c("n_nationkey") * 0.01 + 47).alias("lat"), (c("n_nationkey") * 0.01 + 28).alias("lon"), c("n_nationkey").alias("pop"))
+    built = localities.build_localities(none, areas, None, areas, None, index)
+    return built.locality.select("name", "kind", "pop")

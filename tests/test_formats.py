@@ -86,3 +86,46 @@ def test_archive_header_files(spark, tmp_path):
     assert (good.version, good.root_start, good.tiles_bytes, good.west_e7, good.south_e7) == (3, 127, 8, -1, -2)
     got = {(r.path.rsplit("/", 1)[-1], r.rule) for r in archive_gate(read).collect()}
     assert got == {("short.bin", "too short"), ("zoom.bin", "zoom range"), ("zoom.bin", "tiles beyond the file")}
+
+
+def test_files_of_one_name_in_two_folders_stay_apart(spark, tmp_path):
+    from atlas.sources import logs
+
+    def put(folder, name, text):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_text(text)
+
+    put("a", "samples.csv", "# memory source: cgroup2\nepoch,mem_bytes,disk_kb\n1,100,7\n")
+    put("b", "samples.csv", "# memory source: meminfo\nepoch,disk_kb,mem_bytes\n1,8,200\n")
+    rows = logs.read_samples(spark, str(tmp_path / "*" / "samples.csv")).collect()
+    assert sorted((r.file.split("/")[-2], r.mem_bytes, r.disk_kb, r.source) for r in rows) == [("a", 100, 7, "cgroup2"), ("b", 200, 8, "meminfo")]
+    put("a", "stages.csv", "stage,seconds\nx,1\nx,2\n")
+    put("b", "stages.csv", "seconds,stage\n5,x\n".replace("seconds,stage", "stage,note,seconds").replace("5,x", "x,n,5"))
+    assert sorted(r.seconds for r in logs.read_stages(spark, str(tmp_path / "*" / "stages.csv")).collect()) == [3, 5]
+    for folder, x in (("a", 1), ("b", 5)):
+        put(folder, "c.poly", f"land\n1\n {x} 0\n {x} 1\n {x + 1} 1\nEND\nEND\n")
+        put(folder, "c.geojson", '{"type":"Polygon","coordinates":[[[%d,0],[%d,1],[2,2],[%d,0]]]}' % (x, x, x))
+        put(folder, "lanes.txt", f"x-buslanes 1\nw{x} right\n")
+        put(folder, "frontier.txt", "\n".join(FRONTIER[:6] + [f"1 3 4 9 {x}"]))
+        put(folder, "portals.txt", f"{x} 2 0   # 1.0, 2.0\n")
+    every = lambda name: str(tmp_path / "*" / name)
+    assert [len(r.rings) for r in map_objects.read_poly(spark, every("c.poly")).collect()] == [1, 1]
+    assert map_objects.read_geojson_polygons(spark, every("c.geojson")).select("file").distinct().count() == 2
+    assert sorted(r.way_id for r in strict_text.read_bus_lanes(spark, every("lanes.txt")).rows.collect()) == [1, 5]
+    parsed = strict_text.read_frontier(spark, every("frontier.txt"))
+    assert parsed.problems.count() == 0 and parsed.rows.select("file").distinct().count() == 2
+    assert strict_text.read_portals(spark, every("portals.txt")).select("file").distinct().count() == 2
+
+
+def test_long_verdicts_are_kept_whole(spark):
+    from atlas.sources import logs
+
+    said = logs.mine_gate_reports(text_lines(spark, ["ROUTES GATE: " + "x" * 3000]), "routes").first().said
+    assert said == "x" * 3000
+
+
+def test_direction_lists_take_the_kind_of_their_first_part(spark):
+    from atlas.functions import osm
+
+    rows = spark.createDataFrame([("N;90",), ("90;N",), ("N;0-90",)], "v string").select("v", osm.parse_direction(F.col("v")).alias("d")).collect()
+    assert {r.v: (r.d.src, r.d.degrees) for r in rows} == {"N;90": ("card", [0.0, 90.0]), "90;N": ("deg", [90.0, 0.0]), "N;0-90": (None, None)}
