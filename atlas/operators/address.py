@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from atlas.functions import geo, text
 from atlas.operators import spatial
+from atlas.operators.grid import Grid
 from atlas.operators.groups import first_by, nearest_within
 
 PLAUSIBLE_KM = 25.0
+FINE_M, SLACK_KM = 2000.0, 10.0   # small cells of by_city; more than a cell's diagonal
 ANCHOR_KM = 3.0
 NEAR_KM = 15.0
 FALLBACK_KM = 30.0
@@ -46,16 +48,35 @@ def street_alias_lookup(ways: DataFrame) -> DataFrame:
 def by_city(points: DataFrame, localities: DataFrame) -> DataFrame:
     """Locality named by the city tag within 25 km, nearest first: point, site, km.
 
+    All houses of a large city share its key, so sites are first met by the small cells in which a key occurs,
+    and the points then meet the sites of their own small cell.
+
     ``points(point, lat, lon, city)``; ``localities(site, lat, lon, name, aliases)``.
     """
     asked = (points.filter(F.col("city") != "")
              .select("point", "lat", "lon", F.posexplode(text.city_keys(F.col("city"))).alias("key_ord", "key")))
-    asked = asked.select(F.struct("point", "key_ord").alias("point"), "lat", "lon", "key")
+    fine, wide = Grid(FINE_M), Grid((PLAUSIBLE_KM + SLACK_KM) * 1000)
+    asked = asked.withColumn("cell", fine.cell(F.col("lat"), F.col("lon")))
+    spot = asked.groupBy("key", "cell").agg(F.min(F.struct("lat", "lon")).alias("at"))
+    spot = spot.withColumn("far", wide.cell(F.col("at.lat"), F.col("at.lon")))
     names = F.array_distinct(F.transform(F.concat(F.array("name"), F.col("aliases")), text.name_key))
-    sites = localities.select("site", "lat", "lon", F.explode(names).alias("key"))
-    found = nearest_within(asked, sites, ["key"], (PLAUSIBLE_KM,), geo.km).filter(F.col("site").isNotNull())
-    best = F.min(F.struct("km", "point.key_ord", "site")).alias("best")
-    return found.groupBy(F.col("point.point").alias("point")).agg(best).select("point", "best.site", "best.km")
+    sites = (localities.select("site", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"), F.explode(names).alias("key"))
+             .groupBy("key", "s_lat", "s_lon").agg(F.min("site").alias("site")))
+    around = sites.withColumn("far", F.explode(wide.around(F.col("s_lat"), F.col("s_lon"))))
+    reach = (spot.join(around, ["key", "far"])
+             .filter(geo.km(F.col("at.lat"), F.col("at.lon"), F.col("s_lat"), F.col("s_lon")) < PLAUSIBLE_KM + SLACK_KM)
+             .select("key", "cell", "site", "s_lat", "s_lon"))
+    km = geo.km(F.col("lat"), F.col("lon"), F.col("s_lat"), F.col("s_lon"))
+    found = asked.join(reach, ["key", "cell"]).withColumn("km", km).filter(F.col("km") < PLAUSIBLE_KM)
+    best = F.min(F.struct("km", "key_ord", "site")).alias("best")
+    return found.groupBy("point").agg(best).select("point", "best.site", "best.km")
+
+
+def object_stats(objects: DataFrame) -> DataFrame:
+    """What the addressed objects state: objects, no_street, via_addr_place, with_city, numbers."""
+    street, place, relation = (F.col(c).isNull() for c in ("street", "place", "rel_id"))
+    return objects.agg(F.count(F.lit(1)).alias("objects"), F.count_if(street & place & relation).alias("no_street"),
+                       F.count_if(street & ~place).alias("via_addr_place"), F.count("city").alias("with_city"), F.count_distinct("num").alias("numbers"))
 
 
 def nearest_locality(points: DataFrame, sites: DataFrame, coast: DataFrame | None = None) -> DataFrame:

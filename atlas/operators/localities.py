@@ -171,3 +171,8 @@ def merge_duplicates(localities: DataFrame) -> tuple[DataFrame, DataFrame]:
             .withColumn("pop", F.greatest("pop", F.coalesce("most", F.lit(0).cast("bigint"))))
             .select(*localities.columns))
     return kept, merged.select("pid", "survivor", "why", "lat", "lon", "conflict")
+
+
+def same_name_census(localities: DataFrame) -> DataFrame:
+    """Names that several localities of one commune share: name, commune, n."""
+    return localities.groupBy("name", "commune").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

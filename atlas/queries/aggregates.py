@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atlas.functions import text
-from atlas.operators import features, network, routes
+from atlas.operators import address, features, network, routes
 from atlas.queries import views
 from atlas.queries.base import query, view
 from atlas.queries.sqltext import haversine
@@ -23,8 +23,7 @@ def a01(t):
 @query("a08_build_stats", """SELECT count(*) AS objects, count(*) FILTER (WHERE street IS NULL AND place IS NULL AND rel_id IS NULL) AS no_street, count(*) FILTER (WHERE street IS NULL AND place IS NOT NULL) AS via_addr_place,
     count(city) AS with_city, count(DISTINCT num) AS numbers FROM addr""")
 def a08(t):
-    return t.addr.agg(F.count(F.lit(1)).alias("objects"), F.count_if(c("street").isNull() & c("place").isNull() & c("rel_id").isNull()).alias("no_street"),
-                      F.count_if(c("street").isNull() & c("place").isNotNull()).alias("via_addr_place"), F.count("city").alias("with_city"), F.count_distinct("num").alias("numbers"))
+    return address.object_stats(t.addr)
 
 
 LENGTHS = "SELECT o_custkey AS length, o_orderstatus AS highway, o_orderkey AS way FROM orders"

@@ -236,7 +236,7 @@ def u07(t):
 @query("a21_same_name_census", "SELECT name, CAST(substr(pid, 2) AS BIGINT) % 40 AS commune, count(*) AS n FROM place_point GROUP BY ALL HAVING count(*) > 1")
 def a21(t):
     rows = t.place_point.select("name", (F.substring("pid", 2, 20).cast("bigint") % 40).alias("commune"))
-    return rows.groupBy("name", "commune").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return localities.same_name_census(rows)
 
 
 VERTS = """v AS (SELECT way_id AS way, node_id AS node, lat, lon FROM way_node JOIN node ON node.id = node_id),
