@@ -37,7 +37,7 @@ FAMILIES = {
 }
 FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 FEATURES = 1 << 12
-PER_LANGUAGE, ALL_ROWS = 1000, 16_000
+PER_LANGUAGE, ALL_ROWS, MOST_LANGUAGES = 1000, 16_000, 1000
 BLOCK_CHARS = 1 << 19
 UNKNOWN = "und"
 
@@ -163,13 +163,15 @@ class Model:
 def sample(labelled: DataFrame, per_language: int = PER_LANGUAGE, all_rows: int = ALL_ROWS) -> DataFrame:
     """(text, lang): about ``per_language`` rows of every language, all where it has fewer, chosen by a hash of the row.
 
-    With so many languages that this would pass ``all_rows``, each has an equal share of ``all_rows``.
+    With so many languages that this would pass ``all_rows``, each has an equal share of ``all_rows``; the
+    ``MOST_LANGUAGES`` labels with most rows are learned.
     """
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang", "doc_id")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    number = counts.agg(F.map_from_entries(F.collect_list(F.struct("lang", "n")))).scalar()
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    most = F.least(F.lit(float(per_language)), all_rows / counts.agg(F.greatest(F.count("*"), F.lit(1))).scalar())
-    return rows.join(counts, "lang").where(share < most / F.col("n")).select("text", "lang")
+    most = F.least(F.lit(float(per_language)), all_rows / F.greatest(F.size(number), F.lit(1)))
+    return rows.where(share < most / F.element_at(number, F.col("lang"))).select("text", "lang")
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, features: int = FEATURES) -> Model:
