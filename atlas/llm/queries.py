@@ -63,7 +63,20 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), tokenizer_path(spark, "word_bpe_49k.json"))
 
 
-@query("op4_substring_dedup")
+SPACE_WORDS = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+REPEATS_ORACLE = f"""
+WITH d AS (SELECT doc_id, {SPACE_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+later AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS p FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN p IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(p, i)) END, ' ')) AS kept_sha256 FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query("op4_substring_dedup", REPEATS_ORACLE)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -100,7 +113,18 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(table(spark, folder, "documents").select("doc_id"), F.col("doc_id"), SHARDS).select("doc_id", "slot", "shard")
 
 
-@query("op8_ngram_jaccard_join")
+JACCARD_ORACLE = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {SPACE_WORDS.format(FOLDED)} AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+reached AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)
+"""
+
+
+@query("op8_ngram_jaccard_join", JACCARD_ORACLE)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -112,7 +136,21 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "text", *[F.col("pii_counts")[k].alias(f"n_{k}") for k in pii.KINDS])
 
 
-@query("op10_decontamination")
+PLAIN_WORDS = rf"list_filter(string_split_regex({FOLDED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+LEAKS_ORACLE = f"""
+WITH d AS (SELECT doc_id, {PLAIN_WORDS} AS w FROM documents),
+items AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {PLAIN_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM items)),
+places AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows))),
+hits AS (SELECT doc_id, i, n, item_id FROM places JOIN windows USING (n, s)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op10_decontamination", LEAKS_ORACLE)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("spans", "items")
