@@ -70,12 +70,13 @@ def dropped_lines(documents: DataFrame, depth: int = DEPTH, min_docs: int = MIN_
     near = staged(brief.join(leaves, "leaf", "left_semi"), "near")
     counts = near.groupBy("leaf", "own").agg(F.count("*").alias("n"))
     texts = lines.select("leaf", "own", "tokens").join(leaves, "leaf", "left_semi").groupBy("leaf", "own").agg(F.any_value("tokens").alias("tokens"))
-    which = staged(templates(texts.join(counts, ["leaf", "own"]), depth, agree, similar), "templates")
+    different = staged(texts.join(counts, ["leaf", "own"]), "different")
+    which = staged(templates(different, depth, agree, similar), "templates")
     placed = staged(near.drop("leaf").join(which, "own"), "placed")
-    recurring = _frequent(placed, "template", min_docs)
-    hits = placed.join(recurring, "template", "left_semi")
-    first = hits.groupBy("template").agg(F.min(F.struct("k_id", "k_hash", "at")).alias("first"))
-    return (hits.join(first, "template").where(~F.struct("k_id", "k_hash", "at").eqNullSafe(F.col("first")))
+    first = placed.groupBy("template").agg(F.min(F.struct("k_id", "k_hash", "at")).alias("first"))
+    recurring = staged(_frequent(placed, "template", min_docs).join(first, "template"), "recurring")
+    # both sides are read and dealt for this join alone, so a template that fills a third of the rows can be split
+    return (placed.join(recurring, "template").where(~F.struct("k_id", "k_hash", "at").eqNullSafe(F.col("first")))
             .select("k_id", "k_hash", "at", "template"))
 
 
