@@ -8,10 +8,14 @@ own, equal after masking. A template that occurs in ``min_docs`` documents or mo
 from every document but the first (smallest doc_id), which keeps its first one.
 
 Leaves that no ``min_docs`` documents reach need no template, so only lines of the others are looked at token by token.
-Lines of fewer than ``min_tokens`` tokens say too little to be templates and always stay. Defined results: a null text stays
-null with no lines, an empty one has one empty line; blank lines stay; rows repeated under one doc_id are one document in
-counts of documents, and each is rewritten; a null doc_id counts as one document, the smallest; an empty table gives an
-empty result; all columns stay and n_lines and n_dropped are added.
+Lines of fewer than ``min_tokens`` tokens always stay; the query and the pipeline pass ``EVERY_LINE``, so that all lines
+that are not blank go through the tree. A line no longer than the path is its own leaf and template, equal after masking. A
+line with more fields than other tokens says nothing once masked and equals only the same line unmasked.
+
+Defined results: a null text stays null with no lines, an empty one has one empty line; blank lines stay, also those of
+Unicode white space; rows repeated under one doc_id are one document in counts of documents, and each is rewritten; a null
+doc_id counts as one document, the smallest; an empty table gives an empty result; all columns stay and n_lines and
+n_dropped are added.
 """
 
 from __future__ import annotations
@@ -22,22 +26,30 @@ from pyspark.sql import functions as F
 from atlas.llm.common import join_back, row_key, staged
 
 DEPTH, MIN_DOCS, MIN_TOKENS = 3, 3, 4
+EVERY_LINE = 1   # min_tokens by which only blank lines stay out of the tree
 AGREE, SIMILAR = 0.5, 0.7
 FIELD = "<*>"
 
 
+def plain_tokens(line: Column) -> Column:
+    return F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda t: t != "")
+
+
 def masked_tokens(line: Column) -> Column:
-    tokens = F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda t: t != "")
+    tokens = plain_tokens(line)
     return F.when(line.rlike("[0-9]"), F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))).otherwise(tokens)
 
 
 def _lines(documents: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(k_id, k_hash, at, leaf, own): lines that can be templates; ``own`` is the hash of the masked line."""
+    """(k_id, k_hash, at, leaf, own): lines that can be templates; ``own`` is the hash of the masked line, or of the line if most of it is fields."""
     lines = documents.where(F.col("text").isNotNull()).select(
         *row_key(F.col("doc_id"), F.col("text")), F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
     tokens = F.explode(F.array(masked_tokens(F.col("line")))).alias("tokens")
-    return (lines.where(F.length("line") >= 2 * min_tokens - 1).select("k_id", "k_hash", "at", tokens).where(F.size("tokens") >= min_tokens)
-            .select("k_id", "k_hash", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("tokens").alias("own"), "tokens"))
+    worded = (F.length("line") >= 2 * min_tokens - 1) & F.col("line").rlike(r"(?U)\S")
+    fields = F.size(F.filter("tokens", lambda t: t == FIELD))
+    own = F.when(2 * fields > F.size("tokens"), F.xxhash64(plain_tokens(F.col("line")))).otherwise(F.xxhash64("tokens"))
+    return (lines.where(worded).select("k_id", "k_hash", "at", "line", tokens).where(F.size("tokens") >= min_tokens)
+            .select("k_id", "k_hash", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), own.alias("own"), "tokens"))
 
 
 def _frequent(rows: DataFrame, key: str, min_docs: int) -> DataFrame:

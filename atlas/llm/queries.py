@@ -84,7 +84,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_line_dedup")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    found = line_dedup.drop_recurring_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    found = line_dedup.drop_recurring_lines(table(spark, folder, "documents").select("doc_id", "text"), min_tokens=line_dedup.EVERY_LINE)
     return found.select("doc_id", "n_lines", "n_dropped", "text")
 
 

@@ -27,7 +27,7 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; lines whose template recurs go from all but its first document, and n_chars follows."""
-    found = line_dedup.drop_recurring_lines(docs)
+    found = line_dedup.drop_recurring_lines(docs, min_tokens=line_dedup.EVERY_LINE)
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return found.withColumn("n_chars", n_chars).select(*COLUMNS)
 

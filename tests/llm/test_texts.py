@@ -244,6 +244,20 @@ def test_recurring_lines_go(spark):
     assert (by[32][0].text, by[32][0].n_lines, by[33][0].n_lines) == (None, 0, 1)
 
 
+def test_short_lines_recur(spark, tmp_path):
+    """The query and the pipeline's stage look at lines of any number of tokens, as in scripts without spaces."""
+    import corpus_pipeline
+    from atlas.llm.queries import QUERIES
+
+    own = ["Ein Satz.", "une ligne", "dos", "four"]
+    rows = [(i, f"Les.\n{own[i]}\n著作権はすべて当社に帰属します。\nPage {i}\n{i}\n\n\u3000\nAll rights reserved.") for i in range(4)]
+    frame = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {0: rows[0][1]} | {i: f"{own[i]}\n{i}\n\n\u3000" for i in range(1, 4)}
+    assert {r.doc_id: r.text for r in QUERIES["op5_line_dedup"](spark, str(tmp_path)).collect()} == want
+    assert {r.doc_id: r.text for r in corpus_pipeline.without_recurring_lines(spark, frame, str(tmp_path)).collect()} == want
+
+
 def test_empty_tables(spark, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert jaccard_join.components(empty).count() == 0
