@@ -5,9 +5,11 @@ tokens, then the first ``depth`` tokens. Inside a leaf the template has at every
 leaf share there, and a variable field where fewer than ``agree`` of them do. A line belongs to its leaf's template
 if at least ``similar`` of its tokens are the template's, variable fields counting as equal; other lines are templates of their
 own, equal after masking. A template that occurs in ``min_docs`` documents or more recurs, and its lines are dropped
-from every document but the first (smallest doc_id), which keeps its first one.
+from every document but the first (smallest doc_id), which keeps its first one. For a template that has a line of
+``long_bytes`` bytes or more, ``long_docs`` documents are enough: about twenty words, or 33 letters of a script without
+spaces, do not meet by chance, while a few words do.
 
-Leaves that no ``min_docs`` documents reach need no template, so only lines of the others are looked at token by token.
+Leaves that too few documents reach need no template, so only lines of the others are looked at token by token.
 Lines of fewer than ``min_tokens`` tokens always stay; the query and the pipeline pass ``EVERY_LINE``, so that all lines
 that are not blank go through the tree. A line no longer than the path is its own leaf and template, equal after masking. A
 line with more fields than other tokens says nothing once masked and equals only the same line unmasked.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from atlas.llm.common import join_back, row_key, staged
 
 DEPTH, MIN_DOCS, MIN_TOKENS = 3, 3, 4
+LONG_BYTES, LONG_DOCS = 100, 2
 EVERY_LINE = 1   # min_tokens by which only blank lines stay out of the tree
 AGREE, SIMILAR = 0.5, 0.7
 FIELD = "<*>"
@@ -40,21 +43,28 @@ def masked_tokens(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))).otherwise(tokens)
 
 
-def _lines(documents: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(k_id, k_hash, at, leaf, own): lines that can be templates; ``own`` is the hash of the masked line, or of the line if most of it is fields."""
+def _lines(documents: DataFrame, depth: int, min_docs: int, min_tokens: int, long_bytes: int, long_docs: int) -> DataFrame:
+    """(k_id, k_hash, at, leaf, own, least, tokens): lines that can be templates.
+
+    ``own`` is the hash of the masked line, or of the line if most of it is fields; ``least`` is the number of documents
+    in which the line's template must occur.
+    """
     lines = documents.where(F.col("text").isNotNull()).select(
         *row_key(F.col("doc_id"), F.col("text")), F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
     tokens = F.explode(F.array(masked_tokens(F.col("line")))).alias("tokens")
     worded = (F.length("line") >= 2 * min_tokens - 1) & F.col("line").rlike(r"(?U)\S")
     fields = F.size(F.filter("tokens", lambda t: t == FIELD))
     own = F.when(2 * fields > F.size("tokens"), F.xxhash64(plain_tokens(F.col("line")))).otherwise(F.xxhash64("tokens"))
+    least = F.when(F.octet_length("line") >= long_bytes, F.lit(min(long_docs, min_docs))).otherwise(F.lit(min_docs))
     return (lines.where(worded).select("k_id", "k_hash", "at", "line", tokens).where(F.size("tokens") >= min_tokens)
-            .select("k_id", "k_hash", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), own.alias("own"), "tokens"))
+            .select("k_id", "k_hash", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), own.alias("own"),
+                    least.alias("least"), "tokens"))
 
 
-def _frequent(rows: DataFrame, key: str, min_docs: int) -> DataFrame:
-    """Keys that occur in ``min_docs`` documents or more; a key's documents are made distinct before they meet."""
-    return rows.select(key, "k_id").distinct().groupBy(key).agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select(key)
+def _frequent(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that occur in ``least`` documents or more; a key's documents are made distinct before they meet."""
+    documents = rows.groupBy(key, "k_id").agg(F.min("least").alias("least"))
+    return documents.groupBy(key).agg(F.count("*").alias("docs"), F.min("least").alias("least")).where(F.col("docs") >= F.col("least")).select(key)
 
 
 def templates(lines: DataFrame, depth: int, agree: float, similar: float) -> DataFrame:
@@ -74,11 +84,11 @@ def templates(lines: DataFrame, depth: int, agree: float, similar: float) -> Dat
 
 
 def dropped_lines(documents: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS,
-                  agree: float = AGREE, similar: float = SIMILAR) -> DataFrame:
+                  agree: float = AGREE, similar: float = SIMILAR, long_bytes: int = LONG_BYTES, long_docs: int = LONG_DOCS) -> DataFrame:
     """(k_id, k_hash, at, template): the lines to drop."""
-    lines = _lines(documents, depth, min_tokens)
-    brief = staged(lines.select("k_id", "k_hash", "at", "leaf", "own"), "lines")
-    leaves = staged(_frequent(brief, "leaf", min_docs), "leaves")
+    lines = _lines(documents, depth, min_docs, min_tokens, long_bytes, long_docs)
+    brief = staged(lines.drop("tokens"), "lines")
+    leaves = staged(_frequent(brief, "leaf"), "leaves")
     near = staged(brief.join(leaves, "leaf", "left_semi"), "near")
     counts = near.groupBy("leaf", "own").agg(F.count("*").alias("n"))
     texts = lines.select("leaf", "own", "tokens").join(leaves, "leaf", "left_semi").groupBy("leaf", "own").agg(F.any_value("tokens").alias("tokens"))
@@ -86,7 +96,7 @@ def dropped_lines(documents: DataFrame, depth: int = DEPTH, min_docs: int = MIN_
     which = staged(templates(different, depth, agree, similar), "templates")
     placed = staged(near.drop("leaf").join(which, "own"), "placed")
     first = placed.groupBy("template").agg(F.min(F.struct("k_id", "k_hash", "at")).alias("first"))
-    recurring = staged(_frequent(placed, "template", min_docs).join(first, "template"), "recurring")
+    recurring = staged(_frequent(placed, "template").join(first, "template"), "recurring")
     # both sides are read and dealt for this join alone, so a template that fills a third of the rows can be split
     return (placed.join(recurring, "template").where(~F.struct("k_id", "k_hash", "at").eqNullSafe(F.col("first")))
             .select("k_id", "k_hash", "at", "template"))

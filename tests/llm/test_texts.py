@@ -258,6 +258,15 @@ def test_short_lines_recur(spark, tmp_path):
     assert {r.doc_id: r.text for r in corpus_pipeline.without_recurring_lines(spark, frame, str(tmp_path)).collect()} == want
 
 
+def test_long_lines_of_two_documents_recur(spark):
+    words = [" ".join(prose(random.Random(i), 30)) for i in range(4)]
+    signs = "著作権はすべて当社に帰属し、無断での転載および複製を固く禁じますのでご注意ください。"
+    rows = [(1, f"{words[0]}\nonly here\n{signs}\nOrder 17 of {words[1]}"), (2, f"{words[2]}\n{words[0]}\n{signs}\nOrder 4 of {words[1]}"),
+            (3, f"{words[3]}\n{words[3]}\nThis short line is in two documents"), (4, "This short line is in two documents")]
+    got = line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_tokens=line_dedup.EVERY_LINE)
+    assert {r.doc_id: r.text for r in got.collect()} == dict(rows) | {2: words[2]}
+
+
 def test_empty_tables(spark, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert jaccard_join.components(empty).count() == 0
