@@ -2,14 +2,16 @@
 
 A line's tokens that hold a digit are variable fields (``<*>``). The tree's path to a leaf has fixed depth: the number of
 tokens, then the first ``depth`` tokens. Inside a leaf the template has at every place the token that most lines of the
-leaf share there, and a variable field where fewer than ``agree`` of them do. A line belongs to its leaf's template
-if at least ``similar`` of its tokens are the template's, variable fields counting as equal; other lines are templates of their
-own, equal after masking. A template that occurs in ``min_docs`` documents or more recurs, and its lines are dropped
+leaf share there, and a variable field where no more than ``agree`` of them do. The path's tokens agree by construction and
+say nothing, nor do fields: beyond the path, ``least_fixed`` places and half of them must have a token, and a line belongs to
+its leaf's template if at least ``similar`` of these tokens are its own; other lines are templates of their own, equal after
+masking. A template that occurs in ``min_docs`` documents or more recurs, and its lines are dropped
 from every document but the first (smallest doc_id), which keeps its first one. For a template that has a line of
 ``long_bytes`` bytes or more, ``long_docs`` documents are enough: about twenty words, or 33 letters of a script without
 spaces, do not meet by chance, while a few words do.
 
-Leaves that too few documents reach need no template, so only lines of the others are looked at token by token.
+Leaves that too few documents reach, or whose lines are all equal or too short to fit, need no template, so only lines of
+the others are looked at token by token.
 Lines of fewer than ``min_tokens`` tokens always stay; the query and the pipeline pass ``EVERY_LINE``, so that all lines
 that are not blank go through the tree. A line no longer than the path is its own leaf and template, equal after masking. A
 line with more fields than other tokens says nothing once masked and equals only the same line unmasked.
@@ -29,6 +31,7 @@ from atlas.llm.common import join_back, row_key, staged
 
 DEPTH, MIN_DOCS, MIN_TOKENS = 3, 3, 4
 LONG_BYTES, LONG_DOCS = 100, 2
+LEAST_FIXED = 2   # tokens beyond the path by which a leaf's template is known
 EVERY_LINE = 1   # min_tokens by which only blank lines stay out of the tree
 AGREE, SIMILAR = 0.5, 0.7
 FIELD = "<*>"
@@ -44,7 +47,7 @@ def masked_tokens(line: Column) -> Column:
 
 
 def _lines(documents: DataFrame, depth: int, min_docs: int, min_tokens: int, long_bytes: int, long_docs: int) -> DataFrame:
-    """(k_id, k_hash, at, leaf, own, least, tokens): lines that can be templates.
+    """(k_id, k_hash, at, leaf, own, least, line, n_tokens): lines that can be templates.
 
     ``own`` is the hash of the masked line, or of the line if most of it is fields; ``least`` is the number of documents
     in which the line's template must occur.
@@ -58,7 +61,7 @@ def _lines(documents: DataFrame, depth: int, min_docs: int, min_tokens: int, lon
     least = F.when(F.octet_length("line") >= long_bytes, F.lit(min(long_docs, min_docs))).otherwise(F.lit(min_docs))
     return (lines.where(worded).select("k_id", "k_hash", "at", "line", tokens).where(F.size("tokens") >= min_tokens)
             .select("k_id", "k_hash", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), own.alias("own"),
-                    least.alias("least"), "tokens"))
+                    least.alias("least"), "line", F.size("tokens").alias("n_tokens")))
 
 
 def _frequent(rows: DataFrame, key: str) -> DataFrame:
@@ -67,7 +70,7 @@ def _frequent(rows: DataFrame, key: str) -> DataFrame:
     return documents.groupBy(key).agg(F.count("*").alias("docs"), F.min("least").alias("least")).where(F.col("docs") >= F.col("least")).select(key)
 
 
-def templates(lines: DataFrame, depth: int, agree: float, similar: float) -> DataFrame:
+def templates(lines: DataFrame, depth: int, agree: float, similar: float, least_fixed: int) -> DataFrame:
     """(leaf, own, template) of the different masked lines: their leaf's template if they fit it, or their own.
 
     ``lines`` has leaf, own, tokens and n, the number of times the line occurs.
@@ -75,26 +78,32 @@ def templates(lines: DataFrame, depth: int, agree: float, similar: float) -> Dat
     total = lines.groupBy("leaf").agg(F.sum("n").alias("all"))
     at_place = lines.select("leaf", "n", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
     best = at_place.groupBy("leaf", "place").agg(F.max(F.struct("n", "token")).alias("best"))
-    fixed = best.join(total, "leaf").withColumn("keep", F.when((F.col("best.n") >= agree * F.col("all")), F.col("best.token")).otherwise(FIELD))
+    fixed = best.join(total, "leaf").withColumn("keep", F.when(F.col("best.n") > agree * F.col("all"), F.col("best.token")).otherwise(FIELD))
     tree = fixed.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "keep"))), lambda x: x["keep"]).alias("model"))
-    same = F.aggregate(F.zip_with("tokens", "model", lambda t, m: ((t == m) | (m == FIELD)).cast("int")), F.lit(0), lambda s, x: s + x)
-    fixed_part = F.size(F.filter("model", lambda m: m != FIELD)) * 2 >= F.size("model")   # a template of fields only says nothing
-    fits = (same >= similar * F.size("tokens")) & fixed_part
+    beyond = F.slice("model", depth + 1, F.size("model"))
+    fixed_places = F.size(F.filter(beyond, lambda m: m != FIELD))
+    equal = F.zip_with(F.slice("tokens", depth + 1, F.size("tokens")), beyond, lambda t, m: ((t == m) & (m != FIELD)).cast("int"))
+    same = F.aggregate(equal, F.lit(0), lambda s, x: s + x)
+    says_enough = (fixed_places >= least_fixed) & (fixed_places * 2 >= F.size(beyond))
+    fits = says_enough & (same >= similar * fixed_places)
     return lines.join(tree, "leaf").select("own", F.when(fits, F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.col("own")).alias("template"))
 
 
 def dropped_lines(documents: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS,
-                  agree: float = AGREE, similar: float = SIMILAR, long_bytes: int = LONG_BYTES, long_docs: int = LONG_DOCS) -> DataFrame:
+                  agree: float = AGREE, similar: float = SIMILAR, long_bytes: int = LONG_BYTES, long_docs: int = LONG_DOCS,
+                  least_fixed: int = LEAST_FIXED) -> DataFrame:
     """(k_id, k_hash, at, template): the lines to drop."""
     lines = _lines(documents, depth, min_docs, min_tokens, long_bytes, long_docs)
-    brief = staged(lines.drop("tokens"), "lines")
+    brief = staged(lines.drop("line", "n_tokens"), "lines")
     leaves = staged(_frequent(brief, "leaf"), "leaves")
     near = staged(brief.join(leaves, "leaf", "left_semi"), "near")
-    counts = near.groupBy("leaf", "own").agg(F.count("*").alias("n"))
-    texts = lines.select("leaf", "own", "tokens").join(leaves, "leaf", "left_semi").groupBy("leaf", "own").agg(F.any_value("tokens").alias("tokens"))
-    different = staged(texts.join(counts, ["leaf", "own"]), "different")
-    which = staged(templates(different, depth, agree, similar), "templates")
-    placed = staged(near.drop("leaf").join(which, "own"), "placed")
+    counts = staged(near.groupBy("leaf", "own").agg(F.count("*").alias("n")), "counts")
+    varied = staged(counts.groupBy("leaf").agg(F.count("*").alias("different")).where("different > 1").select("leaf"), "varied")
+    long_enough = lines.where(F.col("n_tokens") >= depth + least_fixed).select("leaf", "own", "line")
+    texts = long_enough.join(varied, "leaf", "left_semi").groupBy("leaf", "own").agg(F.any_value("line").alias("line"))
+    different = staged(texts.join(counts, ["leaf", "own"]).select("leaf", "own", "n", masked_tokens(F.col("line")).alias("tokens")), "different")
+    which = staged(templates(different, depth, agree, similar, least_fixed).where(F.col("template") != F.col("own")), "templates")
+    placed = staged(near.drop("leaf").join(which, "own", "left").withColumn("template", F.coalesce("template", "own")), "placed")
     first = placed.groupBy("template").agg(F.min(F.struct("k_id", "k_hash", "at")).alias("first"))
     recurring = staged(_frequent(placed, "template").join(first, "template"), "recurring")
     # both sides are read and dealt for this join alone, so a template that fills a third of the rows can be split

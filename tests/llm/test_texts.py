@@ -267,6 +267,14 @@ def test_long_lines_of_two_documents_recur(spark):
     assert {r.doc_id: r.text for r in got.collect()} == dict(rows) | {2: words[2]}
 
 
+def test_lines_alike_only_on_the_path_stay(spark):
+    rng = random.Random(4)
+    rows = [(i, f"Thor the haan w{'abcdefgh'[i]}.\nOf that man {' '.join(prose(rng, 2))}\nThor the haan {' '.join(prose(rng, 22, 'mnopqrstuvw'))}\n"
+                f"{i} {i + 1} {i + 2} {i * i}\nAnswer of host {'abcdefgh'[i]} came in time") for i in range(8)]
+    got = line_dedup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_tokens=line_dedup.EVERY_LINE)
+    assert {r.doc_id: r.text for r in got.collect()} == dict(rows[:1]) | {i: t.rsplit("\n", 1)[0] for i, t in rows[1:]}
+
+
 def test_empty_tables(spark, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert jaccard_join.components(empty).count() == 0
