@@ -193,6 +193,21 @@ def test_pipeline_stage_by_stage(spark, folder):
     assert packed.select("doc_id").distinct().count() == docs.count()
 
 
+def test_texts_of_no_learned_language_go(spark):
+    import base64
+    import random
+
+    rng = random.Random(6)
+    strange = [base64.b64encode(rng.randbytes(300)).decode() for _ in range(5)]
+    strange += [" ".join("".join(rng.choices("абвгдежзиклмнопрст", k=rng.randint(2, 9))) for _ in range(60)) for _ in range(5)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS)   # 200 rows teach too little
+    rows = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(strange)], docs.schema)
+    kept = corpus_pipeline.in_known_language(spark, docs.unionByName(rows), "").cache()
+    assert kept.where("doc_id < 0").count() == 0
+    clean = docs.where(language_id.held_out(F.col("doc_id")) & (F.length("text") >= 100))
+    assert clean.join(kept, "doc_id", "left_anti").count() == 0 < clean.count()
+
+
 def test_pipeline_of_awkward_rows(spark, folder, tmp_path):
     awkward = [r[:5] for r in documents()]
     frame = spark.createDataFrame(awkward, "doc_id long, text string, lang string, source string, n_chars long")
