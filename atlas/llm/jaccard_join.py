@@ -286,6 +286,6 @@ def representatives(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     best = (found.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("b"))
             .select(F.coalesce("b.doc_id", F.lit(0)).alias("k_id"), F.col("b.key").alias("k_key")))
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k_id"), key_hash().alias("k_key"), F.struct("*").alias("row"))
-    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
+    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")   # "$" would also match before a last U+0085, U+2028 or U+2029
     kept = rows.join(best, ["k_id", "k_key"]).dropDuplicates(["k_id", "k_key"]).select("row.*")
     return kept.unionByName(documents.where(wordless))

@@ -50,7 +50,7 @@ class Letters:
     @classmethod
     def get(cls) -> np.ndarray:
         if cls.table is None:
-            cls.table = np.array([chr(c).isalpha() for c in range(0x30000)] + [False])
+            cls.table = np.array([chr(c).isalpha() for c in range(0x110000)])
         return cls.table
 
 

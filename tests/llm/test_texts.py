@@ -107,6 +107,12 @@ def test_one_row_of_each_component_stays(docs):
     assert sorted(r.doc_id for r in rows if shingles(r.text)) == sorted(best.values())
 
 
+def test_a_line_separator_is_a_word(spark):
+    rows = [(i, t) for i, t in enumerate([" \u2028", " \u2028", "\u0085", "\u0085", " \n", " \n"])]
+    kept = jaccard_join.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2, 4, 5]
+
+
 def test_copies_that_only_link_through_others(spark):
     """A chain, a star whose centre comes last, and pairs just below and at the threshold."""
     rng, rows = np.random.default_rng(3), []

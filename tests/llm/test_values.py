@@ -166,6 +166,10 @@ def test_languages_of_awkward_rows(spark):
     assert language_id.identify(docs.limit(0), one).count() == 0
 
 
+def test_letters_of_all_planes_count():
+    assert language_id.gram_counts(["\U00030000\U00031350", "\U0002A700", "\U0010FFFF"]).any(axis=1).tolist() == [True, True, False]
+
+
 def test_families_come_first():
     texts = {"en": "the house was there and with that ", "de": "das haus war dort und mit dem ", "fr": "la maison etait la et avec que ", "es": "la casa estaba alli y con el que ", "xx": "zq zq wk wk "}
     labels = np.array([k for k in texts for _ in range(20)], object)
