@@ -13,6 +13,7 @@ from atlas.llm import (
     language_id,
     line_dedup,
     packing,
+    phrase_mining,
     pii,
     secret_scan,
     sharding,
@@ -154,3 +155,26 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("spans", "items")
+
+
+PHRASES_ORACLE = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({FOLDED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, range(1, 6) AS t(k) WHERE len(w) >= k)),
+often AS (SELECT lang, k, s, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+parts AS (SELECT *, string_split(s, ' ') AS w FROM often WHERE k > 1),
+longer AS (SELECT lang, s, max(a) AS longest FROM (SELECT lang, a, unnest([array_to_string(w[1:k - 1], ' '), array_to_string(w[2:k], ' ')]) AS s FROM parts WHERE k > 2) GROUP BY ALL),
+cuts AS (SELECT p.lang, p.s, p.a, c, l.a AS l, r.a AS r, n, CAST(CAST(1000 AS HUGEINT) * p.a * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM parts LEFT JOIN longer USING (lang, s) WHERE longest IS NULL OR longest < a) p
+  JOIN often l ON l.lang = p.lang AND l.s = array_to_string(p.w[1:c], ' ') JOIN often r ON r.lang = p.lang AND r.s = array_to_string(p.w[c + 1:p.k], ' ')
+  JOIN totals t ON t.lang = p.lang),
+worst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, s ORDER BY score, c) AS i FROM cuts) WHERE i = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM worst)
+SELECT lang, rank, s AS phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", PHRASES_ORACLE)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, folder, "documents"))
