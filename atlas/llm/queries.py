@@ -17,6 +17,7 @@ from atlas.llm import (
     pii,
     secret_scan,
     sharding,
+    source_mixing,
     substring_dedup,
     topk_search,
 )
@@ -178,3 +179,44 @@ SELECT lang, rank, s AS phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 @query("op11_phrase_collocations", PHRASES_ORACLE)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return phrase_mining.collocations(table(spark, folder, "documents"))
+
+
+def permuted_sql(x: str, n: str, seed: str, turns: str = "range(24)") -> str:
+    swap = f"""list_transform([((k * 2147483648 + k * 48271 % 2147483647) % {n} + {n} - v) % {n}], lambda y: list_transform(
+      [(greatest(v, y) % 2147483647 * 16807 + greatest(v, y) // 2147483647 * 40503 + k) % 2147483647], lambda z: CASE WHEN z * z % 2147483647 // 128 % 2 = 1 THEN y ELSE v END)[1])[1]"""
+    return f"""list_reduce(list_prepend(CAST({x} AS BIGINT), {turns}), lambda v, r: list_transform([({seed} + r * 1000003) % 2147483647],
+      lambda h: list_transform([h * h % 2147483647], lambda k: {swap})[1])[1])"""
+
+
+MIX_ORACLE = f"""
+WITH docs AS (SELECT CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key, doc_id, CAST(len({SPACE_WORDS.format("coalesce(text, '')")}) AS BIGINT) AS size FROM documents),
+sized AS (SELECT key, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY key),
+weighed AS (SELECT *, CAST(1 + (row_number() OVER (ORDER BY key) - 1) % 3 AS BIGINT) AS weight FROM sized),
+sums AS (SELECT *, CAST(sum(source_size) OVER () AS BIGINT) - coalesce(CAST(sum(3 * source_size) OVER below AS BIGINT), 0) AS words,
+  CAST(sum(weight) OVER () AS BIGINT) - coalesce(CAST(sum(weight) OVER below AS BIGINT), 0) AS weights FROM weighed
+  WINDOW below AS (ORDER BY 3.0 * source_size / weight, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT CAST(words AS DOUBLE) / weights AS level FROM sums WHERE CAST(words AS DOUBLE) / weights * weight <= 3 * source_size ORDER BY 3.0 * source_size / weight, key LIMIT 1),
+wanted AS (SELECT key, source_size, least(CAST(3 * source_size AS DOUBLE), level * weight) AS target FROM weighed, level),
+cut AS (SELECT *, CAST(round(target) AS BIGINT) AS want, (source_size + 1023) // 1024 AS blocks, CAST('0x' || substr(md5('1:' || key), 1, 7) AS BIGINT) AS seed FROM wanted WHERE source_size > 0),
+passes AS (SELECT *, source_size - (blocks - 1) * 1024 AS last, want // source_size AS whole, want % source_size AS due FROM cut),
+ended AS (SELECT *, {permuted_sql("blocks - 1", "blocks", "(seed + whole)", "range(23, -1, -1)")} AS last_at FROM passes),
+counted AS (SELECT *, whole * blocks + (due + 1023) // 1024
+  + CASE WHEN last_at < (due + 1023) // 1024 AND (due + 1023) // 1024 * 1024 - (1024 - last) < due THEN 1 ELSE 0 END AS slots FROM ended),
+begun AS (SELECT *, CAST(coalesce(sum(slots) OVER (ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+  CAST(sum(slots) OVER () AS BIGINT) AS every, CAST('0x' || substr(md5('1:places'), 1, 7) AS BIGINT) AS place_seed FROM counted),
+seats AS (SELECT *, j // blocks AS pass, j % blocks AS seat, start + j AS dealt FROM (SELECT *, unnest(range(0, slots)) AS j FROM begun WHERE slots > 0)),
+placed AS (SELECT *, {permuted_sql("seat", "blocks", "(seed + pass)")} AS block, {permuted_sql("dealt", "every", "place_seed")} // 256 AS shard FROM seats),
+takes AS (SELECT key, block, shard, CASE WHEN block = blocks - 1 THEN last ELSE 1024 END AS length,
+  CASE WHEN pass < whole THEN length ELSE least(length, due - (seat * 1024 - CASE WHEN last_at < seat THEN 1024 - last ELSE 0 END)) END AS take FROM placed),
+streams AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY key ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begin FROM docs),
+pieces AS (SELECT *, unnest(range(begin // 1024, (begin + size - 1) // 1024 + 1)) AS block FROM streams WHERE size > 0),
+held AS (SELECT doc_id, shard, greatest(0, least(begin + size, block * 1024 + take) - greatest(begin, block * 1024)) AS words FROM pieces JOIN takes USING (key, block)),
+summed AS (SELECT doc_id, CAST(sum(words) AS BIGINT) AS taken, min(shard) FILTER (words > 0) AS first_shard FROM held GROUP BY doc_id)
+SELECT doc_id, size, source_size, coalesce(target, 0) AS target, coalesce(taken, 0) AS taken, coalesce(first_shard, -1) AS first_shard
+FROM docs JOIN wanted USING (key) LEFT JOIN summed USING (doc_id)
+"""
+
+
+@query("op13_source_mixing", MIX_ORACLE)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mixing.taken(table(spark, folder, "documents"))
