@@ -154,11 +154,12 @@ def taken(documents: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     slots, parts = mixed(documents, block=block, **options)
     whole = F.col("take") == F.col("length")
     times = slots.groupBy("key", "block").agg(F.count(F.when(whole, 1)).alias("times"), F.coalesce(F.max(F.when(~whole, F.col("take"))), long(0)).alias("cut"),
-                                              F.min("shard").alias("shard"))
+                                              F.min(F.when(whole, F.col("shard"))).alias("shard"), F.min(F.when(~whole, F.col("shard"))).alias("cut_shard"))
     low, high = F.greatest("begin", F.col("block") * block), F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block)
-    words = F.col("times") * (high - low) + F.greatest(long(0), F.least(high, F.col("block") * block + F.col("cut")) - low)
+    begun = F.greatest(long(0), F.least(high, F.col("block") * block + F.col("cut")) - low)   # words in the slot that takes a part
+    first = F.least("shard", F.when(begun > 0, F.col("cut_shard")))
     whose = ["key", "doc_id", "hash", "begin", "size", "source_size", "target"]
-    found = (parts.where("size > 0").join(times, ["key", "block"], "left").withColumn("words", F.coalesce(words, long(0)))
-             .groupBy(*whose).agg(F.sum("words").alias("taken"), F.coalesce(F.min(F.when(F.col("words") > 0, F.col("shard"))), long(-1)).alias("first_shard")))
+    found = (parts.where("size > 0").join(times, ["key", "block"], "left")
+             .groupBy(*whose).agg(F.coalesce(F.sum(F.col("times") * (high - low) + begun), long(0)).alias("taken"), F.coalesce(F.min(first), long(-1)).alias("first_shard")))
     found = found.unionByName(parts.where("size = 0").select(*whose, long(0).alias("taken"), long(-1).alias("first_shard")))
     return found.select("doc_id", "size", "source_size", "target", "taken", "first_shard")
