@@ -266,8 +266,9 @@ def count_phrases(documents: DataFrame, least: int, longest: int, room: int = RO
     words = laid.select((seat * tasks + task + 1).alias("id"), "lang", "word", "f")
     width = 4 if tasks * seats < 1 << 32 else 8
     bits = PART_BITS + (chunks.count() // CHUNKS_A_PARTITIONING).bit_length()
-    known = (vocabulary.select("chunk", "lang", "word").join(words.select("id", "lang", "word"), ["lang", "word"])
-             .groupBy("chunk").agg(F.collect_list(F.struct("word", "id")).alias("known")))
+    # an outer join, so that every row of the vocabulary yields one row, however many words are frequent; nulls are not collected
+    known = (vocabulary.select("chunk", "lang", "word").join(words.select("id", "lang", "word"), ["lang", "word"], "left")
+             .groupBy("chunk").agg(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("word", "id"))).alias("known")))
     runs = chunks.join(known, "chunk").select("chunk", "blob", "known").mapInArrow(_count(longest, width, bits, room, burst), "part int, run binary")
     phrases = runs.groupBy("part").applyInArrow(_merge(longest, width, least), "words array<long>, a long")
     return staged(phrases, "phrases"), words, totals
