@@ -18,6 +18,7 @@ from atlas.llm import (
     secret_scan,
     sharding,
     source_mixing,
+    spelling_variants,
     substring_dedup,
     topk_search,
 )
@@ -181,6 +182,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return phrase_mining.collocations(table(spark, folder, "documents"))
 
 
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.variants(spelling_variants.vocabulary(table(spark, folder, "documents"), noise=31))
+
+
 def permuted_sql(x: str, n: str, seed: str, turns: str = "range(24)") -> str:
     swap = f"""list_transform([((k * 2147483648 + k * 48271 % 2147483647) % {n} + {n} - v) % {n}], lambda y: list_transform(
       [(greatest(v, y) % 2147483647 * 16807 + greatest(v, y) // 2147483647 * 40503 + k) % 2147483647], lambda z: CASE WHEN z * z % 2147483647 // 128 % 2 = 1 THEN y ELSE v END)[1])[1]"""
