@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from atlas.operators import filters
+from atlas.functions import geo
+from atlas.operators import filters, token_index
 from atlas.operators import search as ops
 from atlas.operators.groups import dense_ids
 from atlas.plans.search_index import build_search_index
 from atlas.queries.base import query
 from atlas.queries.filters import TF_KEPT
-from atlas.queries.sqltext import decimal_cell, km
+from atlas.queries.sqltext import decimal_cell, fold, km
+from atlas.session import scratch_folder
+from atlas.sources import sinks
 
 c = F.col
 
@@ -63,8 +66,53 @@ WORDS = r"SELECT DISTINCT doc_id AS key, unnest(string_split_regex(lower(text),
 @query("q01_prefix_search", r"""WITH w AS (SELECT doc_id AS key, unnest(string_split_regex(translate(lower(text), 'àâäáãåçèéêëìíîïñòóôöõùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^\p{L}\p{N}]+')) AS token FROM documents)
     SELECT key FROM w GROUP BY key HAVING count(*) FILTER (WHERE token LIKE 'en%') > 0 AND count(*) FILTER (WHERE token LIKE 're%') > 0 AND count(*) FILTER (WHERE token = 'la') > 0""")
 def q01(t):
-    tokens = ops.token_table(t.documents, "doc_id", ["text"])
-    return ops.prefix_search(tokens, ["en*", "ré*", "LA"])
+    path = scratch_folder(t.spark, "tokens")
+    token_index.write_tokens(t.documents, "doc_id", ["text"], f"{path}/documents_token")
+    return token_index.match(token_index.read_tokens(t.spark, path, "documents"), "en* ré* LA")
+
+
+@query("q01_place_search", f"""WITH {PLACE}, w AS (SELECT kind, name, aliases, lat, lon, cat, unnest(string_split_regex({fold("concat_ws(' ', name, aliases)")}, '[^\\p{{L}}\\p{{N}}]+')) AS token FROM place)
+    SELECT kind, name, lat, lon, cat FROM w GROUP BY ALL HAVING bool_or(token LIKE '1%') AND bool_or(token = 'naive')""")
+def q01_place(t):
+    """Over the written search index: rows of every kind found by an alias, joined back by id."""
+    path = scratch_folder(t.spark, "search-index")
+    sinks.write_search_index(build_search_index(t.tile_feature, t.tile_feature, bbox=None, places_zoom=None, detail_zoom=None), path)
+    found = token_index.match(token_index.read_tokens(t.spark, path, "place"), "1* aliases:Naïve")
+    rows = t.spark.read.parquet(f"{path}/place").join(found.withColumnRenamed("key", "id"), "id")
+    return rows.select(c("kind").cast("int").alias("kind"), "name", "lat", "lon", "cat")
+
+
+@query("k01_place_tokens", f"""WITH {PLACE}, numbered AS (SELECT row_number() OVER (ORDER BY kind, CASE WHEN kind = 0 THEN -pop ELSE 0 END, name, lat, lon) AS key, name, aliases FROM place),
+    f AS (SELECT key, 'name' AS field, name AS value FROM numbered UNION ALL SELECT key, 'aliases', aliases FROM numbered)
+    SELECT DISTINCT token, field, key FROM (SELECT key, field, unnest(string_split_regex({fold("value")}, '[^\\p{{L}}\\p{{N}}]+')) AS token FROM f) WHERE token <> ''
+    UNION ALL SELECT '', '', key FROM numbered""")
+def k01_tokens(t):
+    path = scratch_folder(t.spark, "search-index")
+    sinks.write_search_index(build_search_index(t.tile_feature, t.tile_feature, bbox=None, places_zoom=None, detail_zoom=None), path)
+    return token_index.read_tokens(t.spark, path, "place").select("token", "field", "key")
+
+
+BOX, ZOOMS = (28.006, 47.006, 28.02, 47.02), (10, 15)
+
+
+def tile_sql(axis: str, lat: str, lon: str, zoom: str) -> str:
+    if axis == "x":
+        return f"trunc(({lon} + 180) / 360 * pow(2, {zoom}))"
+    return f"trunc((1 - asinh(tan(radians({lat}))) / pi()) / 2 * pow(2, {zoom}))"
+
+
+BOXED = f"""zoomed AS (SELECT *, CASE WHEN layer = 'places' THEN {ZOOMS[0]} ELSE {ZOOMS[1]} END AS z FROM kept_all),
+    kept AS (SELECT * FROM zoomed WHERE {tile_sql("x", "lat", "lon", "z")} BETWEEN {tile_sql("x", "", f"{BOX[0]}e0", "z")} AND {tile_sql("x", "", f"{BOX[2]}e0", "z")}
+      AND {tile_sql("y", "lat", "", "z")} BETWEEN {tile_sql("y", f"{BOX[3]}e0", "", "z")} AND {tile_sql("y", f"{BOX[1]}e0", "", "z")})"""
+
+
+@query("p01_boxed_search_index", f"""WITH {PLACE.replace("kept AS", "kept_all AS", 1).replace(", rw AS", f", {BOXED}, rw AS", 1)}
+    SELECT row_number() OVER (ORDER BY kind, CASE WHEN kind = 0 THEN -pop ELSE 0 END, name, lat, lon) AS id, kind, name, lat, lon, cat FROM place""")
+def p01_boxed(t):
+    """The tile cut inside the build: settlements by tiles of one zoom, streets and points of interest by another's."""
+    tiles = lambda zoom: t.tile_feature.withColumn("z", F.lit(zoom)).withColumn("t", geo.web_tile(c("lat"), c("lon"), F.lit(zoom))).select("*", "t.x", "t.y")
+    index = build_search_index(tiles(ZOOMS[0]), tiles(ZOOMS[1]), BOX, *ZOOMS)
+    return index.select("id", "kind", "name", "lat", "lon", "cat")
 
 
 @query("q02_category_nearby", f"""WITH {PLACE}, d AS (SELECT name, lat, lon, {km('47.01e0', '28.02e0', 'lat', 'lon')} AS km FROM place WHERE cat = 'charging')

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlas.functions import text
+from atlas.operators import token_index
 
 
 def list_text(values: Column, separator: str) -> Column:
@@ -97,8 +98,17 @@ def write_search_tables(place: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("kind").parquet(path)
 
 
+def write_search_index(index: DataFrame, path: str) -> None:
+    """A built search index: ``place`` rows with their id, laid out as ``write_search_tables`` does, and their token index."""
+    rows = index.select("id", *SEARCH_COLUMNS).withColumn("aliases", text.aliases_json(F.col("aliases")))
+    laid = rows.repartitionByRange("kind", "cat", "lat", "lon").sortWithinPartitions("kind", "cat", "lat", "lon")
+    laid.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/place")
+    written = index.sparkSession.read.parquet(f"{path}/place")
+    token_index.write_tokens(written, "id", token_index.FIELDS["place"], f"{path}/place_token")
+
+
 def write_address_tables(index, path: str) -> None:
-    """Locality, commune, street and house tables; houses are laid out by street for point lookups."""
+    """Locality, commune, street and house tables with the token index of the first three; houses are laid out by street for point lookups."""
     as_json = lambda df, *cols: df.withColumns({c: text.aliases_json(F.col(c)) for c in cols})
     as_json(index.locality, "aliases").write.mode("overwrite").parquet(f"{path}/locality")
     as_json(index.commune, "aliases").write.mode("overwrite").parquet(f"{path}/commune")
@@ -107,6 +117,8 @@ def write_address_tables(index, path: str) -> None:
     house.write.mode("overwrite").parquet(f"{path}/house")
     names = ("locality", "commune", "street", "house")
     spark = index.house.sparkSession
+    for name in names[:3]:   # from the written rows, so the index says what a reader of the tables sees
+        token_index.write_tokens(spark.read.parquet(f"{path}/{name}"), "id", token_index.FIELDS[name], f"{path}/{name}_token")
     meta = None
     for name in names:
         n = spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias("v")).select(F.lit(name).alias("k"), "v")
