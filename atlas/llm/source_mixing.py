@@ -31,7 +31,8 @@ from atlas.llm.common import let, staged
 
 WEIGHTS, MOST = (1, 2, 3), 3
 BLOCK, SHARD = 1024, 256   # words a block, slots an output shard
-RUN = 1 << 16   # slots of one source that are listed together
+RUN = 1 << 12   # slots of one source that are listed together
+TASK_SLOTS, MOST_TASKS = 1 << 14, 20_000   # slots a task works out, until there are so many tasks
 ROUNDS, SEED = 24, 1
 PRIME = 2147483647
 
@@ -116,8 +117,9 @@ def plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, b
 
 def draws(sources: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
     """(shard, slot, key, block, pass, take): every slot of the mix with its block and the number of words it takes from the block's start."""
-    every = long(sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0])
-    runs = sources.where("slots > 0").withColumn("run", F.explode(F.sequence(long(0), div(F.col("slots") - 1, RUN)))).repartition("key", "run")
+    total = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    every, tasks = long(total), min(total // TASK_SLOTS + 1, MOST_TASKS)
+    runs = sources.where("slots > 0").withColumn("run", F.explode(F.sequence(long(0), div(F.col("slots") - 1, RUN)))).repartition(tasks, "key", "run")
     each = runs.withColumn("j", F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("slots"), (F.col("run") + 1) * RUN) - 1)))
     number, seat = div(F.col("j"), F.col("blocks")), F.col("j") % F.col("blocks")
     found = each.select("key", "start", "j", "blocks", "last", "passes", "due", "last_at", number.alias("pass"), seat.alias("seat"),
