@@ -15,6 +15,7 @@ def load() -> dict[str, base.Query]:
         search,
         sources,
         spatial,
+        sqlfunctions,
         telemetry,
     )
 
