@@ -28,63 +28,60 @@ def ferry_ends(ways: DataFrame) -> DataFrame:
     return car.select(F.col("id").alias("ferry"), F.explode(F.array(F.element_at("refs", 1), F.element_at("refs", -1))).alias("source")).distinct()
 
 
-def directed_search(sources: DataFrame, steps: DataFrame) -> DataFrame:
-    """Breadth-first search from every source at once, outward (``out``: along allowed direction) and inward
-    (``in``: against it), until the first arterial way.
-
-    A state is a way entered at an index; its level counts ways, not metres. Within a level the lowest (way,
-    index) is the parent. Entering one way at several points is summed up by the lowest and highest entry,
-    so a long way is never paired with itself. Result: source, heading, level, way, idx, p_way, p_idx, hit.
+def connector_search(steps: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """One search from all arterial ways at once: how every node gets to the network and how the network gets to it.
+
+    ``out`` is a journey from the node along allowed directions, ``in`` one that ends at it. The level is the least number of
+    ways driven; ``way`` is the first (for ``in`` the last) of them and ``next`` the node where it is left (entered), from which
+    ``level - 1`` ways remain. Among equal choices the lowest way counts, on it a later place before an earlier one, and of
+    several places the farthest. Nodes of arterial ways have level 0. There is one row per node and heading, however many
+    sources ask; with ``sources`` the search ends when each has its answer. Entering a way at several places is summed up by
+    the first and the last one, so a long way is never paired with itself. Result: node, heading, level, way, next.
     """
-    state = ["source", "heading"]
-    legs = F.array(F.lit("out"), F.lit("in"))
-    start = (sources.select("source").distinct().join(steps, F.col("source") == F.col("node"))
-             .select("source", F.explode(legs).alias("heading"), "way", "idx", "dir", "arterial", "node"))
+    state = ["node", "heading"]
     none = F.lit(None).cast("bigint")
-    frontier = cut_lineage(start.withColumn("p_way", none).withColumn("p_idx", F.lit(None).cast("int")))
-    seen = frontier.select(*state, "node").distinct()
-    trail, level = None, 0
+    minor = cut_lineage(steps.filter(~F.col("arterial")).select("way", "idx", "node", "dir"))
+    headings = F.explode(F.array(F.lit("out"), F.lit("in"))).alias("heading")
+    found = cut_lineage(steps.filter("arterial").select("node").distinct().select("node", headings)
+                        .select(*state, F.lit(0).alias("level"), none.alias("way"), none.alias("next")))
+    frontier, level = found, 0
+    waiting = None if sources is None else sources.select(F.col("source").alias("node")).distinct().select("node", headings)
+    along = minor.select("way", F.col("idx").alias("at"), F.col("node").alias("from"), "dir")
+    out = F.col("heading") == "out"
+    later = F.when(out, F.col("dir") != -1).otherwise(F.col("dir") != 1) & (F.col("at") < F.col("last.idx"))
+    earlier = F.when(out, F.col("dir") != 1).otherwise(F.col("dir") != -1) & (F.col("at") > F.col("first.idx"))
+    step = F.when(later, F.struct("way", F.lit(0).alias("side"), F.col("last.node").alias("next"))).otherwise(
+        F.struct("way", F.lit(1).alias("side"), F.col("first.node").alias("next")))
     while True:
-        best = frontier.filter("arterial").groupBy(*state).agg(F.min(F.struct("way", "idx")).alias("best"))
-        marked = frontier.join(best, state, "left").withColumn("level", F.lit(level))
-        marked = cut_lineage(marked.withColumn("hit", F.coalesce(F.struct("way", "idx") == F.col("best"), F.lit(False))))
-        rows = marked.select(*state, "level", "way", "idx", "p_way", "p_idx", "hit")
-        trail = rows if trail is None else trail.unionByName(rows)
-        going = marked.filter("best is null")
-        if going.isEmpty():
-            return trail
-        entered = going.groupBy(*state, "way", "dir").agg(F.min("idx").alias("low"), F.max("idx").alias("high"))
-        along = steps.select("way", F.col("idx").alias("to"), "node")
-        out = F.col("heading") == "out"
-        forward = F.when(out, F.col("dir") != -1).otherwise(F.col("dir") != 1) & (F.col("to") > F.col("low"))
-        backward = F.when(out, F.col("dir") != 1).otherwise(F.col("dir") != -1) & (F.col("to") < F.col("high"))
-        parent = F.struct(F.col("way").alias("p_way"), F.when(forward, F.col("low")).otherwise(F.col("high")).alias("p_idx"))
-        reached = (entered.join(along, "way").filter(forward | backward)
-                   .groupBy(*state, "node").agg(F.min(parent).alias("p"))
-                   .join(seen, [*state, "node"], "left_anti"))
-        reached = cut_lineage(reached)
-        seen = seen.unionByName(reached.select(*state, "node"))
-        if level % 4 == 3:
-            seen = cut_lineage(seen)
-        frontier = reached.join(steps, "node").select(*state, "way", "idx", "dir", "arterial", "node", "p.p_way", "p.p_idx")
-        frontier = cut_lineage(frontier.filter(~((F.col("way") == F.col("p_way")) & (F.col("idx") == F.col("p_idx")))))
+        if waiting is not None:
+            waiting = cut_lineage(waiting.join(frontier, state, "left_anti"))
+        if frontier.isEmpty() or (waiting is not None and waiting.isEmpty()):
+            return found
+        place = F.struct("idx", "node")
+        entered = frontier.select(*state).join(minor.drop("dir"), "node").groupBy("way", "heading").agg(F.min(place).alias("first"), F.max(place).alias("last"))
         level += 1
+        reached = (entered.join(along, "way").filter(later | earlier).groupBy(F.col("from").alias("node"), "heading").agg(F.min(step).alias("step"))
+                   .join(found, state, "left_anti").select(*state, F.lit(level).alias("level"), "step.way", "step.next"))
+        frontier = cut_lineage(reached)
+        found = found.unionByName(frontier)
+        if level % 4 == 0:
+            found = cut_lineage(found)
+
 
+def chains(found: DataFrame, sources: DataFrame) -> DataFrame:
+    """The ways of each source's journeys: source, heading, level, way; a source on the network has one row without a way.
 
-def chains(trail: DataFrame) -> DataFrame:
-    """Ways from each source to its hit: source, heading, level, way (every step of the winning path)."""
-    key = ["source", "heading", "way", "idx"]
-    hits = trail.filter("hit").select("source", "heading", "level", "way", "idx", "p_way", "p_idx")
-    path = hits.groupBy("source", "heading").agg(F.min(F.struct("level", "way", "idx", "p_way", "p_idx")).alias("h")).select("source", "heading", "h.*")
-    out = path.select("source", "heading", "level", "way")
-    parents = trail.select(*key, "level", "p_way", "p_idx").groupBy(*key).agg(F.min(F.struct("level", "p_way", "p_idx")).alias("p")).select(*key, "p.*")
-    parents = cut_lineage(parents)
+    Sources walk the table of ``connector_search``, one way a round.
+    """
+    table = found.select(F.col("node").alias("at"), "heading", "level", "way", "next")
+    here = cut_lineage(sources.select("source").distinct().join(table, F.col("source") == F.col("at")).select("source", "heading", "level", "way", "next"))
+    walked = here.select("source", "heading", "level", "way")
     while True:
-        back = path.filter("p_way is not null").select("source", "heading", F.col("p_way").alias("way"), F.col("p_idx").alias("idx"))
-        if back.isEmpty():
-            return out
-        path = cut_lineage(back.join(parents, key))
-        out = out.unionByName(path.select("source", "heading", "level", "way"))
+        going = here.filter("level > 1").select("source", "heading", F.col("next").alias("at"))
+        if going.isEmpty():
+            return walked
+        here = cut_lineage(going.join(table, ["at", "heading"]).select("source", "heading", "level", "way", "next"))
+        walked = walked.unionByName(here.select("source", "heading", "level", "way"))
 
 
 def connectors(sources: DataFrame, steps: DataFrame, lengths: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -94,14 +91,12 @@ def connectors(sources: DataFrame, steps: DataFrame, lengths: DataFrame, classes
     the network, too long (chains over 10 km together), unreached, or without a road. Returns
     (source, way, length, highway) and (source, outcome, length).
     """
-    trail = cut_lineage(directed_search(sources, steps))
-    arterial = steps.filter("arterial").select("way").distinct()
-    path = cut_lineage(chains(trail))
-    minor = path.join(arterial, "way", "left_anti").select("source", "way").distinct().join(lengths, "way", "left").join(classes, "way", "left")
+    path = cut_lineage(chains(connector_search(steps, sources), sources))
+    minor = path.filter("way is not null").select("source", "way").distinct().join(lengths, "way", "left").join(classes, "way", "left")
     minor = cut_lineage(minor.withColumn("length", F.coalesce("length", F.lit(0.0))))
     reached = path.groupBy("source").agg(F.count_distinct("heading").alias("headings"))
     total = minor.groupBy("source").agg(F.sum("length").alias("length"))
-    touched = trail.select("source").distinct().withColumn("touched", F.lit(True))
+    touched = steps.select(F.col("node").alias("source")).distinct().withColumn("touched", F.lit(True))
     ends = sources.select("source").distinct().join(reached, "source", "left").join(total, "source", "left").join(touched, "source", "left")
     outcome = (F.when(F.col("touched").isNull(), "no road").when(F.col("headings").isNull(), "unreached")
                .when(F.col("length").isNull(), "already on network").when(F.col("length") > MAX_CHAIN_M, "too long")

@@ -13,7 +13,7 @@ from atlas.queries.base import query, view
 from atlas.queries.joins import BEARINGS, place_areas
 from atlas.queries.scalars import BUS_SIDE
 from atlas.queries.spatial import ALL_PAIRS, EXTRACT, NAMED, regions
-from atlas.queries.sqltext import bearing
+from atlas.queries.sqltext import bearing, haversine
 from atlas.session import scratch_folder
 from atlas.sources import map_objects, sinks
 
@@ -136,21 +136,50 @@ REACHED = """nh AS (SELECT node, bool_or(arterial) AS hit FROM st GROUP BY node)
 
 @query("g01_directed_search", f"WITH RECURSIVE {SEARCH}, {REACHED} SELECT DISTINCT source, heading, CAST(level AS INT) AS level FROM reached WHERE hit")
 def g01(t):
-    trail = network.directed_search(network.ferry_ends(road(t)), network.way_nodes(road(t)))
-    return trail.filter("hit").select("source", "heading", "level")
+    ends = network.ferry_ends(road(t))
+    found = network.connector_search(network.way_nodes(road(t)), ends)
+    return ends.select(c("source").alias("node")).distinct().join(found, "node").select(c("node").alias("source"), "heading", "level")
 
 
-@query("p09_connector_ends", f"""WITH {SEARCH}, r AS (SELECT source, count(*) AS headings, max(level) AS deepest FROM (SELECT source, heading, 0 AS level FROM hit0 UNION ALL SELECT source, heading, 1 FROM hit1) GROUP BY source)
-    SELECT src.source, CASE WHEN deepest = 0 AND headings = 2 THEN 'already on network' WHEN NOT EXISTS (SELECT 1 FROM st WHERE st.node = src.source) THEN 'no road' ELSE 'searched' END AS outcome FROM src LEFT JOIN r ON r.source = src.source""")
+BACK = """back(heading, node, level) USING KEY (heading, node) AS (
+      SELECT h.heading, a.node, 0 FROM (SELECT DISTINCT node FROM st WHERE arterial) a, (VALUES ('out'), ('in')) h(heading)
+      UNION
+      SELECT DISTINCT b.heading, s.node, b.level + 1 FROM back b JOIN st f ON f.node = b.node AND NOT f.arterial
+        JOIN st s ON s.way = f.way AND ((f.idx > s.idx AND CASE WHEN b.heading = 'out' THEN f.dir <> -1 ELSE f.dir <> 1 END) OR (f.idx < s.idx AND CASE WHEN b.heading = 'out' THEN f.dir <> 1 ELSE f.dir <> -1 END))
+      WHERE NOT EXISTS (SELECT 1 FROM recurring.back r WHERE r.heading = b.heading AND r.node = s.node)),
+    nxt AS (SELECT heading, node, level, way, next FROM (SELECT u.heading, u.node, u.level, s.way, f.node AS next,
+        row_number() OVER (PARTITION BY u.heading, u.node ORDER BY s.way, CASE WHEN f.idx > s.idx THEN 0 ELSE 1 END, CASE WHEN f.idx > s.idx THEN -f.idx ELSE f.idx END) AS rn
+      FROM back u JOIN st s ON s.node = u.node AND NOT s.arterial JOIN st f ON f.way = s.way JOIN back v ON v.node = f.node AND v.heading = u.heading AND v.level = u.level - 1
+      WHERE u.level > 0 AND ((f.idx > s.idx AND CASE WHEN u.heading = 'out' THEN f.dir <> -1 ELSE f.dir <> 1 END) OR (f.idx < s.idx AND CASE WHEN u.heading = 'out' THEN f.dir <> 1 ELSE f.dir <> -1 END))) WHERE rn = 1),
+    walk(source, heading, node) AS (SELECT DISTINCT source, heading, source FROM src JOIN back ON back.node = src.source
+      UNION ALL SELECT w.source, w.heading, n.next FROM walk w JOIN nxt n ON n.node = w.node AND n.heading = w.heading)"""
+WAY_LENGTH = f"""metres AS (SELECT way_id, sum({haversine("lat", "lon", "lat2", "lon2")}) AS length FROM (
+      SELECT w.way_id, n.lat, n.lon, lag(n.lat) OVER (PARTITION BY w.way_id ORDER BY w.seq) AS lat2, lag(n.lon) OVER (PARTITION BY w.way_id ORDER BY w.seq) AS lon2
+      FROM (SELECT way_id, seq, node_id FROM way_node) w JOIN (SELECT id, lat, lon FROM node) n ON n.id = w.node_id) GROUP BY way_id)"""
+
+
+@query("p09_connector_ends", f"""WITH RECURSIVE {SEARCH}, {BACK}, {WAY_LENGTH},
+    used AS (SELECT DISTINCT source, way FROM walk JOIN nxt USING (heading, node)), far AS (SELECT source, sum(coalesce(length, 0)) AS length FROM used LEFT JOIN metres ON way_id = way GROUP BY source),
+    hd AS (SELECT source, count(DISTINCT heading) AS headings FROM walk GROUP BY source)
+    SELECT source, CASE WHEN NOT EXISTS (SELECT 1 FROM st WHERE st.node = source) THEN 'no road' WHEN headings IS NULL THEN 'unreached' WHEN length IS NULL THEN 'already on network'
+      WHEN length > 10000 THEN 'too long' WHEN headings = 2 THEN 'both ways' ELSE 'one way' END AS outcome, round(length, 4) AS length FROM src LEFT JOIN hd USING (source) LEFT JOIN far USING (source)""")
 def p09(t):
-    """Ends that need no search or cannot start one have a fixed outcome; the others are told apart by
-    the path lengths, which the unit tests check by brute force."""
+    _, ends = connected(t)
+    return ends.select("source", "outcome", F.round("length", 4).alias("length"))
+
+
+@query("p09_connector_ways", f"""WITH RECURSIVE {SEARCH}, {BACK}, {WAY_LENGTH},
+    used AS (SELECT DISTINCT source, way FROM walk JOIN nxt USING (heading, node)), far AS (SELECT source, sum(coalesce(length, 0)) AS total FROM used LEFT JOIN metres ON way_id = way GROUP BY source)
+    SELECT source, way, round(coalesce(length, 0), 4) AS length, highway FROM used JOIN far USING (source) LEFT JOIN metres ON way_id = way JOIN way_tag ON id = way WHERE total <= 10000""")
+def p09_ways(t):
+    found, _ = connected(t)
+    return found.select("source", "way", F.round("length", 4).alias("length"), "highway")
+
+
+def connected(t):
     ways = road(t)
-    lengths = arterial.way_lengths(ways, t.node)
     classes = ways.select(c("id").alias("way"), c("tags")["highway"].alias("highway"))
-    _, ends = network.connectors(network.ferry_ends(ways), network.way_nodes(ways), lengths, classes)
-    fixed = c("outcome").isin("already on network", "no road")
-    return ends.select("source", F.when(fixed, c("outcome")).otherwise("searched").alias("outcome"))
+    return network.connectors(network.ferry_ends(ways), network.way_nodes(ways), arterial.way_lengths(ways, t.node), classes)
 
 
 @query("p09_arterial_network")
@@ -160,11 +189,13 @@ def p09_network(t):
     return built.way.select("id", c("tags")["highway"].alias("highway"), F.size("refs").alias("nodes"))
 
 
-@query("a15_connector_summary")
+@query("a15_connector_summary", f"""WITH RECURSIVE {SEARCH}, {BACK}, {WAY_LENGTH},
+    used AS (SELECT DISTINCT source, way FROM walk JOIN nxt USING (heading, node)), far AS (SELECT source, sum(coalesce(length, 0)) AS total FROM used LEFT JOIN metres ON way_id = way GROUP BY source),
+    kept AS (SELECT DISTINCT way FROM used JOIN far USING (source) WHERE total <= 10000), sorted AS (SELECT list_sort(list(total)) AS l, count(*) AS n FROM far WHERE total <= 10000)
+    SELECT highway, count(*) AS ways, round(sum(coalesce(length, 0)) / 1000, 3) AS km FROM kept LEFT JOIN metres ON way_id = way JOIN way_tag ON id = way GROUP BY highway
+    UNION ALL SELECT 'median chain', 0, round(l[least(n - 1, CAST(floor(n * 0.5) AS BIGINT)) + 1] / 1000, 3) FROM sorted""")
 def a15(t):
-    ways = road(t)
-    classes = ways.select(c("id").alias("way"), c("tags")["highway"].alias("highway"))
-    found, ends = network.connectors(network.ferry_ends(ways), network.way_nodes(ways), arterial.way_lengths(ways, t.node), classes)
+    found, ends = connected(t)
     by_class, spread = network.connector_summary(found, ends)
     rows = by_class.select("highway", "ways", F.round("km", 3).alias("km"))
     return rows.unionByName(spread.select(F.lit("median chain").alias("highway"), F.lit(0).cast("bigint").alias("ways"), F.round(c("median") / 1000, 3).alias("km")))

@@ -96,8 +96,11 @@ def test_directed_search_against_brute_force(spark):
     ways = {w: ([r.randrange(60) for _ in range(r.randrange(2, 5))], r.choice(["residential", "service", "service", "primary"] if w % 9 == 0 else ["residential", "service"]), r.choice([0, 0, 1, -1])) for w in range(45)}
     steps = spark.createDataFrame([(w, i, n, d, cls == "primary") for w, (refs, cls, d) in ways.items() for i, n in enumerate(refs)], "way bigint, idx int, node bigint, dir int, arterial boolean")
     sources = list(range(0, 60, 3))
-    trail = network.directed_search(spark.createDataFrame([(s,) for s in sources], "source bigint"), steps)
-    got = {(x.source, x.heading): x.level for x in trail.filter("hit").collect()}
+    asked = spark.createDataFrame([(s,) for s in sources], "source bigint")
+    found = network.connector_search(steps, asked)
+    got = {(x.node, x.heading): x.level for x in found.collect() if x.node in sources}
+    every = network.connector_search(steps)
+    assert every.count() == every.select("node", "heading").distinct().count() <= 2 * 60     # one state per node and heading, whoever asks
     at = {}
     for w, (refs, _, _) in ways.items():
         for i, n in enumerate(refs):
@@ -121,8 +124,21 @@ def test_directed_search_against_brute_force(spark):
                 seen |= frontier
                 level += 1
     assert got == want and len({v for v in want.values()}) > 1
-    path = network.chains(trail).groupBy("source", "heading").agg(F.count(F.lit(1)).alias("n")).collect()
-    assert {(x.source, x.heading): x.n for x in path} == {k: v + 1 for k, v in want.items()}
+    path = network.chains(found, asked).collect()
+    walked = {}
+    for x in path:
+        walked.setdefault((x.source, x.heading), []).append((x.level, x.way))
+    assert walked.keys() == want.keys()
+    for (s, heading), steps_taken in walked.items():
+        steps_taken = [w for level, w in sorted(steps_taken, reverse=True) if level > 0]
+        assert len(steps_taken) == want[s, heading]
+        here = {s}   # the ways can be driven one after another, from the source to a node of an arterial way
+        for w in steps_taken:
+            refs, cls, d = ways[w]
+            ahead, back = (d != -1, d != 1) if heading == "out" else (d != 1, d != -1)
+            assert cls != "primary"
+            here = {n for i, m in enumerate(refs) if m in here for n in (refs[i + 1:] if ahead else []) + (refs[:i] if back else [])}
+        assert any(ways[w][1] == "primary" for n in here for w, _ in at[n])
 
 
 def test_chain_rings(spark):
