@@ -29,7 +29,7 @@ from atlas.llm.common import staged
 CAPACITY, END_ID = 2048, 1
 CACHE_WORDS = 1 << 20
 # Fixed value: the split of the vocabulary's own pre-tokenizer, for texts of the characters below.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|[^\s\w]+|_"
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
 UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-įĲ-ķĹ-ľŁ-ňŊ-ž]|<\\|")
 
 

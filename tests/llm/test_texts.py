@@ -172,6 +172,25 @@ def test_empty_benchmark_leaves_all_clean(spark, docs):
     assert found.where("contaminated").count() == 0 and found.count() == len(ROWS)
 
 
+def test_ids_of_random_texts_are_the_tokenizers(spark, tmp_path):
+    """Signs, digits, apostrophes, letters of several planes, and the underscore, which the vocabulary keeps with other signs."""
+    from tokenizers import Tokenizer
+
+    from atlas.llm.queries import QUERIES
+
+    path = tokenizer_path(spark, "word_bpe_49k.json")
+    tokenizer, words, rng = Tokenizer.from_file(path), packing.WordTokens(path), random.Random(3)
+    plain = "abcXYZ019___...'\"-+!?#$%&()*/:;<=>@[]^`{|}~,  "
+    wide = plain + "\t\néßÑøłœ¿¡«»€日本語кий\U0001f600\U00020000\u0301"
+    texts = ["foo__bar", "a._b", "'_'", "..._..", "_", "it's_ 's _'t"] + ["".join(rng.choices(plain if i % 2 else wide, k=rng.randint(1, 14))) for i in range(20_000)]
+    ids = [np.frombuffer(words.ids(t), "<u4").tolist() for t in texts]
+    assert [t for t, got, e in zip(texts, ids, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True) if got != e.ids] == []
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts[:500])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in QUERIES["op3_packing"](spark, str(tmp_path)).collect():
+        part = np.array([*ids[r.doc_id], 1], "<u4")[r.start:r.start + r.length]
+        assert len(ids[r.doc_id]) + 1 == r.doc_tokens and zlib.crc32(part.tobytes()) == r.ids_crc32
+
+
 @pytest.mark.parametrize("ids", [False, True])
 def test_every_token_is_packed_once(spark, docs, ids):
     from tokenizers import Tokenizer
