@@ -58,6 +58,26 @@ def test_top_k_with_ties_and_copies(spark, monkeypatch, scale):
     assert {q: sorted(v) for q, v in got.items()} == want
 
 
+def test_top_k_where_ids_repeat_with_other_vectors(spark, monkeypatch):
+    """An id's own vectors never push other candidates out, however many it has."""
+    monkeypatch.setattr(topk_search, "VECTOR_BLOCK", 16)
+    rng = np.random.default_rng(2)
+    draw = lambda: [float(x) for x in rng.integers(-3, 4, 4) / 8]
+    rows = [(20, [v * 4 for v in draw()]) for _ in range(30)] + [(i, draw()) for i in range(1, 40)] + [(40, draw()), (40, draw()), (60, draw())]
+    rows += [(7, rows[0][1]), (60, rows[1][1]), (21, rows[0][1])]   # other ids with a vector of id 20
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = collections.defaultdict(list)
+    for r in topk_search.top_k(frame, F.col("vec_id") % 20 == 0, k=5).collect():
+        got[r.query_id].append((r["rank"], r.score))
+    whole = [(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows]
+    for q in (20, 40, 60):   # every different vector of an id asks; candidates are all rows of other ids, each different vector once
+        want = []
+        for vec in {v for i, v in whole if i == q}:
+            scores = sorted((-sum(a * b for a, b in zip(vec, v)), i) for i, v in set(whole) if i != q)
+            want += [(rank + 1, -s) for rank, (s, _) in enumerate(scores[:5])]
+        assert sorted(got[q]) == sorted(want)
+
+
 def test_top_k_of_nothing(spark):
     assert topk_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
