@@ -114,7 +114,9 @@ def windows(numbers: np.ndarray, longest: int) -> np.ndarray:
 
 def _groups(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(value, from, to) of every run of equal values."""
-    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, int)
+    if not len(values):
+        return
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
     yield from zip(values[first].tolist(), first.tolist(), [*first[1:].tolist(), len(values)], strict=True)
 
 
