@@ -154,18 +154,18 @@ def in_boxes(points: DataFrame, boxes: DataFrame, box: float = BOX_DEGREES) -> D
 
 
 def chain_rings(lines: DataFrame) -> DataFrame:
-    """Coastline ways ``(way, points)`` joined end to start into closed rings: pid (lowest way id), ring.
+    """Coastline ways ``(way, points)`` joined end to start into closed rings, as vertex rows: pid (lowest way id), ring, ord, x, y.
 
-    Each way points to the lowest way that starts where it ends (and is the lowest that does). Pointer
-    doubling spreads the lowest id around each cycle and drops chains that run out, in log steps; a second
-    doubling numbers the ways of a cycle from the lowest.
+    Each way points to the lowest way that starts where it ends (and is the lowest that does). Pointer doubling spreads the
+    lowest id around each cycle and drops chains that run out, in log steps. A second doubling sums the points from each
+    way to the end of its cycle, which numbers every point: rings are never gathered. Rings of fewer than four points are left out.
     """
     ends = lines.filter(F.size("points") >= 2).select(
-        "way", F.element_at("points", 1).alias("head"), F.element_at("points", -1).alias("tail"))
-    closed = ends.filter(F.col("head") == F.col("tail")).select("way")
+        "way", F.element_at("points", 1).alias("head"), F.element_at("points", -1).alias("tail"), (F.size("points") - 1).cast("bigint").alias("points"))
+    closed = ends.filter(F.col("head") == F.col("tail")).select("way", F.col("way").alias("pid"), F.col("points").alias("left"))
     rest = cut_lineage(ends.filter(F.col("head") != F.col("tail")))
     after = rest.groupBy(F.col("head").alias("tail")).agg(F.min("way").alias("next"))
-    succ = rest.join(after, "tail").groupBy("next").agg(F.min("way").alias("way")).select("way", "next")
+    succ = rest.join(after, "tail").groupBy("next").agg(F.min(F.struct("way", "points")).alias("w")).select("w.way", "next", "w.points")
     now = cut_lineage(succ.select("way", F.col("next").alias("ptr"), F.least("way", "next").alias("low")))
     while True:
         ahead = now.select(F.col("way").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("low").alias("low2"))
@@ -176,19 +176,17 @@ def chain_rings(lines: DataFrame) -> DataFrame:
         now = step.drop("moved")
         if steady or now.isEmpty():
             break
-    ring_of = now.select("way", F.col("low").alias("pid"))
-    # number the ways of each cycle: distance to its lowest way, with the link into that way cut
-    cyc = ring_of.join(succ, "way")
-    far = cut_lineage(cyc.select("way", "pid", F.when(F.col("next") != F.col("pid"), F.col("next")).alias("ptr"), F.lit(1).cast("bigint").alias("d")))
+    # points from each way to the end of its cycle, with the link into the lowest way cut
+    cycles = now.select("way", F.col("low").alias("pid")).join(succ, "way")
+    far = cut_lineage(cycles.select("way", "pid", F.when(F.col("next") != F.col("pid"), F.col("next")).alias("ptr"), F.col("points").alias("left")))
     while not far.filter("ptr is not null").isEmpty():
-        ahead = far.select(F.col("way").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("d").alias("d2"))
+        ahead = far.select(F.col("way").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("left").alias("left2"))
         far = cut_lineage(far.join(ahead, "ptr", "left").select(
-            "way", "pid", F.col("ptr2").alias("ptr"), (F.col("d") + F.coalesce("d2", F.lit(0))).alias("d")))
-    order = far.select("way", "pid", (-F.col("d")).alias("ord")).unionByName(
-        closed.select("way", F.col("way").alias("pid"), F.lit(0).cast("bigint").alias("ord")))
-    placed = order.join(lines, "way").select("pid", "ord", "points", "way")
-    ordered = F.array_sort(F.collect_list(F.struct("ord", "way", "points")))
-    # every way but the first repeats the point where it joins
-    pieces = F.transform(ordered, lambda w, i: F.when(i == 0, w["points"]).otherwise(F.slice(w["points"], 2, F.size(w["points"]))))
-    ring = placed.groupBy("pid").agg(F.flatten(pieces).alias("ring"))
-    return ring.filter(F.size("ring") >= 4)
+            "way", "pid", F.col("ptr2").alias("ptr"), (F.col("left") + F.coalesce("left2", F.lit(0))).alias("left")))
+    placed = far.select("way", "pid", "left").unionByName(closed)
+    rings = placed.filter("way = pid").select("pid", F.col("left").alias("size")).filter("size >= 3")
+    points = (placed.join(rings, "pid").join(lines.select("way", "points"), "way")
+              .select("pid", (F.col("size") - F.col("left")).alias("begin"), "left", F.size("points").alias("n"), F.posexplode("points").alias("i", "p")))
+    # a way's last point is the next one's first; the last way's closes the ring
+    kept = points.filter((F.col("i") < F.col("n") - 1) | (F.col("left") == F.col("n") - 1))
+    return kept.select("pid", F.lit(0).alias("ring"), (F.col("begin") + F.col("i")).alias("ord"), "p.x", "p.y")

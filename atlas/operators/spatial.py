@@ -1,7 +1,8 @@
 """Point-in-polygon as cell-key equi-joins, and what is built on it.
 
 An area is ``(pid, rings)`` with ``rings`` an array of rings of ``struct(x, y)``: outer rings, holes and
-parts alike, judged even-odd.
+parts alike, judged even-odd. Or it is vertex rows ``(pid, ring, ord, x, y)``, ``ord`` from 0 without gaps: then no task
+ever holds a ring, and sizes, middles, boxes and segments are partial sums and equi-joins. Every function takes both.
 """
 
 from __future__ import annotations
@@ -17,8 +18,18 @@ SPLIT = 8
 EDGE_SLACK = 1e-9
 
 
+def vertex_rows(areas: DataFrame) -> DataFrame:
+    """(pid, ring, ord, x, y) of areas in either form."""
+    if "rings" not in areas.columns:
+        return areas.select("pid", "ring", "ord", "x", "y")
+    rings = areas.select("pid", F.posexplode("rings").alias("ring", "v"))
+    return rings.select("pid", "ring", F.posexplode("v").alias("ord", "v")).select("pid", "ring", "ord", "v.x", "v.y")
+
+
 def segments(areas: DataFrame) -> DataFrame:
     """One row per ring segment, the closing one included: pid, xj, yj → xi, yi."""
+    if "rings" not in areas.columns:
+        return joined_segments(areas).select("pid", "xj", "yj", "xi", "yi")
     ring = F.col("ring")
     previous = F.concat(F.slice(ring, -1, 1), F.slice(ring, 1, F.size(ring) - 1))
     pairs = F.zip_with(previous, ring, lambda j, i: F.struct(
@@ -27,6 +38,29 @@ def segments(areas: DataFrame) -> DataFrame:
     return rings.select("pid", F.inline(pairs))
 
 
+def joined_segments(vertices: DataFrame) -> DataFrame:
+    """(pid, ring, ord, xj, yj, xi, yi): each vertex with the one before it, the first with the last, by an equi-join on its number."""
+    key = ["pid", "ring"]
+    sizes = vertices.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    after = vertices.join(sizes, key).select(*key, F.pmod(F.col("ord") + 1, F.col("n")).alias("ord"), F.col("x").alias("xj"), F.col("y").alias("yj"))
+    return after.join(vertices.select(*key, F.col("ord").cast("bigint").alias("ord"), F.col("x").alias("xi"), F.col("y").alias("yi")), [*key, "ord"])
+
+
+def area_sizes(areas: DataFrame) -> DataFrame:
+    """(pid, size): the sum of the absolute shoelace areas of the rings."""
+    if "rings" in areas.columns:
+        return areas.select("pid", geo.ring_area(F.col("rings")).alias("size"))
+    cross = F.col("xj") * F.col("yi") - F.col("xi") * F.col("yj")
+    rings = joined_segments(areas).filter("ord > 0").groupBy("pid", "ring").agg((F.abs(F.sum(cross)) / 2).alias("size"))
+    return areas.select("pid").distinct().join(rings.groupBy("pid").agg(F.sum("size").alias("size")), "pid", "left").select("pid", F.coalesce("size", F.lit(0.0)).alias("size"))
+
+
+def area_middles(areas: DataFrame) -> DataFrame:
+    """(pid, x, y): the mean of the vertices of the first ring, the closing vertex included."""
+    first = vertex_rows(areas).filter("ring = 0")
+    return first.groupBy("pid").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+
+
 def band_segments(segs: DataFrame) -> DataFrame:
     """Segments keyed by the latitude bands they span; horizontal ones never count."""
     low = F.floor(F.least("yi", "yj") / F.lit(BAND))
@@ -153,8 +187,7 @@ def assign_admin(points: DataFrame, areas: DataFrame, key: str = "point") -> Dat
 
 def smallest_area(points: DataFrame, areas: DataFrame, cell: float, key: str = "point") -> DataFrame:
     """Each contained point with its smallest area, ties by the lowest id: key, area."""
-    sized = areas.select("pid", geo.ring_area(F.col("rings")).alias("size"))
-    hits = _hits(points, areas, cell, key).join(sized, "pid")
+    hits = _hits(points, areas, cell, key).join(area_sizes(areas), "pid")
     return hits.groupBy(F.col("_key").alias(key)).agg(F.min_by("pid", F.struct("size", "pid")).alias("area"))
 
 
@@ -176,9 +209,7 @@ def bbox_union(df: DataFrame, keys: list[str], x: str = "x", y: str = "y") -> Da
 
 def polygon_overlap(areas: DataFrame, cell: float = 1.0) -> DataFrame:
     """Pairs a < b of areas with a vertex of one inside the other, and the bounds of those vertices."""
-    vertices = (areas.select(F.col("pid").alias("owner"), F.explode("rings").alias("ring"))
-                .select("owner", F.explode("ring").alias("v"))
-                .select("owner", F.col("v.x").alias("lon"), F.col("v.y").alias("lat")).distinct()
+    vertices = (vertex_rows(areas).select(F.col("pid").alias("owner"), F.col("x").alias("lon"), F.col("y").alias("lat")).distinct()
                 .withColumn("point", F.struct("owner", "lon", "lat")))
     hits = point_in_boxed_polygon(vertices, areas, cell).filter(F.col("pid") != F.col("point.owner"))
     pair = hits.select(F.least("pid", "point.owner").alias("a"), F.greatest("pid", "point.owner").alias("b"),
@@ -199,9 +230,7 @@ def tile_to_country(tiles: DataFrame, areas: DataFrame) -> DataFrame:
                .select("s.lon", "s.lat", F.struct("level", "tile_id", "s").alias("point")))
     by_sample = point_in_polygon(samples, areas, 1.0).select("point.level", "point.tile_id", F.col("pid").alias("country"))
     size = geo.by_level(F.col("level"), geo.TILE_DEGREES)
-    vertices = (areas.select(F.col("pid").alias("country"), F.explode("rings").alias("ring"))
-                .select("country", F.explode("ring").alias("v"))
-                .select("country", F.col("v.x").alias("x"), F.col("v.y").alias("y")).distinct())
+    vertices = vertex_rows(areas).select(F.col("pid").alias("country"), "x", "y").distinct()
     # a vertex on a shared border belongs to the tiles of both sides
     col0, col1 = F.ceil((F.col("x") + 180.0) / size) - 1, F.floor((F.col("x") + 180.0) / size)
     row0, row1 = F.ceil((F.col("y") + 90.0) / size) - 1, F.floor((F.col("y") + 90.0) / size)

@@ -207,17 +207,16 @@ def coast(t):
     seg = v.alias("a").join(v.alias("b"), (c("a.pid") == c("b.pid")) & (c("a.ring") == c("b.ring")) & (c("a.ord") + 1 == c("b.ord")))
     spot = lambda p: F.struct(c(f"{p}.x").alias("x"), c(f"{p}.y").alias("y"))
     edges = seg.select((c("a.pid") * 100 + c("a.ring") * 20 + c("a.ord")).cast("bigint").alias("way"), F.array(spot("a"), spot("b")).alias("points"))
-    whole = t.area.filter("pid % 2 = 1").select((c("pid") * 100).cast("bigint").alias("way"), F.get("rings", F.lit(0)).alias("points"))
+    whole = t.area.filter("pid % 2 = 1").select("pid", F.posexplode("rings").alias("ring", "points")).select((c("pid") * 100 + c("ring")).cast("bigint").alias("way"), "points")
     nxt = t.pt.select((c("point") - 1).alias("point"), c("lat").alias("lat2"), c("lon").alias("lon2"))
     open_ = t.pt.join(nxt, "point").select((c("point") + 100000).alias("way"), F.array(F.struct(c("lon").alias("x"), c("lat").alias("y")), F.struct(c("lon2").alias("x"), c("lat2").alias("y"))).alias("points"))
     return edges.unionByName(whole).unionByName(open_)
 
 
-@query("g02_chain_rings", """SELECT CAST(pid * 100 + ring * 20 AS BIGINT) AS pid, CAST(count(*) AS INT) AS points, round(arg_min(x, ord) + arg_max(y, ord), 9) AS ends FROM poly_vertex WHERE pid % 2 = 0 GROUP BY poly_vertex.pid, ring
-    UNION ALL SELECT CAST(pid * 100 AS BIGINT), CAST(count(*) AS INT), round(arg_min(x, ord) + arg_max(y, ord), 9) FROM poly_vertex WHERE pid % 2 = 1 AND ring = 0 GROUP BY poly_vertex.pid""")
+@query("g02_chain_rings", """SELECT CAST(pid * 100 + ring * 20 AS BIGINT) AS pid, CAST(ord AS BIGINT) AS ord, x, y FROM poly_vertex WHERE pid % 2 = 0
+    UNION ALL SELECT CAST(pid * 100 + ring AS BIGINT), CAST(ord AS BIGINT), x, y FROM poly_vertex WHERE pid % 2 = 1""")
 def g02(t):
-    rings = network.chain_rings(coast(t))
-    return rings.select("pid", F.size("ring").alias("points"), F.round(F.get("ring", F.lit(0))["x"] + F.element_at("ring", -1)["y"], 9).alias("ends"))
+    return network.chain_rings(coast(t)).select("pid", "ord", "x", "y")
 
 
 # ---- P10 -------------------------------------------------------------------------------------

@@ -116,8 +116,7 @@ def s04(t):
     laid = spot.unionByName(heads).unionByName(ends).unionByName(name).unionByName(last).repartition("pid").sortWithinPartitions("pid", "ring", "o")
     laid.select("pid", "value").write.partitionBy("pid").text(path)
     read = map_objects.read_poly(t.spark, f"{path}/pid=*")
-    rings = read.select(F.regexp_extract("file", r"pid=(\d+)", 1).cast("int").alias("pid"), "rings")
-    return vertex_rows(rings, "pid")
+    return read.select(F.regexp_extract("file", r"pid=(\d+)", 1).cast("int").alias("pid"), "ring", "ord", "x", "y")
 
 
 # ---- S5–S8, K3 strict text -------------------------------------------------------------------

@@ -44,7 +44,7 @@ def j05(t):
     SELECT a.point, lm.landmass, lm.landmass IS NULL OR b.landmass IS NULL OR lm.landmass = b.landmass AS same
     FROM pt a LEFT JOIN lm ON lm.point = a.point LEFT JOIN lm b ON b.point = a.point + 1""")
 def j11(t):
-    land = spatial.landmass_of(t.pt.select("point", "lat", "lon"), t.area)
+    land = spatial.landmass_of(t.pt.select("point", "lat", "lon"), t.poly_vertex)
     other = land.select((c("point") - 1).alias("point"), c("landmass").alias("next"))
     return land.join(other, "point", "left").select("point", "landmass", spatial.same_landmass(c("landmass"), c("next")).alias("same"))
 
@@ -227,6 +227,21 @@ def a13(t):
     return t.area.select("pid", F.round(geo.ring_area(c("rings")), 9).alias("area"))
 
 
+@query("a13_area_of_rows", f"WITH {AREA_SIZE} SELECT pid, round(area, 9) AS area FROM sized")
+def a13_rows(t):
+    return spatial.area_sizes(t.poly_vertex).select("pid", F.round("size", 9).alias("area"))
+
+
+@query("a22_middle_of_rows", """SELECT pid, round(avg(x), 9) AS x, round(avg(y), 9) AS y FROM poly_vertex WHERE ring = 0 GROUP BY pid""")
+def a22_rows(t):
+    return spatial.area_middles(t.poly_vertex).select("pid", F.round("x", 9).alias("x"), F.round("y", 9).alias("y"))
+
+
+@query("j07_point_in_rows", f"WITH {INSIDE} SELECT point, pid FROM inside")
+def j07_rows(t):
+    return spatial.point_in_polygon(t.pt, t.poly_vertex, 0.5)
+
+
 @query("a22_centroid", """SELECT pid, round(avg(x), 9) AS x, round(avg(y), 9) AS y FROM poly_vertex WHERE ring = 0 GROUP BY pid""")
 def a22(t):
     m = geo.ring_centroid(c("rings"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from atlas import schemas
@@ -104,8 +104,8 @@ def read_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_poly(lines: DataFrame) -> DataFrame:
-    """Polygon files: file, rings. A ring is the run of ``lon lat`` lines before an END; any other line
-    starts over."""
+    """Polygon files as vertex rows: file, ring, ord, x, y. A ring is the run of ``lon lat`` lines before an END; any other
+    line starts over. Rings and vertices are numbered from 0 in file order, and no ring is gathered."""
     words = F.split(F.trim("value"), r"\s+")
     typed = (lines.filter(F.trim("value") != "").withColumn("w", words)
              .withColumn("x", F.when(F.size("w") == 2, F.col("w")[0].try_cast("double")))
@@ -113,11 +113,13 @@ def parse_poly(lines: DataFrame) -> DataFrame:
     is_end = F.trim("value") == "END"
     breaks = is_end | (F.size("w") != 2)
     placed = running_total(typed.withColumn("is_end", is_end), breaks, "run")
+    vertex = F.col("x").isNotNull() & F.col("y").isNotNull()
+    placed = running_total(placed, vertex, "line").select("file", "run", "line", "is_end", "x", "y")
+    points = placed.filter(vertex)
     closed = placed.filter("is_end").select("file", "run")
-    points = placed.filter("x is not null and y is not null").join(closed, ["file", "run"])
-    ordered = F.array_sort(F.collect_list(F.struct("block", "at", "x", "y")))
-    ring = points.groupBy("file", "run").agg(F.transform(ordered, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("ring"))
-    return ring.groupBy("file").agg(F.transform(F.array_sort(F.collect_list(F.struct("run", "ring"))), lambda r: r["ring"]).alias("rings"))
+    rings = points.join(closed, ["file", "run"], "left_semi").groupBy("file", "run").agg(F.min("line").alias("first"))
+    rings = rings.withColumn("ring", F.row_number().over(Window.partitionBy("file").orderBy("run")) - 1)   # one row per ring
+    return points.join(rings, ["file", "run"]).select("file", "ring", (F.col("line") - F.col("first")).cast("int").alias("ord"), "x", "y")
 
 
 def read_poly(spark: SparkSession, path: str) -> DataFrame:

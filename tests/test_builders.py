@@ -148,7 +148,10 @@ def test_chain_rings(spark):
             (10, [p(40), p(41)]), (11, [p(41), p(42)]), (12, [p(50), p(51), p(52)])]             # open chains
     rows += [(100 + i, [p(60 + i), p(60 + (i + 1) % 17)]) for i in range(17)]                    # a ring of seventeen
     df = spark.createDataFrame(rows, "way bigint, points array<struct<x:double,y:double>>")
-    rings = {r.pid: [(q.x, q.y) for q in r.ring] for r in network.chain_rings(df).collect()}
+    rings = {}
+    for r in sorted(network.chain_rings(df).collect(), key=lambda r: (r.pid, r.ord)):
+        assert r.ord == len(rings.setdefault(r.pid, []))     # numbered from 0 without gaps
+        rings[r.pid].append((r.x, r.y))
     xy = lambda i: (float(i % 10), float(i // 10))
     assert rings == {3: [xy(3), xy(4), xy(1), xy(2), xy(3)], 1: [xy(20), xy(21), xy(22), xy(20)],
                      100: [xy(60 + i) for i in range(17)] + [xy(60)]}

@@ -57,6 +57,23 @@ def test_point_in_polygon(spark, areas, cell):
         assert {tuple(r) for r in spatial.point_in_boxed_polygon(df, areas).select("point", "pid").collect()} == want
 
 
+def test_areas_as_vertex_rows(spark, areas):
+    """Rows give what arrays give, and nothing on the way holds a ring."""
+    rows = spark.createDataFrame([(k, i, j, x, y) for k, rings in shapes().items() for i, ring in enumerate(rings) for j, (x, y) in enumerate(ring)],
+                                 "pid string, ring int, ord int, x double, y double").repartition(7)
+    both = lambda fn: [sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in fn(a).collect()) for a in (areas, rows)]
+    left, right = both(lambda a: spatial.segments(a).filter("xj <> xi or yj <> yi"))
+    assert left == right and len(left) > 200
+    for fn in (spatial.vertex_rows, spatial.area_middles, lambda a: spatial.area_sizes(a).filter("pid <> 'multi'"), lambda a: spatial.polygon_overlap(a)):
+        left, right = both(fn)
+        assert left == right and left is not None
+    spots = spark.createDataFrame([(i, y, x) for i, (x, y) in enumerate(points())], "point int, lat double, lon double")
+    left, right = both(lambda a: spatial.smallest_area(spots, a, 0.25))
+    assert left == right and len(left) > 100
+    plan = spatial.area_sizes(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Window" not in plan
+
+
 def flat_km(a, b):
     k = math.cos(math.radians((a[0] + b[0]) / 2)) * 111.32
     return math.hypot((b[1] - a[1]) * k, (b[0] - a[0]) * 110.54)
