@@ -57,15 +57,56 @@ def base_letter_map() -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
+@functools.cache
+def marks() -> str:
+    """All non-spacing marks of the Unicode tables, also those younger than the JVM's."""
+    return "".join(c for c in map(chr, [*range(0x300, 0xD800), *range(0xE000, 0xE0200)]) if unicodedata.category(c) == "Mn")
+
+
+SYLLABLES = "\uac00-\ud7a3"   # Hangul syllables decompose by arithmetic
+LEADS, VOWELS, TAILS = ("".join(map(chr, range(first, first + n))) for first, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
+
+
+@functools.cache
+def spelled_out() -> dict[str, str]:
+    """Every other lower-case character whose canonical decomposition has several letters, and these letters."""
+    found = {}
+    for code in range(0x80, 0x30000):
+        letter = chr(code)
+        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF or letter.lower() != letter:
+            continue
+        bare = [c for c in unicodedata.normalize("NFD", letter) if unicodedata.category(c) != "Mn"]
+        if len(bare) > 1:
+            found[letter] = "".join(bare)
+    return found
+
+
+def _decomposed(text: Column) -> Column:
+    """Hangul syllables and the characters of ``spelled_out`` as their letters; texts without any are left as they are."""
+    several = spelled_out()
+    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+
+    def letters(char: Column) -> Column:
+        number = F.ascii(char) - 0xAC00
+        tail = F.pmod(number, F.lit(28))
+        lead, vowel = F.floor(number / 588).cast("int"), F.floor(F.pmod(number, F.lit(588)) / 28).cast("int")
+        hangul = F.concat(F.substring(F.lit(LEADS), lead + 1, F.lit(1)), F.substring(F.lit(VOWELS), vowel + 1, F.lit(1)),
+                          F.when(tail > 0, F.substring(F.lit(TAILS), tail, F.lit(1))).otherwise(""))
+        return F.when(char.between("\uac00", "\ud7a3"), hangul).otherwise(F.coalesce(F.try_element_at(table, char), char))
+
+    chars = F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1))
+    return F.when(text.rlike(f"[{SYLLABLES}{''.join(several)}]"), F.array_join(F.transform(chars, letters), "")).otherwise(text)
+
+
 def strip(text: Column) -> Column:
     """Without leading and trailing white space."""
     return F.btrim(text, F.lit(" \t\n\r\f\x0b"))
 
 
 def fold(text: Column) -> Column:
-    """Lower case without diacritics (also й→и, ё→е)."""
+    """Lower case without diacritics (also й→и, ё→е): the canonical decomposition without its marks."""
     source, target = base_letter_map()
-    return F.regexp_replace(F.translate(F.lower(text), source, target), r"\p{Mn}", "")
+    return F.translate(_decomposed(F.lower(text)), source + marks(), target)   # letters without a counterpart are dropped
 
 
 def name_key(text: Column) -> Column:

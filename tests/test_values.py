@@ -1,5 +1,7 @@
 """Value vectors of the scalar rules."""
 
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,15 @@ def column(spark, rows, expr, schema="v string"):
     return [r[1] for r in sorted(df.select("i", expr(F.col("v")).alias("o")).collect())]
 
 
+def test_every_code_point_folds_to_its_decomposition_without_marks(spark):
+    bare = lambda s: "".join(c for c in unicodedata.normalize("NFD", s.lower()) if unicodedata.category(c) != "Mn")
+    codes = [i for i in range(1, 0x110000) if not 0xD800 <= i <= 0xDFFF and unicodedata.category(chr(i)) != "Cn"]
+    df = spark.createDataFrame([(i, f"x{chr(i)}y") for i in codes], "i int, v string").repartition(8)
+    assert [r.i for r in df.select("i", text.fold(F.col("v")).alias("f")).collect() if r.f != bare(f"x{chr(r.i)}y")] == []
+    words = ["서울특별시 Étage", "ǖ́ Ḝ 각각", "\U0001d15e x", "", None]
+    assert column(spark, words, text.fold) == [w and bare(w) for w in words[:4]] + [None]
+
+
 def test_street_keys(spark):
     cases = {"Alba-Iulia": "alba iulia", "Șoseaua Muncești": "soseaua muncesti", "Şoseaua Munceşti": "soseaua muncesti",
              "str. 31 August 1989": "str 31 august 1989", "Stradela Ion  Creangă": "stradela ion creanga", "улица Ленина": "улица ленина",
