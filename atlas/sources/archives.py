@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +40,27 @@ def archive_header_audit(headers: DataFrame) -> DataFrame:
         _signed32(102).alias("west_e7"), _signed32(106).alias("south_e7"), _signed32(110).alias("east_e7"), _signed32(114).alias("north_e7"))
 
 
-def read_archive_headers(spark: SparkSession, path: str) -> DataFrame:
-    """First bytes of each archive. Spark's binary source reads whole files, so point this at header
-    extracts, or at archives small enough to be read whole."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("path"), F.col("length"), F.substring("content", 1, HEADER_BYTES).alias("header"))
+def read_archive_headers(spark: SparkSession, path: str, bytes_each: int = HEADER_BYTES) -> DataFrame:
+    """(path, length, header): the first bytes of each archive; of a file of any size nothing else is read.
+
+    Spark lists the files (its binary source opens none unless its content is asked for, and leaves out empty ones); the tasks
+    then read one short range of each by its URI. Schemes are those Arrow knows: local files, HDFS, S3, GCS, ABFS. Name a folder
+    rather than a pattern where there are many files: a folder is listed once, a pattern file by file.
+    """
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            headers = []
+            for uri in batch.column("path").to_pylist():
+                scheme, rest = uri.split(":", 1)   # Spark's paths are not escaped
+                system, name = (fs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else fs.FileSystem.from_uri(uri)
+                with system.open_input_file(name) as file:
+                    headers.append(file.read_at(min(bytes_each, file.size()), 0))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(headers, pa.binary())], names=["path", "length", "header"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "length").repartition(4 * spark.sparkContext.defaultParallelism)
+    return files.mapInArrow(ranges, "path string, length long, header binary")
 
 
 def tile_directory_expand(entries: DataFrame) -> DataFrame:

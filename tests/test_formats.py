@@ -129,3 +129,16 @@ def test_direction_lists_take_the_kind_of_their_first_part(spark):
 
     rows = spark.createDataFrame([("N;90",), ("90;N",), ("N;0-90",)], "v string").select("v", osm.parse_direction(F.col("v")).alias("d")).collect()
     assert {r.v: (r.d.src, r.d.degrees) for r in rows} == {"N;90": ("card", [0.0, 90.0]), "90;N": ("deg", [90.0, 0.0]), "N;0-90": (None, None)}
+
+
+def test_archive_headers_are_read_as_ranges(spark, tmp_path):
+    """Of a file of three gigabytes, a short one and one whose name needs quoting, only the first bytes."""
+    with open(tmp_path / "large.pmtiles", "wb") as file:   # without blocks behind the header
+        file.write(bytes.fromhex(archives.MAGIC_HEX) + b"\x03" + bytes(119))
+        file.truncate(3 << 30)
+    (tmp_path / "short.pmtiles").write_bytes(b"PM")
+    (tmp_path / "ä b%20#1.pmtiles").write_bytes(b"other" * 40)
+    rows = {r.path.rsplit("/", 1)[1]: r for r in archives.read_archive_headers(spark, f"{tmp_path}/*.pmtiles").collect()}
+    assert {k: (r.length, len(r.header)) for k, r in rows.items()} == {"large.pmtiles": (3 << 30, 127), "short.pmtiles": (2, 2), "ä b%20#1.pmtiles": (200, 127)}
+    found = {r.path.rsplit("/", 1)[1]: (r.magic_ok, r.version) for r in archives.archive_header_audit(archives.read_archive_headers(spark, f"{tmp_path}/large*")).collect()}
+    assert found == {"large.pmtiles": (True, 3)}
