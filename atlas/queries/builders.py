@@ -292,12 +292,24 @@ view("t_street", "SELECT o_orderkey AS id, o_orderpriority AS name, CASE WHEN o_
 view("t_house", "SELECT l_orderkey AS street, CAST(l_linenumber AS STRING) || 'a' AS key, l_partkey * 4 + 1 AS osm, CAST(470000000 + l_partkey AS INT) AS lat_e7, CAST(280000000 + l_suppkey AS INT) AS lon_e7 FROM li")
 
 
-@query("q03_house_lookup", """SELECT o_orderkey AS street, '3a' AS key, h.street IS NOT NULL AS exact, coalesce(h.lat_e7 / 1e7, s.lat) AS lat, coalesce(h.lon_e7 / 1e7, s.lon) AS lon FROM orders JOIN t_street s ON s.id = o_orderkey LEFT JOIN t_house h ON h.street = o_orderkey AND h.key = '3a'""")
+LOOKUP = """SELECT o_orderkey AS street, '3a' AS key, h.street IS NOT NULL AS exact, coalesce(h.lat_e7 / 1e7, s.lat) AS lat, coalesce(h.lon_e7 / 1e7, s.lon) AS lon FROM orders JOIN t_street s ON s.id = o_orderkey LEFT JOIN t_house h ON h.street = o_orderkey AND h.key = '3a'"""
+
+
+@query("q03_house_lookup", LOOKUP)
 def q03(t):
     asked = t.orders.select(c("o_orderkey").alias("street"), F.lit("3a").alias("key"))
     return search_ops.house_lookup(asked, t.t_house, t.t_street)
 
 
+@query("q03_bucketed_lookup", LOOKUP)
+def q03_bucketed(t):
+    """The same questions to the written tables, which are not moved."""
+    path = scratch_folder(t.spark, "lookup")
+    street, house = sinks.write_lookup_tables(t.t_street, t.t_house, path, f"lookup_{path[-32:]}", buckets=16)
+    asked = t.orders.select(c("o_orderkey").alias("street"), F.lit("3a").alias("key"))
+    return search_ops.house_lookup(asked, t.spark.table(house), t.spark.table(street))
+
+
 @query("q04_street_context", """SELECT s.id, s.name, c_name AS locality_name, n_name AS commune_name, c_mktsegment AS district FROM t_street s LEFT JOIN customer ON c_custkey = s.locality LEFT JOIN nation ON n_nationkey = CASE WHEN c_custkey % 3 > 0 THEN c_nationkey END""")
 def q04(t):
     locality = t.customer.select(c("c_custkey").alias("id"), c("c_name").alias("name"), c("c_mktsegment").alias("district"), F.when(c("c_custkey") % 3 > 0, c("c_nationkey")).alias("commune"))

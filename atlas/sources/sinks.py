@@ -126,6 +126,20 @@ def write_address_tables(index, path: str) -> None:
     meta.write.mode("overwrite").parquet(f"{path}/meta")
 
 
+def write_lookup_tables(street: DataFrame, house: DataFrame, path: str, name: str, buckets: int = 256) -> tuple[str, str]:
+    """The two tables that house lookups join, as catalog tables ``name_street`` and ``name_house`` over files under ``path``.
+
+    Houses are bucketed by (street, key) and streets by id, each bucket one sorted file, so a lookup moves the questions
+    only: neither table is shuffled or sorted again, however often it is asked. Returns the two table names.
+    """
+    def write(rows: DataFrame, table: str, *keys: str) -> str:
+        laid = rows.repartition(buckets, *keys)
+        laid.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{path}/{table}").saveAsTable(f"{name}_{table}")
+        return f"{name}_{table}"
+
+    return write(street, "street", "id"), write(house, "house", "street", "key")
+
+
 def search_json_lines(place: DataFrame) -> DataFrame:
     """The search index as ordered JSON rows: part (places, streets, pois), line and its sort fields."""
     part = F.element_at(F.array(F.lit("places"), F.lit("streets"), F.lit("pois")), F.col("kind") + 1)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from atlas.gates.address import address_gate
-from atlas.operators import token_index
+from atlas.operators import search, token_index
 from atlas.plans.address_index import AddressIndex
 from atlas.sources import sinks
 
@@ -78,3 +78,20 @@ def test_same_text_twice_and_nulls(spark):
     rows = spark.createDataFrame([(1, "a a", None), (1, "a a", None), (2, None, ["b", None]), (None, "a", None)], "id int, name string, aliases array<string>")
     got = [(r.token, r.field, r.key) for r in token_index.token_rows(rows, "id", ["name", "aliases"]).collect()]
     assert sorted(got, key=str) == sorted([("", "", 1), ("", "", 2), ("", "", None), ("a", "name", 1), ("a", "name", None), ("b", "aliases", 2)], key=str)
+
+
+def test_lookups_move_the_questions_only(spark, tmp_path):
+    street = spark.range(500).select("id", (F.col("id") / 10).alias("lat"), F.lit(28.0).alias("lon"))
+    house = spark.range(5000).select((F.col("id") % 500).alias("street"), (F.col("id") % 10).cast("string").alias("key"), (F.col("id") * 4).alias("osm"),
+                                     F.lit(470000000).alias("lat_e7"), F.lit(280000000).alias("lon_e7"))
+    names = sinks.write_lookup_tables(street, house, str(tmp_path), "lookup_test", buckets=8)
+    asked = spark.createDataFrame([(3, "3"), (3, "99"), (499, "9"), (7, "7")], "street bigint, key string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = search.house_lookup(asked, spark.table(names[1]), spark.table(names[0]))
+    rows = sorted((r.street, r.key, r.exact, r.lat) for r in df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == [(3, "3", True, 47.0), (3, "99", False, 0.3), (7, "7", True, 47.0), (499, "9", True, 47.0)]
+    assert plan.count("Bucketed: true") == 2 and plan.count("Exchange hashpartitioning") == 2 == plan.count("Exchange")   # the questions, by house and by street
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
