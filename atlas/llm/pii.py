@@ -6,10 +6,11 @@ valid values of its format: a Feistel network on two halves of sizes a and b, wh
 half to the other modulo its size, so it is a bijection of a * b values for any a and b. Equal values, however
 separated, become equal pseudonyms in every document; different ones stay different. Signs between digits stay.
 Cards keep a correct check digit, telephone numbers all but their last ten digits, dates their layout (years 1800
-to 2199). E-mail addresses are no numbers; they get a keyed digest as name under ``MAIL_DOMAIN``.
+to 2199); a date with slashes is month first where the calendar allows it, else day first. A telephone number ends at a group
+of four digits after another one, so a number behind it is not taken for a part. E-mail addresses are no numbers; they get a keyed digest as name under ``MAIL_DOMAIN``.
 
 Defined results: a null text stays null with no values, an empty one empty; invalid values stay as they are; repeated rows
-are treated alike; an empty table gives an empty result; all columns but the text are kept.
+are treated alike; an empty table gives an empty result; all columns but the text are kept, and pii_counts is added or replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ PATTERNS = {
     "ipv4": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[.-][0-9]{4})(?![0-9])",
+    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}[ .-]?[0-9]{4}(?![0-9])|(?:[ .-]?[0-9]{2,4}){2,3})|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9])",
 }
 KINDS = tuple(PATTERNS)
 ANY_VALUE = "|".join(PATTERNS.values())
@@ -127,9 +128,11 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    layout = F.when(m.rlike("^[0-9]{4}-"), "yyyy-MM-dd").when(m.contains("/"), "MM/dd/yyyy").otherwise("dd.MM.yyyy")
-    iso = (F.when(m.rlike("^[0-9]{4}-"), m).when(m.contains("/"), F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2)))
-           .otherwise(F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2))))
+    dashed = lambda year, month, day: F.concat_ws("-", F.substring(m, year, 4), F.substring(m, month, 2), F.substring(m, day, 2))
+    month_first = dashed(7, 1, 4)
+    layout = (F.when(m.rlike("^[0-9]{4}-"), "yyyy-MM-dd").when(m.contains("."), "dd.MM.yyyy")
+              .when(month_first.try_cast("date").isNotNull(), "MM/dd/yyyy").otherwise("dd/MM/yyyy"))
+    iso = F.when(layout == "yyyy-MM-dd", m).when(layout == "MM/dd/yyyy", month_first).otherwise(dashed(7, 4, 1))
     day = F.datediff(iso.try_cast("date"), F.lit(FIRST_DAY).cast("date")).cast("long")
     a, b = DAYS
 
@@ -137,7 +140,7 @@ def _date(m: Column, key: str) -> Column:
         moved = F.date_add(F.lit(FIRST_DAY).cast("date"), feistel(d, _long(a), _long(b), key, "date").cast("int"))
         out = let(moved.cast("string"), lambda s: F.when(layout == "yyyy-MM-dd", s).when(
             layout == "MM/dd/yyyy", F.concat_ws("/", F.substring(s, 6, 2), F.substring(s, 9, 2), F.substring(s, 1, 4))).otherwise(
-            F.concat_ws(".", F.substring(s, 9, 2), F.substring(s, 6, 2), F.substring(s, 1, 4))))
+            F.concat(F.substring(s, 9, 2), F.substring(m, 3, 1), F.substring(s, 6, 2), F.substring(m, 3, 1), F.substring(s, 1, 4))))
         return F.when((d >= 0) & (d < a * b), out)
 
     return let(day, text)
@@ -178,6 +181,6 @@ def pseudonymise(documents: DataFrame, key: str, text: str = "text") -> DataFram
     source = F.col(text)
     parts = F.struct(F.split(source, ANY_VALUE, -1).alias("gaps"), F.regexp_extract_all(source, F.lit(ANY_VALUE), F.lit(0)).alias("values"))
     found = F.when(source.rlike("[0-9@]"), let(parts, rewrite))
-    rows = documents.select(F.struct("*").alias("row"), F.explode(F.array(found)).alias("found"))
+    rows = documents.drop("pii_counts").select(F.struct("*").alias("row"), F.explode(F.array(found)).alias("found"))
     counts = F.map_from_entries(F.array(*[F.struct(F.lit(k), F.coalesce(F.size(F.filter("found.kinds", lambda x: x == k)), F.lit(0)).cast("long")) for k in KINDS]))  # noqa: B023
     return rows.select(F.col("row").withField(text, F.coalesce("found.text", F.col("row")[text])).alias("row"), counts.alias("pii_counts")).select("row.*", "pii_counts")

@@ -123,6 +123,24 @@ def luhn(digits):
     return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(map(int, reversed(digits)))) % 10 == 0
 
 
+def test_phones_and_dates_among_other_numbers(spark):
+    """A number behind a phone is not part of it; spaces alone separate; days may come first."""
+    texts = ["call +1 (555) 123-4567 123 now", "+1 (555) 123-4567", "555 123 4567", "(555) 123 4567 9", "555.123.4567", "+44 20 7946 0958", "on 12/31/1999, 31/12/1999, 31.12.1999 and 1999-12-31", "31/13/1999 99/99/9999", "1 22 333"]
+    frame = spark.createDataFrame([(i, t, "old") for i, t in enumerate(texts)], "doc_id long, text string, pii_counts string")
+    found = pii.pseudonymise(frame, "key")
+    assert found.columns.count("pii_counts") == 1
+    got = {r.doc_id: (r.text, r.pii_counts) for r in found.collect()}
+    number = lambda i: re.sub("[^0-9]", "", got[i][0])
+    behind = re.fullmatch(r"call (\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}) 123 now", got[0][0])
+    assert behind[1] == got[1][0] != texts[1]
+    assert number(1)[1:] == number(2) == number(3)[:-1] == number(4) and got[3][0].endswith(" 9") and re.fullmatch("[0-9]{3} [0-9]{3} [0-9]{4}", got[2][0])
+    assert re.fullmatch(r"\+44 [0-9]{2} [0-9]{4} [0-9]{4}", got[5][0]) and got[5][0] != texts[5]
+    m, d, y, d2, m2, y2, rest = re.fullmatch(r"on ([0-9]{2})/([0-9]{2})/([0-9]{4}), ([0-9]{2})/([0-9]{2})/([0-9]{4}), (.*)", got[6][0]).groups()
+    assert (m, d, y) == (m2, d2, y2) != ("12", "31", "1999") and rest == f"{d}.{m}.{y} and {y}-{m}-{d}"
+    assert got[7][0] == texts[7] and got[8][0] == texts[8]
+    assert [got[i][1]["phone"] for i in range(6)] == [1] * 6 and got[6][1]["date"] == 4
+
+
 def test_pseudonyms_keep_formats_and_links(spark):
     texts = ["mail a.b@mail.example.com, +1 (743) 555-3824!! 227.5.221.1. 4785380592391139 4111111111111111 4111-1111-1111-1111",
              "2024-02-30 2024-02-29 02/29/2024 29.02.2024 123-45-6789 000-12-3456 666-11-1111 300.1.1.1 4111111111111112 (743) 555-3824", "", None, "no digits",
