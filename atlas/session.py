@@ -27,10 +27,16 @@ def get_spark(app: str = "atlas", master: str | None = None, **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+def is_local(folder: str) -> bool:
+    """Whether a folder without a scheme, or with that of local files, is meant."""
+    return folder.startswith("file:") or "://" not in folder
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point checkpoints at the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where it is unset, a folder in the warehouse is used, which all executors share as well.
+    Where it is unset, a folder in the warehouse is used. That is refused on a cluster whose warehouse is a local folder,
+    since executors on other machines would not see it.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -39,7 +45,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         if not current or not current.startswith(named.rstrip("/")):
             sc.setCheckpointDir(named)
     elif not current:
-        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if is_local(warehouse) and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(warehouse.rstrip("/") + "/checkpoints")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
