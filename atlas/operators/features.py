@@ -36,8 +36,13 @@ def node_parents(ways: DataFrame, located: DataFrame) -> DataFrame:
 def neighbour_bearings(parents: DataFrame, nodes: DataFrame) -> DataFrame:
     """Direction of each way at each node, from the node before to the node after; places whose
     neighbours coincide or have no position are left out."""
-    at = lambda name, short: nodes.select(F.col("id").alias(name), F.col("lat").alias(f"{short}_lat"), F.col("lon").alias(f"{short}_lon"))
-    placed = (parents.filter("before <> after").join(at("before", "a"), "before").join(at("after", "b"), "after"))
+    # both neighbours are looked up in one pass over the positions
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("end")), F.struct(F.lit(1).alias("side"), F.col("after").alias("end")))).alias("e")
+    asked = parents.filter("before <> after").select("node", "way", "pos", "interior", ends).select("node", "way", "pos", "interior", "e.side", "e.end")
+    met = asked.join(nodes.select(F.col("id").alias("end"), "lat", "lon"), "end")
+    of = lambda side, name: F.max(F.when(F.col("side") == side, F.col(name)))
+    placed = (met.groupBy("node", "way", "pos", "interior").agg(of(0, "lat").alias("a_lat"), of(0, "lon").alias("a_lon"), of(1, "lat").alias("b_lat"), of(1, "lon").alias("b_lon"))
+              .filter("a_lat IS NOT NULL AND b_lat IS NOT NULL"))
     brg = geo.bearing(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
     return placed.select("node", "way", "pos", "interior", brg.alias("brg"))
 
