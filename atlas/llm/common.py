@@ -48,6 +48,17 @@ def join_back(rows: DataFrame, found: DataFrame, how: str = "left") -> DataFrame
     return joined if how in ("left_semi", "left_anti") else joined.drop("o_id", "o_hash")
 
 
+MOST_BROADCAST = 32 << 20   # bytes
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df``, marked for broadcast if its rows, counted now, take at most ``MOST_BROADCAST`` bytes; else joins shuffle it.
+
+    Give it a written table: the count then reads footers only.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= MOST_BROADCAST else df
+
+
 def tokenizer_path(spark: SparkSession, name: str) -> str:
     """A vocabulary file of the installed public tokenizers, or of the folder in ``spark.atlas.tokenizers``."""
     folder = spark.conf.get("spark.atlas.tokenizers", None)

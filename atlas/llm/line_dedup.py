@@ -10,8 +10,8 @@ from every document but the first (smallest doc_id), which keeps its first one.
 ``long_bytes`` bytes or more, ``long_docs`` documents are enough: about twenty words, or 33 letters of a script without
 spaces, do not meet by chance, while a few words do.
 
-Leaves that too few documents reach, or whose lines are all equal or too short to fit, need no template, so only lines of
-the others are looked at token by token.
+Leaves that too few documents reach, or whose lines are all equal or too short to fit, need no template, so only one line of
+each kind in the others is read again and looked at token by token.
 Lines of fewer than ``min_tokens`` tokens always stay; the query and the pipeline pass ``EVERY_LINE``, so that all lines
 that are not blank go through the tree. A line no longer than the path is its own leaf and template, equal after masking. A
 line with more fields than other tokens says nothing once masked and equals only the same line unmasked.
@@ -19,7 +19,7 @@ line with more fields than other tokens says nothing once masked and equals only
 Defined results: a null text stays null with no lines, an empty one has one empty line; blank lines stay, also those of
 Unicode white space; rows repeated under one doc_id are one document in counts of documents, and each is rewritten; a null
 doc_id counts as one document, the smallest; an empty table gives an empty result; all columns stay and n_lines and
-n_dropped are added.
+n_dropped are added or replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atlas.llm.common import join_back, row_key, staged
+from atlas.llm.common import join_back, row_key, small, staged
 
 DEPTH, MIN_DOCS, MIN_TOKENS = 3, 3, 4
 LONG_BYTES, LONG_DOCS = 100, 2
@@ -47,7 +47,7 @@ def masked_tokens(line: Column) -> Column:
 
 
 def _lines(documents: DataFrame, depth: int, min_docs: int, min_tokens: int, long_bytes: int, long_docs: int) -> DataFrame:
-    """(k_id, k_hash, at, leaf, own, least, line, n_tokens): lines that can be templates.
+    """(k_id, k_hash, at, leaf, own, least, n_tokens): lines that can be templates.
 
     ``own`` is the hash of the masked line, or of the line if most of it is fields; ``least`` is the number of documents
     in which the line's template must occur.
@@ -61,7 +61,7 @@ def _lines(documents: DataFrame, depth: int, min_docs: int, min_tokens: int, lon
     least = F.when(F.octet_length("line") >= long_bytes, F.lit(min(long_docs, min_docs))).otherwise(F.lit(min_docs))
     return (lines.where(worded).select("k_id", "k_hash", "at", "line", tokens).where(F.size("tokens") >= min_tokens)
             .select("k_id", "k_hash", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), own.alias("own"),
-                    least.alias("least"), "line", F.size("tokens").alias("n_tokens")))
+                    least.alias("least"), F.size("tokens").alias("n_tokens")))
 
 
 def _frequent(rows: DataFrame, key: str) -> DataFrame:
@@ -93,17 +93,21 @@ def dropped_lines(documents: DataFrame, depth: int = DEPTH, min_docs: int = MIN_
                   agree: float = AGREE, similar: float = SIMILAR, long_bytes: int = LONG_BYTES, long_docs: int = LONG_DOCS,
                   least_fixed: int = LEAST_FIXED) -> DataFrame:
     """(k_id, k_hash, at, template): the lines to drop."""
-    lines = _lines(documents, depth, min_docs, min_tokens, long_bytes, long_docs)
-    brief = staged(lines.drop("line", "n_tokens"), "lines")
+    brief = staged(_lines(documents, depth, min_docs, min_tokens, long_bytes, long_docs), "lines")
     leaves = staged(_frequent(brief, "leaf"), "leaves")
-    near = staged(brief.join(leaves, "leaf", "left_semi"), "near")
-    counts = staged(near.groupBy("leaf", "own").agg(F.count("*").alias("n")), "counts")
-    varied = staged(counts.groupBy("leaf").agg(F.count("*").alias("different")).where("different > 1").select("leaf"), "varied")
-    long_enough = lines.where(F.col("n_tokens") >= depth + least_fixed).select("leaf", "own", "line")
-    texts = long_enough.join(varied, "leaf", "left_semi").groupBy("leaf", "own").agg(F.any_value("line").alias("line"))
-    different = staged(texts.join(counts, ["leaf", "own"]).select("leaf", "own", "n", masked_tokens(F.col("line")).alias("tokens")), "different")
+    near = staged(brief.join(small(leaves, 16), "leaf", "left_semi"), "near")
+    place = F.min(F.when(F.col("n_tokens") >= depth + least_fixed, F.struct("k_id", "k_hash", "at"))).alias("place")
+    counts = staged(near.groupBy("leaf", "own").agg(F.count("*").alias("n"), place), "counts")
+    varied = counts.groupBy("leaf").agg(F.count("*").alias("different")).where("different > 1").select("leaf")
+    # one line of each kind is read again, from the place where it was seen first
+    asked = (counts.join(varied, "leaf", "left_semi").where("place IS NOT NULL").groupBy("place.k_id", "place.k_hash")
+             .agg(F.collect_list(F.struct("leaf", "own", "n", F.col("place.at").alias("at"))).alias("asked")))
+    rows = documents.select(*row_key(F.col("doc_id"), F.col("text")), "text")
+    found = join_back(rows, small(staged(asked, "asked"), 200), "inner").select(F.split("text", "\n", -1).alias("lines"), F.explode("asked").alias("a"))
+    different = found.select("a.leaf", "a.own", "a.n", masked_tokens(F.get("lines", F.col("a.at"))).alias("tokens"))
+    different = staged(different.dropDuplicates(["leaf", "own"]), "different")   # repeated rows show the same line
     which = staged(templates(different, depth, agree, similar, least_fixed).where(F.col("template") != F.col("own")), "templates")
-    placed = staged(near.drop("leaf").join(which, "own", "left").withColumn("template", F.coalesce("template", "own")), "placed")
+    placed = staged(near.drop("leaf", "n_tokens").join(which, "own", "left").withColumn("template", F.coalesce("template", "own")), "placed")
     first = placed.groupBy("template").agg(F.min(F.struct("k_id", "k_hash", "at")).alias("first"))
     recurring = staged(_frequent(placed, "template").join(first, "template"), "recurring")
     # both sides are read and dealt for this join alone, so a template that fills a third of the rows can be split
@@ -113,12 +117,12 @@ def dropped_lines(documents: DataFrame, depth: int = DEPTH, min_docs: int = MIN_
 
 def drop_recurring_lines(documents: DataFrame, **options) -> DataFrame:
     """The rows with their text rewritten, n_lines and n_dropped."""
-    gone = dropped_lines(documents, **options).groupBy("k_id", "k_hash").agg(F.collect_set("at").alias("gone"))
-    rows = documents.select(F.struct("*").alias("row"), *row_key(F.col("doc_id"), F.col("text")))
+    gone = staged(dropped_lines(documents, **options).groupBy("k_id", "k_hash").agg(F.collect_set("at").alias("gone")), "gone")
+    rows = documents.drop("n_lines", "n_dropped").select(F.struct("*").alias("row"), *row_key(F.col("doc_id"), F.col("text")))
     text = F.col("row.text")
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("gone", i)), "\n")
     new = F.when(F.col("gone").isNotNull(), kept).otherwise(text)
-    return join_back(rows, gone).select(
+    return join_back(rows, small(gone, 100)).select(
         F.col("row").withField("text", new).alias("row"),
         F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped")).select("row.*", "n_lines", "n_dropped")
