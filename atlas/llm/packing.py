@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from atlas.llm.common import staged
 
 CAPACITY, END_ID = 2048, 1
-CACHE_WORDS = 1 << 20
+CACHE_WORDS, CACHE_PIECES = 1 << 19, 1 << 18   # what a worker keeps while other stages use the executor's memory
 # Fixed value: the split of the vocabulary's own pre-tokenizer, for texts of the characters below.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
 UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-įĲ-ķĹ-ľŁ-ňŊ-ž]|<\\|")
@@ -63,7 +63,7 @@ class WordTokens:
                 else:
                     mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
                     ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-                if len(self.pieces) >= CACHE_WORDS:
+                if len(self.pieces) >= CACHE_PIECES:
                     self.pieces.clear()
                 self.pieces[piece] = ids
             out.append(ids)
