@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,17 @@ def join_back(rows: DataFrame, found: DataFrame, how: str = "left") -> DataFrame
     return joined if how in ("left_semi", "left_anti") else joined.drop("o_id", "o_hash")
 
 
+def give_back() -> None:
+    """Return a Python worker's freed memory to the system: workers outlive their tasks, and the next stage needs the room."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):   # a C library without it keeps the memory for the worker
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 MOST_BROADCAST = 32 << 20   # bytes
 
 

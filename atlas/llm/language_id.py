@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from atlas.llm.common import give_back
+
 # Families of common languages by ISO 639-1 code.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "af", "sv", "da", "no", "nb", "nn", "is", "fy", "lb", "yi"),
@@ -209,6 +211,8 @@ def identify(documents: DataFrame, model: Model, text: str = "text") -> DataFram
         for texts in parts:
             langs, scores = model.predict([t if isinstance(t, str) else None for t in texts])
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
+            del texts, langs, scores
+        give_back()
 
     predict = F.pandas_udf(_typed(run), "lang_pred string, score double")
     found = documents.select(predict(F.col(text)).alias("found"), F.struct("*").alias("row"))
