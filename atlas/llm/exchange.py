@@ -16,6 +16,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from atlas.llm.common import give_back
+
 CHUNK_BYTES = 4_000_000
 CHUNK_DOCS = 1 << 16
 SLICE_BITS, CHUNKS_A_SLICING = 9, 1024   # 512 slices up to 1024 chunks, then twice as many for each doubling
@@ -177,6 +179,7 @@ def chunk_map(chunks: DataFrame, fn: Callable[..., Iterator[pa.RecordBatch]], sc
         for batch in batches:
             for i in range(batch.num_rows):
                 yield from fn({name: batch.column(k)[i] for k, name in enumerate(batch.schema.names)})
+                give_back()
 
     return chunks.mapInArrow(run, schema)
 
