@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlas.functions import geo
 from atlas.operators import filters
 from atlas.operators.grid import Grid
+from atlas.session import stored
 
 MIN_SEPARATION_M, MAX_SEPARATION_M = 25.0, 80.0
 INTERCHANGE_M = 150.0
 REQUIRED_RATIO = 5.0
 SANE_DETOUR_M = 8000
 TOP = 20
+PLACED = ("separation", "b_lat", "b_lon", "r_lat", "r_lon")
 
 
 def closest_to_400m(ways: DataFrame) -> DataFrame:
@@ -28,27 +30,78 @@ def grade_separation_pairs(ways: DataFrame, vertices: DataFrame) -> DataFrame:
     name with it: bridge, road, separation, b_lat, b_lon, r_lat, r_lon.
 
     ``ways(id, tags)``; ``vertices(way, idx, node, lat, lon)``.
+
+    Many roads may run through one position: each bridge asks a position for its lowest road of another name, and only where
+    that road shares a node with the bridge are the position's roads walked further.
     """
     tags = F.col("tags")
-    named = lambda c: F.nullif(tags["name"], F.lit("")).alias(c)
-    decks = ways.filter(filters.is_bridge_deck(tags)).select(F.col("id").alias("bridge"), named("b_name"))
-    roads = ways.filter(filters.is_ground_road(tags)).select(F.col("id").alias("road"), named("r_name"))
-    spot = ["way", "node", "lat", "lon"]
-    b = vertices.select(*[F.col(c) for c in spot]).join(decks, F.col("way") == F.col("bridge"))
-    r = vertices.select(*[F.col(c) for c in spot]).join(roads, F.col("way") == F.col("road"))
+    name = F.nullif(tags["name"], F.lit("")).alias("name")
+    kinds = ways.select(F.col("id").alias("way"), F.coalesce(filters.is_bridge_deck(tags), F.lit(False)).alias("deck"),
+                        F.coalesce(filters.is_ground_road(tags), F.lit(False)).alias("ground"), name).filter("deck or ground")
+    placed = stored(vertices.select("way", "node", "lat", "lon").join(kinds, "way"), "placed")
+    b = placed.filter("deck").select(F.col("way").alias("bridge"), F.col("name").alias("b_name"), "node", F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"))
+    r = placed.filter("ground").select(F.col("way").alias("road"), F.col("name").alias("r_name"), "node", F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
+    spots = stored(_near_spots(b, _lowest_roads(r)), "spots")
+    asked = b.select("bridge", "b_name", "b_lat", "b_lon").distinct().join(spots, ["b_lat", "b_lon"])
+    same = F.coalesce(F.col("b_name") == F.col("first_name"), F.lit(False))
+    first = stored(asked.withColumn("road", F.when(same, F.col("other")).otherwise(F.col("first"))).filter("road is not null")
+                   .select("bridge", "b_name", "road", *PLACED), "asked")
+    pair = ["bridge", "road"]
+    crossing = b.select("bridge", "node").distinct()
+    shared = first.select(*pair).distinct().join(crossing, "bridge").join(r.select("road", "node").distinct(), ["road", "node"], "left_semi").select(*pair).distinct()
+    shared = stored(shared, "shared")
+    apart = first.join(shared, pair, "left_anti").select("bridge", "road", *PLACED)
+    again = first.join(shared, pair, "left_semi").drop("road")
+    further = _walked(again, r, crossing)
+    spot = F.struct("separation", "road", "b_lat", "b_lon", "r_lat", "r_lon")
+    best = apart.unionByName(further).groupBy("bridge").agg(F.min(spot).alias("m"))
+    return best.select("bridge", "m.road", "m.separation", "m.b_lat", "m.b_lon", "m.r_lat", "m.r_lon")
+
+
+def _lowest_roads(r: DataFrame) -> DataFrame:
+    """Per position its lowest road, and the lowest one of another name where that is needed: r_lat, r_lon, first, first_name, other."""
+    at = ["r_lat", "r_lon"]
+    names = r.groupBy(*at, "r_name").agg(F.min("road").alias("road"))
+    first = names.groupBy(*at).agg(F.min_by(F.struct(F.col("road").alias("first"), F.col("r_name").alias("first_name")), F.struct("road", "r_name")).alias("f")).select(*at, "f.*")
+    differs = ~F.col("r_name").eqNullSafe(F.col("first_name"))
+    other = names.join(first, at).filter(differs).groupBy(*at).agg(F.min("road").alias("other"))
+    return first.join(other, at, "left")
+
+
+def _near_spots(b: DataFrame, roads: DataFrame) -> DataFrame:
+    """Positions of bridges with the positions of roads that are 25–80 m away."""
     grid = Grid(MAX_SEPARATION_M * 1.02)
-    left = b.select("bridge", "b_name", "lat", "lon", F.explode(grid.around(F.col("lat"), F.col("lon"))).alias("cell")).distinct().alias("b")
-    right = r.select("road", "r_name", "lat", "lon", grid.cell(F.col("lat"), F.col("lon")).alias("cell")).distinct().alias("r")
-    d = geo.probe_metres(F.col("b.lat"), F.col("b.lon"), F.col("r.lat"), F.col("r.lon"))
-    met = left.join(right, (F.col("b.cell") == F.col("r.cell")) & d.between(MIN_SEPARATION_M, MAX_SEPARATION_M)
-                    & ~F.coalesce(F.col("b_name") == F.col("r_name"), F.lit(False)))
-    close = met.select("bridge", "road", d.alias("separation"), F.col("b.lat").alias("b_lat"), F.col("b.lon").alias("b_lon"),
-                       F.col("r.lat").alias("r_lat"), F.col("r.lon").alias("r_lon"))
-    per_pair = close.groupBy("bridge", "road").agg(F.min(F.struct("separation", "b_lat", "b_lon", "r_lat", "r_lon")).alias("p"))
-    shared = b.select("bridge", "node").join(r.select("road", "node"), "node").select("bridge", "road").distinct()
-    apart = per_pair.join(shared, ["bridge", "road"], "left_anti")
-    best = apart.groupBy("bridge").agg(F.min(F.struct(F.col("p.separation").alias("separation"), F.col("road"), F.col("p"))).alias("m"))
-    return best.select("bridge", "m.road", "m.separation", "m.p.b_lat", "m.p.b_lon", "m.p.r_lat", "m.p.r_lon")
+    left = b.select("b_lat", "b_lon").distinct().withColumn("cell", F.explode(grid.around(F.col("b_lat"), F.col("b_lon"))))
+    right = roads.withColumn("cell", grid.cell(F.col("r_lat"), F.col("r_lon")))
+    d = geo.probe_metres(F.col("b_lat"), F.col("b_lon"), F.col("r_lat"), F.col("r_lon"))
+    return left.join(right, "cell").drop("cell").withColumn("separation", d).filter(F.col("separation").between(MIN_SEPARATION_M, MAX_SEPARATION_M))
+
+
+def _walked(asked: DataFrame, r: DataFrame, crossing: DataFrame) -> DataFrame:
+    """``asked(bridge, b_name, PLACED…)`` with the lowest road at (r_lat, r_lon) that has another name and no node of the bridge.
+
+    Roads of a position are numbered. The one wanted is the first of another name after some shared road (or from the
+    start), so only these are looked up, by equi-joins; a position's roads are never paired with each other.
+    """
+    at = ["r_lat", "r_lon"]
+    line = Window.partitionBy(*at).orderBy("road", "r_name")
+    roads = r.select(*at, "road", "r_name").distinct().join(asked.select(*at).distinct(), at, "left_semi")
+    roads = roads.withColumn("place", F.row_number().over(line)).withColumn("before", F.lag("r_name").over(line))
+    begins = F.when((F.col("place") == 1) | ~F.col("r_name").eqNullSafe(F.col("before")), F.struct("place", "road"))
+    back = Window.partitionBy(*at).orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, -1)
+    roads = stored(roads.withColumn("turn", F.min(begins).over(back)).select(*at, "road", "r_name", "place", F.col("turn.road").alias("turn")), "roads")
+    bridges = asked.select("bridge").distinct()
+    shared = stored(crossing.join(bridges, "bridge", "left_semi").join(r.select("road", "node").distinct(), "node").select("bridge", "road").distinct(), "sharing")
+    wanted = asked.select("bridge", "b_name", *at).distinct()
+    shared_here = wanted.select("bridge", *at).distinct().join(shared, "bridge").join(roads.select(*at, "road", "place"), [*at, "road"])
+    after = wanted.select("bridge", *at).distinct().withColumn("place", F.lit(1)).unionByName(shared_here.select("bridge", *at, (F.col("place") + 1).alias("place")))
+    same = F.coalesce(F.col("b_name") == F.col("r_name"), F.lit(False))
+    tried = (wanted.join(after, ["bridge", *at]).join(roads, [*at, "place"])
+             .withColumn("road", F.when(same, F.col("turn")).otherwise(F.col("road"))).filter("road is not null"))
+    left = tried.join(shared, ["bridge", "road"], "left_anti").groupBy("bridge", "b_name", *at).agg(F.min("road").alias("road")).alias("w")
+    a = asked.alias("a")
+    on = (F.col("a.bridge") == F.col("w.bridge")) & F.col("a.b_name").eqNullSafe(F.col("w.b_name")) & (F.col("a.r_lat") == F.col("w.r_lat")) & (F.col("a.r_lon") == F.col("w.r_lon"))
+    return a.join(left, on).select("a.bridge", "w.road", *[F.col(f"a.{c}") for c in PLACED])
 
 
 def interchange_exclusion(pairs: DataFrame, ways: DataFrame, vertices: DataFrame) -> DataFrame:

@@ -61,3 +61,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder next to the checkpoints, visible to every executor."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/scratch-{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet next to the checkpoints and read again: compressed, and every reader takes only its columns."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
