@@ -2,93 +2,132 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlas.functions import geo, osm
 from atlas.operators.grid import Grid
-from atlas.session import cut_lineage
+from atlas.session import stored
 
 NEAR_M = 5.0
 
 
-def _unique_side(df: DataFrame, key: list[str], side: str) -> DataFrame:
-    """Rows of one side per key: how many, and the row when it is the only one."""
-    row = F.struct("row", "lat_e7", "lon_e7", "local_id")
-    return df.groupBy("pair", *key).agg(F.count(F.lit(1)).alias(f"n_{side}"), F.min(row).alias(side))
+def _meet(a: DataFrame, b: DataFrame, key: list[str], borders: DataFrame | None) -> DataFrame:
+    """What both sides of a pair have under one ``key``: pair, key…, the other columns of both.
 
+    Without ``borders`` a side is named by its pair; with them one side stands in many pairs and is not repeated for each.
+    """
+    if borders is None:
+        return a.withColumnRenamed("side", "pair").join(b.withColumnRenamed("side", "pair"), ["pair", *key])
+    met = a.withColumnRenamed("side", "a_side").join(b.withColumnRenamed("side", "b_side"), key)
+    return met.join(borders.select("pair", F.col("a").alias("a_side"), F.col("b").alias("b_side")), ["a_side", "b_side"]).drop("a_side", "b_side")
 
-def _equi_phase(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
-    return _unique_side(a, key, "a").join(_unique_side(b, key, "b"), ["pair", *key])
 
+def _by_id(rows: DataFrame, side: str) -> DataFrame:
+    """Rows of each side per (osm, level): how many, and the row when it is the only one."""
+    named = rows.filter("osm is not null").repartition("osm", "level")
+    return named.groupBy("side", "osm", "level").agg(
+        F.count(F.lit(1)).alias(f"n_{side}"), F.min("row").alias(f"row_{side}"), F.min("local_id").alias(f"local_{side}"),
+        F.min("lat_e7").alias(f"{side}_lat"), F.min("lon_e7").alias(f"{side}_lon"))
 
-def _pairs(joined: DataFrame, method: str) -> DataFrame:
-    d = geo.portal_distance(F.col("a.lat_e7"), F.col("a.lon_e7"), F.col("b.lat_e7"), F.col("b.lon_e7"))
-    return joined.select("pair", F.col("a.row").alias("a_row"), F.col("b.row").alias("b_row"),
-                         F.lit(method).alias("method"), d.alias("distance"),
-                         F.col("a.local_id").alias("a_local"), F.col("b.local_id").alias("b_local"),
-                         F.col("a.lat_e7").alias("lat_e7"), F.col("a.lon_e7").alias("lon_e7"))
 
+def _by_spot(rows: DataFrame, side: str, key: str = "side") -> DataFrame:
+    """Rows per position of one level: how many, and their ids in one exclusive-or. Less the ids of the rows that
+    were taken, it is the id of the only one left."""
+    return rows.groupBy(key, "level", F.col("lat_e7").alias(f"{side}_lat"), F.col("lon_e7").alias(f"{side}_lon")).agg(
+        F.count(F.lit(1)).alias(f"n_{side}"), F.bit_xor("row").alias(f"row_{side}"), F.bit_xor("local_id").alias(f"local_{side}"))
 
-def _free(side: DataFrame, taken: DataFrame, column: str) -> DataFrame:
-    return side.join(taken.select("pair", F.col(column).alias("row")), ["pair", "row"], "left_anti")
 
+def _near_spots(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Positions of both sides on one level within ``NEAR_M``, equal ones included, whatever sides hold them."""
+    grid = Grid(NEAR_M)
+    at = lambda side: (geo.from_e7(F.col(f"{side}_lat")), geo.from_e7(F.col(f"{side}_lon")))
+    left = a.select("level", "a_lat", "a_lon").distinct().withColumn("cell", grid.cell(*at("a")))
+    right = b.select("level", "b_lat", "b_lon").distinct().withColumn("cell", F.explode(grid.around(*at("b"))))
+    close = geo.haversine_e7(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon")) <= NEAR_M
+    return left.join(right, ["level", "cell"]).filter(close).drop("cell")
 
-def _near(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Mutually only candidates within ``NEAR_M``; second result: ambiguous A rows per pair.
 
-    Rows on one spot are one weighted position, so a crowded crossing is not paired row by row.
-    """
-    spot = ["pair", "level", "lat_e7", "lon_e7"]
-    row = F.struct("row", "lat_e7", "lon_e7", "local_id")
-    grid = Grid(NEAR_M)
-    lat, lon = geo.from_e7(F.col("lat_e7")), geo.from_e7(F.col("lon_e7"))
-    left = (a.groupBy(*spot).agg(F.count(F.lit(1)).alias("weight"), F.min(row).alias("one"))
-            .withColumn("cell", grid.cell(lat, lon)).alias("l"))
-    right = (b.groupBy(*spot).agg(F.count(F.lit(1)).alias("weight"), F.min(row).alias("one"))
-             .withColumn("cell", F.explode(grid.around(lat, lon))).alias("r"))
-    close = geo.haversine_e7(F.col("l.lat_e7"), F.col("l.lon_e7"), F.col("r.lat_e7"), F.col("r.lon_e7")) <= NEAR_M
-    met = left.join(right, (F.col("l.pair") == F.col("r.pair")) & (F.col("l.level") == F.col("r.level"))
-                    & (F.col("l.cell") == F.col("r.cell")) & close)
-    met = cut_lineage(met.select("l.pair", "l.level", F.col("l.one").alias("a"), F.col("l.weight").alias("wa"),
-                                 F.col("r.one").alias("b"), F.col("r.weight").alias("wb")))
-    per_a = met.groupBy("pair", "level", "a").agg(F.first("wa").alias("wa"), F.sum("wb").alias("cand_b"),
-                                                  F.min("b").alias("b"))
-    per_b = met.groupBy("pair", "level", "b").agg(F.sum("wa").alias("cand_a"))
-    judged = cut_lineage(per_a.join(per_b, ["pair", "level", "b"]))
-    single = (F.col("cand_b") == 1) & (F.col("cand_a") == 1)
-    return judged.filter(single), judged.filter(~single).select("pair", F.col("wa").alias("ambiguous"))
+def _free(met: DataFrame, taken: DataFrame, side: str) -> DataFrame:
+    """``met`` with the rows of one side's positions that no id has matched; positions without any are left out."""
+    spot = ["pair", "level", f"{side}_lat", f"{side}_lon"]
+    used = _by_spot(taken, side, "pair").withColumnsRenamed({f"{c}_{side}": f"{c}_used" for c in ("n", "row", "local")})
+    joined = met.join(used, spot, "left")
+    less = lambda c: F.col(f"{c}_{side}").bitwiseXOR(F.coalesce(f"{c}_used", F.lit(0)).cast(met.schema[f"{c}_{side}"].dataType))
+    free = joined.withColumns({f"n_{side}": F.col(f"n_{side}") - F.coalesce("n_used", F.lit(0)),
+                               f"row_{side}": less("row"), f"local_{side}": less("local")})
+    return free.drop("n_used", "row_used", "local_used").filter(F.col(f"n_{side}") > 0)
+
+
+def _pairs(met: DataFrame, method: str) -> DataFrame:
+    d = geo.portal_distance(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
+    return met.select("pair", F.col("row_a").alias("a_row"), F.col("row_b").alias("b_row"), F.lit(method).alias("method"), d.alias("distance"),
+                      F.col("local_a").alias("a_local"), F.col("local_b").alias("b_local"), F.col("a_lat").alias("lat_e7"), F.col("a_lon").alias("lon_e7"))
+
+
+def _near(met: DataFrame) -> DataFrame:
+    """Per pair and position of side a: the candidates within ``NEAR_M`` that exact positions left (cand_b rows), and how many
+    rows of side a the only one has around it (cand_a). Rows on one spot are one weighted position."""
+    spot = lambda side: ["pair", "level", f"{side}_lat", f"{side}_lon"]
+    by_a, by_b = Window.partitionBy(*spot("a")), Window.partitionBy(*spot("b"))
+    left = (met.withColumn("a_gone", F.max(_sole_here()).over(by_a)).withColumn("b_gone", F.max(_sole_here()).over(by_b))
+            .filter("not a_gone and not b_gone").withColumn("cand_a", F.sum("n_a").over(by_b)))
+    only = [F.min(c).alias(c) for c in ("b_lat", "b_lon", "row_b", "local_b", "cand_a")]      # of one row where it counts
+    return (left.groupBy(*spot("a")).agg(F.first("n_a").alias("n_a"), F.first("row_a").alias("row_a"), F.first("local_a").alias("local_a"),
+                                         F.sum("n_b").alias("cand_b"), *only))
+
+
+def _sole_here() -> Column:
+    return (F.col("a_lat") == F.col("b_lat")) & (F.col("a_lon") == F.col("b_lon")) & (F.col("n_a") == 1) & (F.col("n_b") == 1)
 
 
-def match_frontiers(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+def match_frontiers(a: DataFrame, b: DataFrame, borders: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Match two sides of many country pairs at once.
 
-    Sides: ``pair, row, level, lat_e7, lon_e7, local_id, osm``. Phases: unique (osm, level); unique
-    exact position of what is left; mutually only candidate within 5 m of what is then left.
-    Returns the pairs and one row of counts per pair.
+    Sides: ``pair, row, level, lat_e7, lon_e7, local_id, osm``, where row and local id are whole numbers, unique per side. With
+    ``borders(pair, a, b)`` they carry ``side`` instead of the pair, and a side stands in every pair that names it. Phases:
+    unique (osm, level); unique exact position of what is left; mutually only candidate within 5 m of what is then left. Rows are
+    summed up per side and key before the sides of a pair meet, so no row is repeated for each of its pairs. Returns the pairs
+    and one row of counts per pair.
     """
-    a, b = cut_lineage(a), cut_lineage(b)
-    by_id = cut_lineage(_equi_phase(a.filter("osm is not null"), b.filter("osm is not null"), ["osm", "level"]))
+    if borders is None:
+        a, b = a.withColumnRenamed("pair", "side"), b.withColumnRenamed("pair", "side")
+    kept = stored(a, "side-a")
+    return _match(kept, kept if a is b else stored(b, "side-b"), borders)
+
+
+def _match(a: DataFrame, b: DataFrame, borders: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """``match_frontiers`` of sides that are cheap to read more than once."""
     sole = (F.col("n_a") == 1) & (F.col("n_b") == 1)
-    osm_pairs = _pairs(by_id.filter(sole), "osm")
-    ambiguous_id = by_id.filter(~sole).select("pair", F.col("n_a").alias("ambiguous"))
-    a2, b2 = _free(a, osm_pairs, "a_row"), _free(b, osm_pairs, "b_row")
-    at_spot = cut_lineage(_equi_phase(a2, b2, ["level", "lat_e7", "lon_e7"]).filter(sole))
-    coord_pairs = _pairs(at_spot, "coord")
-    a3, b3 = _free(a2, coord_pairs, "a_row"), _free(b2, coord_pairs, "b_row")
-    near, ambiguous_near = _near(a3, b3)
-    near_pairs = _pairs(near, "near")
-    pairs = osm_pairs.unionByName(coord_pairs).unionByName(near_pairs)
-    return pairs, pair_stats(a, b, pairs, ambiguous_id.unionByName(ambiguous_near))
+    by_id = stored(_meet(_by_id(a, "a"), _by_id(b, "b"), ["osm", "level"], borders).withColumn("sole", sole).drop("osm", "n_b"), "by-id")
+    matched = by_id.filter("sole")
+    taken = lambda s: matched.select("pair", "level", F.col(f"{s}_lat").alias("lat_e7"), F.col(f"{s}_lon").alias("lon_e7"),
+                                     F.col(f"row_{s}").alias("row"), F.col(f"local_{s}").alias("local_id"))
+    spots_a, spots_b = stored(_by_spot(a, "a"), "spots-a"), stored(_by_spot(b, "b"), "spots-b")
+    near = _near_spots(spots_a, spots_b).join(spots_a, ["level", "a_lat", "a_lon"])
+    met = _meet(near, spots_b, ["level", "b_lat", "b_lon"], borders)
+    met = stored(_free(_free(met, taken("a"), "a"), taken("b"), "b"), "near")
+    judged = stored(_near(met), "judged")
+    single = (F.col("cand_b") == 1) & (F.col("cand_a") == 1)
+    pairs = _pairs(matched, "osm").unionByName(_pairs(met.filter(_sole_here()), "coord")).unionByName(_pairs(judged.filter(single), "near"))
+    ambiguous = by_id.filter("not sole").unionByName(judged.filter(~single), allowMissingColumns=True).select("pair", F.col("n_a").alias("ambiguous"))
+    return pairs, pair_stats(side_sizes(a, "a", borders), side_sizes(b, "b", borders), pairs, ambiguous)
+
+
+def side_sizes(rows: DataFrame, end: str, borders: DataFrame | None) -> DataFrame:
+    """Rows of one side of each pair: pair, n."""
+    sizes = rows.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    if borders is None:
+        return sizes.withColumnRenamed("side", "pair")
+    return sizes.join(borders.select("pair", F.col(end).alias("side")), "side").select("pair", "n")
 
 
 def pair_stats(a: DataFrame, b: DataFrame, pairs: DataFrame, ambiguous: DataFrame) -> DataFrame:
-    """Counts per pair: matches by method, ambiguous rows, rows left on both sides."""
+    """Counts per pair: matches by method, ambiguous rows, rows left of both sides of ``(pair, n)`` rows."""
     zero = F.lit(0).cast("bigint")
     parts = [pairs.select("pair", F.col("method").alias("what"), F.lit(1).cast("bigint").alias("n")),
              ambiguous.select("pair", F.lit("ambiguous").alias("what"), F.col("ambiguous").alias("n")),
-             a.select("pair", F.lit("side_a").alias("what"), F.lit(1).cast("bigint").alias("n")),
-             b.select("pair", F.lit("side_b").alias("what"), F.lit(1).cast("bigint").alias("n"))]
+             a.select("pair", F.lit("side_a").alias("what"), "n"), b.select("pair", F.lit("side_b").alias("what"), "n")]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
@@ -100,32 +139,10 @@ def pair_stats(a: DataFrame, b: DataFrame, pairs: DataFrame, ambiguous: DataFram
                           (F.col("side_b") - matched).alias("unmatched_b"))
 
 
-def neighbour_sides(frontier: DataFrame, borders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides of every country pair in ``borders(a, b)``; a row is named by its local id, unique per side."""
-    cols = ["level", "lat_e7", "lon_e7", "local_id", "osm"]
-    pair = F.concat_ws("-", "a", "b").alias("pair")
-    side = lambda end: (frontier.join(borders, F.col("country") == F.col(end))
-                        .select(pair, F.col("local_id").alias("row"), *cols))
-    return side("a"), side("b")
-
-
-def meeting_pairs(frontier: DataFrame) -> DataFrame:
-    """Country pairs a < b that can match or be ambiguous at all: they share an (osm, level), or have
-    rows of one level within reach. Distinct countries meet per key and per cell, so the number of rows
-    on a key does not matter."""
-    grid = Grid(NEAR_M)
-    lat, lon = geo.from_e7(F.col("lat_e7")), geo.from_e7(F.col("lon_e7"))
-    ids = frontier.filter("osm is not null").select("country", "level", F.col("osm").alias("key")).distinct()
-    at = frontier.select("country", "level", "lat_e7", "lon_e7").distinct()
-    here = at.select("country", "level", grid.cell(lat, lon).alias("key")).distinct()
-    near = at.select("country", "level", F.explode(grid.around(lat, lon)).alias("key")).distinct()
-
-    def met(left: DataFrame, right: DataFrame) -> DataFrame:
-        l, r = left.alias("l"), right.alias("r")
-        j = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.level") == F.col("r.level")) & (F.col("l.country") != F.col("r.country")))
-        return j.select(F.least("l.country", "r.country").alias("a"), F.greatest("l.country", "r.country").alias("b")).distinct()
-
-    return met(ids, ids).unionByName(met(here, near)).distinct()
+def neighbour_sides(frontier: DataFrame, borders: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sides and the pairs of ``borders(a, b)``, as ``match_frontiers`` takes them; a row is named by its local id, unique per side."""
+    rows = frontier.select(F.col("country").alias("side"), F.col("local_id").alias("row"), "level", "lat_e7", "lon_e7", "local_id", "osm")
+    return rows, rows, borders.select(F.concat_ws("-", "a", "b").alias("pair"), "a", "b")
 
 
 def pair_ends(df: DataFrame) -> DataFrame:
@@ -135,10 +152,11 @@ def pair_ends(df: DataFrame) -> DataFrame:
 
 def all_pairs(frontier: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every pair of countries through the matching rule; pairs with nothing in common are absent."""
-    frontier = cut_lineage(frontier)
-    borders = cut_lineage(meeting_pairs(frontier))
-    a, b = neighbour_sides(frontier, borders)
-    pairs, stats = match_frontiers(a, b)
+    rows, _, _ = neighbour_sides(frontier, frontier.select(F.col("country").alias("a"), F.col("country").alias("b")))
+    rows = stored(rows, "frontier")
+    ends = rows.select(F.col("side").alias("a")).distinct()     # 255 at most
+    borders = ends.join(ends.withColumnRenamed("a", "b"), F.col("a") < F.col("b")).select(F.concat_ws("-", "a", "b").alias("pair"), "a", "b")
+    pairs, stats = _match(rows, rows, borders)
     busy = stats.filter("osm + coord + near + ambiguous > 0")
     return pairs, busy
 

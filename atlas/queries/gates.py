@@ -27,7 +27,7 @@ RULES = """one AS (SELECT country, unnest([CASE WHEN level NOT IN (0, 1, 2) THEN
 
 @query("v04_frontier_gate", f"WITH {RULES} SELECT country, rule, count(*) AS n FROM (SELECT * FROM one WHERE rule IS NOT NULL UNION ALL SELECT * FROM two UNION ALL SELECT 'C7', 'empty frontier') GROUP BY country, rule")
 def v04(t):
-    countries = t.fr.select("country").distinct().withColumn("may_be_empty", F.lit(False))
+    countries = t.fr_country.withColumn("may_be_empty", F.lit(False))
     return frontier.frontier_gate(t.fr_bad, countries)
 
 
@@ -39,7 +39,7 @@ view("fr_border", "SELECT DISTINCT 'C' || CAST(l_linenumber AS STRING) AS a, 'C'
     UNION ALL SELECT a, b, CASE WHEN required THEN 'FAIL' ELSE 'NOTE' END, 'no portal' FROM fr_border WHERE a IN (SELECT country FROM fr) AND b IN (SELECT country FROM fr) AND a || b NOT IN (SELECT a || b FROM busy)""")
 def v06(t):
     _, stats = matching.all_pairs(t.fr)
-    return frontier.portal_gate(stats, t.fr_border, t.fr.select("country").distinct())
+    return frontier.portal_gate(stats, t.fr_border, t.fr_country)
 
 
 # ---- features and bus lanes ------------------------------------------------------------------

@@ -102,7 +102,7 @@ ALL_PAIRS = match_sql("SELECT f.country || '-' || o.country AS p, local_id AS r,
 
 def matched(t):
     """Every pair of countries, those without a common border too."""
-    all_ = t.fr.agg(F.collect_set("country").alias("all"))   # 255 at most
+    all_ = t.fr_country.agg(F.collect_set("country").alias("all"))   # 255 at most
     borders = all_.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b")).filter("a < b")
     return matching.match_frontiers(*matching.neighbour_sides(t.fr, borders))
 
@@ -126,7 +126,7 @@ def j13(t):
 
 
 def regions(t):
-    return t.fr.select("country").distinct().withColumn("region_id", F.substring("country", 2, 9).cast("int"))
+    return t.fr_country.withColumn("region_id", F.substring("country", 2, 9).cast("int"))
 
 
 PORTALS = f"""{ALL_PAIRS}, gids AS (SELECT (CAST(substr(p, 2, 1) AS BIGINT) << 46) | ra AS ga, (CAST(substr(p, 5, 1) AS BIGINT) << 46) | rb AS gb, distance, lat_e7, lon_e7 FROM pairs),

@@ -64,6 +64,9 @@ view("fr", """SELECT country, CAST(level AS INT) AS level, CAST(lat_e7 AS INT) A
             CASE WHEN (l_orderkey + l_linenumber) % 5 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN l_orderkey - l_orderkey % 2 * 3 ELSE l_orderkey END AS osm
      FROM li)""")
 
+# its countries; grouping the lines of an order adds none and takes none away
+view("fr_country", "SELECT DISTINCT 'C' || CAST(l_linenumber AS STRING) AS country FROM lineitem")
+
 # addressed objects: an order is a house near its customer's position
 view("addr", """SELECT oid, kind, street, place, city, num, rel_id, lat_e7, lon_e7, lat_e7 / 1e7 AS lat, lon_e7 / 1e7 AS lon
      FROM (SELECT o_orderkey AS oid, CAST(o_orderkey % 3 AS INT) AS kind,

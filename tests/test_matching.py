@@ -71,3 +71,14 @@ def test_gate(spark):
     got = {(r.country, r.rule) for r in frontier_gate(df, countries).collect()}
     assert got == {("A", "two nodes on one spot"), ("A", "one OSM node twice on a level"), ("A", "impossible level"),
                    ("A", "local id of another level"), ("A", "local id carries region bits"), ("B", "empty frontier")}
+
+
+def test_sides_are_not_repeated_for_their_pairs(spark):
+    rows = [("A", 2, X, Y, 8, 5), ("B", 2, X - 356, Y, 8, 5), ("C", 2, X, Y, 8, None), ("C", 2, X + 9000, Y, 16, None), (None, 2, X, Y, 8, 5)]
+    df = spark.createDataFrame(rows, "country string, level int, lat_e7 int, lon_e7 int, local_id bigint, osm bigint")
+    borders = spark.createDataFrame([("A", "B"), ("A", "C"), ("B", "C")], "a string, b string")
+    a, b, pairs = matching.neighbour_sides(df, borders)
+    assert a.count() == len(rows)
+    got, stats = matching.match_frontiers(a, b, pairs)
+    assert sorted((r.pair, r.a_row, r.b_row, r.method) for r in got.collect()) == [("A-B", 8, 8, "osm"), ("A-C", 8, 8, "coord"), ("B-C", 8, 8, "near")]
+    assert {r.pair: (r.unmatched_a, r.unmatched_b) for r in stats.collect()} == {"A-B": (0, 0), "A-C": (0, 1), "B-C": (0, 1)}
