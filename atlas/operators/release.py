@@ -105,36 +105,43 @@ def effective_set(asked: DataFrame, graphs: DataFrame, basemaps: DataFrame, publ
 # ---- manifests -------------------------------------------------------------------------------
 
 
+STAMPED = ("frontier", "features", "bus_lanes", "addresses")
+
+
 def source_stamps(regions: DataFrame) -> DataFrame:
-    """Manifest rows unpivoted to (code, what, stamp, graph)."""
+    """Manifest rows as code, graph and the stamp of each derived asset."""
     frontier = F.when(F.col("frontier.source") == "graph-only", "graph-only").otherwise(F.col("frontier.source_md5"))
-    wide = regions.select("code", F.col("source.md5").alias("graph"), frontier.alias("frontier"), F.col("features.source_md5").alias("features"),
+    return regions.select("code", F.col("source.md5").alias("graph"), frontier.alias("frontier"), F.col("features.source_md5").alias("features"),
                           F.col("bus_lanes.source_md5").alias("bus_lanes"), F.col("search.addresses.source_md5").alias("addresses"))
-    return wide.unpivot(["code", "graph"], ["frontier", "features", "bus_lanes", "addresses"], "what", "stamp")
 
 
 def source_identity(regions: DataFrame, built: DataFrame) -> DataFrame:
-    """Derived assets that do not come from the graph's own source file: code, what, problem."""
-    now = built.select("code", F.lit(True).alias("now"))
-    rows = source_stamps(regions).join(now, "code", "left").withColumn("now", F.coalesce("now", F.lit(False)))
-    missing = F.coalesce("stamp", F.lit("")) == ""
-    problem = (F.when(F.col("stamp") == "graph-only", F.lit(None).cast("string")).when(missing & F.col("now"), "no source identity")
-               .when(~missing & ~F.col("stamp").eqNullSafe(F.col("graph")), "other source than the graph"))
-    bad = rows.select("code", "what", problem.alias("problem")).filter("problem is not null")
-    no_graph = regions.select("code", F.col("source.md5").alias("graph")).join(now, "code").filter(F.coalesce("graph", F.lit("")) == "")
-    return bad.unionByName(no_graph.select("code", F.lit("graph").alias("what"), F.lit("the graph has no source md5").alias("problem")))
+    """Derived assets that do not come from the graph's own source file: code, what, problem.
+
+    Stamps are judged in their row, so only codes and flags are joined with what was built."""
+    absent = lambda c: F.coalesce(c, F.lit("")) == ""
+    judged = source_stamps(regions).select(
+        "code", absent(F.col("graph")).alias("no_graph"),
+        *[(~F.coalesce(F.col(w) == "graph-only", F.lit(False)) & ~absent(F.col(w)) & ~F.col(w).eqNullSafe(F.col("graph"))).alias(f"other_{w}") for w in STAMPED],
+        *[absent(F.col(w)).alias(f"no_{w}") for w in STAMPED])
+    now = F.coalesce("now", F.lit(False))
+    rows = judged.join(built.select("code", F.lit(True).alias("now")), "code", "left")
+    problem = lambda what, text: F.struct(F.lit(what).alias("what"), F.lit(text).alias("problem"))
+    found = [F.when(F.col(f"no_{w}") & now, problem(w, "no source identity")).when(F.col(f"other_{w}"), problem(w, "other source than the graph")) for w in STAMPED]
+    found.append(F.when(F.col("no_graph") & now, problem("graph", "the graph has no source md5")))
+    return rows.select("code", F.inline(F.array_compact(F.array(*found))))
 
 
-def present_blocks(regions: DataFrame) -> DataFrame:
-    has = F.array_compact(F.array(*[F.when(F.col(b).isNotNull(), F.lit(b)) for b in BLOCKS]))
-    return regions.select("code", F.explode(has).alias("block"))
+def block_flags(regions: DataFrame) -> DataFrame:
+    return regions.select("code", *[F.col(b).isNotNull().alias(b) for b in BLOCKS])
 
 
 def carry_losses(now: DataFrame, previous: DataFrame, built: DataFrame) -> DataFrame:
-    """Blocks a carried country had before and lacks now: code, block."""
-    carried = now.select("code").join(built.select("code"), "code", "left_anti")
-    before = present_blocks(previous).join(carried, "code", "left_semi")
-    return before.join(present_blocks(now), ["code", "block"], "left_anti")
+    """Blocks a carried country had before and lacks now: code, block. One flag per block is joined, not a row."""
+    held = block_flags(now).groupBy("code").agg(*[F.max(b).alias(f"now_{b}") for b in BLOCKS])
+    carried = held.join(built.select("code"), "code", "left_anti")
+    lost = F.array_compact(F.array(*[F.when(F.col(b) & ~F.col(f"now_{b}"), F.lit(b)) for b in BLOCKS]))
+    return block_flags(previous).join(carried, "code").select("code", F.explode(lost).alias("block"))
 
 
 def completeness(catalog: DataFrame, borders: DataFrame, regions: DataFrame, portals: DataFrame, absent: DataFrame) -> DataFrame:
