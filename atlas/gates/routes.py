@@ -56,7 +56,9 @@ def transit_plan(ways: DataFrame) -> DataFrame:
     choice = [F.struct(F.md5(F.concat_ws(":", F.col("way").cast("string"), F.lit(i), F.lit(j))).alias("h"), F.lit(i).alias("i"), F.lit(j).alias("j"))
               for i in range(len(spots)) for j in range(len(spots)) if i != j]
     picked = F.slice(F.array_sort(F.array(*choice)), 1, PAIRS_PER_WAY)
-    rows = ways.withColumn("ring", ring).select("way", "ring", F.posexplode(picked).alias("n", "p"))
+    # a small table may be one file, and each of its rows is hundreds of digests
+    spread = ways.repartition(4 * ways.sparkSession.sparkContext.defaultParallelism)
+    rows = spread.withColumn("ring", ring).select("way", "ring", F.posexplode(picked).alias("n", "p"))
     return rows.select("way", "n", F.col("p.i").alias("i"), F.col("p.j").alias("j"),
                        F.get("ring", F.col("p.i")).alias("from"), F.get("ring", F.col("p.j")).alias("to"))
 
