@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from atlas.functions import geo, osm
 from atlas.operators.grid import Grid
-from atlas.session import stored
+from atlas.session import stored as cut_lineage     # as Parquet: several steps read a few columns each
 
 NEAR_M = 5.0
 
@@ -92,22 +92,22 @@ def match_frontiers(a: DataFrame, b: DataFrame, borders: DataFrame | None = None
     """
     if borders is None:
         a, b = a.withColumnRenamed("pair", "side"), b.withColumnRenamed("pair", "side")
-    kept = stored(a, "side-a")
-    return _match(kept, kept if a is b else stored(b, "side-b"), borders)
+    kept = cut_lineage(a)
+    return _match(kept, kept if a is b else cut_lineage(b), borders)
 
 
 def _match(a: DataFrame, b: DataFrame, borders: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """``match_frontiers`` of sides that are cheap to read more than once."""
     sole = (F.col("n_a") == 1) & (F.col("n_b") == 1)
-    by_id = stored(_meet(_by_id(a, "a"), _by_id(b, "b"), ["osm", "level"], borders).withColumn("sole", sole).drop("osm", "n_b"), "by-id")
+    by_id = cut_lineage(_meet(_by_id(a, "a"), _by_id(b, "b"), ["osm", "level"], borders).withColumn("sole", sole).drop("osm", "n_b"))
     matched = by_id.filter("sole")
     taken = lambda s: matched.select("pair", "level", F.col(f"{s}_lat").alias("lat_e7"), F.col(f"{s}_lon").alias("lon_e7"),
                                      F.col(f"row_{s}").alias("row"), F.col(f"local_{s}").alias("local_id"))
-    spots_a, spots_b = stored(_by_spot(a, "a"), "spots-a"), stored(_by_spot(b, "b"), "spots-b")
+    spots_a, spots_b = cut_lineage(_by_spot(a, "a")), cut_lineage(_by_spot(b, "b"))
     near = _near_spots(spots_a, spots_b).join(spots_a, ["level", "a_lat", "a_lon"])
     met = _meet(near, spots_b, ["level", "b_lat", "b_lon"], borders)
-    met = stored(_free(_free(met, taken("a"), "a"), taken("b"), "b"), "near")
-    judged = stored(_near(met), "judged")
+    met = cut_lineage(_free(_free(met, taken("a"), "a"), taken("b"), "b"))
+    judged = cut_lineage(_near(met))
     single = (F.col("cand_b") == 1) & (F.col("cand_a") == 1)
     pairs = _pairs(matched, "osm").unionByName(_pairs(met.filter(_sole_here()), "coord")).unionByName(_pairs(judged.filter(single), "near"))
     ambiguous = by_id.filter("not sole").unionByName(judged.filter(~single), allowMissingColumns=True).select("pair", F.col("n_a").alias("ambiguous"))
@@ -153,7 +153,7 @@ def pair_ends(df: DataFrame) -> DataFrame:
 def all_pairs(frontier: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every pair of countries through the matching rule; pairs with nothing in common are absent."""
     rows, _, _ = neighbour_sides(frontier, frontier.select(F.col("country").alias("a"), F.col("country").alias("b")))
-    rows = stored(rows, "frontier")
+    rows = cut_lineage(rows)
     ends = rows.select(F.col("side").alias("a")).distinct()     # 255 at most
     borders = ends.join(ends.withColumnRenamed("a", "b"), F.col("a") < F.col("b")).select(F.concat_ws("-", "a", "b").alias("pair"), "a", "b")
     pairs, stats = _match(rows, rows, borders)

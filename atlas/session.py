@@ -63,7 +63,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/scratch-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written as Parquet next to the checkpoints and read again: compressed, and every reader takes only its columns."""
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
