@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from atlas.functions import geo, osm
 from atlas.operators import filters
-from atlas.session import cut_lineage
+from atlas.session import cut_lineage, stored
 
 MAX_CHAIN_M = 10_000.0
 BOX_DEGREES = 0.025
@@ -159,6 +159,9 @@ def chain_rings(lines: DataFrame) -> DataFrame:
     Each way points to the lowest way that starts where it ends (and is the lowest that does). Pointer doubling spreads the
     lowest id around each cycle and drops chains that run out, in log steps. A second doubling sums the points from each
     way to the end of its cycle, which numbers every point: rings are never gathered. Rings of fewer than four points are left out.
+
+    Rounds are stored, not checkpointed: a checkpoint hands on the estimated size of its plan, which a join of a table with
+    itself squares, so that after thirty rounds the estimate alone is a number of billions of digits.
     """
     ends = lines.filter(F.size("points") >= 2).select(
         "way", F.element_at("points", 1).alias("head"), F.element_at("points", -1).alias("tail"), (F.size("points") - 1).cast("bigint").alias("points"))
@@ -166,22 +169,22 @@ def chain_rings(lines: DataFrame) -> DataFrame:
     rest = cut_lineage(ends.filter(F.col("head") != F.col("tail")))
     after = rest.groupBy(F.col("head").alias("tail")).agg(F.min("way").alias("next"))
     succ = rest.join(after, "tail").groupBy("next").agg(F.min(F.struct("way", "points")).alias("w")).select("w.way", "next", "w.points")
-    now = cut_lineage(succ.select("way", F.col("next").alias("ptr"), F.least("way", "next").alias("low")))
+    now = stored(succ.select("way", F.col("next").alias("ptr"), F.least("way", "next").alias("low")))
     while True:
         ahead = now.select(F.col("way").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("low").alias("low2"))
         step = now.join(ahead, "ptr")       # an inner join drops ways whose pointer ran off an open chain
-        step = cut_lineage(step.select("way", F.col("ptr2").alias("ptr"), F.least("low", "low2").alias("low"),
-                                       (F.col("low2") < F.col("low")).alias("moved")))
+        step = stored(step.select("way", F.col("ptr2").alias("ptr"), F.least("low", "low2").alias("low"),
+                                  (F.col("low2") < F.col("low")).alias("moved")))
         steady = step.filter("moved").isEmpty() and step.count() == now.count()
         now = step.drop("moved")
         if steady or now.isEmpty():
             break
     # points from each way to the end of its cycle, with the link into the lowest way cut
     cycles = now.select("way", F.col("low").alias("pid")).join(succ, "way")
-    far = cut_lineage(cycles.select("way", "pid", F.when(F.col("next") != F.col("pid"), F.col("next")).alias("ptr"), F.col("points").alias("left")))
+    far = stored(cycles.select("way", "pid", F.when(F.col("next") != F.col("pid"), F.col("next")).alias("ptr"), F.col("points").alias("left")))
     while not far.filter("ptr is not null").isEmpty():
         ahead = far.select(F.col("way").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("left").alias("left2"))
-        far = cut_lineage(far.join(ahead, "ptr", "left").select(
+        far = stored(far.join(ahead, "ptr", "left").select(
             "way", "pid", F.col("ptr2").alias("ptr"), (F.col("left") + F.coalesce("left2", F.lit(0))).alias("left")))
     placed = far.select("way", "pid", "left").unionByName(closed)
     rings = placed.filter("way = pid").select("pid", F.col("left").alias("size")).filter("size >= 3")

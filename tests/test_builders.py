@@ -157,6 +157,16 @@ def test_chain_rings(spark):
                      100: [xy(60 + i) for i in range(17)] + [xy(60)]}
 
 
+def test_long_rings_keep_small_estimates(spark):
+    """Each round joins a table with itself; its estimated size must not be the square of the last round's."""
+    n = 200
+    p = lambda i: {"x": float(i % n), "y": 0.0}
+    df = spark.createDataFrame([(i + 1, [p(i), p(i + 1)]) for i in range(n)], "way bigint, points array<struct<x:double,y:double>>")
+    found = network.chain_rings(df)
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 500
+    assert sorted((r.pid, r.ord, r.x) for r in found.collect()) == [(1, i, float(i % n)) for i in range(n + 1)]
+
+
 def test_arterial_network(spark):
     """A port: ferry 900 ends at node 1; service road 10 leads one way to street 11 and on to primary 20."""
     node = spark.createDataFrame([(i, 47.0 + i * 0.001, 28.0, {}) for i in range(1, 10)] + [(50, 48.0, 29.0, {})], "id bigint, lat double, lon double, tags map<string,string>")
