@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,27 +41,82 @@ def archive_header_audit(headers: DataFrame) -> DataFrame:
         _signed32(102).alias("west_e7"), _signed32(106).alias("south_e7"), _signed32(110).alias("east_e7"), _signed32(114).alias("north_e7"))
 
 
-def read_archive_headers(spark: SparkSession, path: str, bytes_each: int = HEADER_BYTES) -> DataFrame:
+def _opened(uri: str) -> tuple:
+    """File system and name of a path as Spark shows it (not escaped)."""
+    from pyarrow import fs
+
+    scheme, rest = uri.split(":", 1)
+    return (fs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else fs.FileSystem.from_uri(uri)
+
+
+def write_archive_volumes(archives: DataFrame, path: str) -> DataFrame:
+    """Archives ``(path, content binary)`` written one behind the other into a volume per task: the ``members`` of the volumes.
+
+    A file of its own costs each archive at least a block of the file system and an entry of its folder, so small archives by the
+    million take volumes. ``path`` is a full URI; volumes go to its folder ``volumes``, and the members ``(volume, path, start,
+    length)`` beside them as Parquet. A volume of a task that failed has no members and is never read.
+    """
+    folder = f"{path}/volumes"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        system, place = _opened(folder)
+        system.create_dir(place, recursive=True)
+        name, file, at = f"{uuid.uuid4().hex}.volume", None, 0
+        try:
+            for batch in batches:
+                file = file or system.open_output_stream(f"{place}/{name}")
+                contents = batch.column("content").to_pylist()
+                starts = [*accumulate(map(len, contents), initial=at)]
+                file.write(b"".join(contents))
+                at = starts.pop()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(contents)), batch.column("path"), pa.array(starts, pa.int64()), pa.array(map(len, contents), pa.int64())],
+                    names=["volume", "path", "start", "length"])
+        finally:
+            if file:
+                file.close()
+
+    kind = archives.schema["path"].dataType.simpleString()
+    schema = f"volume string, path {kind}, start long, length long"
+    archives.select("path", "content").mapInArrow(write, schema).write.parquet(f"{path}/members")
+    return archives.sparkSession.read.schema(schema).parquet(f"{path}/members")
+
+
+def read_archive_headers(spark: SparkSession, path: str, bytes_each: int = HEADER_BYTES, members: DataFrame | None = None) -> DataFrame:
     """(path, length, header): the first bytes of each archive; of a file of any size nothing else is read.
 
     Spark lists the files (its binary source opens none unless its content is asked for, and leaves out empty ones); the tasks
     then read one short range of each by its URI. Schemes are those Arrow knows: local files, HDFS, S3, GCS, ABFS. Name a folder
     rather than a pattern where there are many files: a folder is listed once, a pattern file by file.
+
+    Without ``members`` each file is one archive. With ``members(volume, path, start, length)``, the files are volumes as
+    ``write_archive_volumes`` makes them, and one range is read for each member of a listed volume.
     """
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
+        last, file = None, None
         for batch in batches:
             headers = []
-            for uri in batch.column("path").to_pylist():
-                scheme, rest = uri.split(":", 1)   # Spark's paths are not escaped
-                system, name = (fs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else fs.FileSystem.from_uri(uri)
-                with system.open_input_file(name) as file:
-                    headers.append(file.read_at(min(bytes_each, file.size()), 0))
+            for uri, start, size in zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "length")), strict=True):
+                if uri != last:
+                    if file:
+                        file.close()
+                    system, name = _opened(uri)
+                    last, file = uri, system.open_input_file(name)
+                headers.append(file.read_at(max(0, min(bytes_each, size, file.size() - start)), start))
             yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(headers, pa.binary())], names=["path", "length", "header"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "length").repartition(4 * spark.sparkContext.defaultParallelism)
-    return files.mapInArrow(ranges, "path string, length long, header binary")
+        if file:
+            file.close()
+
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    if members is None:
+        asked = files.select(F.col("path").alias("uri"), "path", F.lit(0).cast("bigint").alias("start"), "length").repartition(4 * spark.sparkContext.defaultParallelism)
+    else:
+        volumes = files.select(F.element_at(F.split("path", "/"), -1).alias("volume"), F.col("path").alias("uri"))
+        asked = members.join(volumes, "volume").select("uri", "path", "start", "length")
+    kind = asked.schema["path"].dataType.simpleString()
+    return asked.mapInArrow(ranges, f"path {kind}, length long, header binary")
 
 
 def tile_directory_expand(entries: DataFrame) -> DataFrame:

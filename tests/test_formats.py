@@ -142,3 +142,18 @@ def test_archive_headers_are_read_as_ranges(spark, tmp_path):
     assert {k: (r.length, len(r.header)) for k, r in rows.items()} == {"large.pmtiles": (3 << 30, 127), "short.pmtiles": (2, 2), "ä b%20#1.pmtiles": (200, 127)}
     found = {r.path.rsplit("/", 1)[1]: (r.magic_ok, r.version) for r in archives.archive_header_audit(archives.read_archive_headers(spark, f"{tmp_path}/large*")).collect()}
     assert found == {"large.pmtiles": (True, 3)}
+
+
+def test_archives_share_volumes(spark, tmp_path):
+    """Many archives in few files; what a failed task left behind is not read, and no header runs into the next archive."""
+    import os
+
+    content = {f"a {i} %.pmtiles": bytes.fromhex(archives.MAGIC_HEX) + bytes([i % 250]) + bytes(119) + b"body" * (i % 7) for i in range(600)}
+    content["short"] = b"xy"
+    rows = spark.createDataFrame([(k, bytearray(v)) for k, v in content.items()], "path string, content binary").repartition(3)
+    folder = f"file:{tmp_path}/archives"
+    members = archives.write_archive_volumes(rows, folder)
+    assert len(os.listdir(f"{tmp_path}/archives/volumes")) <= 3
+    (tmp_path / "archives" / "volumes" / "left.volume").write_bytes(b"left by a failed task")
+    read = archives.read_archive_headers(spark, f"{folder}/volumes", members=members).collect()
+    assert {r.path: (r.length, bytes(r.header)) for r in read} == {k: (len(v), v[:127]) for k, v in content.items()} and len(read) == len(content)
