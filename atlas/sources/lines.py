@@ -14,6 +14,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("at"), "value")
 
 
+def read_packed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_lines``, of text files that hold the lines of many files, each behind its file's name and a tab."""
+    parts = F.split("value", "\t", 2)
+    return read_lines(spark, path).filter(F.size(parts) == 2).select(parts[0].alias("file"), "block", "at", parts[1].alias("value"))
+
+
 def running_total(lines: DataFrame, value: Column, name: str) -> DataFrame:
     """Sum of ``value`` over the lines strictly before each line of its file: inside the block first,
     then over the few blocks of the file."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlas.sources.lines import first_match, read_lines
+from atlas.sources.lines import first_match, read_lines, read_packed_lines
 
 # --- fixed values: line patterns of the tools whose output is read ------------------------------
 BUILD_COUNTERS = {
@@ -54,9 +54,12 @@ SAMPLE_COLUMNS = {"epoch": "bigint", "mem_bytes": "bigint", "anon_bytes": "bigin
                   "mem_available_bytes": "bigint", "disk_free_kb": "bigint", "load1": "double"}
 
 
-def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """Resource samples with the memory source named in the first comment of their file."""
-    lines = read_lines(spark, path)
+def read_samples(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
+    """Resource samples with the memory source named in the first comment of their file.
+
+    ``packed``: the text files hold the lines of many files, as ``sinks.write_packed_lines`` lays them out.
+    """
+    lines = read_packed_lines(spark, path) if packed else read_lines(spark, path)
     source = first_match(lines.filter(F.col("value").startswith("#")), {"source": r"^#[^:]*:\s*(.*?)\s*$"})
     rows = parse_headed_csv(lines, "epoch", SAMPLE_COLUMNS).filter("epoch is not null")
     return rows.join(source.select("file", F.col("found").alias("source")), "file", "left")

@@ -126,6 +126,13 @@ def write_address_tables(index, path: str) -> None:
     meta.write.mode("overwrite").parquet(f"{path}/meta")
 
 
+def write_packed_lines(lines: DataFrame, order: str, path: str) -> None:
+    """Lines ``(file, value)`` of many small files in few text files: a file's lines follow one another by ``order``, each behind the
+    file's name and a tab. A file of its own costs a listing and a task's opening however short it is."""
+    laid = lines.repartition("file").sortWithinPartitions("file", order)
+    laid.select(F.concat("file", F.lit("\t"), "value").alias("value")).write.text(path)
+
+
 def write_lookup_tables(street: DataFrame, house: DataFrame, path: str, name: str, buckets: int = 256) -> tuple[str, str]:
     """The two tables that house lookups join, as catalog tables ``name_street`` and ``name_house`` over files under ``path``.
 

@@ -157,3 +157,18 @@ def test_archives_share_volumes(spark, tmp_path):
     (tmp_path / "archives" / "volumes" / "left.volume").write_bytes(b"left by a failed task")
     read = archives.read_archive_headers(spark, f"{folder}/volumes", members=members).collect()
     assert {r.path: (r.length, bytes(r.header)) for r in read} == {k: (len(v), v[:127]) for k, v in content.items()} and len(read) == len(content)
+
+
+def test_packed_samples_are_read_as_files(spark, tmp_path):
+    """Builds by the hundred share text files; each keeps its own first comment and its own order of columns."""
+    from atlas.sources import logs, sinks
+
+    rows = []
+    for i in range(300):
+        head = "epoch,mem_bytes,disk_kb" if i % 2 else "epoch,disk_kb,mem_bytes"
+        rows += [(f"b{i}", at, text) for at, text in enumerate([f"# memory source: s{i % 3}", head, f"1,{i},7", "# note: later", f"2,{i},\t8"])]
+    lines = spark.createDataFrame(rows, "file string, o int, value string").repartition(5)
+    sinks.write_packed_lines(lines, "o", str(tmp_path / "packed"))
+    assert len(list((tmp_path / "packed").glob("part-*"))) < 20
+    got = sorted((int(r.file[1:]), r.epoch, r.mem_bytes, r.disk_kb, r.source) for r in logs.read_samples(spark, str(tmp_path / "packed"), packed=True).collect())
+    assert got == sorted((i, e, i if i % 2 else v, v if i % 2 else i, f"s{i % 3}") for i in range(300) for e, v in ((1, 7), (2, 8)))
