@@ -91,6 +91,7 @@ def connectors(sources: DataFrame, steps: DataFrame, lengths: DataFrame, classes
     the network, too long (chains over 10 km together), unreached, or without a road. Returns
     (source, way, length, highway) and (source, outcome, length).
     """
+    steps = stored(steps, "steps")
     path = cut_lineage(chains(connector_search(steps, sources), sources))
     minor = path.filter("way is not null").select("source", "way").distinct().join(lengths, "way", "left").join(classes, "way", "left")
     minor = cut_lineage(minor.withColumn("length", F.coalesce("length", F.lit(0.0))))

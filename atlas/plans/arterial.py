@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from atlas.functions import geo, osm
 from atlas.operators import features, filters, network, routes
-from atlas.session import cut_lineage
+from atlas.session import cut_lineage, stored
 
 
 @dataclass(frozen=True)
@@ -29,6 +29,7 @@ def way_lengths(way: DataFrame, node: DataFrame) -> DataFrame:
 
 def build_arterial_network(node: DataFrame, way: DataFrame, relation: DataFrame) -> ArterialNetwork:
     tags = F.col("tags")
+    node, way = stored(node, "nodes"), stored(way, "ways")
     base = way.filter(filters.arterial(tags) | F.coalesce(tags["route"] == "ferry", F.lit(False)))
     small = way.filter(filters.routable(tags) & ~filters.arterial(tags) & ~F.coalesce(tags["route"] == "ferry", F.lit(False)))
     sources = cut_lineage(network.ferry_ends(way))
@@ -41,7 +42,7 @@ def build_arterial_network(node: DataFrame, way: DataFrame, relation: DataFrame)
         candidates = cut_lineage(close.unionByName(base.filter(filters.arterial(tags))))
         lengths = way_lengths(candidates, node).select("way", "length")
         classes = candidates.select(F.col("id").alias("way"), tags["highway"].alias("highway"))
-        return network.connectors(ends, cut_lineage(network.way_nodes(candidates)), lengths, classes)
+        return network.connectors(ends, network.way_nodes(candidates), lengths, classes)
 
     found, ends = search(sources, network.BOX_DEGREES)
     ends = cut_lineage(ends)

@@ -14,7 +14,7 @@ from atlas.queries.joins import BEARINGS, place_areas
 from atlas.queries.scalars import BUS_SIDE
 from atlas.queries.spatial import ALL_PAIRS, EXTRACT, NAMED, regions
 from atlas.queries.sqltext import bearing, haversine
-from atlas.session import scratch_folder
+from atlas.session import scratch_folder, stored
 from atlas.sources import map_objects, sinks
 
 c = F.col
@@ -177,7 +177,7 @@ def p09_ways(t):
 
 
 def connected(t):
-    ways = road(t)
+    ways = stored(road(t), "ways")
     classes = ways.select(c("id").alias("way"), c("tags")["highway"].alias("highway"))
     return network.connectors(network.ferry_ends(ways), network.way_nodes(ways), arterial.way_lengths(ways, t.node), classes)
 

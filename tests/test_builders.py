@@ -182,3 +182,40 @@ def test_arterial_network(spark):
     assert {r.source: r.outcome for r in built.ends.collect()} == {1: "one way", 50: "no road"}
     assert {r.way for r in built.connector.collect()} == {10, 11}
     assert [r.id for r in built.relation.collect()] == [1]
+
+
+def counted(spark, df):
+    """``df`` with an accumulator of the rows that its computations have made so far."""
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), rows
+
+
+def test_inputs_of_the_road_search_are_computed_once(spark):
+    ways = spark.createDataFrame([(900, [1, 50], {"route": "ferry"}), (10, [1, 2, 3], {"highway": "service"}), (20, [3, 5], {"highway": "primary"})], "id bigint, refs array<bigint>, tags map<string,string>")
+    steps, rows = counted(spark, network.way_nodes(ways))
+    lengths = spark.createDataFrame([(10, 7.0)], "way bigint, length double")
+    classes = spark.createDataFrame([(10, "service")], "way bigint, highway string")
+    found, ends = network.connectors(network.ferry_ends(ways), steps, lengths, classes)
+    assert [(r.source, r.way, r.length) for r in found.collect()] == [(1, 10, 7.0)]
+    assert {r.source: r.outcome for r in ends.collect()} == {1: "both ways", 50: "no road"}
+    assert rows.value == 5
+
+
+def test_relations_of_the_features_are_computed_once(spark):
+    from atlas.plans.features import build_features_for_network
+
+    node = spark.createDataFrame([(i, 47.0 + i * 0.001, 28.0, {"highway": "speed_camera"} if i == 2 else {}) for i in range(1, 6)], "id bigint, lat double, lon double, tags map<string,string>")
+    way = spark.createDataFrame([(10, [1, 2, 3], {"highway": "primary"})], "id bigint, refs array<bigint>, tags map<string,string>")
+    members = [{"type": "n", "ref": 2, "role": "device"}, {"type": "n", "ref": 1, "role": "from"}]
+    relation = spark.createDataFrame([(7, members, {"type": "enforcement", "enforcement": "maxspeed", "maxspeed": "60"})],
+                                     "id bigint, members array<struct<type:string,ref:bigint,role:string>>, tags map<string,string>")
+    relation, rows = counted(spark, relation)
+    found, _ = build_features_for_network(node, way, relation, node)
+    assert [(r.id, r.type, r.maxspeed) for r in found.collect()] == [("n2", "camera_speed", 60)]
+    assert rows.value == 1
