@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from atlas.operators import features as ops
 from atlas.operators import filters
-from atlas.session import cut_lineage
+from atlas.session import cut_lineage, stored
 
 
 def build_navigation_features(node: DataFrame, way: DataFrame, relation: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -23,6 +23,7 @@ def build_features_for_network(node: DataFrame, way: DataFrame, relation: DataFr
 
 
 def _build(node: DataFrame, way: DataFrame, relation: DataFrame, located: DataFrame, on_network_only: bool) -> tuple[DataFrame, DataFrame]:
+    relation = stored(relation, "relations")
     tagged = filters.tag_filter(node, "n", ops.NODE_FEATURES)
     facts, devices = ops.relation_ends(relation.filter(F.col("tags")["type"] == "enforcement"), located)
     facts, devices = cut_lineage(facts), cut_lineage(devices)
@@ -35,6 +36,7 @@ def _build(node: DataFrame, way: DataFrame, relation: DataFrame, located: DataFr
         touching = (relation.select(F.col("id").alias("rid"), F.explode("members").alias("m"))
                     .filter("m.type = 'n' and m.role in ('device', 'from', 'to')").select("rid", F.col("m.ref").alias("node"))
                     .join(bearings.select("node"), "node", "left_semi").select("rid").distinct())
+        touching = stored(touching, "touching")
         off = facts.join(touching, "rid", "left_anti")
         facts = facts.join(touching, "rid", "left_semi")
     nodes = cut_lineage(ops.node_rows(tagged, bearings, on_network_only))
