@@ -81,6 +81,18 @@ def spelled_out() -> dict[str, str]:
     return found
 
 
+@functools.cache
+def spelled_out_class() -> str:
+    """Character class of the keys of ``spelled_out`` as ranges: a regular expression tests the members of a class one by one."""
+    codes, ranges = sorted(map(ord, spelled_out())), []
+    for code in codes:
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
+
+
 def _decomposed(text: Column) -> Column:
     """Hangul syllables and the characters of ``spelled_out`` as their letters; texts without any are left as they are."""
     several = spelled_out()
@@ -95,7 +107,9 @@ def _decomposed(text: Column) -> Column:
         return F.when(char.between("\uac00", "\ud7a3"), hangul).otherwise(F.coalesce(F.try_element_at(table, char), char))
 
     chars = F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1))
-    return F.when(text.rlike(f"[{SYLLABLES}{''.join(several)}]"), F.array_join(F.transform(chars, letters), "")).otherwise(text)
+    least, most = min(several), max(max(several), SYLLABLES[-1])   # one range, so that most texts are told by one comparison a character
+    some = text.rlike(f"[{least}-{most}]") & text.rlike(f"[{SYLLABLES}{spelled_out_class()}]")
+    return F.when(some, F.array_join(F.transform(chars, letters), "")).otherwise(text)
 
 
 def strip(text: Column) -> Column:

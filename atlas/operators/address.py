@@ -53,11 +53,11 @@ def by_city(points: DataFrame, localities: DataFrame) -> DataFrame:
 
     ``points(point, lat, lon, city)``; ``localities(site, lat, lon, name, aliases)``.
     """
-    asked = (points.filter(F.col("city") != "")
-             .select("point", "lat", "lon", F.posexplode(text.city_keys(F.col("city"))).alias("key_ord", "key")))
     fine, wide = Grid(FINE_M), Grid((PLAUSIBLE_KM + SLACK_KM) * 1000)
-    asked = asked.withColumn("cell", fine.cell(F.col("lat"), F.col("lon")))
-    spot = asked.groupBy("key", "cell").agg(F.min(F.struct("lat", "lon")).alias("at"))
+    asked = points.filter(F.col("city") != "").select("point", "lat", "lon", "city", fine.cell(F.col("lat"), F.col("lon")).alias("cell"))
+    spelled = asked.groupBy("city", "cell").agg(F.min(F.struct("lat", "lon")).alias("at"))   # keys are made once per spelling and cell
+    spelled = spelled.select("city", "cell", "at", F.posexplode(text.city_keys(F.col("city"))).alias("key_ord", "key"))
+    spot = spelled.groupBy("key", "cell").agg(F.min("at").alias("at"))
     spot = spot.withColumn("far", wide.cell(F.col("at.lat"), F.col("at.lon")))
     names = F.array_distinct(F.transform(F.concat(F.array("name"), F.col("aliases")), text.name_key))
     sites = (localities.select("site", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"), F.explode(names).alias("key"))
@@ -66,8 +66,9 @@ def by_city(points: DataFrame, localities: DataFrame) -> DataFrame:
     reach = (spot.join(around, ["key", "far"])
              .filter(geo.km(F.col("at.lat"), F.col("at.lon"), F.col("s_lat"), F.col("s_lon")) < PLAUSIBLE_KM + SLACK_KM)
              .select("key", "cell", "site", "s_lat", "s_lon"))
+    reach = spelled.select("city", "cell", "key_ord", "key").join(reach, ["key", "cell"]).drop("key")
     km = geo.km(F.col("lat"), F.col("lon"), F.col("s_lat"), F.col("s_lon"))
-    found = asked.join(reach, ["key", "cell"]).withColumn("km", km).filter(F.col("km") < PLAUSIBLE_KM)
+    found = asked.join(reach, ["city", "cell"]).withColumn("km", km).filter(F.col("km") < PLAUSIBLE_KM)
     best = F.min(F.struct("km", "key_ord", "site")).alias("best")
     return found.groupBy("point").agg(best).select("point", "best.site", "best.km")
 

@@ -219,3 +219,11 @@ def test_relations_of_the_features_are_computed_once(spark):
     found, _ = build_features_for_network(node, way, relation, node)
     assert [(r.id, r.type, r.maxspeed) for r in found.collect()] == [("n2", "camera_speed", 60)]
     assert rows.value == 1
+
+
+def test_city_keys_are_made_once_per_spelling_and_cell(spark, folder):
+    from atlas.queries import load
+
+    plan = load()["j04_by_city"].run(spark, folder)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = [i for i, line in enumerate(plan) if "Generate posexplode" in line]
+    assert made and all(any("Aggregate" in line for line in plan[i + 1:i + 4]) for i in made)

@@ -1,5 +1,6 @@
 """Value vectors of the scalar rules."""
 
+import re
 import unicodedata
 
 import pytest
@@ -22,6 +23,12 @@ def test_every_code_point_folds_to_its_decomposition_without_marks(spark):
     assert column(spark, words, text.fold) == [w and bare(w) for w in words[:4]] + [None]
 
 
+def test_texts_are_told_from_spelled_out_letters_by_one_range(spark):
+    assert {c for c in map(chr, range(0x80, 0x30000)) if re.match(f"[{text.spelled_out_class()}]", c)} == set(text.spelled_out())
+    plan = spark.range(1).select(text.name_key(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert re.search(r", \[[^\]]-[^\]]\]\) AND RLIKE\(", plan)
+
+
 def test_street_keys(spark):
     cases = {"Alba-Iulia": "alba iulia", "Șoseaua Muncești": "soseaua muncesti", "Şoseaua Munceşti": "soseaua muncesti",
              "str. 31 August 1989": "str 31 august 1989", "Stradela Ion  Creangă": "stradela ion creanga", "улица Ленина": "улица ленина",
