@@ -31,12 +31,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from atlas.llm.common import staged
+from atlas.llm.common import give_back, staged
 from atlas.llm.exchange import U64, mix
 
 LEAST, LONGEST, PERCENT, FIRST = 100, 5, 100, 2000
 CHUNK_BYTES = 4_000_000
 ROOM, BURST = 1_000_000, 4096   # windows in a task's trie, suffixes in a container
+AT_ONCE = 1 << 17   # windows entered between two looks at the trie's size
 PART_BITS, CHUNKS_A_PARTITIONING = 7, 256   # 128 prefix partitions up to 256 chunks, then twice as many for each doubling
 UNKNOWN = "und"
 UPPER, BREAKS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b".,;:!?\x0b\x0c\r"
@@ -219,15 +220,24 @@ def _count(longest: int, width: int, bits: int, room: int, burst: int):
         return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(runs, pa.binary())], names=["part", "run"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()   # what the worker's earlier tasks left
         trie = HatTrie(longest, width, burst)
         for row, words in _texts(batches):
             known = row["known"].values
             numbers = dict(zip(known.field("word").cast(pa.binary()).to_pylist(), known.field("id").to_pylist(), strict=True))
-            trie.add(windows(np.fromiter(map(numbers.get, words, repeat(0)), f"u{width}", len(words)), longest))
-            if trie.sizes.total() >= room:
-                yield spilled(trie, room // 2)
+            places = np.fromiter(map(numbers.get, words, repeat(0)), f"u{width}", len(words))
+            del row, words, known, numbers   # the trie needs the room
+            rows = windows(places, longest)
+            for at in range(0, len(rows), AT_ONCE):
+                trie.add(rows[at:at + AT_ONCE])
+                if trie.sizes.total() >= room:
+                    yield spilled(trie, room // 2)
+                    give_back()
+            del places, rows
         if trie.sizes.total():
             yield spilled(trie, 0)
+        del trie
+        give_back()
 
     return run
 

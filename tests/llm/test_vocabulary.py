@@ -1,16 +1,22 @@
 """Phrases, spelling variants and mixed sources against brute force, with every awkward case, and over empty tables."""
 
 import collections
+import gc
 import math
 import random
 import re
+import sys
+import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from atlas.llm import phrase_mining, source_mixing, spelling_variants
+from atlas.llm.common import give_back
 from atlas.llm.queries import QUERIES
 from tests.llm.data import SCHEMA, documents
 
@@ -63,6 +69,35 @@ def test_phrases(docs, monkeypatch, least, longest, percent, first, room):
     assert sorted(map(tuple, got.collect())) == brute_phrases([(r[2], r[1]) for r in ROWS], least, longest, percent, first)
 
 
+def test_windows_enter_the_trie_in_parts(monkeypatch):
+    """A chunk's windows may not pile up beyond the room: the trie is looked at after every part."""
+    words = [b"w%d" % (i * 7919 % 30_011) for i in range(200_000)]
+    known = pa.array([[{"word": w.decode(), "id": i + 1} for i, w in enumerate(sorted(set(words)))]])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([zstandard.ZstdCompressor().compress(b" ".join(words))]), known], names=["chunk", "blob", "known"])
+    sizes, add = [], phrase_mining.HatTrie.add
+    monkeypatch.setattr(phrase_mining.HatTrie, "add", lambda trie, rows: (add(trie, rows), sizes.append(trie.sizes.total())))
+    parts = list(phrase_mining._count(5, 4, 1, 20_000, 64)(iter([batch])))
+    assert max(sizes) < 20_000 + phrase_mining.AT_ONCE
+    runs = [phrase_mining._rows(r.as_py(), 5, 4) for p in parts for r in p.column("run")]
+    assert sum(int(n[(rows[:, 1] > 0) & (rows[:, 2] == 0)].sum()) for rows, n in runs) == len(words) - 1
+
+
+def test_given_back_memory_includes_ended_tasks():
+    class Task:
+        pass
+
+    task = Task()
+    task.itself, seen = task, weakref.ref(task)
+    sys.__dict__["_word_tokens"] = {"table": task}
+    gc.disable()
+    try:
+        del task
+        give_back()
+        assert seen() is None
+    finally:
+        gc.enable()
+
+
 def test_phrases_odd_words(spark):
     texts = [("en", "a\0b \x1c c\x85d a\0b \x1c c\x85d"), ("und", "x y\tx  y, x y"), (None, "x y: X Y"), ("en", None), ("en", "new york new york new-york"), ("fr", "..;!?"), ("", "x y x y")]
     rows = spark.createDataFrame(texts, "lang string, text string")
