@@ -51,11 +51,19 @@ def join_back(rows: DataFrame, found: DataFrame, how: str = "left") -> DataFrame
 
 
 def give_back() -> None:
-    """Return a Python worker's freed memory to the system: workers outlive their tasks, and the next stage needs the room."""
+    """Return a Python worker's freed memory to the system: workers outlive their tasks, and the next stage needs the room.
+
+    Functions travel by value, each with its module's tables, and go in a cycle with them, so ended tasks must be collected first.
+    The token table that packing keeps in a worker goes too; packing itself does not call this.
+    """
     import ctypes
+    import gc
+    import sys
 
     import pyarrow as pa
 
+    sys.__dict__.pop("_word_tokens", None)
+    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):   # a C library without it keeps the memory for the worker
         ctypes.CDLL("libc.so.6").malloc_trim(0)

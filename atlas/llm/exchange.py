@@ -125,10 +125,11 @@ def pack(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        give_back()   # what the worker's earlier tasks left
         number, squeeze = TaskContext.get().partitionId() << 24, zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())
-            at = 0
+            at, parts = 0, []
             while at < len(ids):
                 end, size, parts = at, 0, []
                 while end < len(ids) and (end == at or size < CHUNK_BYTES) and end - at < CHUNK_DOCS:
@@ -140,6 +141,8 @@ def pack(documents: DataFrame) -> DataFrame:
                      pa.array([batch.column(2)[at:end].to_pylist()], pa.list_(pa.int64())), pa.array([[len(p) for p in parts]], pa.list_(pa.int32())),
                      pa.array([squeeze.compress(b"\n".join([*parts, b""]))], pa.binary())], names=["chunk", "ids", "keys", "sizes", "blob"])
                 number, at = number + 1, end
+            del batch, ids, texts, parts
+        give_back()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), key_hash())
     return rows.mapInArrow(run, "chunk long, ids array<long>, keys array<long>, sizes array<int>, blob binary")
@@ -176,6 +179,7 @@ def cuts(values: np.ndarray, bits: int, slices: int) -> list[tuple[int, int, int
 def chunk_map(chunks: DataFrame, fn: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply ``fn(row) -> record batches`` to every chunk row, given as a dict of Arrow scalars."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()   # what the worker's earlier tasks left
         for batch in batches:
             for i in range(batch.num_rows):
                 yield from fn({name: batch.column(k)[i] for k, name in enumerate(batch.schema.names)})
