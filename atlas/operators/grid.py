@@ -39,3 +39,8 @@ class Grid:
         """The cell of the point and its neighbours, as an array."""
         row = self._row(lat)
         return F.array(*[self._cell(row + dy, lon, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
+
+    def corners(self, lat: Column, lon: Column, cells: int) -> list[tuple[Column, Column]]:
+        """(lat, lon) of the corners of a box that reaches so many cells to each side of the point."""
+        wide = F.lit(float(cells)) * self._width(F.abs(self._row(lat)) + cells)
+        return [(lat + dy * cells * self.height, lon + dx * wide) for dy in (-1, 1) for dx in (-1, 1)]

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlas.operators.grid import Grid
-from atlas.session import cut_lineage
+from atlas.session import Scratch, cut_lineage
 
 BUCKET_BITS = 16
+BLOCK_CELLS, BORDER_CELLS = 64, 5   # of greedy_thin: a cell asks up to four cells away, two for each question
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: Sequence[str]) -> DataFrame:
@@ -66,37 +67,73 @@ def dense_ids(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 
 
 def greedy_thin(df: DataFrame, keys: Sequence[str], order: Sequence[str], radius_m: float,
-                near: Callable[[Column, Column, Column, Column], Column]) -> DataFrame:
+                near: Callable[[Column, Column, Column, Column], Column], ties: Sequence[str] = ()) -> DataFrame:
     """Walk each group in ``order`` (then position) and keep a row unless an already kept one is ``near``.
 
     ``near(lat, lon, lat, lon)`` must imply a distance of at most ``radius_m``. Rows equal in keys, order and position
-    are one row. The walk is decided in rounds over cells: a row that comes first among all undecided rows
+    are one row, the least; the columns ``ties`` only tell which that is and are not returned. The walk is decided in rounds over cells: a row that comes first among all undecided rows
     around it is kept, every row near a kept one is dropped, and the rest goes on. A row is only dropped by one
-    before it, as in the walk, so the answer is the walk's for groups of any size.
+    before it, as in the walk, so the answer is the walk's for groups of any size. Rows without a position are near none.
     """
     keys, order = list(keys), list(order)
     place = [*order, "lat", "lon"]
     rest = [c for c in df.columns if c not in keys and c not in place]
     grid = Grid(radius_m)
     cell = [*keys, "_cell"]
+    steps = Scratch(df.sparkSession, "thin")
     row = F.struct(*[F.col(c) for c in (*place, *rest)]).alias("_row")
-    undecided = df.withColumn("_cell", grid.cell(F.col("lat"), F.col("lon"))).groupBy(*cell, *place).agg(F.min(row).alias("_row"))
-    undecided = cut_lineage(undecided.select(*cell, "_row"))
-    kept = None
-    while kept is None or not undecided.isEmpty():
-        first = undecided.groupBy(*cell).agg(F.min("_row").alias("_first"))
-        lat, lon = F.col("_first.lat"), F.col("_first.lon")
-        asked = first.select(*keys, "_first", F.explode(grid.around(lat, lon)).alias("_cell"))
-        rival = first.withColumnRenamed("_first", "_rival")
-        winners = cut_lineage(_same(asked, rival, cell, "inner", None).select(*[F.col(f"u.{k}") for k in keys], "_first", "_rival")
-                              .groupBy(*keys, "_first").agg(F.min("_rival").alias("_rival"))
-                              .filter(F.col("_first") <= F.col("_rival")).select(*keys, "_first"))
-        kept = winners if kept is None else kept.unionByName(winners)
-        zone = winners.select(*keys, F.explode(grid.around(lat, lon)).alias("_cell"), "_first")
-        u, z = F.col("u._row"), F.col("z._first")
-        covered = near(u["lat"], u["lon"], z["lat"], z["lon"]) | (u == z)
-        undecided = cut_lineage(_same(undecided, zone, cell, "left_anti", covered))
-    return kept.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
+    rows = df.withColumn("_cell", grid.cell(F.col("lat"), F.col("lon"))).groupBy(*cell, *place).agg(F.min(row).alias("_row"))
+    rows = rows.select(*cell, F.struct(*[F.col(f"_row.{c}").alias(c) for c in (*place, *rest) if c not in ties]).alias("_row"))
+    lone = rows.filter("_cell is null").select(*keys, F.col("_row").alias("_first"))
+    undecided = steps.keep(rows.filter("_cell is not null"), "undecided-0")
+    kept, n = lone, 0
+    while not undecided.isEmpty():
+        judged = steps.keep(_judged(undecided, keys, place, grid, Grid(radius_m * BLOCK_CELLS)), f"judged-{n}")
+        kept = kept.unionByName(judged.filter("_wins").select(*keys, "_first"))
+        undecided = steps.keep(_undecided(undecided, judged, keys, near), f"undecided-{n + 1}")
+        steps.drop(f"undecided-{n}")
+        n += 1
+    kept = steps.keep(kept, "kept")
+    steps.drop(*[f"judged-{i}" for i in range(n)], f"undecided-{n}")
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns if c not in ties])
+
+
+def _judged(undecided: DataFrame, keys: list[str], place: list[str], grid: Grid, blocks: Grid) -> DataFrame:
+    """Each cell of a group with its first row, how many rows it has, whether the first wins and the winners around (at most nine).
+
+    A cell asks its eight neighbours twice. So that not every row travels nine times for it, rows go to their block
+    of many cells, and to the next ones where they lie at its border, and the questions stay inside a block. The only
+    cell of a group in a block has none to ask.
+    """
+    first = undecided.groupBy(*keys, "_cell").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    lat, lon = F.col("_first.lat"), F.col("_first.lon")
+    home = blocks.cell(lat, lon)
+    laid = first.select(*keys, "_cell", "_first", "_n", home.alias("_home"),
+                        F.explode(F.array_distinct(F.array(home, *[blocks.cell(y, x) for y, x in grid.corners(lat, lon, BORDER_CELLS)]))).alias("_block"))
+    laid = laid.repartition(*keys, "_block").withColumn("_alone", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_block")) == 1)
+    spot = F.struct(*[F.col(f"_first.{c}").alias(c) for c in place])
+    at = [*keys, "_block", "_near"]
+    asked = laid.withColumn("_spot", spot).withColumn("_near", F.explode(F.when(F.col("_alone"), F.array("_cell")).otherwise(grid.around(lat, lon))))
+    own = F.when(F.col("_near") == F.col("_cell"), F.struct("_first", "_n", "_home", "_spot", "_alone"))
+    found = asked.groupBy(*at).agg(F.min("_spot").alias("_least"), F.min(own).alias("_own")).filter("_own is not null")
+    found = found.select(*keys, "_block", F.col("_near").alias("_cell"), "_own._first", "_own._n", "_own._home", "_own._spot", "_own._alone", (F.col("_own._spot") == F.col("_least")).alias("_wins"))
+    told = found.withColumn("_near", F.explode(F.when(F.col("_wins") & ~F.col("_alone"), grid.around(lat, lon)).otherwise(F.array("_cell"))))
+    own = F.when(F.col("_near") == F.col("_cell"), F.struct("_first", "_n", "_home", "_wins"))
+    winner = F.when(F.col("_wins"), F.struct("_spot.lat", "_spot.lon"))
+    told = told.groupBy(*at).agg(F.min(own).alias("_own"), F.collect_list(winner).alias("_won"))
+    return (told.filter(F.col("_own._home") == F.col("_block"))
+            .select(*keys, F.col("_near").alias("_cell"), "_own._first", "_own._n", "_own._wins", "_won"))
+
+
+def _undecided(undecided: DataFrame, judged: DataFrame, keys: list[str], near: Callable) -> DataFrame:
+    """Rows that neither won nor are near a winner. The only row of its cell is judged as it is; the others are looked up."""
+    def open_rows(rows: DataFrame, row: Column) -> DataFrame:
+        covered = F.exists("_won", lambda z: F.coalesce(near(row["lat"], row["lon"], z["lat"], z["lon"]), F.lit(False)))
+        return rows.filter(~((F.col("_wins") & (row == F.col("_first"))) | covered)).select(*keys, "_cell", row.alias("_row"))
+
+    crowded = _same(undecided, judged.filter("_n > 1"), [*keys, "_cell"], "inner", None)
+    crowded = crowded.select("u.*", "z._first", "z._wins", "z._won")
+    return open_rows(judged.filter("_n = 1"), F.col("_first")).unionByName(open_rows(crowded, F.col("_row")))
 
 
 def _same(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str, condition: Column | None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +69,36 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def ended_shuffles_removed(spark: SparkSession):
+    """Queries that end inside remove their shuffle files at once; else these wait for the driver's garbage collection."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+class Scratch:
+    """Tables between the steps of one build: compressed Parquet next to the checkpoints, removed by name when no later step reads them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, scratch_folder(spark, name)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        with ended_shuffles_removed(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

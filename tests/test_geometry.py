@@ -137,6 +137,31 @@ def test_greedy_rounds_equal_the_walk(spark):
     assert got == sorted(want)
 
 
+def test_greedy_rounds_across_blocks(spark):
+    """Chains of near rows that run through several blocks of cells, at two latitudes; rows without a position or key; ties; what stays on disk."""
+    r = random.Random(5)
+    rows = []
+    for g, lat, steep in (("a", 46.99, 1.0), ("b", -71.3, 2.5), (None, 47.2, 0.3)):
+        rows += [(g, r.randrange(400), lat + t * 0.07 + r.uniform(0, 4e-4), 28 + t * 0.07 * steep + r.uniform(0, 4e-4), "x", 1) for t in (r.random() for _ in range(700))]
+    rows += [("a", i, None, 28.0, "x", 1) for i in range(3)] + [("c", 1, 47.0, 28.0, "m", 9), ("c", 1, 47.0, 28.0, "k", 12)]
+    df = spark.createDataFrame(rows, "g string, oid int, lat double, lon double, name string, num int")
+    made = lambda: {f.getName() for f in (lambda s: [s.apply(i) for i in range(s.size())])(spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle")}
+    before = made()
+    thinned = groups.greedy_thin(df, ["g"], ["oid"], 50.0, address.clash_50m, ties=["name"])
+    assert not made() - before                              # the rounds leave no shuffle files
+    got = [tuple(x) for x in thinned.collect()]
+    want = []
+    for g in ("a", "b", None):
+        kept = []
+        for x in sorted({x[:4] for x in rows if x[0] == g and x[2] is not None}, key=lambda x: x[1:]):
+            if all(flat_km(x[2:], p[2:]) * 1000 >= 50 for p in kept):
+                kept.append(x)
+        want += kept
+    want += [x[:4] for x in rows if x[2] is None] + [("c", 1, 47.0, 28.0)]
+    assert sorted((x[:4] for x in got), key=repr) == sorted(want, key=repr)
+    assert [x[4] for x in got if x[0] == "c"] == [12]        # the least name tells which of equal rows stays
+
+
 def test_upper_median_of_skewed_groups(spark):
     r = random.Random(4)
     rows = [("big", r.randrange(-2**31, 2**31)) for _ in range(2001)] + [("same", 7)] * 500 + [("two", 1), ("two", 9)]
