@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from atlas.functions import geo, osm, text
 from atlas.operators import address, spatial
 from atlas.operators.groups import dense_ids, greedy_thin, most_frequent, upper_median
 from atlas.plans.localities import Localities
-from atlas.session import cut_lineage
+from atlas.session import Scratch, cut_lineage
 
 NO_LOCALITY = -1
 
@@ -64,8 +65,9 @@ def resolve(objects: DataFrame, members: DataFrame, places: Localities, place_ar
     inside = inside.withColumn("name", F.coalesce(filled("street"), F.col("assoc"), filled("place")))
     via = (F.when(filled("street").isNotNull(), "addr_street").when(F.col("assoc").isNotNull(), "associated_street")
            .when(filled("place").isNotNull(), "addr_place").otherwise("no_street"))
-    inside = cut_lineage(inside.withColumn("via", via))
-    rows = (inside.filter(F.col("name").isNotNull())
+    steps = Scratch(o.sparkSession, "address")
+    inside = steps.keep(inside.withColumn("via", via).drop("street", "place", "assoc"), "inside")
+    rows = (inside.filter(F.col("name").isNotNull()).drop("via")
             .withColumn("skey", text.street_key(F.col("name"))).withColumn("keys", text.house_keys(F.col("num")))
             .withColumn("weight", F.size("keys").cast("bigint")))
     sites = places.locality.select(F.col("id").alias("site"), "lat", "lon", "name", "aliases", "kind_rank")
@@ -75,20 +77,23 @@ def resolve(objects: DataFrame, members: DataFrame, places: Localities, place_ar
     owners = places.owner.join(places.locality.select("id", "kind_rank"), "id").select("pid", F.col("id").alias("site"), "kind_rank")
     held = address.by_area(open_rows.select("point", "lat", "lon"), place_areas, owners).withColumnRenamed("site", "held")
     rows = rows.join(held, "point", "left").withColumn("site", F.coalesce("named", "held"))
-    first = cut_lineage(rows.withColumn("method", F.when(F.col("named").isNotNull(), "name").when(F.col("held").isNotNull(), "area")))
+    method = F.when(F.col("named").isNotNull(), "name").when(F.col("held").isNotNull(), "area")
+    first = steps.keep(rows.withColumn("method", method).drop("named", "held"), "first")
 
     anchors = address.anchor_means(first.filter("weight > 0"))
     loose = first.filter(F.col("site").isNull() & (F.col("weight") > 0))
     anchored = address.anchor_join(loose, anchors).filter(F.col("site").isNotNull()).select("point", F.col("site").alias("anchored"))
-    anchored = cut_lineage(anchored)
+    anchored = steps.keep(anchored, "anchored")
     spots = sites.select("site", "lat", "lon", "kind_rank").unionByName(
         places.ghost.join(places.locality.select("id", "kind_rank"), "id").select(F.col("id").alias("site"), "lat", "lon", "kind_rank"))
     rest = loose.join(anchored, "point", "left_anti")
     near = address.nearest_locality(rest, spots, coast).select("point", F.col("site").alias("nearest"))
-    done = (first.join(anchored, "point", "left").join(near, "point", "left")
-            .withColumn("method", F.coalesce("method", F.when(F.col("anchored").isNotNull(), F.lit("anchor")).when(F.col("nearest").isNotNull(), F.lit("nearest"))))
-            .withColumn("site", F.coalesce("site", "anchored", "nearest")))
-    done = cut_lineage(done.drop("named", "held", "anchored", "nearest", "assoc"))
+    # a point's site was found by its number, so rows that have one meet none of the points without
+    late = (first.filter("site is null").drop("site", "method").join(anchored, "point", "left").join(near, "point", "left")
+            .withColumn("method", F.when(F.col("anchored").isNotNull(), F.lit("anchor")).when(F.col("nearest").isNotNull(), F.lit("nearest")))
+            .withColumn("site", F.coalesce("anchored", "nearest")).drop("anchored", "nearest"))
+    done = steps.keep(first.filter("site is not null").unionByName(late), "done")
+    steps.drop("first", "anchored")
     one = lambda df, c: df.groupBy(c.alias("what")).agg(F.count(F.lit(1)).alias("n"))
     total = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
     stats = (total(o, "objects")
@@ -115,11 +120,11 @@ def build_address_index(objects: DataFrame, members: DataFrame, ways: DataFrame,
            .select("skey", "loc", "kind", "oid", "name", "num", "lat", "lon", "lat_e7", "lon_e7",
                    F.coalesce("method", F.lit("unresolved")).alias("method"), F.explode("keys").alias("key")))
     group = ["skey", "loc"]
-    raw = cut_lineage(raw)
-    kept = cut_lineage(greedy_thin(raw, [*group, "key"], ["kind", "oid"], address.DEDUP_M, address.clash_50m))
-    per_street = (most_frequent(raw, group, "name").join(most_frequent(raw, group, "method"), group)
-                  .join(upper_median(raw, group, "lat_e7"), group).join(upper_median(raw, group, "lon_e7"), group)
-                  .join(kept.groupBy(*group).agg(F.count(F.lit(1)).alias("houses")), group))
+    kept = greedy_thin(raw.drop("method"), [*group, "key"], ["kind", "oid"], address.DEDUP_M, address.clash_50m, ties=["name"])
+    steps = Scratch(raw.sparkSession, "street")
+    facts = {"name": most_frequent(raw, group, "name"), "method": most_frequent(raw, group, "method"), "lat_e7": upper_median(raw, group, "lat_e7"),
+             "lon_e7": upper_median(raw, group, "lon_e7"), "houses": kept.groupBy(*group).agg(F.count(F.lit(1)).alias("houses"))}
+    per_street = reduce(lambda a, b: a.join(b, group), [steps.keep(df, what) for what, df in facts.items()])   # one at a time holds all addresses
     street = dense_ids(per_street, [F.col("skey"), F.col("loc")], "id")
     other = address.street_alias_lookup(ways).withColumnRenamed("key", "skey")
     street = street.join(other, "skey", "left")

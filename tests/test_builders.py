@@ -1,6 +1,7 @@
 """Builders on a small country, graph steps against brute force."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +92,12 @@ def test_address_index(index, places):
     assert {k: stats[k] for k in want} == want
 
 
+def test_address_index_keeps_few_tables(index):
+    """Of the tables between its steps only those stay that its results read."""
+    read = [Path(file.removeprefix("file:")).parents[1] for df in (index.stats, index.house) for file in df.inputFiles()]
+    assert {frozenset(x.name for x in folder.iterdir()) for folder in read if folder.name.startswith("scratch-")} == {frozenset({"inside", "done"}), frozenset({"kept"})}
+
+
 def test_directed_search_against_brute_force(spark):
     r = random.Random(8)
     ways = {w: ([r.randrange(60) for _ in range(r.randrange(2, 5))], r.choice(["residential", "service", "service", "primary"] if w % 9 == 0 else ["residential", "service"]), r.choice([0, 0, 1, -1])) for w in range(45)}
