@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from atlas.functions import text
 from atlas.operators import token_index
+from atlas.session import ended_shuffles_removed
 
 
 def list_text(values: Column, separator: str) -> Column:
@@ -110,13 +111,14 @@ def write_search_index(index: DataFrame, path: str) -> None:
 def write_address_tables(index, path: str) -> None:
     """Locality, commune, street and house tables with the token index of the first three; houses are laid out by street for point lookups."""
     as_json = lambda df, *cols: df.withColumns({c: text.aliases_json(F.col(c)) for c in cols})
-    as_json(index.locality, "aliases").write.mode("overwrite").parquet(f"{path}/locality")
-    as_json(index.commune, "aliases").write.mode("overwrite").parquet(f"{path}/commune")
-    as_json(index.street, "aliases", "city_alt").write.mode("overwrite").parquet(f"{path}/street")
-    house = index.house.repartitionByRange("street", "key").sortWithinPartitions("street", "key", "osm")
-    house.write.mode("overwrite").parquet(f"{path}/house")
     names = ("locality", "commune", "street", "house")
     spark = index.house.sparkSession
+    house = index.house.repartitionByRange("street", "key").sortWithinPartitions("street", "key", "osm")
+    with ended_shuffles_removed(spark):
+        as_json(index.locality, "aliases").write.mode("overwrite").parquet(f"{path}/locality")
+        as_json(index.commune, "aliases").write.mode("overwrite").parquet(f"{path}/commune")
+        as_json(index.street, "aliases", "city_alt").write.mode("overwrite").parquet(f"{path}/street")
+        house.write.mode("overwrite").parquet(f"{path}/house")
     for name in names[:3]:   # from the written rows, so the index says what a reader of the tables sees
         token_index.write_tokens(spark.read.parquet(f"{path}/{name}"), "id", token_index.FIELDS[name], f"{path}/{name}_token")
     meta = None
